@@ -42,8 +42,94 @@ def _pivot(metric: str, how: str) -> str:
 """
 
 
+FLATTEN = {
+    "q01_entries_explode": """
+        SELECT event_id, j.key AS prop_key, json_extract_string(j.value, '$') AS prop_value
+        FROM events, json_each(CAST(props AS JSON)) AS j
+    """,
+    "q01_rates": """
+        SELECT CAST(l_shipdate AS DATE) - 1 AS date, l_returnflag AS currency, 'flag' AS name,
+               l_extendedprice AS rate, CAST(trunc(l_quantity) AS INTEGER) AS nominal
+        FROM lineitem
+        UNION ALL
+        SELECT CAST(l_shipdate AS DATE) - 1, l_linestatus, 'status', l_discount, l_linenumber
+        FROM lineitem
+    """,
+    "q02_nested_lists": """
+        SELECT CAST(o_orderkey AS VARCHAR)   AS category_id,
+               o_orderpriority               AS category_name,
+               CAST(l_linenumber AS VARCHAR) AS role_id,
+               l_returnflag                  AS role_name,
+               l_linestatus = 'O'            AS accept_incomplete_resumes,
+               l_discount >= 0.05            AS is_default,
+               l_tax >= 0.05                 AS select_deprecated,
+               false                         AS search_deprecated
+        FROM orders JOIN lineitem ON o_orderkey = l_orderkey
+    """,
+    "q03_project": """
+        SELECT CAST(c_custkey AS VARCHAR) AS id, c_name AS name, c_mktsegment AS uid FROM customer
+    """,
+    "q04_posting_fields": """
+        WITH ranked AS (
+            SELECT *, (row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_returnflag) - 1)
+                      // 64 AS chunk
+            FROM lineitem),
+        lc AS (
+            SELECT l_orderkey, chunk,
+                   string_agg(CAST(l_linenumber AS VARCHAR), ',' ORDER BY l_linenumber, l_returnflag) AS ids,
+                   string_agg(l_returnflag, ',' ORDER BY l_linenumber, l_returnflag) AS names
+            FROM ranked GROUP BY l_orderkey, chunk)
+        SELECT CAST(o_orderkey AS VARCHAR) AS id, o_orderpriority AS name,
+               CAST(n_nationkey AS VARCHAR) AS area_id, n_name AS area_name,
+               CAST(c_custkey AS VARCHAR) AS employer_id, c_name AS employer_name,
+               CASE WHEN o_orderstatus <> 'P' THEN CAST(floor(o_totalprice / 100) AS INTEGER) END AS salary_from,
+               CASE WHEN o_orderstatus <> 'P' THEN CAST(floor(o_totalprice / 10) AS INTEGER) END AS salary_to,
+               CASE WHEN o_orderstatus <> 'P' THEN 'USD' END AS salary_currency,
+               CASE WHEN o_orderstatus <> 'P' THEN o_orderstatus = 'F' END AS salary_gross,
+               c_mktsegment AS experience_id, c_mktsegment AS experience_name,
+               CAST(NULL AS VARCHAR) AS employment_id, CAST(NULL AS VARCHAR) AS employment_name,
+               o_orderstatus AS schedule_id, o_orderstatus AS schedule_name,
+               CAST(NULL AS VARCHAR) AS type_id, CAST(NULL AS VARCHAR) AS type_name,
+               o_orderdate - INTERVAL 3 HOUR AS published_at,
+               o_orderdate AS created_at,
+               'orders/' || o_orderkey AS alternate_url,
+               lc.ids AS professional_role_ids, lc.names AS professional_role_names
+        FROM orders
+        LEFT JOIN customer ON o_custkey = c_custkey
+        LEFT JOIN nation ON c_nationkey = n_nationkey
+        LEFT JOIN lc ON lc.l_orderkey = o_orderkey
+    """,
+    "q05_tree": """
+        SELECT 'o' || o_orderkey AS area_id, CAST(NULL AS VARCHAR) AS parent_id, o_orderpriority AS name,
+               o_totalprice AS lat, TRY_CAST(o_orderstatus AS DOUBLE) AS lng
+        FROM orders
+        UNION ALL
+        SELECT 'l' || l_orderkey || '-' || l_linenumber, 'o' || l_orderkey, l_returnflag,
+               l_quantity, l_discount
+        FROM lineitem
+        UNION ALL
+        SELECT 's' || l_orderkey || '-' || l_linenumber, 'l' || l_orderkey || '-' || l_linenumber,
+               l_linestatus, TRY_CAST(l_returnflag AS DOUBLE), l_tax
+        FROM lineitem WHERE l_linestatus = 'O'
+    """,
+    "q06_bundle": """
+        SELECT 'lines' AS dict_name, CAST(l_linenumber AS VARCHAR) AS id, l_returnflag AS name FROM lineitem
+        UNION ALL
+        SELECT 'parts', CAST(NULL AS VARCHAR), l_linestatus FROM lineitem
+    """,
+    "q07_day_write": """
+        SELECT *, DATE '2024-02-01' AS dt FROM customer
+    """,
+    "q08_day_range": """
+        SELECT event_id, ts, user_id, value, props, CAST(ts AS DATE) AS dt, event_type
+        FROM events WHERE ts IS NOT NULL
+    """,
+}
+
+
 def oracle_sql() -> dict[str, str]:
     return {
+        **FLATTEN,
         "q09_hop_metrics": METRICS,
         "q10_hop_sliced": METRICS,
         "q12_metrics_dedupe": f"""

@@ -13,8 +13,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.operators import metrics as M
+from strata.operators.flatten import explode_entries
 from strata.operators.windows import hop_metrics
-from strata.session import pin_utc
+from strata.plans import catalog, documents, incremental, postings, rates
+from strata.session import new_scratch, pin_utc
+from strata.sinks.layout import processed_dir, processed_root, raw_dir
+from strata.sinks.writers import land_raw, write_partition
+from strata.sources.documents import json_docs, parse_docs
 from strata.sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -43,6 +48,89 @@ def _event_types(spark: SparkSession, sf_dir: str) -> list[str]:
     return sorted(r[0] for r in rows if r[0] is not None)
 
 
+# Day of the full-refresh runs (fixed value; a job's day is always an argument).
+RUN_DAY = "2024-02-01"
+
+
+# ── q01–q06: flatten nested documents ───────────────────────────────────────
+
+def q01_entries_explode(spark, sf_dir):
+    """Object with data-dependent keys → (key, value) rows: ``events.props``."""
+    ev = read_table(spark, sf_dir, "events", ["event_id", "props"])
+    parsed = ev.select("event_id", F.from_json("props", "map<string,string>").alias("props"))
+    return explode_entries(parsed, "props", "prop_key", "prop_value", keep=["event_id"])
+
+
+def q01_rates(spark, sf_dir):
+    """Rate documents (date with offset, keyed entries, strict casts) → rows."""
+    pin_utc(spark)
+    docs = parse_docs(documents.rate_docs(spark, sf_dir), "doc", rates.SCHEMA)
+    return rates.rates(docs)
+
+
+def q02_nested_lists(spark, sf_dir):
+    """Two chained unnests, categories → roles, ordered by ids as integers."""
+    docs = parse_docs(documents.role_pages(spark, sf_dir), "doc", catalog.ROLES_SCHEMA)
+    return catalog.professional_roles(docs)
+
+
+def q03_project(spark, sf_dir):
+    """Land a flat dictionary in the raw layer as JSON lines, read it back, project."""
+    root = new_scratch(spark, "q03")
+    cust = read_table(spark, sf_dir, "customer", ["c_custkey", "c_name", "c_mktsegment", "c_nationkey"])
+    items = cust.select(F.to_json(F.struct(
+        F.col("c_custkey").cast("string").alias("id"), F.col("c_name").alias("name"),
+        F.col("c_mktsegment").alias("uid"), F.col("c_nationkey").alias("nation"))).alias("value"))
+    path = raw_dir(root, "tables", "customer", RUN_DAY)
+    land_raw(items, path)
+    return catalog.languages(json_docs(spark, path, catalog.LANGUAGES_SCHEMA, multi_line=False))
+
+
+def q04_posting_fields(spark, sf_dir):
+    """Postings: nested struct fields renamed, role lists plucked (joined as text here)."""
+    pin_utc(spark)
+    items = parse_docs(documents.posting_pages(spark, sf_dir), "doc", postings.SCHEMA, array=True)
+    flat = postings.vacancies(items)
+    return (flat.withColumn("published_at", F.col("published_at").cast("timestamp_ntz"))
+                .withColumn("created_at", F.col("created_at").cast("timestamp_ntz"))
+                .withColumn("professional_role_ids", F.array_join("professional_role_ids", ","))
+                .withColumn("professional_role_names", F.array_join("professional_role_names", ",")))
+
+
+def q05_tree(spark, sf_dir):
+    """Forests of unknown depth → one row per node (level loop, no depth cap)."""
+    return catalog.areas(documents.area_trees(spark, sf_dir), "doc")
+
+
+def q06_bundle(spark, sf_dir):
+    """Bundles of mixed kinds → (dict_name, id, name) for array-valued entries only."""
+    return catalog.dictionaries(documents.bundles(spark, sf_dir), "doc")
+
+
+# ── q07 / q08: layout, writers, incremental runs ────────────────────────────
+
+def q07_day_write(spark, sf_dir):
+    """Full refresh of a dictionary into processed/<ds>/dt=D, run twice, read back."""
+    root = new_scratch(spark, "q07")
+    cust = read_table(spark, sf_dir, "customer")
+    for _ in range(2):  # a rerun replaces the day, it does not append
+        write_partition(cust, processed_dir(root, "customer", RUN_DAY))
+    schema = cust.schema.add("dt", "date")
+    return spark.read.schema(schema).parquet(processed_root(root, "customer"))
+
+
+def q08_day_range(spark, sf_dir):
+    """Every day of ``events`` as [day, day+1) slices by (dt, event_type), one job, twice."""
+    pin_utc(spark)
+    root = new_scratch(spark, "q08")
+    events = read_table(spark, sf_dir, "events")
+    days = incremental.days_of(events, "ts")
+    base = processed_root(root, "events")
+    for _ in range(2):  # rerun of the same range is idempotent
+        incremental.run_days(events, base, "ts", days, keys=["event_type"])
+    return incremental.read_keyed(spark, base, events.schema, {"dt": "date", "event_type": "string"})
+
+
 # ── q09 / q10: hopping-window metrics ───────────────────────────────────────
 
 def q09_hop_metrics(spark, sf_dir):
@@ -90,6 +178,15 @@ def q18_latest(spark, sf_dir):
 
 def queries() -> dict[str, Query]:
     return {
+        "q01_entries_explode": q01_entries_explode,
+        "q01_rates": q01_rates,
+        "q02_nested_lists": q02_nested_lists,
+        "q03_project": q03_project,
+        "q04_posting_fields": q04_posting_fields,
+        "q05_tree": q05_tree,
+        "q06_bundle": q06_bundle,
+        "q07_day_write": q07_day_write,
+        "q08_day_range": q08_day_range,
         "q09_hop_metrics": q09_hop_metrics,
         "q10_hop_sliced": q10_hop_sliced,
         "q12_metrics_dedupe": q12_metrics_dedupe,

@@ -1 +1 @@
-"""strata.sinks"""
+"""Lake layout and writers."""
