@@ -147,6 +147,12 @@ def oracle_sql() -> dict[str, str]:
                 FROM u)
             WHERE rn = 1
         """,
+        "q11_hop_stream": f"""
+            WITH m AS ({METRICS})
+            SELECT * FROM m
+            WHERE window_end <= (SELECT date_trunc('millisecond', max(ts)) FROM events) - INTERVAL 5 SECOND
+        """,
+        "q13_metrics_load": METRICS,
         "q14_recent": f"""
             WITH m AS ({METRICS})
             SELECT * FROM m
@@ -167,6 +173,17 @@ def oracle_sql() -> dict[str, str]:
                    max(window_end) AS last_window_end
             FROM m
         """,
+        "q20_lake_sql": """
+            SELECT c.c_mktsegment AS segment, c.c_nationkey AS nationkey, count(*) AS customers,
+                   round(sum(c.c_acctbal), 2) AS acctbal, max(n.n_name) AS nation
+            FROM customer c LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey
+            GROUP BY c.c_mktsegment, c.c_nationkey
+        """,
+        "q21_kafka_rows": """
+            SELECT CAST(event_id AS VARCHAR) AS key, event_type, user_id, value AS amount,
+                   epoch_us(ts) // 1000 AS ts_ms, props
+            FROM events
+        """,
         "q18_latest": f"""
             WITH m AS ({METRICS})
             SELECT window_start, window_end, event_type, cnt, total, avg_value

@@ -20,7 +20,9 @@ from strata.session import new_scratch, pin_utc
 from strata.sinks.layout import processed_dir, processed_root, raw_dir
 from strata.sinks.writers import land_raw, write_partition
 from strata.sources.documents import json_docs, parse_docs
+from strata.sources.metric_files import load_metrics
 from strata.sources.tables import read_table
+from strata.streaming import events as S
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -29,6 +31,8 @@ WINDOW_SIZE = "1 minute"
 WINDOW_SLIDE = "10 seconds"
 LOOKBACK_HOURS = 4
 PAGE_SIZE = 100
+# Upper bound on a bounded (available-now) stream drain in a query, seconds.
+STREAM_TIMEOUT_S = 900
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -141,7 +145,27 @@ def q10_hop_sliced(spark, sf_dir):
     return _metrics(spark, sf_dir, "sliced")
 
 
-# ── q12, q14–q18: read side over the metric table ───────────────────────────
+# ── q11: the streaming job end to end ───────────────────────────────────────
+
+def q11_hop_stream(spark, sf_dir):
+    """events → JSON lines files → stream (watermark 5 s, hop 60 s / 10 s) → JSON sink
+    partitioned by event type → read back through the sink's commit log."""
+    pin_utc(spark)
+    root = new_scratch(spark, "q11")
+    events = read_table(spark, sf_dir, "events", ["ts", "event_type", "user_id", "value"])
+    land_raw(S.event_lines(events), f"{root}/inbox")
+    query = S.start_metrics_stream(S.text_stream(spark, f"{root}/inbox"), f"{root}/sink",
+                                   f"{root}/checkpoint", available_now=True, query_name=None)
+    try:
+        if not query.awaitTermination(STREAM_TIMEOUT_S):
+            raise TimeoutError(f"stream did not drain within {STREAM_TIMEOUT_S}s")
+    finally:
+        if query.isActive:
+            query.stop()
+    return load_metrics(spark, f"{root}/sink", sink_log=True)
+
+
+# ── q12–q18: read side over the metric table ───────────────────────────
 
 def q12_metrics_dedupe(spark, sf_dir):
     m = _metrics(spark, sf_dir)
@@ -152,6 +176,15 @@ def q12_metrics_dedupe(spark, sf_dir):
     return M.dedupe_windows(m.unionByName(fewer).unionByName(lower))
 
 
+def q13_metrics_load(spark, sf_dir):
+    """Metrics written in the sink layout (JSON by event_type) and loaded back."""
+    pin_utc(spark)
+    root = new_scratch(spark, "q13")
+    raw = hop_metrics(_events(spark, sf_dir), "ts", "event_type", "value", WINDOW_SIZE, WINDOW_SLIDE)
+    S.write_metric_files(raw, root)
+    return load_metrics(spark, root)
+
+
 def q14_recent(spark, sf_dir):
     return M.recent(_metrics(spark, sf_dir), LOOKBACK_HOURS)
 
@@ -176,6 +209,39 @@ def q18_latest(spark, sf_dir):
     return M.latest(_metrics(spark, sf_dir), PAGE_SIZE)
 
 
+# ── q20 / q21: ad-hoc lake SQL, Kafka-shaped rows ───────────────────────────
+
+def q20_lake_sql(spark, sf_dir):
+    """Analyst SQL over lake files: a CSV copy (declared schema) and a parquet path."""
+    root = new_scratch(spark, "q20")
+    cust = read_table(spark, sf_dir, "customer")
+    cust.write.mode("overwrite").option("header", True).csv(f"{root}/customer_csv")
+    spark.read.schema(cust.schema).option("header", True).csv(f"{root}/customer_csv") \
+        .createOrReplaceTempView("customer_csv")
+    return spark.sql(f"""
+        SELECT c.c_mktsegment AS segment,
+               c.c_nationkey  AS nationkey,
+               count(*)       AS customers,
+               round(sum(c.c_acctbal), 2) AS acctbal,
+               max(n.n_name)  AS nation
+        FROM customer_csv c
+        LEFT JOIN parquet.`{sf_dir.rstrip('/')}/nation.parquet` n ON c.c_nationkey = n.n_nationkey
+        GROUP BY c.c_mktsegment, c.c_nationkey
+    """)
+
+
+def q21_kafka_rows(spark, sf_dir):
+    """Events serialised as Kafka (key, value) rows and parsed back by the consumer contract."""
+    pin_utc(spark)
+    ev = read_table(spark, sf_dir, "events", ["event_id", "ts", "user_id", "event_type", "value", "props"])
+    rows = S.to_kafka_rows(ev.select(
+        "event_id", "event_type", "user_id", F.col("value").alias("amount"),
+        F.unix_millis(F.col("ts").cast("timestamp")).alias("ts_ms"), "props"), key_col="event_id")
+    back = F.from_json("value", S.EVENT_SCHEMA + ", props string")
+    return rows.select("key", back.alias("e")).select(
+        "key", "e.event_type", "e.user_id", "e.amount", "e.ts_ms", "e.props")
+
+
 def queries() -> dict[str, Query]:
     return {
         "q01_entries_explode": q01_entries_explode,
@@ -189,11 +255,15 @@ def queries() -> dict[str, Query]:
         "q08_day_range": q08_day_range,
         "q09_hop_metrics": q09_hop_metrics,
         "q10_hop_sliced": q10_hop_sliced,
+        "q11_hop_stream": q11_hop_stream,
         "q12_metrics_dedupe": q12_metrics_dedupe,
+        "q13_metrics_load": q13_metrics_load,
         "q14_recent": q14_recent,
         "q15_pivot_cnt": q15_pivot_cnt,
         "q15_pivot_avg": q15_pivot_avg,
         "q16_totals": q16_totals,
         "q17_kpis": q17_kpis,
         "q18_latest": q18_latest,
+        "q20_lake_sql": q20_lake_sql,
+        "q21_kafka_rows": q21_kafka_rows,
     }

@@ -50,15 +50,18 @@ def parse_docs(df: DataFrame, text_col: str, schema: StructType | str,
 
 
 def ndjson(spark: SparkSession, path: str, schema: StructType | str,
-           path_filter: str | None = None) -> DataFrame:
+           path_filter: str | None = None, base_path: str | None = None) -> DataFrame:
     """JSON lines with blank lines skipped and malformed lines kept aside.
 
     The result has the schema's columns plus ``_corrupt_record`` (null on good
     lines) and ``_file`` (the source file), so callers can drop and count bad lines
-    instead of losing them silently.  ``path_filter`` is a glob on file names.
+    instead of losing them silently.  ``path_filter`` is a glob on file names;
+    ``base_path`` keeps partition columns when ``path`` is a glob below it.
     """
     s = _schema(schema).add(CORRUPT, "string")
     reader = spark.read.schema(s).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
     if path_filter:
         reader = reader.option("pathGlobFilter", path_filter)
+    if base_path:
+        reader = reader.option("basePath", base_path)
     return reader.json(path).withColumn("_file", F.col("_metadata.file_path"))
