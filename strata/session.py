@@ -29,7 +29,8 @@ def build_session(app: str = "strata", master: str | None = None,
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    settings = {**DEFAULT_CONF, "spark.ui.enabled": "false", **(conf or {})}
+    settings = {**DEFAULT_CONF, "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false",
+                **(conf or {})}
     for key, value in settings.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
