@@ -56,7 +56,8 @@ def load_metrics(spark: SparkSession, root: str, dedupe: bool = True,
 
 
 def line_quality(spark: SparkSession, root: str) -> DataFrame:
-    """One row: lines read, lines set aside as malformed."""
+    """One row: lines read, lines set aside as malformed, lines with a count."""
     lines = metric_lines(spark, root)
     return lines.agg(F.count(F.lit(1)).alias("lines"),
-                     F.count(CORRUPT).alias("malformed"))
+                     F.count(CORRUPT).alias("malformed"),
+                     F.count("cnt").alias("with_cnt"))

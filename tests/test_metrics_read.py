@@ -1,0 +1,45 @@
+from datetime import datetime, timedelta
+
+from strata.operators import metrics as M
+
+SCHEMA = "window_start timestamp_ntz, window_end timestamp_ntz, event_type string, cnt bigint, total double, avg_value double"
+T = datetime(2024, 1, 1)
+
+
+def _w(spark, rows):
+    return spark.createDataFrame(rows, SCHEMA)
+
+
+def _row(minute, et, cnt, total=1.0, avg=1.0):
+    start = T + timedelta(minutes=minute)
+    return (start, start + timedelta(minutes=1), et, cnt, total, avg)
+
+
+def test_dedupe_keeps_largest(spark):
+    df = _w(spark, [_row(0, "a", 3, 5.0), _row(0, "a", 3, 6.0), _row(0, "a", 2, 9.0), _row(1, "a", None, 1.0),
+                    _row(1, "a", 1, 1.0)])
+    out = {(r.window_start, r.cnt, r.total) for r in M.dedupe_windows(df).collect()}
+    assert out == {(T, 3, 6.0), (T + timedelta(minutes=1), 1, 1.0)}
+
+
+def test_recent_inclusive_and_empty(spark):
+    df = _w(spark, [_row(0, "a", 1), _row(60 * 4, "a", 1), _row(60 * 4 + 1, "b", 1)])
+    got = sorted(r.window_start for r in M.recent(df, 4).collect())
+    # latest end is 4h02m; cut-off 0h02m: the 0h00–0h01 window ends before it
+    assert got == [T + timedelta(minutes=240), T + timedelta(minutes=241)]
+    df2 = _w(spark, [_row(0, "a", 1), _row(240, "a", 1)])
+    assert M.recent(df2, 4).count() == 2   # end exactly at the cut-off is kept
+    assert M.recent(_w(spark, []), 4).count() == 0
+
+
+def test_kpis_pivot_totals_latest(spark):
+    df = _w(spark, [_row(0, "a", 2, 1.005), _row(0, "b", 3, 2.0), _row(1, "a", 4, 3.0)])
+    k = M.kpis(df).first()
+    assert (k.windows, k.event_types, k.events_weighted, k.last_window_end) == (3, 2, 9, T + timedelta(minutes=2))
+    p = M.pivot_metric(df, "cnt", "sum", ["a", "b", "c"]).collect()
+    assert [tuple(r) for r in p] == [(T + timedelta(minutes=1), 2, 3, None), (T + timedelta(minutes=2), 4, None, None)]
+    t = M.totals(df).collect()
+    assert [r.event_type for r in t] == ["a", "b"] and t[0].total_sum == 4.01
+    top = M.latest(df, 2).collect()
+    assert [(r.window_end, r.event_type) for r in top] == [(T + timedelta(minutes=2), "a"), (T + timedelta(minutes=1), "a")]
+    assert M.latest(df, 2).columns == list(M.TABLE_COLUMNS)
