@@ -34,8 +34,14 @@ def day_slice(df: DataFrame, time_col: str, days: Sequence[date]) -> DataFrame:
               .withColumn("dt", F.to_date(t)))
 
 
-def work_grid(keys: DataFrame, days: Sequence[date]) -> DataFrame:
-    """Keys × days as a DataFrame (each key row exploded over the day list)."""
+def work_grid(keys: DataFrame, days: Sequence[date], exclude: DataFrame | None = None) -> DataFrame:
+    """Keys × days as a DataFrame (each key row exploded over the day list).
+
+    ``exclude`` lists keys to leave out (e.g. deprecated roles); it is an anti join
+    on the key columns, so the grid never needs to reach the driver for it.
+    """
+    if exclude is not None:
+        keys = keys.join(exclude, list(exclude.columns), "left_anti")
     return keys.select("*", F.explode(F.array(*[F.lit(d) for d in days])).alias("dt"))
 
 
@@ -61,7 +67,8 @@ def run_days(df: DataFrame, base: str, time_col: str, days: Sequence[date],
 
 
 def read_keyed(spark: SparkSession, base: str, schema: StructType,
-               partitions: Mapping[str, str], fmt: str = "parquet") -> DataFrame:
+               partitions: Mapping[str, str], fmt: str = "parquet",
+               options: Mapping[str, str] | None = None) -> DataFrame:
     """Read a keyed dataset with the partition columns typed explicitly.
 
     Declaring them stops inference from turning ``role_id=01`` into the integer 1.
@@ -69,4 +76,4 @@ def read_keyed(spark: SparkSession, base: str, schema: StructType,
     full = StructType([f for f in schema.fields if f.name not in partitions])
     for name, type_ in partitions.items():
         full = full.add(name, type_)
-    return spark.read.schema(full).format(fmt).load(base)
+    return spark.read.schema(full).format(fmt).options(**(options or {})).load(base)

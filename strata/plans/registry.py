@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strata.operators import metrics as M
@@ -18,8 +18,9 @@ from strata.operators.windows import hop_metrics
 from strata.plans import catalog, documents, incremental, postings, rates
 from strata.session import new_scratch, pin_utc
 from strata.sinks.layout import processed_dir, processed_root, raw_dir
-from strata.sinks.writers import land_raw, write_partition
-from strata.sources.documents import json_docs, parse_docs
+from strata.sinks.writers import land_raw, write_keys, write_partition
+from strata.sources.documents import JSON_TIME_OPTIONS, json_docs, parse_docs
+from strata.sources import paged
 from strata.sources.metric_files import load_metrics
 from strata.sources.tables import read_table
 from strata.streaming import events as S
@@ -209,6 +210,51 @@ def q18_latest(spark, sf_dir):
     return M.latest(_metrics(spark, sf_dir), PAGE_SIZE)
 
 
+# ── q19: paged REST source, fanned out over keys × days ─────────────────────
+
+# Items per page of the paged API (fixed value, the remote default).
+PER_PAGE = 100
+EVENT_COLUMNS = ["event_id", "ts", "user_id", "event_type", "value", "props"]
+
+
+def _landed_pages(spark, sf_dir, root):
+    """Serve ``events`` as a paged API: per (event_type, day) pages of PER_PAGE items,
+    each page body ``{"items": [...], "pages": N, "page": n}``, landed by Spark."""
+    ev = read_table(spark, sf_dir, "events", EVENT_COLUMNS).withColumn("dt", F.to_date("ts"))
+    unit = Window.partitionBy("event_type", "dt")
+    ranked = ev.withColumn("page", F.floor((F.row_number().over(unit.orderBy("event_id")) - 1) / PER_PAGE))
+    pages = ranked.groupBy("event_type", "dt", "page").agg(
+        F.collect_list(F.struct(*EVENT_COLUMNS)).alias("items"))
+    pages = pages.withColumn("pages", F.max("page").over(unit) + 1)
+    body = F.to_json(F.struct("items", "pages", "page"), JSON_TIME_OPTIONS)
+    pages.select("event_type", "dt", "page", body.alias("body")) \
+         .write.mode("overwrite").partitionBy("event_type", "dt").parquet(root)
+
+
+def q19_paged_source(spark, sf_dir):
+    """Work grid (event types × every day) → paged source on executors → raw landing
+    by (dt, event_type), empty cells cleared → re-read with typed partition columns."""
+    pin_utc(spark)
+    root = new_scratch(spark, "q19")
+    _landed_pages(spark, sf_dir, f"{root}/api")
+    events = read_table(spark, sf_dir, "events", ["ts", "event_type"])
+    days = incremental.days_of(events, "ts")
+    grid = incremental.work_grid(events.select("event_type").distinct(), days)
+    fetched = paged.read_paged(spark, grid, "strata.sources.paged:parquet_pages", key_col="event_type",
+                               params={"root": f"{root}/api", "key_col": "event_type"})
+    # Remote pages are fetched exactly once per run: stage them as a table in the
+    # shared scratch folder; the raw landing and its key bookkeeping read the stage.
+    fetched.write.mode("overwrite").parquet(f"{root}/stage")
+    fetched = spark.read.parquet(f"{root}/stage")
+    raw = paged.items_of(fetched).select(F.col("item").alias("value"), F.col("day").alias("dt"),
+                                         F.col("key").alias("event_type"))
+    base = f"{root}/raw/events"
+    write_keys(raw, base, ["dt", "event_type"], requested=grid, fmt="text")
+    schema = read_table(spark, sf_dir, "events", EVENT_COLUMNS).drop("event_type").schema
+    return incremental.read_keyed(spark, base, schema, {"dt": "date", "event_type": "string"},
+                                  fmt="json", options=JSON_TIME_OPTIONS)
+
+
 # ── q20 / q21: ad-hoc lake SQL, Kafka-shaped rows ───────────────────────────
 
 def q20_lake_sql(spark, sf_dir):
@@ -264,6 +310,7 @@ def queries() -> dict[str, Query]:
         "q16_totals": q16_totals,
         "q17_kpis": q17_kpis,
         "q18_latest": q18_latest,
+        "q19_paged_source": q19_paged_source,
         "q20_lake_sql": q20_lake_sql,
         "q21_kafka_rows": q21_kafka_rows,
     }

@@ -55,6 +55,8 @@ def write_keys(df: DataFrame, base: str, keys: Sequence[str], requested: DataFra
     * ``requested`` (a DataFrame of key tuples — the job's work grid) lists keys
       this run is responsible for: those without rows now are removed, so a rerun
       that finds no data replaces old data with nothing.
+    * With ``requested``, ``df`` is evaluated twice (its key columns alone, then in
+      full): pass a scan or a staged table, not a costly or side-effecting plan.
     * Rows are rebalanced on the keys before writing (AQE splits a hot key over
       several tasks and packs small ones together), giving few files per key
       without pinning a hot key to one task.

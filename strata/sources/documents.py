@@ -16,6 +16,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, StructType
 
 CORRUPT = "_corrupt_record"
+# JSON text of timestamps with all six fractional digits (Spark's default keeps three).
+JSON_TIME_OPTIONS = {
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+}
 
 
 def _schema(schema: StructType | str) -> StructType:
