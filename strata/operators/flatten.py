@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.functions.json import json_entries, json_items, json_value, to_variant
+from strata.session import scratch_root
 
 # A field spec is (json path, spark type), e.g. {"area_id": ("$.id", "string")}.
 FieldSpec = Mapping[str, tuple[str, str]]
@@ -95,6 +96,8 @@ def flatten_tree(df: DataFrame, doc: str, fields: FieldSpec, children: str = "$.
     once and survives executor loss, and plans stay short however deep the tree is.
     """
     v = to_variant(doc) if df.schema[doc].dataType.typeName() == "string" else F.col(doc)
+    if checkpoint:
+        scratch_root(df.sparkSession)  # make sure a (shared) checkpoint folder is set
     frontier = df.select(*keep, F.explode(json_items(v)).alias("_node"))
     levels: list[DataFrame] = []
     while True:
