@@ -56,10 +56,10 @@ def hop_metrics(df: DataFrame, time_col: str, key_col: str, value_col: str,
 
 
 def _direct(df, time_col, key_col, value_col, size, slide):
-    agg = (df.groupBy(F.window(time_col, size, slide).alias("w"), F.col(key_col))
+    agg = (df.groupBy(F.window(time_col, size, slide).alias("_w"), F.col(key_col))
              .agg(*_metric_columns(F.col(value_col))))
-    return agg.select(F.col("w.start").alias("window_start"),
-                      F.col("w.end").alias("window_end"),
+    return agg.select(F.col("_w.start").alias("window_start"),
+                      F.col("_w.end").alias("window_end"),
                       key_col, "cnt", "total", "avg_value")
 
 
@@ -70,24 +70,24 @@ def _sliced(df, time_col, key_col, value_col, size, slide):
         return _direct(df, time_col, key_col, value_col, size, slide)
     per_window = size_s // slide_s
     value = F.col(value_col)
-    slices = (df.groupBy(F.window(time_col, slide).start.alias("slice_start"), F.col(key_col))
-                .agg(F.count(F.lit(1)).alias("cnt"),
-                     F.sum(value).alias("total"),
-                     F.count(value).alias("n_values")))
+    # Internal columns carry a leading underscore so they never clash with the key.
+    slices = (df.groupBy(F.window(time_col, slide).start.alias("_slice"), F.col(key_col))
+                .agg(F.count(F.lit(1)).alias("_cnt"),
+                     F.sum(value).alias("_total"),
+                     F.count(value).alias("_n")))
     # A slice starting at s lies in the windows starting at s, s - slide, ...
     spread = (slices
-              .select("*", F.explode(F.sequence(F.lit(0), F.lit(per_window - 1))).alias("k"))
-              .withColumn("window_start",
-                          F.col("slice_start") - F.make_dt_interval(secs=F.col("k") * slide_s)))
-    rolled = (spread.groupBy("window_start", key_col)
-                    .agg(F.sum("cnt").alias("cnt"),
-                         F.sum("total").alias("total"),
-                         F.sum("n_values").alias("n_values")))
+              .select("*", F.explode(F.sequence(F.lit(0), F.lit(per_window - 1))).alias("_i"))
+              .withColumn("_start", F.col("_slice") - F.make_dt_interval(secs=F.col("_i") * slide_s)))
+    rolled = (spread.groupBy("_start", key_col)
+                    .agg(F.sum("_cnt").alias("_cnt"),
+                         F.sum("_total").alias("_total"),
+                         F.sum("_n").alias("_n")))
     return rolled.select(
-        "window_start",
-        (F.col("window_start") + F.make_dt_interval(secs=F.lit(size_s))).alias("window_end"),
+        F.col("_start").alias("window_start"),
+        (F.col("_start") + F.make_dt_interval(secs=F.lit(size_s))).alias("window_end"),
         key_col,
-        "cnt",
-        "total",
-        F.try_divide(F.col("total"), F.col("n_values")).alias("avg_value"),
+        F.col("_cnt").alias("cnt"),
+        F.col("_total").alias("total"),
+        F.try_divide(F.col("_total"), F.col("_n")).alias("avg_value"),
     )
