@@ -5,6 +5,9 @@
 Each query runs once to warm up, then ``BENCH_RUNS`` (default 3) times; the median
 is reported.  A run executes the whole plan through the ``noop`` sink, so nothing
 is collected to the driver and the timing is Spark's work only.
+
+``BENCH_EVENT_LOG=<folder>`` writes Spark's event log there (stage and task times
+without the web UI).
 """
 
 from __future__ import annotations
@@ -40,10 +43,13 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = os.environ.get("BENCH_CPUS", "8")
     runs = int(os.environ.get("BENCH_RUNS", "3"))
-    spark = build_session("strata-bench", f"local[{cpus}]", {
+    conf = {
         "spark.sql.shuffle.partitions": str(int(cpus) * 2),
         "spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g"),
-    })
+    }
+    if os.environ.get("BENCH_EVENT_LOG"):
+        conf.update({"spark.eventLog.enabled": "true", "spark.eventLog.dir": os.environ["BENCH_EVENT_LOG"]})
+    spark = build_session("strata-bench", f"local[{cpus}]", conf)
     spark.sparkContext.setLogLevel("ERROR")
     results = {}
     for name, fn in HEADLINE.items():

@@ -10,8 +10,10 @@ Two plans compute the same rows:
             are expanded into their windows and rolled up.  With many events per
             slice this moves the ×(size/slide) expansion off the raw rows.
 
-Both work unchanged on ``timestamp`` and ``timestamp_ntz`` columns and on batch
-DataFrames; ``direct`` is also the form used on streams.
+Both work unchanged on ``timestamp`` and ``timestamp_ntz`` columns, on batch
+DataFrames and on streams.  The sliced roll-up groups on ``window(window_time(slice))``,
+so on a stream the two aggregations chain as stateful operators under one
+watermark (append mode emits each window once, after the watermark passes it).
 """
 
 from __future__ import annotations
@@ -68,24 +70,20 @@ def _sliced(df, time_col, key_col, value_col, size, slide):
     if size_s % slide_s:
         # Windows are not unions of whole slices: fall back to the direct plan.
         return _direct(df, time_col, key_col, value_col, size, slide)
-    per_window = size_s // slide_s
     value = F.col(value_col)
-    # Internal columns carry a leading underscore so they never clash with the key.
-    slices = (df.groupBy(F.window(time_col, slide).start.alias("_slice"), F.col(key_col))
+    slices = (df.groupBy(F.window(time_col, slide).alias("_s"), F.col(key_col))
                 .agg(F.count(F.lit(1)).alias("_cnt"),
                      F.sum(value).alias("_total"),
                      F.count(value).alias("_n")))
-    # A slice starting at s lies in the windows starting at s, s - slide, ...
-    spread = (slices
-              .select("*", F.explode(F.sequence(F.lit(0), F.lit(per_window - 1))).alias("_i"))
-              .withColumn("_start", F.col("_slice") - F.make_dt_interval(secs=F.col("_i") * slide_s)))
-    rolled = (spread.groupBy("_start", key_col)
+    # window_time(slice) is the slice's last instant: it lies in exactly the windows
+    # that contain the whole slice (window and slice bounds are slide-aligned).
+    rolled = (slices.groupBy(F.window(F.window_time("_s"), size, slide).alias("_w"), F.col(key_col))
                     .agg(F.sum("_cnt").alias("_cnt"),
                          F.sum("_total").alias("_total"),
                          F.sum("_n").alias("_n")))
     return rolled.select(
-        F.col("_start").alias("window_start"),
-        (F.col("_start") + F.make_dt_interval(secs=F.lit(size_s))).alias("window_end"),
+        F.col("_w.start").alias("window_start"),
+        F.col("_w.end").alias("window_end"),
         key_col,
         F.col("_cnt").alias("cnt"),
         F.col("_total").alias("total"),

@@ -148,15 +148,15 @@ def q10_hop_sliced(spark, sf_dir):
 
 # ── q11: the streaming job end to end ───────────────────────────────────────
 
-def q11_hop_stream(spark, sf_dir):
+def q11_hop_stream(spark, sf_dir, method: str = "direct"):
     """events → JSON lines files → stream (watermark 5 s, hop 60 s / 10 s) → JSON sink
     partitioned by event type → read back through the sink's commit log."""
     pin_utc(spark)
-    root = new_scratch(spark, "q11")
+    root = new_scratch(spark, f"q11-{method}")
     events = read_table(spark, sf_dir, "events", ["ts", "event_type", "user_id", "value"])
     land_raw(S.event_lines(events), f"{root}/inbox")
     query = S.start_metrics_stream(S.text_stream(spark, f"{root}/inbox"), f"{root}/sink",
-                                   f"{root}/checkpoint", available_now=True, query_name=None)
+                                   f"{root}/checkpoint", available_now=True, method=method)
     try:
         if not query.awaitTermination(STREAM_TIMEOUT_S):
             raise TimeoutError(f"stream did not drain within {STREAM_TIMEOUT_S}s")
@@ -166,6 +166,11 @@ def q11_hop_stream(spark, sf_dir):
     return load_metrics(spark, f"{root}/sink", sink_log=True)
 
 
+def q11_hop_stream_sliced(spark, sf_dir):
+    """q11 with the sliced plan: two chained stateful aggregations under one watermark."""
+    return q11_hop_stream(spark, sf_dir, method="sliced")
+
+
 # ── q12–q18: read side over the metric table ───────────────────────────
 
 def q12_metrics_dedupe(spark, sf_dir):
@@ -307,6 +312,7 @@ def queries() -> dict[str, Query]:
         "q09_hop_metrics": q09_hop_metrics,
         "q10_hop_sliced": q10_hop_sliced,
         "q11_hop_stream": q11_hop_stream,
+        "q11_hop_stream_sliced": q11_hop_stream_sliced,
         "q12_metrics_dedupe": q12_metrics_dedupe,
         "q13_metrics_load": q13_metrics_load,
         "q14_recent": q14_recent,

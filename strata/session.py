@@ -23,6 +23,22 @@ DEFAULT_CONF = {
 }
 
 
+# Settings for a large cluster (fixed values; pass as ``build_session(conf=CLUSTER_CONF)``
+# or in spark-defaults).  Shuffles start wide and AQE coalesces them to ~256 MB
+# partitions; hot partitions of joins and rebalances are split; input splits are
+# 256 MB; streaming state lives in RocksDB instead of executor heaps.
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "8000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
+
 def build_session(app: str = "strata", master: str | None = None,
                   conf: dict[str, str] | None = None) -> SparkSession:
     """Create (or reuse) a session with the library defaults; ``conf`` overrides them."""

@@ -128,3 +128,18 @@ def test_metric_files_loader(spark, tmp_dir):
     assert first[2] == 5 and first[3] == 1.23 and first[4] == 0.1235
     q = line_quality(spark, root).first()
     assert q.malformed == 2
+
+
+def test_stream_sliced_equals_direct(spark, tmp_dir):
+    ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    inbox = os.path.join(tmp_dir, "inbox")
+    S.event_lines(ev).repartition(4).write.text(inbox)
+    out = {}
+    for method in ("direct", "sliced"):
+        sink, ckpt = os.path.join(tmp_dir, f"sink-{method}"), os.path.join(tmp_dir, f"ckpt-{method}")
+        q = S.start_metrics_stream(S.text_stream(spark, inbox, max_files_per_trigger=1), sink, ckpt,
+                                   available_now=True, method=method)
+        assert q.awaitTermination(300)
+        out[method] = sorted(tuple(r) for r in load_metrics(spark, sink, sink_log=True).collect())
+    assert len(out["direct"]) > 0
+    assert out["direct"] == out["sliced"]
