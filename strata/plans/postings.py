@@ -17,12 +17,13 @@ SCHEMA = (
 )
 
 
-def vacancies(items: DataFrame) -> DataFrame:
+def vacancies(items: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Nested posting items → flat table.
 
     Struct fields become ``<struct>_<field>`` columns (null struct → null fields);
     timestamps with an offset are cast to instants; ``professional_roles`` becomes
-    two parallel arrays of ids and names (null list → null arrays).
+    two parallel arrays of ids and names (null list → null arrays).  ``keep``
+    columns (e.g. partition keys) are passed through unchanged.
     """
     fields: dict = {"id": "id", "name": "name"}
     for ref in ("area", "employer"):
@@ -40,4 +41,5 @@ def vacancies(items: DataFrame) -> DataFrame:
         "professional_role_ids": pluck("professional_roles", "id"),
         "professional_role_names": pluck("professional_roles", "name"),
     })
+    fields.update({c: c for c in keep})
     return project_fields(items, fields)

@@ -81,3 +81,19 @@ def scratch_root(spark: SparkSession) -> str:
 def new_scratch(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the scratch root for one run of one job."""
     return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def object_store_conf(endpoint: str, region: str | None = None, path_style: bool = True) -> dict[str, str]:
+    """``spark.hadoop.fs.s3a.*`` settings for an S3-compatible store.
+
+    Only the endpoint and addressing are set; credentials come from Hadoop's default
+    provider chain (environment variables, instance profile), never from code.
+    """
+    conf = {
+        "spark.hadoop.fs.s3a.endpoint": endpoint,
+        "spark.hadoop.fs.s3a.path.style.access": str(path_style).lower(),
+        "spark.hadoop.fs.s3a.connection.ssl.enabled": str(endpoint.startswith("https")).lower(),
+    }
+    if region:
+        conf["spark.hadoop.fs.s3a.endpoint.region"] = region
+    return conf
