@@ -81,7 +81,7 @@ def explode_bundle(df: DataFrame, doc: str, fields: FieldSpec, name_col: str = "
 
 
 def flatten_tree(df: DataFrame, doc: str, fields: FieldSpec, children: str = "$.areas",
-                 keep: Sequence[str] = (), checkpoint: bool = True) -> DataFrame:
+                 keep: Sequence[str] = (), checkpoint: bool = True, rebalance: bool = True) -> DataFrame:
     """Flatten trees of any depth: one output row per node, with ``fields`` extracted.
 
     ``doc`` holds a JSON array of root nodes (text or VARIANT); each node's children
@@ -94,6 +94,11 @@ def flatten_tree(df: DataFrame, doc: str, fields: FieldSpec, children: str = "$.
     level is empty.  There is no depth cap.  With ``checkpoint`` each frontier is a
     reliable checkpoint in the session's checkpoint folder, so a level is computed
     once and survives executor loss, and plans stay short however deep the tree is.
+
+    ``explode`` keeps rows where they are, so without help one huge document would
+    be walked by one task at every level.  With ``rebalance`` each frontier is
+    rebalanced (AQE sizes the partitions) before it is materialised, so the nodes
+    of a hot document spread over the cluster from the first level on.
     """
     v = to_variant(doc) if df.schema[doc].dataType.typeName() == "string" else F.col(doc)
     if checkpoint:
@@ -101,6 +106,8 @@ def flatten_tree(df: DataFrame, doc: str, fields: FieldSpec, children: str = "$.
     frontier = df.select(*keep, F.explode(json_items(v)).alias("_node"))
     levels: list[DataFrame] = []
     while True:
+        if rebalance:
+            frontier = frontier.hint("rebalance")
         if checkpoint:
             frontier = frontier.checkpoint(eager=True)
         if frontier.isEmpty():
