@@ -98,7 +98,9 @@ def flatten_tree(df: DataFrame, doc: str, fields: FieldSpec, children: str = "$.
     ``explode`` keeps rows where they are, so without help one huge document would
     be walked by one task at every level.  With ``rebalance`` each frontier is
     rebalanced (AQE sizes the partitions) before it is materialised, so the nodes
-    of a hot document spread over the cluster from the first level on.
+    of a hot document spread over the cluster from the first level on.  It applies
+    only with ``checkpoint``: without the lineage cut, a shuffle per level would pile
+    up in one ever deeper plan.
     """
     v = to_variant(doc) if df.schema[doc].dataType.typeName() == "string" else F.col(doc)
     if checkpoint:
@@ -106,7 +108,7 @@ def flatten_tree(df: DataFrame, doc: str, fields: FieldSpec, children: str = "$.
     frontier = df.select(*keep, F.explode(json_items(v)).alias("_node"))
     levels: list[DataFrame] = []
     while True:
-        if rebalance:
+        if rebalance and checkpoint:
             frontier = frontier.hint("rebalance")
         if checkpoint:
             frontier = frontier.checkpoint(eager=True)
