@@ -38,6 +38,23 @@ def parse_events(text: DataFrame, value_col: str = "value") -> DataFrame:
     return parsed.withColumn("event_ts", F.timestamp_millis("ts_ms"))
 
 
+def event_quality(events: DataFrame) -> DataFrame:
+    """One row of counts over parsed events: rows, rows that are not JSON events at all
+    (every field null), rows without an event time (dropped by the windows), rows
+    whose amount is missing or malformed (counted in ``cnt``, not in sums)."""
+    fields = [c for c in events.columns if c != "event_ts"]
+    any_field = F.lit(False)
+    for c in fields:
+        any_field = any_field | F.col(c).isNotNull()
+    unparsed = ~any_field
+    return events.agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count(F.when(unparsed, 1)).alias("unparsed"),
+        F.count(F.when(F.col("event_ts").isNull(), 1)).alias("no_event_time"),
+        F.count(F.when(F.col("amount").isNull(), 1)).alias("no_amount"),
+    )
+
+
 def event_lines(events: DataFrame, time_col: str = "ts", value_col: str = "value") -> DataFrame:
     """Driver-style events (``ts``, ``event_type``, ``user_id``, ``value``) → JSON lines
     in the stream's contract, ``ts_ms`` being epoch milliseconds (UTC)."""

@@ -143,3 +143,16 @@ def test_stream_sliced_equals_direct(spark, tmp_dir):
         out[method] = sorted(tuple(r) for r in load_metrics(spark, sink, sink_log=True).collect())
     assert len(out["direct"]) > 0
     assert out["direct"] == out["sliced"]
+
+
+def test_event_quality_counts(spark):
+    lines = spark.createDataFrame([(l,) for l in FILES[0]], "value string")
+    q = S.event_quality(S.parse_events(lines)).first()
+    # two clicks, garbage, a view with a bad amount, a row without ts_ms
+    assert (q.rows, q.unparsed, q.no_event_time, q.no_amount) == (5, 1, 2, 2)
+
+
+def test_event_quality_partial_rows(spark):
+    rows = ['{"user_id": 3}', '{"event_type": null, "ts_ms": 5}', "{}", "[1"]
+    q = S.event_quality(S.parse_events(spark.createDataFrame([(r,) for r in rows], "value string"))).first()
+    assert q.unparsed == 2 and q.no_event_time == 3
