@@ -66,18 +66,32 @@ def scratch_root(spark: SparkSession) -> str:
     read here.  When it is unset (a laptop or a test) a local folder is made and
     registered as the checkpoint directory, so ``DataFrame.checkpoint`` works too.
     """
-    sc = spark.sparkContext
-    root = sc.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a Spark Connect session has no SparkContext
+        sc = None
+    root = sc.getCheckpointDir() if sc is not None else None
     if root is None:
         root = spark.conf.get("spark.checkpoint.dir", None)
-        if root:
+        if root and sc is not None:
             sc.setCheckpointDir(root)
     if root is None:
         root = tempfile.mkdtemp(prefix="strata-")
-        sc.setCheckpointDir(root)
+        if sc is not None:
+            sc.setCheckpointDir(root)
+        else:
+            spark.conf.set("spark.checkpoint.dir", root)
     return root.rstrip("/")
 
 
+def default_parallelism(spark: SparkSession) -> int:
+    """Task slots of the session (``defaultParallelism``; 8 if it cannot be read)."""
+    try:
+        return spark.sparkContext.defaultParallelism
+    except Exception:
+        return int(spark.conf.get("spark.default.parallelism", "8"))
+
+
 def new_scratch(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the scratch root for one run of one job."""
     return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"

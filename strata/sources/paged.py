@@ -39,6 +39,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from strata.session import default_parallelism
+
 SCHEMA = "key string, day date, page int, item string, pages_fetched int, truncated boolean"
 
 
@@ -129,7 +131,7 @@ def read_paged(spark: SparkSession, units: DataFrame, getter: str, key_col: str
     grid = [[r[0], r[1].isoformat()] for r in units.select(key_col, day_col).distinct().collect()]
     opts = {k: (json.dumps(v) if isinstance(v, (dict, list)) else str(v)) for k, v in options.items()
             if v is not None}
-    opts.setdefault("num_partitions", str(spark.sparkContext.defaultParallelism * 2))
+    opts.setdefault("num_partitions", str(default_parallelism(spark) * 2))
     return (spark.read.format("paged_json").option("units", json.dumps(sorted(grid)))
                  .option("getter", getter).options(**opts).load())
 
