@@ -90,3 +90,17 @@ def test_land_raw_lines(spark, tmp_dir):
     land_raw(df, path)
     land_raw(df, path)
     assert json_docs(spark, path, "id string", multi_line=False).count() == 2
+
+
+def test_partition_path_matches_spark_escaping(spark, tmp_dir):
+    values = ["a/b", "x:y", "50%", "q?=1", "plain-1.0", "sp ace", "ы"]
+    df = spark.createDataFrame([(v, 1) for v in values], "k string, n int")
+    base = os.path.join(tmp_dir, "esc")
+    df.write.partitionBy("k").parquet(base)
+    written = {d for d in os.listdir(base) if d.startswith("k=")}
+    expected = {partition_path("", {"k": v}).lstrip("/") for v in values}
+    assert written == expected
+    # a requested key without rows is found and cleared even when it needs escaping
+    keep = spark.createDataFrame([("plain-1.0", 2)], "k string, n int")
+    write_keys(keep, base, ["k"], requested=spark.createDataFrame([(v,) for v in values], "k string"))
+    assert {d for d in os.listdir(base) if d.startswith("k=")} == {"k=plain-1.0"}
