@@ -24,6 +24,11 @@ Options (all strings):
     max_pages     cap of pages per unit (default: no cap)
     retries       tries per page (default 3); backoff  first pause in seconds (default 0.5)
     num_partitions  Spark partitions to spread the units over (default: one per unit)
+
+Predicates: with ``spark.sql.python.filterPushdown.enabled`` on, ``where`` filters on
+``key`` (=, IN) and ``day`` (=, IN, <, <=, >, >=) prune units before any page is
+fetched — the Spark form of the remote predicates.  The filters are still handed
+back to Spark, so results are exact either way.
 """
 
 from __future__ import annotations
@@ -37,7 +42,9 @@ from collections.abc import Iterator, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.datasource import (DataSource, DataSourceReader, EqualTo, GreaterThan,
+                                    GreaterThanOrEqual, In, InputPartition, LessThan,
+                                    LessThanOrEqual)
 
 from strata.session import default_parallelism
 
@@ -104,6 +111,33 @@ class _PagedReader(DataSourceReader):
             yield (key, d, None, None, fetched, truncated)
 
 
+_DAY_TESTS = {
+    EqualTo: lambda d, v: d == v,
+    GreaterThan: lambda d, v: d > v,
+    GreaterThanOrEqual: lambda d, v: d >= v,
+    LessThan: lambda d, v: d < v,
+    LessThanOrEqual: lambda d, v: d <= v,
+}
+
+
+class _PushdownPagedReader(_PagedReader):
+    """The reader with unit pruning by ``key`` / ``day`` predicates."""
+
+    def pushFilters(self, filters):
+        for f in filters:
+            column = f.attribute[0] if getattr(f, "attribute", None) else None
+            if column == "key" and isinstance(f, (EqualTo, In)):
+                allowed = {f.value} if isinstance(f, EqualTo) else set(f.value)
+                self.units = [u for u in self.units if u[0] in allowed]
+            elif column == "day" and isinstance(f, In):
+                allowed = set(f.value)
+                self.units = [u for u in self.units if _dt.date.fromisoformat(u[1]) in allowed]
+            elif column == "day" and type(f) in _DAY_TESTS:
+                test = _DAY_TESTS[type(f)]
+                self.units = [u for u in self.units if test(_dt.date.fromisoformat(u[1]), f.value)]
+            yield f  # Spark re-checks every filter; pruning only saves fetches
+
+
 class PagedJsonSource(DataSource):
     @classmethod
     def name(cls) -> str:
@@ -113,6 +147,8 @@ class PagedJsonSource(DataSource):
         return SCHEMA
 
     def reader(self, schema) -> DataSourceReader:
+        if self.options.get("pushdown", "false").lower() == "true":
+            return _PushdownPagedReader(self.options)
         return _PagedReader(self.options)
 
 
@@ -132,6 +168,7 @@ def read_paged(spark: SparkSession, units: DataFrame, getter: str, key_col: str
     opts = {k: (json.dumps(v) if isinstance(v, (dict, list)) else str(v)) for k, v in options.items()
             if v is not None}
     opts.setdefault("num_partitions", str(default_parallelism(spark) * 2))
+    opts.setdefault("pushdown", spark.conf.get("spark.sql.python.filterPushdown.enabled", "false"))
     return (spark.read.format("paged_json").option("units", json.dumps(sorted(grid)))
                  .option("getter", getter).options(**opts).load())
 

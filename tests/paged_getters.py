@@ -14,3 +14,12 @@ def flaky_pages(key, day, page, params):
         raise ConnectionError("transient")
     path = os.path.join(params["root"], key, day, f"{page}.json")
     return json.load(open(path)) if os.path.exists(path) else []
+
+
+def counting_pages(key, day, page, params):
+    """Serves files like file_pages and leaves one marker file per call."""
+    marker = os.path.join(params["root"], "calls", f"{key}-{day}-{page}")
+    os.makedirs(os.path.dirname(marker), exist_ok=True)
+    open(marker, "w").close()
+    path = os.path.join(params["root"], key, day, f"{page}.json")
+    return json.load(open(path)) if os.path.exists(path) else []

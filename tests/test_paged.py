@@ -73,3 +73,20 @@ def test_getter_retries(spark, tmp_dir):
                           key_col="role_id", params={"root": root, "fail": 5}, retries=2, backoff=0.01)
     with pytest.raises(Exception):
         df.collect()
+
+
+def test_where_prunes_units_before_fetching(spark, page_root):
+    from pyspark.sql import functions as F
+    spark.sparkContext.addPyFile(os.path.join(os.path.dirname(__file__), "paged_getters.py"))
+    days = [date(2026, 6, 1), date(2026, 6, 2)]
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+    try:
+        df = paged.read_paged(spark, _grid(spark, ["1", "2", "3"], days), "paged_getters:counting_pages",
+                              key_col="role_id", params={"root": page_root})
+        got = df.where((F.col("key") == "2") & (F.col("day") >= F.lit(date(2026, 6, 1)))
+                       & (F.col("day") < F.lit(date(2026, 6, 2))))
+        assert paged.items_of(got).count() == 6
+    finally:
+        spark.conf.set("spark.sql.python.filterPushdown.enabled", "false")
+    calls = os.listdir(os.path.join(page_root, "calls"))
+    assert calls and all(c.startswith("2-2026-06-01-") for c in calls)
