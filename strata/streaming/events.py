@@ -118,6 +118,30 @@ def kafka_stream(spark: SparkSession, **kwargs) -> DataFrame:
     return spark.readStream.format("kafka").options(**kafka_options(**kwargs)).load()
 
 
+def read_topic(spark: SparkSession, bootstrap: str, topic: str, from_beginning: bool = True) -> DataFrame:
+    """Bounded read of a topic as a batch (offsets from earliest/latest to the end
+    at planning time): the drain-and-stop form of consuming."""
+    opts = kafka_options(bootstrap, topic, from_beginning=from_beginning)
+    opts["endingOffsets"] = "latest"
+    return spark.read.format("kafka").options(**opts).load()
+
+
+def kafka_write_options(bootstrap: str, topic: str) -> dict[str, str]:
+    """Producer settings of the event topic: wait for all replicas, batch for 20 ms (fixed values)."""
+    return {
+        "kafka.bootstrap.servers": bootstrap,
+        "topic": topic,
+        "kafka.acks": "all",
+        "kafka.linger.ms": "20",
+    }
+
+
+def write_to_kafka(df: DataFrame, bootstrap: str, topic: str, key_col: str | None = None) -> None:
+    """Publish rows as JSON records (see :func:`to_kafka_rows`)."""
+    (to_kafka_rows(df, key_col).write.format("kafka")
+        .options(**kafka_write_options(bootstrap, topic)).save())
+
+
 def start_metrics_stream(source: DataFrame, sink: str, checkpoint: str,
                          trigger: str | None = CHECKPOINT_EVERY, available_now: bool = False,
                          query_name: str | None = None, method: str = "direct") -> StreamingQuery:

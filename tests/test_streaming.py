@@ -84,6 +84,8 @@ def test_kafka_rows_and_options(spark):
     opts = S.kafka_options("broker:9092", "events", "g1")
     assert opts["startingOffsets"] == "latest" and opts["subscribe"] == "events"
     assert S.kafka_options("b", "t", from_beginning=True)["startingOffsets"] == "earliest"
+    w = S.kafka_write_options("broker:9092", "events")
+    assert (w["kafka.acks"], w["kafka.linger.ms"], w["topic"]) == ("all", "20", "events")
 
 
 def _write(path, lines):
