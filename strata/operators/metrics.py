@@ -28,8 +28,9 @@ def dedupe_windows(df: DataFrame, keys: Sequence[str] = WINDOW_KEY) -> DataFrame
 
     A rerun or a replayed sink file can repeat a window.  The survivor is defined by
     a total order, so the result does not depend on file or partition order.  It is
-    a hash aggregate of ``max(struct(...))``: partial aggregation runs before the
-    shuffle, so a hot key is combined map-side instead of sorted in one task.
+    an aggregate of ``max(struct(...))`` with a partial step before the shuffle, so
+    repeats of a hot key are combined map-side (Spark runs it sort-based, as struct
+    buffers are not hash-aggregatable); no window function, no per-key sort of all rows.
     """
     metrics = [c for c in ("cnt", "total", "avg_value") if c not in keys]
     best = (df.groupBy(*keys)
@@ -65,14 +66,17 @@ def pivot_metric(df: DataFrame, metric: str, how: str, values: Sequence[str] | N
                  index: str = "window_end", key_col: str = "event_type") -> DataFrame:
     """Wide table: one row per ``index``, one column per key value, ``how`` of ``metric``.
 
-    Pass ``values`` whenever they are known: it fixes the schema and saves the
-    distinct pass Spark otherwise runs to discover the columns.  Missing
-    combinations are null.
+    With ``values`` given, each column is a conditional aggregate
+    (``sum(cnt) FILTER (WHERE event_type = v)``): one hash aggregate with a
+    map-side combine, one shuffle on ``index``, and a fixed schema.  Without them
+    Spark's ``pivot`` first runs a distinct job to discover the columns.  Missing
+    combinations are null either way.
     """
     agg = {"sum": F.sum, "mean": F.avg, "avg": F.avg, "max": F.max, "min": F.min}[how]
-    grouped = df.groupBy(index)
-    pivoted = grouped.pivot(key_col, list(values) if values is not None else None)
-    return pivoted.agg(agg(metric)).orderBy(index)
+    if values is None:
+        return df.groupBy(index).pivot(key_col).agg(agg(metric)).orderBy(index)
+    cells = [agg(F.when(F.col(key_col) == F.lit(v), F.col(metric))).alias(str(v)) for v in values]
+    return df.groupBy(index).agg(*cells).orderBy(index)
 
 
 def totals(df: DataFrame, key_col: str = "event_type", digits: int = 2) -> DataFrame:
