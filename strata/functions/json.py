@@ -31,6 +31,16 @@ def json_value(v: Column | str, path: str, type_: str) -> Column:
     return F.try_variant_get(_c(v), path, type_)
 
 
+def json_doc(v: Column | str, path: str) -> Column:
+    """Sub-document at ``path`` as VARIANT (null when missing)."""
+    return F.try_variant_get(_c(v), path, "variant")
+
+
+def json_length(v: Column | str, path: str = "$") -> Column:
+    """Number of elements of the array at ``path``; null when it is not an array."""
+    return F.array_size(json_items(v, path))
+
+
 def json_items(v: Column | str, path: str = "$") -> Column:
     """Array at ``path`` as ``array<variant>``; null when the value is not an array."""
     return F.try_variant_get(_c(v), path, "array<variant>")

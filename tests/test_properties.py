@@ -4,7 +4,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from strata.functions.json import is_json_array, json_kind, json_string
+from strata.functions.json import is_json_array, json_doc, json_kind, json_length, json_string
 from strata.operators.windows import hop_metrics
 
 T0 = datetime(2024, 1, 1)
@@ -38,3 +38,11 @@ def test_json_helpers(spark):
     r = obj.select(json_string("v", "$.id").alias("id"), json_string("v", "$.n").alias("n"),
                    json_string("v", "$.missing").alias("m")).first()
     assert (r.id, r.n, r.m) == ("7", None, None)
+
+
+def test_json_doc_and_length(spark):
+    df = spark.createDataFrame([('{"areas": [{"id": 1}, {"id": 2}], "x": {"y": "z"}}',), ('{"areas": "no"}',)],
+                               "t string").select(F.parse_json("t").alias("v"))
+    rows = df.select(json_length("v", "$.areas").alias("n"),
+                     json_string(json_doc("v", "$.x"), "$.y").alias("y")).collect()
+    assert [(r.n, r.y) for r in rows] == [(2, "z"), (None, None)]
