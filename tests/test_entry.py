@@ -55,3 +55,9 @@ def test_query_matches_oracle(spark, duck, name):
     assert len(rows) == len(orows)
     assert _key(rows, cols) == _key(orows, ocols)
     assert not any(isinstance(v, float) and math.isnan(v) for r in rows for v in r)
+
+
+def test_public_api():
+    import strata
+    for name in ("hop_metrics", "flatten_tree", "write_keys", "read_paged", "load_metrics", "rolling_metrics"):
+        assert callable(getattr(strata, name))
