@@ -33,8 +33,8 @@ def test_vacancies_flatten(spark, tmp_dir):
 
 
 def test_layout_paths():
-    assert raw_dir("/lake", "cbr", "rates", date(2026, 6, 12)) == "/lake/raw/cbr/rates/dt=2026-06-12"
-    assert processed_dir("/lake", "cbr", "2026-06-12") == "/lake/processed/cbr/dt=2026-06-12"
+    assert raw_dir("/lake", "bank", "rates", date(2026, 6, 12)) == "/lake/raw/bank/rates/dt=2026-06-12"
+    assert processed_dir("/lake", "rates", "2026-06-12") == "/lake/processed/rates/dt=2026-06-12"
     assert partition_path("/b", {"dt": "2026-06-12", "role_id": "a/b"}) == "/b/dt=2026-06-12/role_id=a%2Fb"
 
 
