@@ -30,4 +30,6 @@ def rates(docs: DataFrame, order: bool = True) -> DataFrame:
         F.col("_v.Value").cast("double").alias("rate"),
         F.col("_v.Nominal").cast("int").alias("nominal"),
     )
-    return out.orderBy("currency") if order else out
+    # Ordered by currency; the tie-breakers make the order total, which also lets the
+    # range partitioner split a currency that holds much of the data over tasks.
+    return out.orderBy("currency", "date", "name", "rate", "nominal") if order else out
