@@ -7,7 +7,9 @@ flat SQL over the same tables is the oracle of each flatten query.
 Every nested list is bounded, whatever the data's skew: line items are nested in
 chunks of at most ``CHUNK`` per list (by their rank within the order), and lists
 of orders are paged at most ``PAGE`` orders per document (by order key).  A hot
-order therefore never becomes one giant array in one task.
+order therefore never becomes one giant array.  The rank itself is a window over
+the order: the rows of a hot order are sorted (and spill) in one task, never
+collected; that exact rank is what lets the DuckDB oracle rebuild the same chunks.
 """
 
 from __future__ import annotations
