@@ -27,8 +27,11 @@ Options (all strings):
 
 Predicates: with ``spark.sql.python.filterPushdown.enabled`` on, ``where`` filters on
 ``key`` (=, IN) and ``day`` (=, IN, <, <=, >, >=) prune units before any page is
-fetched — the Spark form of the remote predicates.  The filters are still handed
-back to Spark, so results are exact either way.
+fetched — the Spark form of the remote predicates (lazy reads, ``parallel_pages=False``).
+The filters are still handed back to Spark, so results are exact either way.
+
+Hot units: ``read_paged(parallel_pages=True)`` (the default) fetches page 0 of every
+unit first and then spreads all further pages over the tasks, one fetch each.
 """
 
 from __future__ import annotations
@@ -46,13 +49,20 @@ from pyspark.sql.datasource import (DataSource, DataSourceReader, EqualTo, Great
                                     GreaterThanOrEqual, In, InputPartition, LessThan,
                                     LessThanOrEqual)
 
-from strata.session import default_parallelism
+from strata.session import default_parallelism, scratch_root
 
-SCHEMA = "key string, day date, page int, item string, pages_fetched int, truncated boolean"
+SCHEMA = ("key string, day date, page int, item string, "
+          "pages_fetched int, truncated boolean, pages_total int")
 
 
 class _Units(InputPartition):
-    def __init__(self, units: list[tuple[str, str]]):
+    """Work items of one task: ``[key, day, first_page, mode, fetched_before]``.
+
+    mode ``all``: loop pages from ``first_page`` (items, then one report row);
+    mode ``one``: fetch exactly ``first_page`` (items only).
+    """
+
+    def __init__(self, units: list[list]):
         super().__init__(units)
         self.units = units
 
@@ -64,12 +74,12 @@ def _resolve(path: str):
 
 class _PagedReader(DataSourceReader):
     def __init__(self, options: dict[str, str]):
-        self.units = [tuple(u) for u in json.loads(options.get("units", "[]"))]
+        self.start_page = int(options.get("start_page", "0"))
+        self.units = [_work_item(u, self.start_page) for u in json.loads(options.get("units", "[]"))]
         self.getter = options["getter"]
         self.params = json.loads(options.get("params", "{}"))
         self.items_key = options.get("items_key", "items")
         self.pages_key = options.get("pages_key", "pages")
-        self.start_page = int(options.get("start_page", "0"))
         self.max_pages = int(options["max_pages"]) if options.get("max_pages") else None
         self.retries = int(options.get("retries", "3"))
         self.backoff = float(options.get("backoff", "0.5"))
@@ -88,27 +98,41 @@ class _PagedReader(DataSourceReader):
                     raise
                 time.sleep(self.backoff * (2 ** attempt))
 
+    def _split(self, payload):
+        if isinstance(payload, dict):
+            total = payload.get(self.pages_key)
+            return payload.get(self.items_key) or [], None if total is None else int(total)
+        return payload or [], None
+
     def read(self, partition: _Units) -> Iterator[tuple]:
         get = _resolve(self.getter)
-        for key, day in partition.units:
+        for key, day, first, mode, fetched in partition.units:
             d = _dt.date.fromisoformat(day)
-            page, fetched, truncated = self.start_page, 0, False
+            if mode == "one":
+                items, _ = self._split(self._fetch(get, key, day, first))
+                for item in items:
+                    yield (key, d, first, json.dumps(item, ensure_ascii=False), None, None, None)
+                continue
+            page, truncated, total = first, False, None
             while True:
-                payload = self._fetch(get, key, day, page)
+                items, total = self._split(self._fetch(get, key, day, page))
                 fetched += 1
-                items = payload.get(self.items_key, []) if isinstance(payload, dict) else payload
                 if not items:
                     break
                 for item in items:
-                    yield (key, d, page, json.dumps(item, ensure_ascii=False), None, None)
-                total = payload.get(self.pages_key) if isinstance(payload, dict) else None
-                if total is not None and page >= self.start_page + int(total) - 1:
+                    yield (key, d, page, json.dumps(item, ensure_ascii=False), None, None, None)
+                if total is not None and page >= self.start_page + total - 1:
                     break  # that was the last page
                 if self.max_pages is not None and fetched >= self.max_pages:
                     truncated = True  # the cap stopped the loop with pages left (or unknown)
                     break
                 page += 1
-            yield (key, d, None, None, fetched, truncated)
+            yield (key, d, None, None, fetched, truncated, total)
+
+
+def _work_item(unit, start_page: int) -> list:
+    """``[key, day]`` (a whole unit) or an explicit ``[key, day, page, mode, fetched]``."""
+    return list(unit) if len(unit) == 5 else [unit[0], unit[1], start_page, "all", 0]
 
 
 _DAY_TESTS = {
@@ -157,28 +181,78 @@ def register(spark: SparkSession) -> None:
 
 
 def read_paged(spark: SparkSession, units: DataFrame, getter: str, key_col: str = "key",
-               day_col: str = "dt", **options) -> DataFrame:
+               day_col: str = "dt", parallel_pages: bool = True, **options) -> DataFrame:
     """Read the units of a work grid (a DataFrame of key and day) through ``getter``.
 
     The grid is a job parameter (keys × days), small by nature; it is collected to
     build the partitions.  Returns item rows and one report row per unit.
+
+    ``parallel_pages``: page 0 of every unit is fetched first (and checkpointed, so
+    it is fetched once); it tells how many pages each unit has, and all further
+    pages are then spread over the tasks one fetch each, so a unit with very many
+    pages is not read by one task page after page.  Units whose payloads carry no
+    page count continue page by page.  The page-0 probe runs when this function is
+    called, so filter the grid (not the result) to choose units; with
+    ``parallel_pages=False`` the read stays lazy and ``where`` on key/day prunes
+    units through predicate pushdown.
     """
     register(spark)
-    grid = [[r[0], r[1].isoformat()] for r in units.select(key_col, day_col).distinct().collect()]
+    grid = sorted([r[0], r[1].isoformat()] for r in units.select(key_col, day_col).distinct().collect())
     opts = {k: (json.dumps(v) if isinstance(v, (dict, list)) else str(v)) for k, v in options.items()
             if v is not None}
     opts.setdefault("num_partitions", str(default_parallelism(spark) * 2))
     opts.setdefault("pushdown", spark.conf.get("spark.sql.python.filterPushdown.enabled", "false"))
-    return (spark.read.format("paged_json").option("units", json.dumps(sorted(grid)))
-                 .option("getter", getter).options(**opts).load())
-
 
-def items_of(df: DataFrame) -> DataFrame:
-    return df.where(F.col("item").isNotNull()).select("key", "day", "page", "item")
+    def load(work, **extra):
+        return (spark.read.format("paged_json").option("units", json.dumps(work))
+                     .option("getter", getter).options(**{**opts, **extra}).load())
+
+    if not parallel_pages:
+        return load(grid)
+    scratch_root(spark)
+    cap = int(opts["max_pages"]) if "max_pages" in opts else None
+    start = int(opts.get("start_page", "0"))
+    first = load(grid, max_pages="1").checkpoint(eager=True)
+    more = [r for r in fetch_report(first).where(F.col("truncated")).collect()]
+    ones, rest, reports = [], [], []
+    for r in more:
+        key, day = r["key"], r["day"].isoformat()
+        if r["pages_total"] is None:  # no page count: continue page by page
+            if cap is not None and cap <= 1:  # the probe used the whole cap
+                reports.append((key, r["day"], None, None, 1, True, None))
+            else:
+                rest.append([key, day, start + 1, "all", 1])
+            continue
+        last = r["pages_total"] if cap is None else min(r["pages_total"], cap)
+        ones += [[key, day, start + n, "one", 0] for n in range(1, last)]
+        reports.append((key, r["day"], None, None, last, cap is not None and r["pages_total"] > cap,
+                        r["pages_total"]))
+    done_reports = fetch_report(first).where(~F.col("truncated") | F.col("truncated").isNull())
+    parts = [items_of(first, full=True), _as_rows(done_reports)]
+    if ones or rest:
+        parts.append(load(ones + rest))
+    if reports:
+        parts.append(spark.createDataFrame(reports, SCHEMA))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def _as_rows(report: DataFrame) -> DataFrame:
+    return report.select("key", "day", F.lit(None).cast("int").alias("page"),
+                         F.lit(None).cast("string").alias("item"), "pages_fetched", "truncated", "pages_total")
+
+
+def items_of(df: DataFrame, full: bool = False) -> DataFrame:
+    """The item rows (``full`` keeps every column, for unions with report rows)."""
+    rows = df.where(F.col("item").isNotNull())
+    return rows if full else rows.select("key", "day", "page", "item")
 
 
 def fetch_report(df: DataFrame) -> DataFrame:
-    return df.where(F.col("item").isNull()).select("key", "day", "pages_fetched", "truncated")
+    """One row per unit: pages fetched, whether a cap left pages unread, page count."""
+    return df.where(F.col("item").isNull()).select("key", "day", "pages_fetched", "truncated", "pages_total")
 
 
 # ── page getters ────────────────────────────────────────────────────────────
