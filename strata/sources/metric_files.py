@@ -47,7 +47,11 @@ def load_metrics(spark: SparkSession, root: str, dedupe: bool = True,
                  sink_log: bool = False) -> DataFrame:
     """Clean metric table: window_start, window_end, event_type, cnt, total, avg_value."""
     lines = metric_lines(spark, root, sink_log)
-    good = lines.where(F.col(CORRUPT).isNull())
+    # The tautology on window_end keeps a data column in the scan, so the lines are
+    # parsed even when only a count is asked: Spark rejects JSON scans that would
+    # need the corrupt-record column alone.
+    parsed = F.col("window_end").isNull() | F.col("window_end").isNotNull()
+    good = lines.where(F.col(CORRUPT).isNull() & parsed)
     typed = good.select(_parse_time("window_start").alias("window_start"),
                         _parse_time("window_end").alias("window_end"),
                         "event_type", "cnt", "total", "avg_value")
