@@ -62,6 +62,8 @@ def ndjson(spark: SparkSession, path: str, schema: StructType | str,
     lines) and ``_file`` (the source file), so callers can drop and count bad lines
     instead of losing them silently.  ``path_filter`` is a glob on file names;
     ``base_path`` keeps partition columns when ``path`` is a glob below it.
+    A query must use a data column besides ``_corrupt_record`` (Spark rejects scans
+    of raw JSON that need the corrupt-record column alone).
     """
     s = _schema(schema).add(CORRUPT, "string")
     reader = spark.read.schema(s).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)

@@ -157,3 +157,10 @@ def test_explode_entries_map_and_pluck(spark):
 def test_parse_docs_array(spark):
     df = spark.createDataFrame([('[{"id": "1"}, {"id": "2"}]',), ("[]",)], "doc string")
     assert [r.id for r in parse_docs(df, "doc", "id string", array=True).collect()] == ["1", "2"]
+
+
+def test_tree_keep_columns(spark):
+    docs = spark.createDataFrame([("d1", json.dumps(TREE[:1])), ("d2", "[]"), ("d3", None)], "doc_id string, t string")
+    out = flatten_tree(docs, "t", catalog.AREA_FIELDS, keep=["doc_id"])
+    rows = sorted((r.doc_id, r.area_id) for r in out.collect())
+    assert rows == [("d1", "1"), ("d1", "2"), ("d1", "3"), ("d1", "4")]
