@@ -75,13 +75,16 @@ def run_metrics_stream(spark: SparkSession, source: DataFrame, root: str, availa
 
 
 def dashboard_frames(spark: SparkSession, sink: str, hours: int = 4, rows: int = 100,
-                     event_types: Sequence[str] | None = None, sink_log: bool = True) -> dict[str, DataFrame]:
+                     event_types: Sequence[str] | None = None, sink_log: bool = True,
+                     by_day: bool = False, since: date | None = None) -> dict[str, DataFrame]:
     """The read side: load the metric files, keep the last ``hours``, and derive the
     KPI row, both pivots, the totals and the latest windows (all DataFrames).
 
     ``sink_log`` reads through the stream sink's commit log (only committed files);
-    set it to False for folders written by other writers."""
-    df = M.recent(load_metrics(spark, sink, sink_log=sink_log), hours)
+    set it to False for folders written by other writers.  With a ``by_day`` sink,
+    ``since`` (a day at or before the data's latest minus ``hours``) limits the
+    read to recent day folders."""
+    df = M.recent(load_metrics(spark, sink, sink_log=sink_log, by_day=by_day, since=since), hours)
     return {
         "kpis": M.kpis(df),
         "counts": M.pivot_metric(df, "cnt", "sum", event_types),

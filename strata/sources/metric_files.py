@@ -15,6 +15,8 @@ the ``event_type`` field (it is the partition value).  Rules:
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,22 +33,31 @@ def _parse_time(col: str):
     return F.try_to_timestamp(F.col(col), F.lit(TIME_FORMAT)).cast("timestamp_ntz")
 
 
-def metric_lines(spark: SparkSession, root: str, sink_log: bool = False) -> DataFrame:
+def metric_lines(spark: SparkSession, root: str, sink_log: bool = False, by_day: bool = False,
+                 since: date | None = None) -> DataFrame:
     """Every finished line under ``root`` with its parse status (``_corrupt_record``).
 
     ``sink_log=True`` reads ``root`` itself, so for the output folder of a Spark
     file sink the commit log ``_spark_metadata`` decides which files exist.
+    ``by_day`` reads the ``dt=<day>/event_type=<t>/`` layout; with ``since`` only the
+    folders of that day and later are listed and read (partition pruning).
     """
     root = root.rstrip("/")
-    path = root if sink_log else f"{root}/event_type=*"
-    lines = ndjson(spark, path, RAW_SCHEMA, base_path=None if sink_log else root)
+    levels = "dt=*/event_type=*" if by_day else "event_type=*"
+    path = root if sink_log else f"{root}/{levels}"
+    schema = RAW_SCHEMA + (", dt date" if by_day else "")
+    lines = ndjson(spark, path, schema, base_path=None if sink_log else root)
+    if since is not None:
+        if not by_day:
+            raise ValueError("since needs the by_day layout")
+        lines = lines.where(F.col("dt") >= F.lit(since))
     return lines.where(~F.col("_file").contains(UNFINISHED))
 
 
 def load_metrics(spark: SparkSession, root: str, dedupe: bool = True,
-                 sink_log: bool = False) -> DataFrame:
+                 sink_log: bool = False, by_day: bool = False, since: date | None = None) -> DataFrame:
     """Clean metric table: window_start, window_end, event_type, cnt, total, avg_value."""
-    lines = metric_lines(spark, root, sink_log)
+    lines = metric_lines(spark, root, sink_log, by_day, since)
     # The tautology on window_end keeps a data column in the scan, so the lines are
     # parsed even when only a count is asked: Spark rejects JSON scans that would
     # need the corrupt-record column alone.

@@ -81,10 +81,18 @@ def _sink_options() -> dict[str, str]:
     return {"timestampNTZFormat": SINK_TIME_FORMAT, "ignoreNullFields": "false"}
 
 
-def write_metric_files(metrics: DataFrame, path: str) -> None:
+def _layout(metrics: DataFrame, by_day: bool) -> tuple[DataFrame, list[str]]:
+    """Sink layout: ``event_type=<t>/`` (as the reference), or ``dt=<day>/event_type=<t>/``
+    with ``by_day`` so readers of recent windows prune old days by folder."""
+    if by_day:
+        return metrics.withColumn("dt", F.to_date("window_start")), ["dt", "event_type"]
+    return metrics, ["event_type"]
+
+
+def write_metric_files(metrics: DataFrame, path: str, by_day: bool = False) -> None:
     """Batch writer with the stream sink's layout (JSON, partitioned by event type)."""
-    (metrics.write.mode("overwrite").options(**_sink_options())
-            .partitionBy("event_type").json(path))
+    df, keys = _layout(metrics, by_day)
+    df.write.mode("overwrite").options(**_sink_options()).partitionBy(*keys).json(path)
 
 
 def text_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
@@ -144,19 +152,21 @@ def write_to_kafka(df: DataFrame, bootstrap: str, topic: str, key_col: str | Non
 
 def start_metrics_stream(source: DataFrame, sink: str, checkpoint: str,
                          trigger: str | None = CHECKPOINT_EVERY, available_now: bool = False,
-                         query_name: str | None = None, method: str = "direct") -> StreamingQuery:
+                         query_name: str | None = None, method: str = "direct",
+                         by_day: bool = False) -> StreamingQuery:
     """Start the streaming job: ``source`` (a text stream) → metrics → JSON sink.
 
     Append mode writes each window once, after the watermark passes its end.  The
     file sink commits every micro-batch to ``<sink>/_spark_metadata``; Spark
     readers of ``sink`` see only committed files (exactly-once with the checkpoint).
-    ``available_now`` drains what is there and stops (a bounded run).
+    ``available_now`` drains what is there and stops (a bounded run).  ``by_day``
+    adds a ``dt`` folder level above ``event_type`` (see :func:`_layout`).
     """
-    metrics = rolling_metrics(parse_events(source), method=method)
+    metrics, keys = _layout(rolling_metrics(parse_events(source), method=method), by_day)
     writer = (metrics.writeStream.format("json").outputMode("append")
                      .options(**_sink_options())
                      .option("checkpointLocation", checkpoint)
-                     .partitionBy("event_type"))
+                     .partitionBy(*keys))
     if query_name:
         writer = writer.queryName(query_name)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=trigger)

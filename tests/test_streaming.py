@@ -193,3 +193,25 @@ def test_stream_restart_from_checkpoint_is_exactly_once(spark, tmp_dir):
     assert q.awaitTermination(300)
     once = load_metrics(spark, sink2, sink_log=True, dedupe=False)
     assert sorted(map(tuple, both.collect())) == sorted(map(tuple, once.collect()))
+
+
+def test_day_partitioned_metrics_prune_old_days(spark, tmp_dir):
+    import io
+    import contextlib
+    from datetime import date as _date
+    from pyspark.sql import functions as F
+    from strata.operators.windows import hop_metrics
+    ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    m = hop_metrics(ev, "ts", "event_type", "value")
+    root = os.path.join(tmp_dir, "by_day")
+    S.write_metric_files(m, root, by_day=True)
+    since = _date(2024, 1, 20)
+    got = load_metrics(spark, root, by_day=True, since=since)
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        got.explain("formatted")
+    assert "PartitionFilters: [isnotnull(dt" in buf.getvalue()
+    whole = load_metrics(spark, root, by_day=True)
+    expected = whole.where(F.to_date("window_start") >= F.lit(since))
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, expected.collect()))
+    assert got.count() < whole.count()
