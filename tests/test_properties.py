@@ -46,3 +46,54 @@ def test_json_doc_and_length(spark):
     rows = df.select(json_length("v", "$.areas").alias("n"),
                      json_string(json_doc("v", "$.x"), "$.y").alias("y")).collect()
     assert [(r.n, r.y) for r in rows] == [(2, "z"), (None, None)]
+
+
+# ── flatten_tree against a brute-force walk ───────────────────────────────────
+
+import json  # noqa: E402
+
+from strata.operators.flatten import flatten_tree  # noqa: E402
+from strata.plans.catalog import AREA_FIELDS  # noqa: E402
+
+_leaf_value = st.one_of(st.none(), st.integers(-90, 90), st.floats(-90, 90, allow_nan=False, width=32),
+                        st.sampled_from(["12.5", "bad", ""]))
+
+
+def _node(children):
+    return st.fixed_dictionaries(
+        {"id": st.text("abc123", min_size=1, max_size=4), "name": st.text("xyz", max_size=3)},
+        optional={"parent_id": st.text("abc", max_size=2), "lat": _leaf_value, "lng": _leaf_value,
+                  "areas": st.one_of(children, st.just([]), st.just("not a list"), st.none())})
+
+
+trees = st.lists(st.recursive(_node(st.just([])), lambda inner: _node(st.lists(inner, max_size=3)),
+                              max_leaves=8), max_size=3)
+
+
+def _walk(nodes):
+    out = []
+    for n in nodes:
+        def num(v):
+            if isinstance(v, bool) or v is None:
+                return None
+            try:
+                return float(v)
+            except ValueError:
+                return None
+        out.append((n["id"], n.get("parent_id"), n["name"], num(n.get("lat")), num(n.get("lng"))))
+        kids = n.get("areas")
+        if isinstance(kids, list):
+            out += _walk(kids)
+    return out
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(docs=st.lists(trees, min_size=1, max_size=3))
+def test_flatten_tree_matches_recursive_walk(spark, docs):
+    df = spark.createDataFrame([(json.dumps(d),) for d in docs], "doc string")
+    got = sorted(((r.area_id, r.parent_id, r.name, None if r.lat is None else round(r.lat, 3),
+                   None if r.lng is None else round(r.lng, 3))
+                 for r in flatten_tree(df, "doc", AREA_FIELDS, checkpoint=False).collect()), key=repr)
+    want = sorted(((a, p, n, None if la is None else round(la, 3), None if lo is None else round(lo, 3))
+                   for d in docs for a, p, n, la, lo in _walk(d)), key=repr)
+    assert got == want
