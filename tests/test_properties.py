@@ -97,3 +97,25 @@ def test_flatten_tree_matches_recursive_walk(spark, docs):
     want = sorted(((a, p, n, None if la is None else round(la, 3), None if lo is None else round(lo, 3))
                    for d in docs for a, p, n, la, lo in _walk(d)), key=repr)
     assert got == want
+
+
+# ── explode_bundle against a brute-force flatten ──────────────────────────────
+
+from strata.operators.flatten import explode_bundle  # noqa: E402
+from strata.plans.catalog import BUNDLE_FIELDS  # noqa: E402
+
+_item = st.fixed_dictionaries({}, optional={"id": st.one_of(st.text("ab1", max_size=3), st.integers(0, 9)),
+                                            "name": st.text("xy", max_size=3), "code": st.just("c")})
+_entry = st.one_of(st.lists(_item, max_size=3), st.none(), st.integers(), st.text("[]x", max_size=4),
+                   st.fixed_dictionaries({"id": st.just("o")}))
+bundles_st = st.dictionaries(st.text("klmn", min_size=1, max_size=3), _entry, max_size=5)
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(docs=st.lists(bundles_st, min_size=1, max_size=3))
+def test_bundle_matches_brute_force(spark, docs):
+    df = spark.createDataFrame([(json.dumps(d),) for d in docs], "doc string")
+    got = sorted(((r.dict_name, r.id, r.name) for r in explode_bundle(df, "doc", BUNDLE_FIELDS).collect()), key=repr)
+    want = sorted(((k, None if it.get("id") is None else str(it["id"]), it.get("name"))
+                   for d in docs for k, v in d.items() if isinstance(v, list) for it in v), key=repr)
+    assert got == want
