@@ -23,6 +23,7 @@ from strata.session import CLUSTER_CONF, build_session, new_scratch, object_stor
 from strata.sinks.layout import partition_path, processed_dir, processed_root, raw_dir
 from strata.sinks.writers import land_raw, write_keys, write_partition
 from strata.sources.documents import json_docs, ndjson, parse_docs, whole_text
+from strata.sources.files import list_files, path_value
 from strata.sources.metric_files import line_quality, load_metrics
 from strata.sources.paged import fetch_report, items_of, read_paged
 from strata.streaming.events import (event_quality, parse_events, rolling_metrics, start_metrics_stream,

@@ -215,3 +215,15 @@ def test_day_partitioned_metrics_prune_old_days(spark, tmp_dir):
     expected = whole.where(F.to_date("window_start") >= F.lit(since))
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, expected.collect()))
     assert got.count() < whole.count()
+
+
+def test_list_files_and_path_value(spark, tmp_dir):
+    from strata.sources.files import list_files, path_value
+    root = os.path.join(tmp_dir, "lake")
+    for rel in ("event_type=click/part-0.json", "event_type=click/.part-1.json.inprogress.x",
+                "event_type=view/part-2.inprogress.json", "event_type=view/part-3.json", "_SUCCESS"):
+        _write(os.path.join(root, rel), ["{}"])
+    os.makedirs(os.path.join(root, "event_type=empty"))
+    files = list_files(spark, root)
+    got = sorted((os.path.basename(r.path), r.t) for r in files.select("path", path_value("path", "event_type").alias("t")).collect())
+    assert got == [("part-0.json", "click"), ("part-3.json", "view")]
