@@ -119,3 +119,46 @@ def test_bundle_matches_brute_force(spark, docs):
     want = sorted(((k, None if it.get("id") is None else str(it["id"]), it.get("name"))
                    for d in docs for k, v in d.items() if isinstance(v, list) for it in v), key=repr)
     assert got == want
+
+
+# ── read-side operators against brute force ───────────────────────────────────
+
+from strata.operators import metrics as M  # noqa: E402
+
+_metric_row = st.tuples(st.integers(0, 40), st.sampled_from(["a", "b"]), st.one_of(st.none(), st.integers(0, 3)),
+                        st.one_of(st.none(), st.integers(0, 3).map(float)), st.integers(0, 3).map(float))
+_SCHEMA = ("window_start timestamp_ntz, window_end timestamp_ntz, event_type string, "
+           "cnt bigint, total double, avg_value double")
+
+
+def _rows(raw):
+    return [(T0 + timedelta(minutes=m), T0 + timedelta(minutes=m + 1), t, c, tot, avg) for m, t, c, tot, avg in raw]
+
+
+def _key(v):  # nulls sort first, as in Spark's ascending order and struct comparison
+    return tuple((x is not None, x if x is not None else 0) for x in v)
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(raw=st.lists(_metric_row, max_size=40), hours=st.integers(0, 1), n=st.integers(1, 5))
+def test_read_side_matches_brute_force(spark, raw, hours, n):
+    rows = _rows(raw)
+    df = spark.createDataFrame(rows, _SCHEMA)
+    # dedupe: the largest (cnt, total, avg_value) per window key
+    best = {}
+    for r in rows:
+        k = r[:3]
+        if k not in best or _key(r[3:]) > _key(best[k][3:]):
+            best[k] = r
+    assert sorted(map(tuple, M.dedupe_windows(df).collect()), key=repr) == sorted(best.values(), key=repr)
+    # recent: window_end >= max(window_end) - hours
+    if rows:
+        cut = max(r[1] for r in rows) - timedelta(hours=hours)
+        want = sorted((r for r in rows if r[1] >= cut), key=repr)
+    else:
+        want = []
+    assert sorted(map(tuple, M.recent(df, hours).collect()), key=repr) == want
+    # latest: top n by (window_end desc, event_type, window_start desc) — as a multiset of rows
+    order = sorted(rows, key=lambda r: (-r[1].timestamp(), r[2], -r[0].timestamp()))
+    got = [tuple(r) for r in M.latest(df, n).collect()]
+    assert sorted([r[:3] for r in got]) == sorted([r[:3] for r in order[:n]])
