@@ -153,7 +153,7 @@ def write_to_kafka(df: DataFrame, bootstrap: str, topic: str, key_col: str | Non
 def start_metrics_stream(source: DataFrame, sink: str, checkpoint: str,
                          trigger: str | None = CHECKPOINT_EVERY, available_now: bool = False,
                          query_name: str | None = None, method: str = "direct",
-                         by_day: bool = False) -> StreamingQuery:
+                         by_day: bool = False, state_partitions: int | None = None) -> StreamingQuery:
     """Start the streaming job: ``source`` (a text stream) → metrics → JSON sink.
 
     Append mode writes each window once, after the watermark passes its end.  The
@@ -161,6 +161,12 @@ def start_metrics_stream(source: DataFrame, sink: str, checkpoint: str,
     readers of ``sink`` see only committed files (exactly-once with the checkpoint).
     ``available_now`` drains what is there and stops (a bounded run).  ``by_day``
     adds a ``dt`` folder level above ``event_type`` (see :func:`_layout`).
+
+    ``state_partitions`` sets the partitions of the windowed state for a new
+    checkpoint (later restarts keep the first value).  The key space is the windows
+    in flight × event types, so tens to hundreds are enough; the session's shuffle
+    width of a large batch cluster would make every micro-batch write that many
+    files per event type.
     """
     metrics, keys = _layout(rolling_metrics(parse_events(source), method=method), by_day)
     writer = (metrics.writeStream.format("json").outputMode("append")
@@ -170,7 +176,15 @@ def start_metrics_stream(source: DataFrame, sink: str, checkpoint: str,
     if query_name:
         writer = writer.queryName(query_name)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=trigger)
-    return writer.start(sink)
+    if state_partitions is None:
+        return writer.start(sink)
+    spark = source.sparkSession
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
+    try:  # read once, when the query starts; stored in the checkpoint
+        return writer.start(sink)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
 def to_kafka_rows(df: DataFrame, key_col: str | None = None) -> DataFrame:

@@ -227,3 +227,16 @@ def test_list_files_and_path_value(spark, tmp_dir):
     files = list_files(spark, root)
     got = sorted((os.path.basename(r.path), r.t) for r in files.select("path", path_value("path", "event_type").alias("t")).collect())
     assert got == [("part-0.json", "click"), ("part-3.json", "view")]
+
+
+def test_state_partitions_option(spark, tmp_dir):
+    ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    inbox = os.path.join(tmp_dir, "inbox")
+    S.event_lines(ev).write.text(inbox)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    q = S.start_metrics_stream(S.text_stream(spark, inbox), os.path.join(tmp_dir, "sink"),
+                               os.path.join(tmp_dir, "ckpt"), available_now=True, state_partitions=3)
+    assert q.awaitTermination(300)
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    ops = q.lastProgress["stateOperators"]
+    assert ops and ops[0]["numShufflePartitions"] == 3
