@@ -12,7 +12,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.functions.json import json_entries, json_items, json_value, to_variant
+from strata.functions.json import json_entries, json_items, json_length, json_value, to_variant
 from strata.session import scratch_root
 
 # A field spec is (json path, spark type), e.g. {"area_id": ("$.id", "string")}.
@@ -90,8 +90,8 @@ def flatten_tree(df: DataFrame, doc: str, fields: FieldSpec, children: str = "$.
     not an array are leaves.
 
     The walk is a level loop: the frontier (nodes of one depth) is materialised,
-    its fields are projected, and its children become the next frontier, until a
-    level is empty.  There is no depth cap.  With ``checkpoint`` each frontier is a
+    its fields are projected, and its children become the next frontier, until no
+    node of a level has children.  There is no depth cap.  With ``checkpoint`` each frontier is a
     reliable checkpoint in the session's checkpoint folder, so a level is computed
     once and survives executor loss, and plans stay short however deep the tree is.
 
@@ -105,19 +105,22 @@ def flatten_tree(df: DataFrame, doc: str, fields: FieldSpec, children: str = "$.
     v = to_variant(doc) if df.schema[doc].dataType.typeName() == "string" else F.col(doc)
     if checkpoint:
         scratch_root(df.sparkSession)  # make sure a (shared) checkpoint folder is set
-    frontier = df.select(*keep, F.explode(json_items(v)).alias("_node"))
+
+    def materialise(frame: DataFrame) -> DataFrame:
+        if rebalance and checkpoint:
+            frame = frame.hint("rebalance")
+        return frame.checkpoint(eager=True) if checkpoint else frame
+
+    frontier = materialise(df.select(*keep, F.explode(json_items(v)).alias("_node")))
+    if frontier.isEmpty():
+        return df.select(*keep, *_extract(F.lit(None).cast("variant"), fields)).limit(0)
     levels: list[DataFrame] = []
     while True:
-        if rebalance and checkpoint:
-            frontier = frontier.hint("rebalance")
-        if checkpoint:
-            frontier = frontier.checkpoint(eager=True)
-        if frontier.isEmpty():
-            break
         levels.append(frontier.select(*keep, *_extract(F.col("_node"), fields)))
-        frontier = frontier.select(*keep, F.explode(json_items("_node", children)).alias("_node"))
-    if not levels:
-        return df.select(*keep, *_extract(F.lit(None).cast("variant"), fields)).limit(0)
+        # Stop when no node of this level has children: no empty level is built.
+        if frontier.where(json_length("_node", children) > 0).isEmpty():
+            break
+        frontier = materialise(frontier.select(*keep, F.explode(json_items("_node", children)).alias("_node")))
     out = levels[0]
     for level in levels[1:]:
         out = out.unionAll(level)
