@@ -24,14 +24,18 @@ def days_of(df: DataFrame, time_col: str) -> list[date]:
 
 
 def day_slice(df: DataFrame, time_col: str, days: Sequence[date]) -> DataFrame:
-    """Rows with ``days[0] <= t < days[-1] + 1 day`` (half-open: no row lands in two
-    runs) and their day as ``dt``.  The bounds are literals, so a parquet scan
-    pushes them down."""
+    """Rows whose day is one of ``days`` — each day the half-open ``[d, d + 1)``, so no
+    row lands in two runs — with that day as ``dt``.  The outer bounds are literals,
+    so a parquet scan pushes them down; days between them that were not asked for
+    are filtered out, so a run never touches them."""
     lo, hi = min(days), max(days) + timedelta(days=1)
     t = F.col(time_col)
-    return (df.where((t >= F.lit(lo).cast(df.schema[time_col].dataType))
-                     & (t < F.lit(hi).cast(df.schema[time_col].dataType)))
-              .withColumn("dt", F.to_date(t)))
+    sliced = (df.where((t >= F.lit(lo).cast(df.schema[time_col].dataType))
+                       & (t < F.lit(hi).cast(df.schema[time_col].dataType)))
+                .withColumn("dt", F.to_date(t)))
+    if len(set(days)) < (hi - lo).days:  # gaps in the requested days
+        sliced = sliced.where(F.col("dt").isin(sorted(set(days))))
+    return sliced
 
 
 def work_grid(keys: DataFrame, days: Sequence[date], exclude: DataFrame | None = None) -> DataFrame:

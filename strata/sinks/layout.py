@@ -17,8 +17,10 @@ NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 
 def _text(value) -> str:
-    if value is None:
-        return NULL_PARTITION
+    if value is None or value == "":
+        return NULL_PARTITION  # Spark files empty strings under the null marker too
+    if isinstance(value, bool):
+        return "true" if value else "false"
     if isinstance(value, date):
         return value.isoformat()
     return "".join(f"%{ord(ch):02X}" if ch in _ESCAPED else ch for ch in str(value))

@@ -65,7 +65,7 @@ def ndjson(spark: SparkSession, path: str, schema: StructType | str,
     A query must use a data column besides ``_corrupt_record`` (Spark rejects scans
     of raw JSON that need the corrupt-record column alone).
     """
-    s = _schema(schema).add(CORRUPT, "string")
+    s = StructType(list(_schema(schema).fields)).add(CORRUPT, "string")  # never alter the caller's schema
     reader = spark.read.schema(s).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
     if path_filter:
         reader = reader.option("pathGlobFilter", path_filter)

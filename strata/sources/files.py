@@ -26,4 +26,4 @@ def list_files(spark: SparkSession, prefix: str, glob: str | None = None) -> Dat
 def path_value(path, key: str):
     """Value of ``key=`` in a path (``event_type=click/part-0`` → ``click``); empty when absent."""
     col = F.col(path) if isinstance(path, str) else path
-    return F.regexp_extract(col, rf"{key}=([^/]+)", 1)
+    return F.regexp_extract(col, rf"(?:^|/){key}=([^/]+)", 1)

@@ -175,7 +175,10 @@ def start_metrics_stream(source: DataFrame, sink: str, checkpoint: str,
                      .partitionBy(*keys))
     if query_name:
         writer = writer.queryName(query_name)
-    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=trigger)
+    if available_now:
+        writer = writer.trigger(availableNow=True)
+    elif trigger is not None:  # None: Spark's default (next batch as soon as one ends)
+        writer = writer.trigger(processingTime=trigger)
     if state_partitions is None:
         return writer.start(sink)
     spark = source.sparkSession

@@ -104,3 +104,36 @@ def test_partition_path_matches_spark_escaping(spark, tmp_dir):
     keep = spark.createDataFrame([("plain-1.0", 2)], "k string, n int")
     write_keys(keep, base, ["k"], requested=spark.createDataFrame([(v,) for v in values], "k string"))
     assert {d for d in os.listdir(base) if d.startswith("k=")} == {"k=plain-1.0"}
+
+
+def test_partition_path_empty_and_boolean_values(spark, tmp_dir):
+    df = spark.createDataFrame([("", True, 1), ("x", False, 2), (None, None, 3)], "s string, b boolean, n int")
+    base = os.path.join(tmp_dir, "eb")
+    df.write.partitionBy("s", "b").parquet(base)
+    written = {f"{s_dir}/{b_dir}" for s_dir in os.listdir(base) if "=" in s_dir
+               for b_dir in os.listdir(os.path.join(base, s_dir)) if "=" in b_dir}
+    expected = {partition_path("", {"s": s, "b": b}).lstrip("/") for s, b in (("", True), ("x", False), (None, None))}
+    assert written == expected
+
+
+def test_run_days_only_touches_requested_days(spark, tmp_dir):
+    rows = [(1, datetime(2024, 1, 1, 5), "a"), (2, datetime(2024, 1, 2, 5), "a"), (3, datetime(2024, 1, 3, 5), "a")]
+    ev = spark.createDataFrame(rows, "id int, ts timestamp_ntz, event_type string")
+    base = processed_root(tmp_dir, "gaps")
+    incremental.run_days(ev, base, "ts", [date(2024, 1, 1), date(2024, 1, 3)], keys=["event_type"])
+    out = incremental.read_keyed(spark, base, ev.schema, {"dt": "date", "event_type": "string"})
+    assert sorted(r.id for r in out.collect()) == [1, 3]
+    assert not os.path.exists(os.path.join(base, "dt=2024-01-02"))
+
+
+def test_ndjson_leaves_caller_schema_alone(spark, tmp_dir):
+    from pyspark.sql.types import StructType
+    from strata.sources.documents import ndjson
+    path = os.path.join(tmp_dir, "n.json")
+    with open(path, "w") as f:
+        f.write('{"a": 1}\n{bad\n')
+    schema = StructType.fromDDL("a int")
+    for _ in range(2):
+        df = ndjson(spark, path, schema)
+        assert df.where("a IS NOT NULL").count() == 1
+    assert schema.fieldNames() == ["a"]

@@ -240,3 +240,20 @@ def test_state_partitions_option(spark, tmp_dir):
     assert spark.conf.get("spark.sql.shuffle.partitions") == before
     ops = q.lastProgress["stateOperators"]
     assert ops and ops[0]["numShufflePartitions"] == 3
+
+
+def test_path_value_is_anchored_and_default_trigger(spark, tmp_dir):
+    from strata.sources.files import path_value
+    df = spark.createDataFrame([("s3://b/x/event_type=click/dt=2024-01-01/p.json",), ("audit_dt=9/dt=3/f",)], "p string")
+    got = [tuple(r) for r in df.select(path_value("p", "type"), path_value("p", "dt"), path_value("p", "event_type")).collect()]
+    assert got == [("", "2024-01-01", "click"), ("", "3", "")]
+    ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    inbox = os.path.join(tmp_dir, "inbox")
+    S.event_lines(ev).write.text(inbox)
+    q = S.start_metrics_stream(S.text_stream(spark, inbox), os.path.join(tmp_dir, "sink"),
+                               os.path.join(tmp_dir, "ckpt"), trigger=None)
+    try:
+        q.processAllAvailable()
+        assert q.isActive
+    finally:
+        q.stop()
