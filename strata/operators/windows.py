@@ -66,7 +66,10 @@ def _direct(df, time_col, key_col, value_col, size, slide):
 
 
 def _sliced(df, time_col, key_col, value_col, size, slide):
-    size_s, slide_s = interval_seconds(size), interval_seconds(slide)
+    try:
+        size_s, slide_s = interval_seconds(size), interval_seconds(slide)
+    except ValueError:  # an interval form this check does not read: use the direct plan
+        return _direct(df, time_col, key_col, value_col, size, slide)
     if size_s % slide_s:
         # Windows are not unions of whole slices: fall back to the direct plan.
         return _direct(df, time_col, key_col, value_col, size, slide)

@@ -51,18 +51,25 @@ def work_grid(keys: DataFrame, days: Sequence[date], exclude: DataFrame | None =
 
 def run_days(df: DataFrame, base: str, time_col: str, days: Sequence[date],
              keys: Sequence[str] = (), requested_keys: DataFrame | None = None,
-             transform=None, fmt: str = "parquet") -> None:
+             transform=None, fmt: str = "parquet", stage: str | None = None) -> None:
     """Load a range of days in one job, partitioned by ``dt`` and ``keys``.
 
     Idempotent per (day, key): rerunning a range replaces exactly those partitions.
     The work grid is ``requested_keys`` × days (default: the keys found in the
     source over the range); grid cells without rows are cleared.
+
+    The slice is read more than once (keys, then the write).  ``stage`` (a folder in
+    the shared scratch area) writes it once as parquet first, so a costly or
+    non-deterministic ``transform`` runs once and every step sees the same rows.
     """
     if not days:
         return
     sliced = day_slice(df, time_col, days)
     if transform is not None:
         sliced = transform(sliced)
+    if stage is not None:
+        sliced.write.mode("overwrite").parquet(stage)
+        sliced = df.sparkSession.read.parquet(stage)
     key_rows = requested_keys if requested_keys is not None else sliced.select(*keys).distinct()
     grid = work_grid(key_rows, days) if keys else None
     if grid is None:

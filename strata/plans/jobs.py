@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from strata.operators import metrics as M
 from strata.plans import catalog, incremental, postings, rates
+from strata.session import scratch_root
 from strata.sinks.layout import processed_dir, processed_root
 from strata.sinks.writers import write_keys, write_partition
 from strata.sources.documents import json_docs, whole_text
@@ -50,9 +51,11 @@ def build_catalogue(spark: SparkSession, name: str, raw_path: str, root: str, dt
 
 def build_postings(spark: SparkSession, raw_base: str, root: str, days: Sequence[date],
                    keys: DataFrame, multi_line: bool = True) -> str:
-    """Raw posting pages landed under ``raw_base/dt=D/role_id=R`` (JSON, one posting
-    per line or arrays per file) for a range of days → processed/postings partitioned
-    by (dt, role_id), in one job.
+    """Raw posting pages landed under ``raw_base/dt=D/role_id=R`` for a range of days
+    → processed/postings partitioned by (dt, role_id), in one job.
+
+    ``multi_line=True`` (default) reads one JSON array per file, as the remote API
+    returns a page set; use ``multi_line=False`` for files of one posting per line.
 
     ``keys`` (column ``role_id``) × ``days`` is the work grid: every cell of it is
     replaced, and cells without postings are cleared.
@@ -84,7 +87,11 @@ def dashboard_frames(spark: SparkSession, sink: str, hours: int = 4, rows: int =
     set it to False for folders written by other writers.  With a ``by_day`` sink,
     ``since`` (a day at or before the data's latest minus ``hours``) limits the
     read to recent day folders."""
+    # The recent slice is materialised once (a reliable checkpoint): the five frames
+    # then read it instead of re-listing, re-parsing and re-deduplicating the sink.
+    scratch_root(spark)
     df = M.recent(load_metrics(spark, sink, sink_log=sink_log, by_day=by_day, since=since), hours)
+    df = df.checkpoint(eager=True)
     return {
         "kpis": M.kpis(df),
         "counts": M.pivot_metric(df, "cnt", "sum", event_types),

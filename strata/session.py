@@ -20,6 +20,9 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "static",
+    # Remove reliable checkpoint files once their DataFrames are garbage (tree walks
+    # and staged reads would otherwise leave one folder per level and run).
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 

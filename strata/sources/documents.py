@@ -55,7 +55,8 @@ def parse_docs(df: DataFrame, text_col: str, schema: StructType | str,
 
 
 def ndjson(spark: SparkSession, path: str, schema: StructType | str,
-           path_filter: str | None = None, base_path: str | None = None) -> DataFrame:
+           path_filter: str | None = None, base_path: str | None = None,
+           ignore_missing: bool = False) -> DataFrame:
     """JSON lines with blank lines skipped and malformed lines kept aside.
 
     The result has the schema's columns plus ``_corrupt_record`` (null on good
@@ -63,7 +64,8 @@ def ndjson(spark: SparkSession, path: str, schema: StructType | str,
     instead of losing them silently.  ``path_filter`` is a glob on file names;
     ``base_path`` keeps partition columns when ``path`` is a glob below it.
     A query must use a data column besides ``_corrupt_record`` (Spark rejects scans
-    of raw JSON that need the corrupt-record column alone).
+    of raw JSON that need the corrupt-record column alone).  ``ignore_missing``
+    skips files that a live writer renamed between listing and reading.
     """
     s = StructType(list(_schema(schema).fields)).add(CORRUPT, "string")  # never alter the caller's schema
     reader = spark.read.schema(s).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
@@ -71,4 +73,6 @@ def ndjson(spark: SparkSession, path: str, schema: StructType | str,
         reader = reader.option("pathGlobFilter", path_filter)
     if base_path:
         reader = reader.option("basePath", base_path)
+    if ignore_missing:
+        reader = reader.option("ignoreMissingFiles", "true")
     return reader.json(path).withColumn("_file", F.col("_metadata.file_path"))

@@ -46,12 +46,13 @@ def metric_lines(spark: SparkSession, root: str, sink_log: bool = False, by_day:
     levels = "dt=*/event_type=*" if by_day else "event_type=*"
     path = root if sink_log else f"{root}/{levels}"
     schema = RAW_SCHEMA + (", dt date" if by_day else "")
-    lines = ndjson(spark, path, schema, base_path=None if sink_log else root)
+    lines = ndjson(spark, path, schema, base_path=None if sink_log else root, ignore_missing=True)
     if since is not None:
         if not by_day:
             raise ValueError("since needs the by_day layout")
         lines = lines.where(F.col("dt") >= F.lit(since))
-    return lines.where(~F.col("_file").contains(UNFINISHED))
+    file_name = F.element_at(F.split(F.col("_file"), "/"), -1)
+    return lines.where(~file_name.contains(UNFINISHED))
 
 
 def load_metrics(spark: SparkSession, root: str, dedupe: bool = True,
@@ -70,9 +71,9 @@ def load_metrics(spark: SparkSession, root: str, dedupe: bool = True,
     return dedupe_windows(out) if dedupe else out
 
 
-def line_quality(spark: SparkSession, root: str) -> DataFrame:
+def line_quality(spark: SparkSession, root: str, sink_log: bool = False, by_day: bool = False) -> DataFrame:
     """One row: lines read, lines set aside as malformed, lines with a count."""
-    lines = metric_lines(spark, root)
+    lines = metric_lines(spark, root, sink_log, by_day)
     return lines.agg(F.count(F.lit(1)).alias("lines"),
                      F.count(CORRUPT).alias("malformed"),
                      F.count("cnt").alias("with_cnt"))

@@ -50,6 +50,7 @@ from pyspark.sql.datasource import (DataSource, DataSourceReader, EqualTo, Great
                                     LessThanOrEqual)
 
 from strata.session import default_parallelism, scratch_root
+from strata.sinks.layout import partition_path
 
 SCHEMA = ("key string, day date, page int, item string, "
           "pages_fetched int, truncated boolean, pages_total int")
@@ -90,11 +91,12 @@ class _PagedReader(DataSourceReader):
         return [_Units(self.units[i::n]) for i in range(n)]
 
     def _fetch(self, get, key, day, page):
-        for attempt in range(self.retries):
+        tries = max(1, self.retries)  # always at least one call
+        for attempt in range(tries):
             try:
                 return get(key, day, page, self.params)
             except Exception:
-                if attempt == self.retries - 1:
+                if attempt == tries - 1:
                     raise
                 time.sleep(self.backoff * (2 ** attempt))
 
@@ -197,7 +199,9 @@ def read_paged(spark: SparkSession, units: DataFrame, getter: str, key_col: str
     units through predicate pushdown.
     """
     register(spark)
-    grid = sorted([r[0], r[1].isoformat()] for r in units.select(key_col, day_col).distinct().collect())
+    cells = (units.select(F.col(key_col).cast("string"), F.col(day_col).cast("date"))
+                  .where(F.col(key_col).isNotNull() & F.col(day_col).isNotNull()).distinct())
+    grid = sorted([r[0], r[1].isoformat()] for r in cells.collect())
     opts = {k: (json.dumps(v) if isinstance(v, (dict, list)) else str(v)) for k, v in options.items()
             if v is not None}
     opts.setdefault("num_partitions", str(default_parallelism(spark) * 2))
@@ -287,7 +291,7 @@ def parquet_pages(key: str, day: str, page: int, params: dict):
     from pyarrow import fs as pafs
 
     filesystem, root = _filesystem(params["root"])
-    folder = f"{root.rstrip('/')}/{params.get('key_col', 'key')}={key}/dt={day}"
+    folder = partition_path(root, {params.get("key_col", "key"): key, "dt": day})
     if filesystem.get_file_info(folder).type != pafs.FileType.Directory:
         return {"items": [], "pages": 0}
     table = ds.dataset(folder, format="parquet", filesystem=filesystem).to_table(

@@ -109,3 +109,12 @@ def test_parallel_pages_match_sequential(spark, page_root, tmp_dir):
             assert runs[False][0] == runs[True][0], (root, cap)
             if root == page_root:  # with page counts, reports agree exactly
                 assert [x[:2] + (x[3],) for x in runs[False][1]] == [x[:2] + (x[3],) for x in runs[True][1]]
+
+
+def test_integer_keys_and_no_retry(spark, page_root):
+    keys = spark.createDataFrame([(2,), (None,)], "role_id bigint")
+    grid = work_grid(keys, [date(2026, 6, 1)])
+    df = paged.read_paged(spark, grid, "strata.sources.paged:file_pages", key_col="role_id",
+                          params={"root": page_root}, retries=0)
+    assert paged.items_of(df).count() == 6   # key cast to text; the null key is no unit
+    assert [r.key for r in paged.fetch_report(df).collect()] == ["2"]

@@ -137,3 +137,13 @@ def test_ndjson_leaves_caller_schema_alone(spark, tmp_dir):
         df = ndjson(spark, path, schema)
         assert df.where("a IS NOT NULL").count() == 1
     assert schema.fieldNames() == ["a"]
+
+
+def test_run_days_staged(spark, tmp_dir):
+    rows = [(1, datetime(2024, 1, 1, 5), "a"), (2, datetime(2024, 1, 2, 5), "b")]
+    ev = spark.createDataFrame(rows, "id int, ts timestamp_ntz, event_type string")
+    base = processed_root(tmp_dir, "staged")
+    incremental.run_days(ev, base, "ts", [date(2024, 1, 1), date(2024, 1, 2)], keys=["event_type"],
+                         transform=lambda d: d.withColumn("id", d.id * 10), stage=os.path.join(tmp_dir, "stage"))
+    out = incremental.read_keyed(spark, base, ev.schema, {"dt": "date", "event_type": "string"})
+    assert sorted(r.id for r in out.collect()) == [10, 20]

@@ -257,3 +257,12 @@ def test_path_value_is_anchored_and_default_trigger(spark, tmp_dir):
         assert q.isActive
     finally:
         q.stop()
+
+
+def test_line_quality_by_day(spark, tmp_dir):
+    from strata.sources.metric_files import line_quality
+    root = os.path.join(tmp_dir, "q")
+    _write(os.path.join(root, "dt=2024-01-01", "event_type=a", "p.json"),
+           [_m("2024-01-01 00:00:00", "2024-01-01 00:01:00", 1), "{bad"])
+    q = line_quality(spark, root, by_day=True).first()
+    assert (q.lines, q.malformed) == (2, 1)

@@ -61,3 +61,10 @@ def test_non_multiple_slide_falls_back(spark):
     a = _rows(hop_metrics(ev, "ts", "event_type", "value", "25 seconds", "10 seconds", "direct"))
     b = _rows(hop_metrics(ev, "ts", "event_type", "value", "25 seconds", "10 seconds", "sliced"))
     assert a == b
+
+
+def test_sliced_falls_back_for_other_interval_forms(spark):
+    ev = _events(spark)
+    a = _rows(hop_metrics(ev, "ts", "event_type", "value", "1 minute 30 seconds", "10 seconds", "direct"))
+    b = _rows(hop_metrics(ev, "ts", "event_type", "value", "1 minute 30 seconds", "10 seconds", "sliced"))
+    assert a == b and a
