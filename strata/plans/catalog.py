@@ -32,7 +32,8 @@ def professional_roles(docs: DataFrame, order: bool = True) -> DataFrame:
     """categories[] → roles[]: one row per (category, role); empty/null lists vanish.
 
     Ordered by the ids read as integers (``"2"`` before ``"10"``); ``bigint`` so
-    long ids do not overflow.
+    long ids do not overflow.  Ids that are not numbers sort after the numbers, by
+    their text, instead of failing the job.
     """
     rows = explode_path(docs, [("categories", "cat"), ("cat.roles", "role")])
     out = rows.select(
@@ -44,7 +45,8 @@ def professional_roles(docs: DataFrame, order: bool = True) -> DataFrame:
         F.col("role.search_deprecated").alias("search_deprecated"),
     )
     if order:
-        out = out.orderBy(F.col("category_id").cast("bigint"), F.col("role_id").cast("bigint"))
+        out = out.orderBy(F.col("category_id").try_cast("bigint").asc_nulls_last(), "category_id",
+                          F.col("role_id").try_cast("bigint").asc_nulls_last(), "role_id")
     return out
 
 

@@ -26,7 +26,7 @@ from strata.streaming import events as S
 # Catalogue datasets: how each raw document is read and flattened.
 _CATALOGUES = {
     "professional_roles": lambda spark, path: catalog.professional_roles(
-        json_docs(spark, path, catalog.ROLES_SCHEMA)),
+        json_docs(spark, path, catalog.ROLES_SCHEMA), order=False),
     "industries": lambda spark, path: catalog.industries(json_docs(spark, path, catalog.INDUSTRIES_SCHEMA)),
     "languages": lambda spark, path: catalog.languages(json_docs(spark, path, catalog.LANGUAGES_SCHEMA)),
     "areas": lambda spark, path: catalog.areas(whole_text(spark, path)),

@@ -31,22 +31,15 @@ STREAMED = f"""
     WHERE window_end <= (SELECT date_trunc('millisecond', max(ts)) FROM events) - INTERVAL 5 SECOND
 """
 
-EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
-
-
-def _pivot_cell(how: str, metric: str, value: str) -> str:
-    expr = f"{how}({metric}) FILTER (WHERE event_type = '{value}')"
-    # DuckDB sums integers to HUGEINT; Spark keeps BIGINT.
-    return f"CAST({expr} AS BIGINT)" if how == "sum" else expr
-
-
 def _pivot(metric: str, how: str) -> str:
-    cols = ",\n           ".join(f"{_pivot_cell(how, metric, t)} AS {t}" for t in EVENT_TYPES)
+    # DuckDB's PIVOT takes its columns from the data, as the Spark side does.
+    # DuckDB sums integers to HUGEINT; Spark keeps BIGINT.
+    cell = f"CAST(sum({metric}) AS BIGINT)" if how == "sum" else f"{how}({metric})"
     return f"""
     WITH m AS ({METRICS})
-    SELECT window_end,
-           {cols}
-    FROM m GROUP BY window_end
+    SELECT * FROM (
+        PIVOT (SELECT window_end, event_type, {metric} FROM m)
+        ON event_type USING {cell} GROUP BY window_end)
 """
 
 

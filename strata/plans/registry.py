@@ -11,6 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from strata.operators import metrics as M
 from strata.operators.flatten import explode_entries
@@ -48,8 +49,10 @@ def _metrics(spark: SparkSession, sf_dir: str, method: str = "direct") -> DataFr
 
 
 def _event_types(spark: SparkSession, sf_dir: str) -> list[str]:
-    # Pivot columns: the distinct event types, read off one pruned column.
-    rows = read_table(spark, sf_dir, "events", ["event_type"]).distinct().collect()
+    # Pivot columns: the distinct event types that have windows (events with a time),
+    # read off two pruned columns.
+    ev = read_table(spark, sf_dir, "events", ["ts", "event_type"])
+    rows = ev.where(F.col("ts").isNotNull()).select("event_type").distinct().collect()
     return sorted(r[0] for r in rows if r[0] is not None)
 
 
@@ -120,7 +123,7 @@ def q07_day_write(spark, sf_dir):
     cust = read_table(spark, sf_dir, "customer")
     for _ in range(2):  # a rerun replaces the day, it does not append
         write_partition(cust, processed_dir(root, "customer", RUN_DAY))
-    schema = cust.schema.add("dt", "date")
+    schema = StructType(list(cust.schema.fields)).add("dt", "date")  # a copy: .schema is cached
     return spark.read.schema(schema).parquet(processed_root(root, "customer"))
 
 

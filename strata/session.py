@@ -66,8 +66,10 @@ def scratch_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster this setting names storage every executor can reach; it is only
-    read here.  When it is unset (a laptop or a test) a local folder is made and
-    registered as the checkpoint directory, so ``DataFrame.checkpoint`` works too.
+    read here, and a cluster session without it is an error (a machine-local
+    folder would scatter staged data over the executors' own disks).  When it is
+    unset in local mode (a laptop or a test) a local folder is made and registered
+    as the checkpoint directory, so ``DataFrame.checkpoint`` works too.
     """
     try:
         sc = spark.sparkContext
@@ -79,11 +81,12 @@ def scratch_root(spark: SparkSession) -> str:
         if root and sc is not None:
             sc.setCheckpointDir(root)
     if root is None:
+        master = sc.master if sc is not None else spark.conf.get("spark.master", "local")
+        if not str(master).startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         root = tempfile.mkdtemp(prefix="strata-")
         if sc is not None:
             sc.setCheckpointDir(root)
-        else:
-            spark.conf.set("spark.checkpoint.dir", root)
     return root.rstrip("/")
 
 

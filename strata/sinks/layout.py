@@ -8,7 +8,7 @@
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, datetime
 
 # Characters Spark escapes in partition directory names, and its null marker
 # (fixed values, so that paths built here match the ones Spark writes and reads).
@@ -21,7 +21,10 @@ def _text(value) -> str:
         return NULL_PARTITION  # Spark files empty strings under the null marker too
     if isinstance(value, bool):
         return "true" if value else "false"
-    if isinstance(value, date):
+    if isinstance(value, datetime):  # Spark's text of a timestamp (fraction without trailing zeros)
+        fraction = f".{value.microsecond:06d}".rstrip("0") if value.microsecond else ""
+        value = f"{value:%Y-%m-%d %H:%M:%S}{fraction}"
+    elif isinstance(value, date):
         return value.isoformat()
     return "".join(f"%{ord(ch):02X}" if ch in _ESCAPED else ch for ch in str(value))
 

@@ -30,14 +30,23 @@ def write_partition(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     df.write.mode("overwrite").format(fmt).save(path)
 
 
-def delete_paths(spark: SparkSession, paths: Sequence[str]) -> None:
+def delete_paths(spark: SparkSession, paths: Sequence[str], empty_like: DataFrame | None = None,
+                 fmt: str = "parquet") -> None:
     """Remove folders through the Hadoop file system Spark itself writes with.
 
     Uses the session's Hadoop configuration, so object-store credentials and
-    endpoints are the ones of ``spark.hadoop.*``.
+    endpoints are the ones of ``spark.hadoop.*``.  Sessions without a JVM gateway
+    (Spark Connect) replace each folder with an empty dataset shaped like
+    ``empty_like`` instead, which reads as no rows.
     """
     if not paths:
         return
+    if getattr(spark, "_jsc", None) is None:
+        if empty_like is None:
+            raise RuntimeError("cannot clear partitions: no JVM gateway and no empty_like frame")
+        for p in paths:
+            empty_like.limit(0).write.mode("overwrite").format(fmt).save(p)
+        return
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
     for p in paths:
         jp = jvm.org.apache.hadoop.fs.Path(p)
@@ -65,7 +74,8 @@ def write_keys(df: DataFrame, base: str, keys: Sequence[str], requested: DataFra
     if requested is not None:
         present = df.select(*keys).distinct()
         missing = requested.select(*keys).distinct().join(present, list(keys), "left_anti").collect()
-        delete_paths(spark, [partition_path(base, r.asDict()) for r in missing])
+        delete_paths(spark, [partition_path(base, r.asDict()) for r in missing],
+                     empty_like=df.drop(*keys), fmt=fmt)
     (df.hint("rebalance", *keys)
        .write.mode("overwrite")
        .option("partitionOverwriteMode", "dynamic")

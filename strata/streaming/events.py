@@ -166,7 +166,8 @@ def start_metrics_stream(source: DataFrame, sink: str, checkpoint: str,
     checkpoint (later restarts keep the first value).  The key space is the windows
     in flight × event types, so tens to hundreds are enough; the session's shuffle
     width of a large batch cluster would make every micro-batch write that many
-    files per event type.
+    files per event type.  The setting is applied to the session while the query
+    starts, so start streams from one thread.
     """
     metrics, keys = _layout(rolling_metrics(parse_events(source), method=method), by_day)
     writer = (metrics.writeStream.format("json").outputMode("append")

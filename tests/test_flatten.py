@@ -164,3 +164,10 @@ def test_tree_keep_columns(spark):
     out = flatten_tree(docs, "t", catalog.AREA_FIELDS, keep=["doc_id"])
     rows = sorted((r.doc_id, r.area_id) for r in out.collect())
     assert rows == [("d1", "1"), ("d1", "2"), ("d1", "3"), ("d1", "4")]
+
+
+def test_professional_roles_non_numeric_ids(spark, tmp_dir):
+    doc = {"categories": [{"id": "it-1", "name": "x", "roles": [{"id": "b"}, {"id": "3"}]},
+                          {"id": "10", "name": "y", "roles": [{"id": "1"}]}]}
+    out = catalog.professional_roles(json_docs(spark, _write(tmp_dir, "r.json", doc), catalog.ROLES_SCHEMA))
+    assert [(r.category_id, r.role_id) for r in out.collect()] == [("10", "1"), ("it-1", "3"), ("it-1", "b")]

@@ -147,3 +147,12 @@ def test_run_days_staged(spark, tmp_dir):
                          transform=lambda d: d.withColumn("id", d.id * 10), stage=os.path.join(tmp_dir, "stage"))
     out = incremental.read_keyed(spark, base, ev.schema, {"dt": "date", "event_type": "string"})
     assert sorted(r.id for r in out.collect()) == [10, 20]
+
+
+def test_partition_path_timestamps(spark, tmp_dir):
+    vals = [datetime(2024, 2, 1, 1, 2, 3), datetime(2024, 2, 1, 1, 2, 3, 500000)]
+    df = spark.createDataFrame([(v, 1) for v in vals], "t timestamp_ntz, n int")
+    base = os.path.join(tmp_dir, "ts")
+    df.write.partitionBy("t").parquet(base)
+    written = {d for d in os.listdir(base) if d.startswith("t=")}
+    assert written == {partition_path("", {"t": v}).lstrip("/") for v in vals}
