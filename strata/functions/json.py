@@ -57,5 +57,6 @@ def is_json_array(v: Column | str, path: str = "$") -> Column:
 
 
 def json_kind(v: Column | str) -> Column:
-    """Kind of a value: ARRAY, OBJECT, STRING, BIGINT, DOUBLE, BOOLEAN, VOID (null) …"""
+    """Kind of a value: ARRAY, OBJECT, STRING, BIGINT, DECIMAL (plain fractions such as
+    ``1.5``), DOUBLE (exponent forms), BOOLEAN, VOID (JSON null) …"""
     return F.regexp_extract(F.schema_of_variant(_c(v)), r"^([A-Z_]+)", 1)

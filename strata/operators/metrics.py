@@ -75,6 +75,8 @@ def pivot_metric(df: DataFrame, metric: str, how: str, values: Sequence[str] | N
     agg = {"sum": F.sum, "mean": F.avg, "avg": F.avg, "max": F.max, "min": F.min}[how]
     if values is None:
         return df.groupBy(index).pivot(key_col).agg(agg(metric)).orderBy(index)
+    if not values:  # no key values: the index alone
+        return df.select(index).distinct().orderBy(index)
     cells = [agg(F.when(F.col(key_col) == F.lit(v), F.col(metric))).alias(str(v)) for v in values]
     return df.groupBy(index).agg(*cells).orderBy(index)
 
@@ -86,12 +88,13 @@ def totals(df: DataFrame, key_col: str = "event_type", digits: int = 2) -> DataF
               .orderBy(F.col("total_sum").desc(), F.col(key_col)))
 
 
-def latest(df: DataFrame, n: int = 100) -> DataFrame:
+def latest(df: DataFrame, n: int = 100, key_col: str = "event_type") -> DataFrame:
     """The ``n`` most recent windows in a fixed column order.
 
     Ties on ``window_end`` are broken by key and start, so the row set is
     deterministic; Spark plans this as a TakeOrderedAndProject (per-task top-n).
     """
-    return (df.select(*TABLE_COLUMNS)
-              .orderBy(F.col("window_end").desc(), F.col("event_type"), F.col("window_start").desc())
+    columns = [key_col if c == "event_type" else c for c in TABLE_COLUMNS]
+    return (df.select(*columns)
+              .orderBy(F.col("window_end").desc(), F.col(key_col), F.col("window_start").desc())
               .limit(n))

@@ -28,9 +28,16 @@ def _schema(schema: StructType | str) -> StructType:
 
 
 def json_docs(spark: SparkSession, path: str, schema: StructType | str,
-              multi_line: bool = True) -> DataFrame:
-    """Read JSON with a declared schema (never inferred: an empty ``[]`` reads as 0 rows)."""
-    return spark.read.schema(_schema(schema)).option("multiLine", multi_line).json(path)
+              multi_line: bool = True, mode: str = "FAILFAST") -> DataFrame:
+    """Read JSON with a declared schema (never inferred: an empty ``[]`` reads as 0 rows).
+
+    ``multi_line=True``: one document per file (an object, or an array giving a row
+    per element); ``False``: JSON lines.  ``FAILFAST`` (default) stops the job on a
+    malformed document instead of passing a row of nulls on into the lake; use
+    :func:`ndjson` to keep bad lines aside instead.
+    """
+    return (spark.read.schema(_schema(schema)).option("multiLine", multi_line)
+                 .option("mode", mode).json(path))
 
 
 def whole_text(spark: SparkSession, path: str, with_path: bool = False) -> DataFrame:

@@ -171,3 +171,9 @@ def test_professional_roles_non_numeric_ids(spark, tmp_dir):
                           {"id": "10", "name": "y", "roles": [{"id": "1"}]}]}
     out = catalog.professional_roles(json_docs(spark, _write(tmp_dir, "r.json", doc), catalog.ROLES_SCHEMA))
     assert [(r.category_id, r.role_id) for r in out.collect()] == [("10", "1"), ("it-1", "3"), ("it-1", "b")]
+
+
+def test_json_docs_fails_fast_on_malformed_document(spark, tmp_dir):
+    path = _write(tmp_dir, "broken.json", '{"Date": "2026-06-12", "Valute": {')
+    with pytest.raises(Exception):
+        rates.rates(json_docs(spark, path, rates.SCHEMA)).collect()

@@ -43,3 +43,10 @@ def test_kpis_pivot_totals_latest(spark):
     top = M.latest(df, 2).collect()
     assert [(r.window_end, r.event_type) for r in top] == [(T + timedelta(minutes=2), "a"), (T + timedelta(minutes=1), "a")]
     assert M.latest(df, 2).columns == list(M.TABLE_COLUMNS)
+
+
+def test_pivot_without_values_and_latest_other_key(spark):
+    df = _w(spark, [_row(0, "a", 2), _row(1, "b", 3)])
+    assert M.pivot_metric(df, "cnt", "sum", []).columns == ["window_end"]
+    other = df.withColumnRenamed("event_type", "region")
+    assert M.latest(other, 1, key_col="region").first().region == "b"

@@ -266,3 +266,10 @@ def test_line_quality_by_day(spark, tmp_dir):
            [_m("2024-01-01 00:00:00", "2024-01-01 00:01:00", 1), "{bad"])
     q = line_quality(spark, root, by_day=True).first()
     assert (q.lines, q.malformed) == (2, 1)
+
+
+def test_list_files_missing_prefix_and_null_partition(spark, tmp_dir):
+    from strata.sources.files import list_files, path_value
+    assert list_files(spark, os.path.join(tmp_dir, "nothing-yet")).count() == 0
+    df = spark.createDataFrame([("/x/k=__HIVE_DEFAULT_PARTITION__/f",), ("/x/k.v=1/f",)], "p string")
+    assert [r[0] for r in df.select(path_value("p", "k")).collect()] == [None, ""]
