@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from strata.operators.flatten import explode_bundle, explode_path, flatten_tree
 
+# Field names of the catalogue documents (fixed values).
 ROLE = ("struct<id: string, name: string, accept_incomplete_resumes: boolean, is_default: boolean, "
         "select_deprecated: boolean, search_deprecated: boolean>")
 ROLES_SCHEMA = f"categories array<struct<id: string, name: string, roles: array<{ROLE}>>>"

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from strata.operators.flatten import pluck, project_fields
 
+# Field names of the posting items (fixed values).
 _REF = "struct<id: string, name: string>"
 SCHEMA = (
     f"id string, name string, area {_REF}, employer {_REF}, "

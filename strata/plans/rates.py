@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 
 from strata.operators.flatten import explode_entries
 
-# Numbers are read as text and cast strictly, so a malformed rate fails the job
-# instead of turning into null.
+# Field names of the rate documents (fixed values).  Numbers are read as text and
+# cast strictly, so a malformed rate fails the job instead of turning into null.
 SCHEMA = "Date string, Valute map<string, struct<Name: string, Value: string, Nominal: string>>"
 
 

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from strata.operators.metrics import dedupe_windows, round_metrics
 from strata.sources.documents import CORRUPT, ndjson
 
+# Line format of the metric files (fixed values).
 RAW_SCHEMA = ("window_start string, window_end string, cnt bigint, total double, "
               "avg_value double, event_type string")
 TIME_FORMAT = "yyyy-MM-dd HH:mm:ss[.SSSSSS]"
