@@ -163,7 +163,6 @@ def area_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = _lines(spark, sf_dir, ["l_returnflag", "l_linestatus", "l_quantity", "l_discount", "l_tax"])
     chunks = _chunk_lists(lines, _line_node(F.col("l_linestatus") == "O"))
     orders = read_table(spark, sf_dir, "orders", ["o_orderkey", "o_orderpriority", "o_totalprice", "o_orderstatus"])
-    first = chunks.where(F.col("chunk") == 0)
     order_node = F.struct(
         F.concat(F.lit("o"), F.col("o_orderkey").cast("string")).alias("id"),
         F.col("o_orderpriority").alias("name"),
@@ -171,11 +170,13 @@ def area_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_orderstatus").alias("lng"),
         F.col("items").alias("areas"),
     )
-    heads = orders.join(first, orders.o_orderkey == first.l_orderkey, "full_outer").select(
+    # One full outer join places every chunk: the first chunk of an order under its
+    # order node, every other chunk (and any chunk without an order) as roots.  The
+    # chunk aggregate is computed once.
+    placed = orders.join(chunks, (orders.o_orderkey == chunks.l_orderkey) & (chunks.chunk == 0), "full_outer")
+    return placed.select(
         F.when(F.col("o_orderkey").isNotNull(), F.to_json(F.array(order_node)))
          .otherwise(F.to_json("items")).alias("doc"))
-    rest = chunks.where(F.col("chunk") > 0).select(F.to_json("items").alias("doc"))
-    return heads.unionAll(rest)
 
 
 def bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
