@@ -6,6 +6,8 @@ so that casts between ``timestamp`` and ``timestamp_ntz`` are wall-clock identit
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 import uuid
 
@@ -117,3 +119,28 @@ def object_store_conf(endpoint: str, region: str | None = None, path_style: bool
     if region:
         conf["spark.hadoop.fs.s3a.endpoint.region"] = region
     return conf
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``strata`` importable in the Python workers (as ``--py-files`` would).
+
+    Python code that runs on executors (the paged source and its page getters) is
+    looked up by module name there.  The package is zipped once per process and
+    added to the SparkContext, which distributes it to every executor.  Sessions
+    without a SparkContext (Spark Connect) rely on the package being installed.
+    """
+    try:
+        sc = spark.sparkContext
+    except Exception:
+        return
+    if sc.applicationId in _SHIPPED:
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    folder = tempfile.mkdtemp(prefix="strata-pyfiles-")
+    archive = shutil.make_archive(os.path.join(folder, "strata"), "zip",
+                                  root_dir=os.path.dirname(package), base_dir=os.path.basename(package))
+    sc.addPyFile(archive)
+    _SHIPPED.add(sc.applicationId)

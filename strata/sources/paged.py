@@ -49,7 +49,7 @@ from pyspark.sql.datasource import (DataSource, DataSourceReader, EqualTo, Great
                                     GreaterThanOrEqual, In, InputPartition, LessThan,
                                     LessThanOrEqual)
 
-from strata.session import default_parallelism, scratch_root
+from strata.session import default_parallelism, scratch_root, ship_package
 from strata.sinks.layout import partition_path
 
 SCHEMA = ("key string, day date, page int, item string, "
@@ -179,6 +179,7 @@ class PagedJsonSource(DataSource):
 
 
 def register(spark: SparkSession) -> None:
+    ship_package(spark)  # the workers import this module and the page getters
     spark.dataSource.register(PagedJsonSource)
 
 
