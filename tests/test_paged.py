@@ -118,3 +118,13 @@ def test_integer_keys_and_no_retry(spark, page_root):
                           params={"root": page_root}, retries=0)
     assert paged.items_of(df).count() == 6   # key cast to text; the null key is no unit
     assert [r.key for r in paged.fetch_report(df).collect()] == ["2"]
+
+
+def test_ship_package_once(spark):
+    from strata import session
+    session.ship_package(spark)
+    session.ship_package(spark)
+    assert spark.sparkContext.applicationId in session._SHIPPED
+    # the workers can import the package (a tiny job that imports it on an executor)
+    names = spark.sparkContext.parallelize([0], 1).map(lambda _: __import__("strata").__name__).collect()
+    assert names == ["strata"]
