@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strata.session import scratch_root
+
 WINDOW_KEY = ("window_start", "window_end", "event_type")
 TABLE_COLUMNS = ("window_start", "window_end", "event_type", "cnt", "total", "avg_value")
 
@@ -38,12 +40,17 @@ def dedupe_windows(df: DataFrame, keys: Sequence[str] = WINDOW_KEY) -> DataFrame
     return best.select(*keys, *[F.col(f"_best.{c}").alias(c) for c in metrics])
 
 
-def recent(df: DataFrame, hours: int, time_col: str = "window_end") -> DataFrame:
+def recent(df: DataFrame, hours: int, time_col: str = "window_end", materialise: bool = False) -> DataFrame:
     """Rows within ``hours`` of the data's own latest ``time_col`` (inclusive).
 
     The cut-off is a scalar subquery (one small aggregate job); empty input gives
-    empty output because the maximum is null.
+    empty output because the maximum is null.  The input is evaluated twice (for
+    the cut-off and for the rows): with ``materialise`` it is checkpointed once
+    first, which pays off when it is an aggregate over much larger data.
     """
+    if materialise:
+        scratch_root(df.sparkSession)
+        df = df.checkpoint(eager=True)
     latest = df.select(F.max(time_col)).scalar()
     return df.where(F.col(time_col) >= latest - F.make_dt_interval(hours=F.lit(hours)))
 
