@@ -50,3 +50,10 @@ def test_pivot_without_values_and_latest_other_key(spark):
     assert M.pivot_metric(df, "cnt", "sum", []).columns == ["window_end"]
     other = df.withColumnRenamed("event_type", "region")
     assert M.latest(other, 1, key_col="region").first().region == "b"
+
+
+def test_recent_materialised_equals_plain(spark):
+    df = _w(spark, [_row(m, "a" if m % 2 else "b", m) for m in range(0, 600, 7)])
+    plain = sorted(map(tuple, M.recent(df, 4).collect()))
+    assert plain == sorted(map(tuple, M.recent(df, 4, materialise=True).collect()))
+    assert M.recent(_w(spark, []), 4, materialise=True).count() == 0
