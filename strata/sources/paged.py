@@ -197,7 +197,8 @@ def read_paged(spark: SparkSession, units: DataFrame, getter: str, key_col: str
     page count continue page by page.  The page-0 probe runs when this function is
     called, so filter the grid (not the result) to choose units; with
     ``parallel_pages=False`` the read stays lazy and ``where`` on key/day prunes
-    units through predicate pushdown.
+    units through predicate pushdown.  The list of further pages is built on the
+    driver, one small entry per page to fetch.
     """
     register(spark)
     cells = (units.select(F.col(key_col).cast("string"), F.col(day_col).cast("date"))
@@ -218,7 +219,7 @@ def read_paged(spark: SparkSession, units: DataFrame, getter: str, key_col: str
     cap = int(opts["max_pages"]) if "max_pages" in opts else None
     start = int(opts.get("start_page", "0"))
     first = load(grid, max_pages="1").checkpoint(eager=True)
-    more = [r for r in fetch_report(first).where(F.col("truncated")).collect()]
+    more = fetch_report(first).where(F.col("truncated")).collect()
     ones, rest, reports = [], [], []
     for r in more:
         key, day = r["key"], r["day"].isoformat()
