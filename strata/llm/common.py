@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from strata.session import new_scratch, ship_package
 
@@ -33,31 +37,42 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def text_rows(df: DataFrame, text: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """(doc_id, text) only, null texts as empty; whatever else ``df`` has can't clash."""
-    return df.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+def slices(batch: pa.RecordBatch, text: str, limit: int) -> Iterator[pa.RecordBatch]:
+    """``batch`` in slices of about ``limit`` text bytes (a longer text stands alone)."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = base = 0
+    while at < batch.num_rows:
+        stop = max(int(np.searchsorted(ends, base + limit, side="right")), at + 1)
+        yield batch.slice(at, stop - at)
+        at, base = stop, int(ends[stop - 1])
 
 
-def batches(it: Iterator[pa.RecordBatch], limit: int) -> Iterator[tuple[list, list[str]]]:
-    """Ids and texts in lists of about ``limit`` characters (a longer text stands alone)."""
-    ids, texts, size = [], [], 0
-    for batch in it:
-        for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-            s = text.as_py() or ""
-            if texts and size + len(s) > limit:
-                yield ids, texts
-                ids, texts, size = [], [], 0
-            ids.append(doc_id)
-            texts.append(s)
-            size += len(s)
-    if texts:
-        yield ids, texts
+def annotate(df: DataFrame, fn: Callable[..., dict[str, list]], out: str, text: str = "text",
+             carry: Sequence[str] = ("doc_id",), inputs: Sequence[str] = (), limit: int = 4_000_000) -> DataFrame:
+    """(row, out) per row of ``df``: ``row`` holds the ``carry`` columns, ``out`` what ``fn`` returns.
 
+    ``fn`` gets the texts (null as empty) of about ``limit`` bytes and the values of
+    ``inputs``, and returns one list per field of the DDL ``out``.  ``row`` passes through
+    Python untouched, so any types, names and nulls survive, and clash with nothing.
+    """
+    quoted = lambda c: F.col(f"`{c}`")
+    rows = df.select(F.struct(*map(quoted, carry)).alias("row"),
+                     F.coalesce(quoted(text).cast("string"), F.lit("")).alias("text"),
+                     *[quoted(c).alias(f"in{i}") for i, c in enumerate(inputs)])
+    out_type = T.StructType.fromDDL(out)
+    out_arrow = to_arrow_type(out_type)
+    schema = T.StructType([T.StructField("row", rows.schema["row"].dataType), T.StructField("out", out_type)])
 
-def record_batch(columns: dict[str, Iterable], schema: pa.Schema) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(columns[f.name], type=f.type) for f in schema], schema=schema)
+    def apply(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in it:
+            for batch in slices(whole, "text", limit):
+                got = fn(batch.column("text").to_pylist(), *[batch.column(f"in{i}").to_pylist() for i in range(len(inputs))])
+                arrays = [pa.array(got[f.name], type=f.type) for f in out_arrow]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("row"), pa.StructArray.from_arrays(arrays, fields=list(out_arrow))], ["row", "out"])
 
+    return rows.mapInArrow(apply, schema)
 
-def sha256_of(spans: Column) -> Column:
-    """Lower-case hex SHA-256 of a string column."""
-    return F.sha2(spans, 256)
+
+def record_batch(columns: dict[str, Iterable], schema: pa.Schema) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(columns[f.name], type=f.type) for f in schema], schema=schema)

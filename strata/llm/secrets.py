@@ -18,13 +18,11 @@ import base64
 import json
 import re
 import zlib
-from collections.abc import Iterator
 
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import batches, record_batch, text_rows
+from strata.llm.common import annotate
 
 # Kinds in listing order; keywords, expressions and least lengths.
 KINDS = ("assign", "access", "hex", "github", "npm", "jwt", "iban", "card")
@@ -47,9 +45,7 @@ ANCHORED = {
 LEAST_ASSIGN, LEAST_ACCESS, LEAST_HEX = 6, 20, 24
 BASE62 = "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
 
-BATCH_CHARS = 4_000_000
-SCHEMA = pa.schema([("doc_id", pa.int64()), ("spans", pa.list_(pa.struct([
-    ("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())])))])
+SPANS = "spans array<struct<kind:string,start:int,end:int>>"
 
 
 def crc62_ok(token: str) -> bool:
@@ -141,13 +137,35 @@ def scan_secrets(df: DataFrame, text: str = "text", id_col: str = "doc_id") -> D
     input row); an empty table gives no rows; other columns of ``df`` are not read.
     """
 
-    def scan(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, texts in batches(it, BATCH_CHARS):
-            yield record_batch({"doc_id": ids, "spans": [
-                [{"kind": k, "start": a, "end": b} for k, a, b in find_secrets(t)] for t in texts]}, SCHEMA)
+    def scan(texts: list[str]) -> dict[str, list]:
+        return {"spans": [[{"kind": k, "start": a, "end": b} for k, a, b in find_secrets(t)] for t in texts]}
 
-    return text_rows(df, text, id_col).mapInArrow(
-        scan, "doc_id bigint, spans array<struct<kind:string,start:int,end:int>>")
+    out = annotate(df, scan, SPANS, text, [id_col])
+    return out.select(F.col("row")[id_col].alias("doc_id"), "out.spans")
+
+
+def redact(df: DataFrame, text: str = "text", mark: str = "[{kind}]") -> DataFrame:
+    """``df`` with every span of ``text`` replaced by ``mark``; overlapping spans are one.
+
+    Rows, columns and their order stay; a null text stays null.
+    """
+    others = [c for c in df.columns if c != text]
+
+    def clean(texts: list[str], was: list) -> dict[str, list]:
+        return {"text": [None if w is None else redacted(t, find_secrets(t), mark) for t, w in zip(texts, was, strict=True)]}
+
+    nulls = df.withColumn("__was", F.when(F.col(f"`{text}`").isNotNull(), True)) if "__was" not in others else df
+    out = annotate(nulls, clean, "text string", text, others or [text], inputs=["__was"])
+    return out.select(*[F.col("out.text").alias(c) if c == text else F.col("row").getField(c).alias(c) for c in df.columns])
+
+
+def redacted(text: str, spans: list[tuple[str, int, int]], mark: str) -> str:
+    parts, at = [], 0
+    for kind, start, end in spans:
+        if start >= at:
+            parts += [text[at:start], mark.format(kind=kind)]
+        at = max(at, end)
+    return "".join(parts) + text[at:] if parts else text
 
 
 def secret_digest(found: DataFrame) -> DataFrame:

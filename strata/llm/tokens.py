@@ -5,28 +5,24 @@ neither a space nor U+2581 (the model's own space mark).  No piece of the model
 the mark behind another character, so no merge crosses such a space, and the cut-off
 part gets the same mark as dummy prefix that the space would have given.  The parts of
 a batch are encoded once per distinct part and the lengths added up per document; an
-encoder call gets parts of about ``CALL_BYTES``, so calls cost alike whatever the
+encoder call gets parts of about ``CALL_CHARS``, so calls cost alike whatever the
 mixture of short and long texts.  A run without a safe boundary stays whole.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
-
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import batches, record_batch, text_rows
+from strata.llm.common import annotate
 
-#: Characters gathered before a batch is encoded, and bytes per call of the encoder.
-BATCH_CHARS = 4_000_000
-CALL_BYTES = 256_000
+#: Text bytes per batch, and characters per call of the encoder.
+BATCH_BYTES = 4_000_000
+CALL_CHARS = 256_000
 
 MARK = "▁"
 _CUT = re.compile(f"(?<=[^ {MARK}]) (?=[^ {MARK}])")
-SCHEMA = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_tokens", pa.int64())])
 
 _models: dict[str, object] = {}
 
@@ -54,12 +50,12 @@ def safe_parts(text: str) -> list[str]:
 
 
 def lengths(sp, parts: list[str]) -> list[int]:
-    """Token counts of ``parts``, encoded in calls of about ``CALL_BYTES``."""
+    """Token counts of ``parts``, encoded in calls of about ``CALL_CHARS``."""
     out, call, size = [], [], 0
     for p in parts:
         call.append(p)
         size += len(p)
-        if size >= CALL_BYTES:
+        if size >= CALL_CHARS:
             out += map(len, sp.encode(call, num_threads=1))
             call, size = [], 0
     if call:
@@ -76,16 +72,13 @@ def token_counts(df: DataFrame, model_path: str, text: str = "text", id_col: str
     gives no rows; other columns of ``df`` are not read.
     """
 
-    def count(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sp = model(model_path)
-        for ids, texts in batches(it, BATCH_CHARS):
-            cut = [safe_parts(t) for t in texts]
-            distinct = list(dict.fromkeys(p for parts in cut for p in parts))
-            n = dict(zip(distinct, lengths(sp, distinct), strict=True))
-            yield record_batch({
-                "doc_id": ids, "n_bytes": [len(t.encode()) for t in texts],
-                "n_tokens": [sum(map(n.__getitem__, parts)) for parts in cut],
-            }, SCHEMA)
-
-    out = text_rows(df, text, id_col).mapInArrow(count, "doc_id bigint, n_bytes bigint, n_tokens bigint")
-    return out.withColumn("over_limit", F.col("n_tokens") > limit)
+    def count(texts: list[str]) -> dict[str, list]:
+        cut = [safe_parts(t) for t in texts]
+        distinct = list(dict.fromkeys(p for parts in cut for p in parts))
+        n = dict(zip(distinct, lengths(model(model_path), distinct), strict=True))
+        return {"n_bytes": [len(t.encode()) for t in texts],
+                "n_tokens": [sum(map(n.__getitem__, parts)) for parts in cut]}
+
+    out = annotate(df, count, "n_bytes bigint, n_tokens bigint", text, [id_col], limit=BATCH_BYTES)
+    return out.select(F.col("row")[id_col].alias("doc_id"), "out.n_bytes", "out.n_tokens",
+                      (F.col("out.n_tokens") > limit).alias("over_limit"))
