@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterable, Iterator, Sequence
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
@@ -48,7 +48,7 @@ def slices(batch: pa.RecordBatch, text: str, limit: int) -> Iterator[pa.RecordBa
 
 
 def annotate(df: DataFrame, fn: Callable[..., dict[str, list]], out: str, text: str = "text",
-             carry: Sequence[str] = ("doc_id",), inputs: Sequence[str] = (), limit: int = 4_000_000) -> DataFrame:
+             carry: Sequence[str] = ("doc_id",), inputs: Sequence[Column] = (), limit: int = 4_000_000) -> DataFrame:
     """(row, out) per row of ``df``: ``row`` holds the ``carry`` columns, ``out`` what ``fn`` returns.
 
     ``fn`` gets the texts (null as empty) of about ``limit`` bytes and the values of
@@ -58,15 +58,15 @@ def annotate(df: DataFrame, fn: Callable[..., dict[str, list]], out: str, text:
     quoted = lambda c: F.col(f"`{c}`")
     rows = df.select(F.struct(*map(quoted, carry)).alias("row"),
                      F.coalesce(quoted(text).cast("string"), F.lit("")).alias("text"),
-                     *[quoted(c).alias(f"in{i}") for i, c in enumerate(inputs)])
+                     *[c.alias(f"in{i}") for i, c in enumerate(inputs)])
     out_type = T.StructType.fromDDL(out)
-    out_arrow = to_arrow_type(out_type)
+    out_arrow, n_inputs = to_arrow_type(out_type), len(inputs)
     schema = T.StructType([T.StructField("row", rows.schema["row"].dataType), T.StructField("out", out_type)])
 
     def apply(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in it:
             for batch in slices(whole, "text", limit):
-                got = fn(batch.column("text").to_pylist(), *[batch.column(f"in{i}").to_pylist() for i in range(len(inputs))])
+                got = fn(batch.column("text").to_pylist(), *[batch.column(f"in{i}").to_pylist() for i in range(n_inputs)])
                 arrays = [pa.array(got[f.name], type=f.type) for f in out_arrow]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("row"), pa.StructArray.from_arrays(arrays, fields=list(out_arrow))], ["row", "out"])

@@ -17,6 +17,27 @@ SELECT page_id, strlen(html) AS payload_bytes, {_BASE32} AS payload_digest,
 FROM r
 """
 
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORDS = r"regexp_extract_all({t}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')".format(t=_LOWER)
+
+OP4 = f"""
+WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+b AS (SELECT CAST(item_id AS VARCHAR) AS item, {_WORDS} AS w FROM benchmark WHERE item_id IS NOT NULL),
+bw AS (SELECT DISTINCT item, k, win FROM (SELECT item, least(len(w), 13) AS k, unnest(
+  [array_to_string(w[i:i + least(len(w), 13) - 1], ' ') for i in range(1, len(w) - least(len(w), 13) + 2)]) AS win FROM b)),
+ks AS (SELECT DISTINCT k FROM bw),
+dw AS (SELECT doc_id, k, unnest(range(1, len(w) - k + 2)) AS i,
+  unnest([array_to_string(w[j:j + k - 1], ' ') for j in range(1, len(w) - k + 2)]) AS win FROM d, ks),
+h AS (SELECT doc_id, i, k, item FROM dw JOIN bw USING (k, win)),
+n AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + k)) AS p FROM h) GROUP BY doc_id),
+m AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT doc_id, item FROM h) GROUP BY doc_id)
+SELECT d.doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN m USING (doc_id)
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_warc_normaliser": OP2}
+    return {"op2_warc_normaliser": OP2, "op4_suffix_decontamination": OP4}

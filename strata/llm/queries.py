@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from strata.llm.common import read
+from strata.llm.decontam import contamination_digest, find_contamination
 from strata.llm.secrets import scan_secrets, secret_digest
 from strata.llm.tokens import token_counts
 from strata.llm.warc import warc_round_trip
@@ -26,6 +27,10 @@ def op2_warc_normaliser(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op4_suffix_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination_digest(find_contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")))
+
+
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_digest(scan_secrets(read(spark, sf_dir, "documents")))
 

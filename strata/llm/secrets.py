@@ -151,11 +151,10 @@ def redact(df: DataFrame, text: str = "text", mark: str = "[{kind}]") -> DataFra
     """
     others = [c for c in df.columns if c != text]
 
-    def clean(texts: list[str], was: list) -> dict[str, list]:
-        return {"text": [None if w is None else redacted(t, find_secrets(t), mark) for t, w in zip(texts, was, strict=True)]}
+    def clean(texts: list[str], given: list[bool]) -> dict[str, list]:
+        return {"text": [redacted(t, find_secrets(t), mark) if g else None for t, g in zip(texts, given, strict=True)]}
 
-    nulls = df.withColumn("__was", F.when(F.col(f"`{text}`").isNotNull(), True)) if "__was" not in others else df
-    out = annotate(nulls, clean, "text string", text, others or [text], inputs=["__was"])
+    out = annotate(df, clean, "text string", text, others or [text], [F.col(f"`{text}`").isNotNull()])
     return out.select(*[F.col("out.text").alias(c) if c == text else F.col("row").getField(c).alias(c) for c in df.columns])
 
 
