@@ -10,6 +10,7 @@ from strata.llm.common import read
 from strata.llm.decontam import contamination_digest, find_contamination
 from strata.llm.secrets import scan_secrets, secret_digest
 from strata.llm.tokens import token_counts
+from strata.llm.toxicity import toxicity_result
 from strata.llm.warc import warc_round_trip
 
 #: The vocabulary file's name; the folder is the installed package's (a parameter).
@@ -22,6 +23,10 @@ def tokenizer_path(name: str = TOKEN_MODEL) -> str:
     return str(public_tokenizers.path(name))
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity_result(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op2_warc_normaliser(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = warc_round_trip(read(spark, sf_dir, "pages"))
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
