@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from strata.llm.common import read
 from strata.llm.decontam import contamination_digest, find_contamination
+from strata.llm.perplexity import perplexity_scores
 from strata.llm.secrets import scan_secrets, secret_digest
 from strata.llm.tokens import token_counts
 from strata.llm.toxicity import toxicity_result
@@ -32,6 +33,10 @@ def op2_warc_normaliser(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op3_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return perplexity_scores(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op4_suffix_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination_digest(find_contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")))
 
