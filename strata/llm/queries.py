@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from strata.llm.common import read
 from strata.llm.decontam import contamination_digest, find_contamination
 from strata.llm.licences import scan_licences
+from strata.llm.mixing import mix_result
 from strata.llm.perplexity import perplexity_scores
 from strata.llm.secrets import scan_secrets, secret_digest
 from strata.llm.tokens import token_counts
@@ -50,6 +51,10 @@ def op7_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licences(read(spark, sf_dir, "documents"))
 
 
+def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_result(read(spark, sf_dir, "documents"))
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(read(spark, sf_dir, "documents"), tokenizer_path())
 
