@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from strata.llm.common import read
 from strata.llm.decontam import contamination_digest, find_contamination
+from strata.llm.fingerprints import fingerprint_documents
 from strata.llm.licences import scan_licences
 from strata.llm.mixing import mix_result
 from strata.llm.perplexity import perplexity_scores
@@ -47,6 +48,10 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_digest(scan_secrets(read(spark, sf_dir, "documents")))
 
 
+def op6_weighted_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint_documents(read(spark, sf_dir, "documents"))
+
+
 def op7_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licences(read(spark, sf_dir, "documents"))
 
