@@ -19,7 +19,7 @@ import json
 import re
 import zlib
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm.common import annotate
@@ -144,18 +144,28 @@ def scan_secrets(df: DataFrame, text: str = "text", id_col: str = "doc_id") -> D
     return out.select(F.col("row")[id_col].alias("doc_id"), "out.spans")
 
 
-def redact(df: DataFrame, text: str = "text", mark: str = "[{kind}]") -> DataFrame:
+def redact(df: DataFrame, text: str = "text", mark: str = "[{kind}]", length: str | None = None) -> DataFrame:
     """``df`` with every span of ``text`` replaced by ``mark``; overlapping spans are one.
 
+    ``length`` names a column that is set to the code points of each text that changed.
     Rows, columns and their order stay; a null text stays null.
     """
-    others = [c for c in df.columns if c != text]
-
-    def clean(texts: list[str], given: list[bool]) -> dict[str, list]:
-        return {"text": [redacted(t, find_secrets(t), mark) if g else None for t, g in zip(texts, given, strict=True)]}
-
-    out = annotate(df, clean, "text string", text, others or [text], [F.col(f"`{text}`").isNotNull()])
-    return out.select(*[F.col("out.text").alias(c) if c == text else F.col("row").getField(c).alias(c) for c in df.columns])
+    def clean(texts: list[str]) -> dict[str, list]:
+        found = map(find_secrets, texts)
+        return {"text": [redacted(t, spans, mark) if spans else None for t, spans in zip(texts, found, strict=True)]}
+
+    out = annotate(df, clean, "text string", text, df.columns)
+    changed = F.col("out.text")
+
+    def column(c: str) -> Column:
+        own = F.col("row").getField(c)
+        if c == text:
+            return F.coalesce(changed, own)
+        if c == length:
+            return F.when(changed.isNotNull(), F.length(changed).cast(df.schema[c].dataType)).otherwise(own)
+        return own
+
+    return out.select(*[column(c).alias(c) for c in df.columns])
 
 
 def redacted(text: str, spans: list[tuple[str, int, int]], mark: str) -> str:
