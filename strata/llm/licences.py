@@ -80,8 +80,9 @@ TEMPLATES = {
 FAMILIES = [UNKNOWN, *TEMPLATES]
 
 N_FEATURES = 1 << 13
-#: Bound of the corpus paragraphs the classifier sees, and the longest of them in words.
-MAX_UNKNOWN, MAX_UNKNOWN_WORDS = 20_000, 200
+#: Bounds of the sample of corpus paragraphs the classifier sees: about so many documents,
+#: at most so many paragraphs, of at most so many words.
+SAMPLE_DOCS, MAX_UNKNOWN, MAX_UNKNOWN_WORDS = 1_000, 20_000, 200
 #: Share of held-out unknown paragraphs below the calibrated threshold; the threshold's floor.
 CALIBRATION, FLOOR = 0.999, 0.5
 #: Share of a paragraph's word pairs (or of the template's) that a template must hold.
@@ -195,7 +196,8 @@ def scan_licences(df: DataFrame, text: str = "text", id_col: str = "doc_id") ->
     corpus paragraphs the templates alone train the classifier; other columns are not read.
     """
     rows = paragraphs_of(df, text, id_col)
-    model, threshold = fit(rows)
+    some = F.pmod(F.xxhash64(F.col(f"`{text}`")), F.lit(max(1, df.count() // SAMPLE_DOCS))) == 0
+    model, threshold = fit(paragraphs_of(df.where(some), text, id_col))
     found = classify_paragraphs(rows, model, threshold)
     hit = F.col("label") > 0
     merged = found.groupBy("uid").agg(

@@ -47,8 +47,11 @@ MAX_TOKEN = 40
 
 #: Bound of the labelled sample the classifier is fitted on, and of its features.
 MAX_TOXIC, MAX_CLEAN, MAX_FEATURES = 3000, 6000, 20_000
-MIN_TOXIC_DOCS, MIN_RATIO = 3, 4.0
-RIDGE = 0.05
+#: A feature counts if this many standard deviations more toxic documents have it than its
+#: share of the clean ones lets expect, that many times as often, and if at least this share
+#: of the toxic ones has it (near copies of one document must not make a feature).
+MIN_DEVIATIONS, MIN_RATIO, MIN_SHARE = 4.0, 4.0, 0.02
+RIDGE = 0.02
 #: Tokens a worker remembers.
 MEMORY = 300_000
 
@@ -244,7 +247,9 @@ def fit(rows: DataFrame, restorer: Restorer) -> tuple[dict[str, int], np.ndarray
     counted = (rows.select("toxic", "text").mapInArrow(count, "feature string, clean bigint, toxic bigint")
                .groupBy("feature").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")))
     ratio = (F.col("toxic") + 0.5) / (n_toxic + 1) / ((F.col("clean") + 0.5) / (n_clean + 1))
-    chosen = (counted.where((F.col("toxic") >= MIN_TOXIC_DOCS) & (ratio >= MIN_RATIO))
+    expected = (F.col("clean") + 0.5) / (n_clean + 1) * (n_toxic + 1)
+    surprising = F.col("toxic") >= F.greatest(expected + MIN_DEVIATIONS * F.sqrt(expected + 1), F.lit(MIN_SHARE * n_toxic))
+    chosen = (counted.where(surprising & (ratio >= MIN_RATIO))
               .orderBy((F.col("toxic") * F.log(ratio)).desc(), "feature").limit(MAX_FEATURES).collect())
     place = {r["feature"]: i for i, r in enumerate(chosen)}
     if not place or not n_toxic or not n_clean:
