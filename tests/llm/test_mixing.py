@@ -1,0 +1,101 @@
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from strata.llm import mixing
+from strata.session import ship_package
+from tests.llm.helpers import EDGE, docs, prose
+
+
+def shares(sizes):
+    """The contract's rule, step by step: sizes by source in order, weights 1, 2, 3."""
+    w, cap, total = np.array([1.0 + i % 3 for i in range(len(sizes))]), 3.0 * np.array(sizes), float(sum(sizes))
+    free = np.ones(len(sizes), dtype=bool)
+    while free.any():
+        level = (total - cap[~free].sum()) / w[free].sum()
+        over = free & (level * w > cap + 1e-9)
+        if not over.any():
+            break
+        free &= ~over
+    return np.where(free, (total - cap[~free].sum()) / max(w[free].sum(), 1e-9) * w, cap)
+
+
+def run(df):
+    documents, slots, pieces = mixing.mix(df)
+    return documents.collect(), slots, pieces
+
+
+@pytest.mark.parametrize("spread", [(2000, 2000, 2000, 2000), (50, 6000, 100, 3000), (9000, 10, 10, 10), (300, 1)])
+def test_targets_and_taken(spark, spread):
+    ship_package(spark)
+    rows = []
+    for s, words in enumerate(spread):
+        left, i = words, 0
+        while left:
+            n = min(left, 1 + (i * 37) % 90)
+            rows.append((len(rows), prose(len(rows), n), "en", f"s{s}"))
+            left, i = left - n, i + 1
+    got, slots, pieces = run(docs(spark, rows, clash=True))
+    want = dict(zip((f"s{s}" for s in range(len(spread))), shares(spread)))
+    assert len(got) == len(rows)
+    size = {i: len(t.split()) for i, t, *_ in rows}
+    for s in want:
+        own = [r for r in got if r.source == s]
+        assert {r.source_size for r in own} == {spread[int(s[1:])]}
+        assert own[0].target == pytest.approx(want[s], rel=1e-9)
+        assert sum(r.taken for r in own) == pytest.approx(want[s], abs=2 * mixing.BLOCK)
+    assert all(r.size == size[r.doc_id] and 0 <= r.taken <= 3 * r.size for r in got)
+    # taken is what the joined mix holds, piece by piece
+    held = {r.uid: r.n for r in mixing.mixture(slots, pieces).groupBy("uid").agg(F.sum(F.col("to") - F.col("from")).alias("n")).collect()}
+    assert {r.uid: r.taken for r in got if r.taken} == held
+
+
+def test_slots_permute_every_turn(spark):
+    per_source = spark.createDataFrame([("a", 1000, 1.0, 13, 39), (None, 5, 1.0, 1, 2), ("b", 99, 1.0, 700, 650), ("c", 0, 0.0, 0, 0)],
+                                       "source string, source_size long, target double, blocks long, n_draws long")
+    got = mixing.slots(per_source).collect()
+    for source, blocks, n in (("a", 13, 39), (None, 1, 2), ("b", 700, 650)):
+        own = [r for r in got if r.source == source]
+        assert sorted(r.slot for r in own) == list(range(n))
+        for turn in range(-(-n // blocks)):
+            used = [r.block for r in own if r.turn == turn]
+            assert len(set(used)) == len(used) == min(blocks, n - turn * blocks) and all(0 <= x < blocks for x in used)
+    b = [r.block for r in sorted((r for r in got if r.source == "b"), key=lambda r: r.slot)]
+    assert b != sorted(b)
+
+
+def test_draws_are_multinomial(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "SHARD_BLOCKS", 500)
+    per_source = spark.createDataFrame([("a", 1, 1.0, 9000, 9000), ("b", 1, 1.0, 30000, 21000)],
+                                       "source string, source_size long, target double, blocks long, n_draws long")
+    counts = mixing.draws(per_source).collect()
+    for source, n in (("a", 9000), ("b", 21000)):
+        own = [r.n for r in counts if r.source == source]
+        assert sum(own) == n and len(own) == 60
+        chi = sum((x - n / 60) ** 2 / (n / 60) for x in own)
+        assert 25 < chi < 110  # 59 degrees of freedom: neither uneven nor evened out
+
+
+def test_reruns_agree_and_layout_does_not_matter(spark):
+    rows = [(i, prose(i, 5 + i % 70), "en", f"s{i % 3}") for i in range(300)]
+    df = docs(spark, rows)
+    key = lambda got: sorted((r.doc_id, r.size, r.target, r.taken) for r in got)
+    one, two = mixing.mix_result(df).collect(), mixing.mix_result(df.repartition(7)).collect()
+    assert key(one) == key(two)
+
+
+def test_edges(spark):
+    rows = [*EDGE, (11, "a b c", "en", None), (12, "word " * 30_000, "en", "big"), (13, "\x0b\x0c  x  ", "en", "é")]
+    got = mixing.mix_result(docs(spark, rows, clash=True)).collect()
+    assert len(got) == len(rows)
+    by = {r.doc_id: r for r in got}
+    assert by[1].size == by[2].size == by[3].size == 0 and by[1].taken == 0 and by[12].size == 30_000 and by[13].size == 2
+    assert sum(r.target for r in {r.source_size: r for r in got}.values()) == pytest.approx(sum(r.size for r in got))
+    assert mixing.mix_result(docs(spark, [])).count() == 0
+    empty = mixing.mix_result(docs(spark, [(1, None), (2, "")])).collect()
+    assert [(r.target, r.taken) for r in empty] == [(0.0, 0)] * 2
+
+
+def test_no_python_in_the_plan(spark):
+    text = mixing.mix_result(docs(spark, [(1, "a b"), (2, "c d")]))._jdf.queryExecution().toString()
+    assert "Python" not in text and "Arrow" not in text
