@@ -22,13 +22,13 @@ from pyspark.sql.window import Window
 from strata.llm.common import stage
 
 #: Samples of a fingerprint, and samples worked out in one row of the plan.
-SAMPLES, PER_ROW = 64, 16
+SAMPLES, PER_ROW = 64, 8
 WORDS = r"[^\x20\x09-\x0D]+"
 TWO32 = float(1 << 32)
 
 
 def places(docs: DataFrame) -> DataFrame:
-    """(k, h, copies, n_chars, rank, total): the distinct (id, text) pairs in descending id
+    """(no_id, k, h, copies, n_chars, rank, total): the distinct (id, text) pairs in descending id
     order, nulls last, by text hash within an id.
 
     A range sort deals the rows out; ranks are positions in their partition plus the
@@ -44,11 +44,11 @@ def places(docs: DataFrame) -> DataFrame:
     total = Window.orderBy(F.lit(1)).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     offsets = stage(sizes.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"), F.sum("n").over(total).alias("total")), "cws-offsets")
     return numbered.withColumn("part", part).join(offsets, "part").select(
-        "k", "h", "copies", "n_chars", (F.col("offset") + F.col("mid").bitwiseAND((1 << 33) - 1)).alias("rank"), "total")
+        "no_id", "k", "h", "copies", "n_chars", (F.col("offset") + F.col("mid").bitwiseAND((1 << 33) - 1)).alias("rank"), "total")
 
 
 def successions(ranked: DataFrame) -> DataFrame:
-    """(k, h, copies, n_chars, next_k, next_h): every place and the one after it, the first
+    """(no_id, k, h, copies, n_chars, next_k, next_h): every place and the one after it, the first
     after the last."""
     follow = ranked.select(F.col("k").alias("next_k"), F.col("h").alias("next_h"), F.col("rank").alias("next_rank"))
     return ranked.withColumn("next_rank", (F.col("rank") + 1) % F.col("total")).join(follow, "next_rank").drop("next_rank", "rank", "total")
@@ -117,24 +117,26 @@ def fingerprint_documents(df: DataFrame, text: str = "text", id_col: str = "doc_
     last; one row follows itself; an empty table gives no rows; other columns are not read.
     """
     ids, body = F.col(f"`{id_col}`").cast("long"), F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
-    docs = df.select(ids.isNull().alias("no_id"), F.coalesce(ids, F.lit(0)).alias("k"), body.alias("text"))
-    docs = docs.select("no_id", "k", F.xxhash64("no_id", "text").alias("h"), "text", F.length("text").alias("n_chars"))
-    after = stage(successions(places(docs.drop("text"))), "cws-next")
+    key = F.xxhash64(ids.isNull(), body)
+    after = stage(successions(places(df.select(ids.isNull().alias("no_id"), F.coalesce(ids, F.lit(0)).alias("k"), key.alias("h"),
+                                               F.length(body).alias("n_chars")))), "cws-next")
 
-    # each text meets the key of the place before it, to which its beginning goes; copies meet it once
+    # each text meets the key of the place before it, to which its beginning goes; copies meet
+    # it once.  Every use of the texts takes the same three columns, so they are shuffled once.
+    docs = df.select(F.coalesce(ids, F.lit(0)).alias("k"), key.alias("h"), body.alias("text"))
     goes_to = after.select(F.col("k").alias("to_k"), F.col("h").alias("to_h"), F.expr("n_chars div 3").cast("int").alias("part"),
                            F.col("next_k").alias("k"), F.col("next_h").alias("h"))
     main = docs.join(goes_to, ["k", "h"]).dropDuplicates(["k", "h"])
     begins = main.select("to_k", "to_h", F.expr("substring(text, 1, part)").alias("begin")).withColumnsRenamed({"to_k": "k", "to_h": "h"})
-    cut = F.expr("substring(text, 1, n_chars - n_chars div 3)")
-    both = main.select("k", "h", "no_id", "n_chars", "text").join(begins, ["k", "h"]).select(
-        "k", "h", "no_id", "n_chars", "text", F.concat(cut, "begin").alias("edited"))
-    shas = both.select("k", "h", "no_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"))
-    prints = stage(shas.join(signatures(both.select("k", "h", "text", "edited")), ["k", "h"]), "cws-prints")
+    n = F.length("text")
+    both = main.select("k", "h", "text").join(begins, ["k", "h"]).select(
+        "k", "h", "text", F.concat(F.expr("substring(text, 1, length(text) - length(text) div 3)"), "begin").alias("edited"))
+    shas = both.select("k", "h", n.cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"))
+    prints = stage(shas.join(signatures(both), ["k", "h"]), "cws-prints")
 
     next_sig = prints.select(F.col("k").alias("next_k"), F.col("h").alias("next_h"), F.col("sig").alias("next_sig"))
-    out = (prints.join(after.select("k", "h", "copies", "next_k", "next_h"), ["k", "h"]).join(next_sig, ["next_k", "next_h"])
-           .select(F.when(~F.col("no_id"), F.col("k")).alias("doc_id"), F.col("n_chars").cast("long").alias("n_chars"), "edited_sha256",
+    out = (prints.join(after.select("k", "h", "no_id", "copies", "next_k", "next_h"), ["k", "h"]).join(next_sig, ["next_k", "next_h"])
+           .select(F.when(~F.col("no_id"), F.col("k")).alias("doc_id"), "n_chars", "edited_sha256",
                    text_of("sig").alias("fingerprint"), text_of("edited_sig").alias("edited_fingerprint"),
                    likeness("sig", "edited_sig").alias("near_edited"), likeness("sig", "next_sig").alias("near_next"), "copies"))
     return out.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).drop("copies", "copy")
