@@ -37,13 +37,15 @@ from strata.llm.count_tree import CountTree, needed
 from strata.llm.shingles import GROUPS, finish, group_counts, set_id, shingle_sets, signed
 
 #: Text bytes shingled at a time; slots of the frequency table and slots per row of it.
-BATCH_BYTES = 4_000_000
+BATCH_BYTES = 1_000_000
 SLOTS, SLOTS_PER_ROW = 1 << 20, 1 << 14
 #: Min-hashes of the first pass; bits of a bitmap; nodes of a block; nodes below which a
-#: shard is searched without a tree.
-HASHES, BITS, BLOCK, FEW = 4, 1 << 27, 512, 24
+#: shard is searched without a tree; keys gathered before they are sent on; keys of a part.
+HASHES, BITS, BLOCK, FEW, GATHER, PART_KEYS = 4, 1 << 27, 512, 24, 2_000_000, 500_000
 
-_SEEDS = finish(np.arange(1, HASHES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+_SEEDS = finish(np.arange(1, HASHES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
+
+NO_ID = -1
 
 DESCRIBED = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("node", pa.int64()), ("vector", pa.binary()),
                        ("hashes", pa.list_(pa.int64())), ("chunk", pa.int32()), ("counts", pa.binary())])
@@ -52,7 +54,10 @@ SETS = pa.schema([("node", pa.int64()), ("shingles", pa.binary())])
 
 
 def bodies(docs: DataFrame, text: str, id_col: str) -> DataFrame:
-    return docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("text"))
+    """doc_id, mark (the id, or NO_ID), text."""
+    ids = F.col(f"`{id_col}`").cast("long")
+    return docs.select(ids.alias("doc_id"), F.coalesce(ids, F.lit(NO_ID)).alias("mark"),
+                       F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("text"))
 
 
 def slot_of(shingles: np.ndarray) -> np.ndarray:
@@ -76,7 +81,7 @@ def describe(rows: DataFrame) -> DataFrame:
                 yield record_batch({
                     "doc_id": batch.column("doc_id").to_pylist(), "n": [len(s) for s in sets],
                     "node": [set_id(s) for s in sets], "vector": [group_counts(s).tobytes() for s in sets],
-                    "hashes": [[int(signed(finish(s ^ seed).min(keepdims=True))[0]) for seed in _SEEDS] if len(s) else [] for s in sets],
+                    "hashes": [signed(np.array([(s * seed).min() for seed in _SEEDS])).tolist() if len(s) else [] for s in sets],
                     "chunk": none, "counts": none}, DESCRIBED)
         for chunk in range(SLOTS // SLOTS_PER_ROW):
             part = counts[chunk * SLOTS_PER_ROW:(chunk + 1) * SLOTS_PER_ROW]
@@ -128,12 +133,12 @@ def prefix_keys(rows: DataFrame, levels: np.ndarray) -> DataFrame:
                 lists = pa.ListArray.from_arrays(pa.array(lengths, pa.int32()), pa.array(flat, pa.int64()))
                 yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), lists], schema=KEYS)
 
-    return stage(rows.mapInArrow(pick, "node bigint, keys array<bigint>"), "jaccard-keys")
+    return rows.mapInArrow(pick, "node bigint, keys array<bigint>")
 
 
 def bitmap(values: DataFrame) -> np.ndarray:
-    """Bits hash(value) mod BITS of the column ``value``: BITS / 8 bytes whatever the input."""
-    bit = F.pmod(F.xxhash64("value"), F.lit(BITS))
+    """Bits value mod BITS of the column ``value``: BITS / 8 bytes whatever the input."""
+    bit = F.pmod(F.col("value"), F.lit(BITS))
     words = (values.select(bit.alias("bit")).groupBy(F.expr("cast(bit div 32 as int)").alias("word"))
              .agg(F.expr("bit_or(shiftleft(1L, cast(bit % 32 as int)))").alias("bits"))).toArrow()
     out = np.zeros(BITS // 32, dtype=np.uint32)
@@ -141,24 +146,26 @@ def bitmap(values: DataFrame) -> np.ndarray:
     return out
 
 
+def hits(bits: np.ndarray, value: np.ndarray) -> np.ndarray:
+    bit = value % BITS
+    return ((bits[bit // 32] >> (bit % 32).astype(np.uint32)) & 1) == 1
+
+
 def marked(df: DataFrame, value: str, bits: np.ndarray) -> DataFrame:
     """The rows of ``df`` whose ``value`` may be among the bitmap's (some others pass too)."""
     shared = df.sparkSession.sparkContext.broadcast(bits)  # BITS / 8 bytes
-    hashed = df.withColumn("bit__", F.pmod(F.xxhash64(value), F.lit(BITS)))
 
     def keep(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
-            bit = batch.column("bit__").to_numpy()
-            hit = (shared.value[bit // 32] >> (bit % 32).astype(np.uint32)) & 1
-            yield batch.filter(pa.array(hit == 1))
+            yield batch.filter(pa.array(hits(shared.value, batch.column(value).to_numpy())))
 
-    return hashed.mapInArrow(keep, hashed.schema).drop("bit__")
+    return df.mapInArrow(keep, df.schema)
 
 
 def sets_of(rows: DataFrame, nodes: DataFrame, wanted: DataFrame) -> DataFrame:
     """(node, shingles) of the nodes in ``wanted`` (node), from one text of each."""
-    ids = nodes.join(wanted, "node", "left_semi").select(F.col("rep").alias("value"))
-    some = marked(rows, "doc_id", bitmap(ids))
+    ids = nodes.join(wanted, "node", "left_semi").select(F.col("mark").alias("value"))
+    some = marked(rows.select("mark", "text"), "mark", bitmap(ids))
 
     def read(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in it:
@@ -170,9 +177,25 @@ def sets_of(rows: DataFrame, nodes: DataFrame, wanted: DataFrame) -> DataFrame:
     return stage(found.join(wanted, "node", "left_semi").dropDuplicates(["node"]), "jaccard-sets")
 
 
+def bounded(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose sizes and counts per group allow a link."""
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def check(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in it:
+            m, n = batch.column("n_a").to_numpy(), batch.column("n_b").to_numpy()
+            v, w = (np.frombuffer(b"".join(batch.column(c).to_pylist()), dtype=np.uint32).reshape(-1, GROUPS) for c in ("v_a", "v_b"))
+            keep = np.minimum(v, w).sum(1, dtype=np.int64) >= needed(m, n)
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], schema=schema).filter(pa.array(keep))
+
+    point = lambda x: nodes.select(F.col("node").alias(x), F.col("n").alias(f"n_{x}"), F.col("vector").alias(f"v_{x}"))
+    near = pairs.join(point("a"), "a").join(point("b"), "b").where("5 * n_a >= 4 * n_b AND 5 * n_b >= 4 * n_a")
+    return near.mapInArrow(check, "a bigint, b bigint")
+
+
 def verify(pairs: DataFrame, rows: DataFrame, nodes: DataFrame) -> DataFrame:
     """The links among ``pairs`` (a, b): 100 * intersection >= 80 * union of their sets."""
-    pairs = stage(pairs, "jaccard-pairs")
+    pairs = stage(bounded(pairs, nodes), "jaccard-pairs")
     wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
     sets = sets_of(rows, nodes, wanted)
     left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("of_a"))
@@ -180,7 +203,7 @@ def verify(pairs: DataFrame, rows: DataFrame, nodes: DataFrame) -> DataFrame:
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def compare(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in it:
+        for batch in (part for whole in it for part in slices(whole, "of_a", BATCH_BYTES)):
             a, b, of_a, of_b = (batch.column(c).to_pylist() for c in ("a", "b", "of_a", "of_b"))
             out_a, out_b = [], []
             for x, y, sx, sy in zip(a, b, of_a, of_b, strict=True):
@@ -274,15 +297,100 @@ def candidates(shards: DataFrame) -> DataFrame:
     return shards.mapInArrow(search, "a bigint, b bigint").distinct()
 
 
+def part_of(keys: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray]:
+    """(part, rest): a key is known by its part and 32 more bits; keys that agree in both
+    are taken for one, which can only add candidates."""
+    k = keys.view(np.uint64) >> np.uint64(16)
+    return (k % np.uint64(parts)).astype(np.int64), ((k // np.uint64(parts)) & np.uint64(0xFFFFFFFF)).astype(np.int64)
+
+
+def contested_keys(keyed: DataFrame, parts: int) -> DataFrame:
+    """(key) that nodes of two components have, as part + parts * rest.
+
+    A task sends every (key, component) once, packed by part in nine bytes each (a
+    component by 40 bits of its label); a part is sorted and scanned as one array of
+    about PART_KEYS entries.  However many nodes a component has, it is one entry a task.
+    """
+    schema = pa.schema([("part", pa.int32()), ("rest", pa.binary()), ("label", pa.binary())])
+    found = pa.schema([("key", pa.int64())])
+
+    def pack(keys: list[np.ndarray], labels: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        part, rest = part_of(np.concatenate(keys), parts)
+        label = (np.concatenate(labels).view(np.uint64) & np.uint64(0xFFFFFFFFFF)).astype(np.int64)
+        order = np.lexsort((label, rest, part))
+        part, rest, label = part[order], rest[order], label[order]
+        new = np.ones(len(part), dtype=bool)
+        new[1:] = (part[1:] != part[:-1]) | (rest[1:] != rest[:-1]) | (label[1:] != label[:-1])
+        part, rest, label = part[new], rest[new], label[new]
+        cut = np.flatnonzero(np.diff(part, prepend=-1))
+        out: dict[str, list] = {"part": part[cut].tolist(), "rest": [], "label": []}
+        for a, b in zip(cut.tolist(), [*cut[1:].tolist(), len(part)]):
+            out["rest"].append(rest[a:b].astype(np.uint32).tobytes())
+            out["label"].append(label[a:b].astype(np.uint32).tobytes() + (label[a:b] >> 32).astype(np.uint8).tobytes())
+        yield record_batch(out, schema)
+
+    def send(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, labels, held = [], [], 0
+        for batch in it:
+            lists = batch.column("keys")
+            flat = lists.flatten().to_numpy()
+            keys.append(flat)
+            labels.append(np.repeat(batch.column("label").to_numpy(), np.diff(lists.offsets.to_numpy())))
+            held += len(flat)
+            if held >= GATHER:
+                yield from pack(keys, labels)
+                keys, labels, held = [], [], 0
+        if held:
+            yield from pack(keys, labels)
+
+    def scan(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rests: dict[int, list[np.ndarray]] = {}
+        labels: dict[int, list[np.ndarray]] = {}
+        for batch in it:
+            for part, rest, label in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                n = len(rest) // 4
+                rests.setdefault(part, []).append(np.frombuffer(rest, dtype=np.uint32))
+                labels.setdefault(part, []).append(np.frombuffer(label[:4 * n], dtype=np.uint32).astype(np.int64)
+                                                   | (np.frombuffer(label[4 * n:], dtype=np.uint8).astype(np.int64) << 32))
+        for part in rests:
+            rest, label = np.concatenate(rests[part]).astype(np.int64), np.concatenate(labels[part])
+            order = np.lexsort((label, rest))
+            rest, label = rest[order], label[order]
+            two = (rest[1:] == rest[:-1]) & (label[1:] != label[:-1])
+            yield record_batch({"key": np.unique(rest[1:][two]) * parts + part}, found)
+
+    packed = keyed.select("label", "keys").mapInArrow(send, "part int, rest binary, label binary")
+    return stage(packed.repartition("part").mapInArrow(scan, "key bigint"), "jaccard-contested")
+
+
+def postings_of(keyed: DataFrame, contested: DataFrame, parts: int) -> DataFrame:
+    """(key, node) of the contested keys; only keys that the bitmap marks leave the task."""
+    shared = keyed.sparkSession.sparkContext.broadcast(bitmap(contested.select(F.col("key").alias("value"))))  # BITS / 8 bytes
+    schema = pa.schema([("key", pa.int64()), ("node", pa.int64())])
+
+    def split(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in it:
+            lists = batch.column("keys")
+            part, rest = part_of(lists.flatten().to_numpy(), parts)
+            node = np.repeat(batch.column("node").to_numpy(), np.diff(lists.offsets.to_numpy()))
+            key = rest * parts + part
+            keep = hits(shared.value, key)
+            yield pa.RecordBatch.from_arrays([pa.array(key[keep]), pa.array(node[keep])], schema=schema)
+
+    some = keyed.select("node", "keys").mapInArrow(split, "key bigint, node bigint").distinct()
+    return stage(some.join(contested, "key", "left_semi"), "jaccard-postings")
+
+
 def second_pairs(rows: DataFrame, described: DataFrame, labelled: DataFrame) -> DataFrame:
     """(a, b): every pair of different components that prefixes, sizes and counts allow."""
-    keyed = stage(prefix_keys(rows, frequency_levels(described)).join(labelled.select("node", "label"), "node"), "jaccard-keyed")
-    single = keyed.select("node", "label", F.explode("keys").alias("key"))
-    contested = stage(single.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("rows"))
-                      .where("low <> high").select("key", F.ceil(F.col("rows") / BLOCK).cast("int").alias("blocks")), "jaccard-contested")
-    near = stage(marked(single, "key", bitmap(contested.select(F.col("key").alias("value")))).distinct(), "jaccard-postings")
-    postings = near.join(contested, "key").select("key", "blocks", "node")
-    full = postings.join(labelled, "node")
+    keys = prefix_keys(rows, frequency_levels(described))
+    keyed = stage(keys.join(labelled.select("node", "label"), "node"), "jaccard-keyed")
+    total = keyed.agg(F.sum(F.size("keys"))).first()[0] or 0
+    parts = max(16, total // PART_KEYS)
+    postings = postings_of(keyed, contested_keys(keyed, parts), parts)
+    hot = stage(postings.groupBy("key").agg(F.count("*").alias("rows")).where(F.col("rows") > BLOCK)
+                .select("key", F.ceil(F.col("rows") / BLOCK).cast("int").alias("more")), "jaccard-hot")
+    full = postings.join(hot, "key", "left").withColumn("blocks", F.coalesce("more", F.lit(1))).join(labelled, "node")
     own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     other = full.withColumn("own", own).select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
     shards = other.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
@@ -303,7 +411,8 @@ def jaccard_components(docs: DataFrame, text: str = "text", id_col: str = "doc_i
     rows = bodies(docs, text, id_col)
     described = describe(rows)
     texts = described.where(F.col("chunk").isNull() & (F.col("n") > 0))
-    nodes = stage(texts.groupBy("node", "n", "hashes", "vector").agg(F.min("doc_id").alias("rep")), "jaccard-nodes")
+    nodes = stage(texts.groupBy("node", "n", "hashes", "vector").agg(
+        F.min("doc_id").alias("rep"), F.min(F.coalesce("doc_id", F.lit(NO_ID))).alias("mark")), "jaccard-nodes")
 
     links = verify(first_pairs(nodes), rows, nodes)
     first = components(links).select("node", F.col("label").alias("found"))
@@ -332,14 +441,13 @@ def keep_one_each(docs: DataFrame, text: str = "text", id_col: str = "doc_id") -
                  .where("kept = 0").select(F.col("doc_id").alias("gone")), "jaccard-gone")
     bits = docs.sparkSession.sparkContext.broadcast(bitmap(gone.select(F.col("gone").alias("value"))))  # BITS / 8 bytes
     ids = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
-                      F.pmod(F.xxhash64(F.col(f"`{id_col}`").cast("long")), F.lit(BITS)).alias("bit"))
+                      F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(NO_ID)).alias("mark"))
 
     def flag(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
-            bit = batch.column("bit").to_numpy()
-            hit = (bits.value[bit // 32] >> (bit % 32).astype(np.uint32)) & 1
-            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(hit.astype(np.int64))], names=["row", "bit"])
+            hit = hits(bits.value, batch.column("mark").to_numpy()).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(hit)], names=["row", "mark"])
 
     flagged = ids.mapInArrow(flag, ids.schema)
-    checked = flagged.where("bit = 1").join(gone, F.col("row")[id_col].cast("long") == F.col("gone"), "left_anti")
-    return flagged.where("bit = 0").unionByName(checked).select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
+    checked = flagged.where("mark = 1").join(gone, F.col("row")[id_col].cast("long") == F.col("gone"), "left_anti")
+    return flagged.where("mark = 0").unionByName(checked).select(*[F.col("row").getField(c).alias(c) for c in docs.columns])

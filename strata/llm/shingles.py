@@ -11,16 +11,6 @@ K = 5
 GROUPS = 64
 
 _MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63], dtype=np.uint64)
-_MEMORY = 300_000
-
-
-class _WordHashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
-
-
-_hashes = _WordHashes()
 
 
 def finish(h: np.ndarray) -> np.ndarray:
@@ -32,34 +22,60 @@ def finish(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(33))
 
 
+# A word's hash is the sum of TABLE[byte] * BASE ** place, modulo 2 ** 64, then spread.
+_TABLE = finish(np.arange(1, 257, dtype=np.uint64) * _MIX[0])
+_BASE = 0x5851F42D4C957F2D
+_BASE_INVERSE = pow(_BASE, -1, 1 << 64)
+_SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+_powers: dict[int, np.ndarray] = {}
+
+
+def powers(base: int, n: int) -> np.ndarray:
+    """base ** 0 .. base ** (n - 1) modulo 2 ** 64 (kept by the worker)."""
+    if base not in _powers or len(_powers[base]) < n:
+        steps = np.full(max(n, 1 << 20), base, dtype=np.uint64)
+        steps[0] = 1
+        _powers[base] = np.cumprod(steps, dtype=np.uint64)
+    return _powers[base][:n]
+
+
+def word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes of all words in turn, words per text)."""
+    bodies = [t.encode("utf-8", "surrogatepass") for t in texts]
+    data = np.frombuffer(b"\n".join([*bodies, b""]).lower(), dtype=np.uint8)
+    space = np.concatenate(([True], _SPACE[data]))
+    edge = space[1:] != space[:-1]
+    starts, ends = np.flatnonzero(edge & ~space[1:]), np.flatnonzero(edge & space[1:])
+    sums = np.zeros(len(data) + 1, dtype=np.uint64)
+    np.cumsum(_TABLE[data] * powers(_BASE, len(data)), out=sums[1:])
+    hashes = finish((sums[ends] - sums[starts]) * powers(_BASE_INVERSE, len(data))[starts])
+    offsets = np.cumsum([0, *(len(b) + 1 for b in bodies)])
+    return hashes, np.diff(np.searchsorted(starts, offsets))
+
+
 def shingle_sets(texts: list[str]) -> list[np.ndarray]:
     """Per text the sorted distinct 64-bit hashes of its K-word shingles.
 
-    Words are runs of anything but space and U+0009 to U+000D, with A-Z in lower case
-    (bytes.lower and bytes.split do exactly that).  Fewer than K words are one shingle;
-    no words, none.
+    Words are runs of anything but space and U+0009 to U+000D, with A-Z in lower case.
+    Fewer than K words are one shingle; no words, none.
     """
-    docs = [t.encode("utf-8", "surrogatepass").lower().split() for t in texts]
-    if len(_hashes) > _MEMORY:
-        _hashes.clear()
-    ends = np.cumsum([len(d) for d in docs])
-    total = int(ends[-1]) if docs else 0
-    w = np.fromiter((_hashes[x] for d in docs for x in d), dtype=np.uint64, count=total)
     with np.errstate(over="ignore"):
-        rolled = np.zeros(max(total - K + 1, 0), dtype=np.uint64)
+        w, lengths = word_hashes(texts)
+        rolled = np.zeros(max(len(w) - K + 1, 0), dtype=np.uint64)
         for j in range(K):
             rolled += w[j:len(rolled) + j] * _MIX[j]
         rolled = finish(rolled)
-        out = []
-        for end, d in zip(ends.tolist(), docs):
-            start = end - len(d)
-            if len(d) >= K:
-                out.append(np.unique(rolled[start:end - K + 1]))
-            elif d:
-                short = (w[start:end] * _MIX[:len(d)]).sum(dtype=np.uint64) + np.uint64(len(d))
+        out, start = [], 0
+        for n in lengths.tolist():
+            if n >= K:
+                s = np.sort(rolled[start:start + n - K + 1])
+                out.append(s[np.concatenate(([True], s[1:] != s[:-1]))])
+            elif n:
+                short = (w[start:start + n] * _MIX[:n]).sum(dtype=np.uint64) + np.uint64(n)
                 out.append(finish(np.array([short], dtype=np.uint64)))
             else:
                 out.append(np.zeros(0, dtype=np.uint64))
+            start += n
     return out
 
 

@@ -72,6 +72,8 @@ def result(df):
 
 def test_equals_all_pairs(ready):
     rows = fixture() + [*EDGE, (900, "a b c d"), (901, "A b\tC d"), (902, "a b c"), (903, prose(3, 8000)), (904, prose(3, 7990) + " tail" * 8)]
+    base = prose(77, 50).split()  # a chain whose middle link has no id
+    rows += [(910, " ".join(base)), (None, " ".join(base[2:])), (911, " ".join(base[5:]))]
     assert result(jac.jaccard_components(docs(ready, rows, clash=True))) == brute(rows)
 
 
