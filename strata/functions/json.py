@@ -27,8 +27,9 @@ def json_string(v: Column | str, path: str = "$") -> Column:
 
 
 def json_value(v: Column | str, path: str, type_: str) -> Column:
-    """Value at ``path`` cast to ``type_`` (null when it does not convert)."""
-    return F.try_variant_get(_c(v), path, type_)
+    """Text of the value at ``path`` cast to ``type_`` (null when it does not convert:
+    JSON ``true`` is no number)."""
+    return F.try_variant_get(_c(v), path, "string").try_cast(type_)
 
 
 def json_doc(v: Column | str, path: str) -> Column:

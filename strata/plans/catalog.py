@@ -37,7 +37,7 @@ def professional_roles(docs: DataFrame, order: bool = True) -> DataFrame:
     their text, instead of failing the job.
     """
     rows = explode_path(docs, [("categories", "cat"), ("cat.roles", "role")])
-    out = rows.select(
+    out = rows.select(  # output column names (fixed values)
         F.col("cat.id").alias("category_id"), F.col("cat.name").alias("category_name"),
         F.col("role.id").alias("role_id"), F.col("role.name").alias("role_name"),
         F.col("role.accept_incomplete_resumes").alias("accept_incomplete_resumes"),

@@ -4,17 +4,18 @@ The flatten operators take documents; the driver ships flat tables.  These
 builders nest the tables back into the document shapes of the raw layer, so the
 flat SQL over the same tables is the oracle of each flatten query.
 
-Every nested list is bounded, whatever the data's skew: line items are nested in
-chunks of at most ``CHUNK`` per list (by their rank within the order), and lists
-of orders are paged at most ``PAGE`` orders per document (by order key).  A hot
-order therefore never becomes one giant array.  The rank itself is a window over
-the order: the rows of a hot order are sorted (and spill) in one task, never
-collected; that exact rank is what lets the DuckDB oracle rebuild the same chunks.
+Every nested list is bounded, whatever the data's skew: line items are nested by
+blocks of ``CHUNK`` line numbers, and lists of orders are paged at most ``PAGE``
+orders per document (by order key).  The block is arithmetic on the line number, so
+a hot order is spread over as many groups as it has blocks, and nothing is ranked or
+sorted.  The flat result doesn't depend on the blocks.  A posting's roles are the
+distinct (status, flag) pairs of its order, a list bounded by that domain, so every
+order is one posting whatever its size.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.sources.tables import read_table
@@ -25,13 +26,11 @@ PAGE = 100
 
 
 def _lines(spark: SparkSession, sf_dir: str, cols: list[str]) -> DataFrame:
-    """Line items with ``chunk`` = rank within the order (by line number, then the
-    other columns used) div CHUNK.  The rank is a window sort partitioned by order,
-    which spills instead of holding a hot order in memory; the later grouping by
-    (order, chunk) reuses that partitioning, so nesting costs one shuffle."""
+    """Line items with ``chunk`` = (line number - 1) div CHUNK (0 without a number).
+
+    The later grouping by (order, chunk) is the only shuffle."""
     df = read_table(spark, sf_dir, "lineitem", ["l_orderkey", "l_linenumber", *cols])
-    rank = F.row_number().over(Window.partitionBy("l_orderkey").orderBy("l_linenumber", *cols))
-    return df.withColumn("chunk", F.floor((rank - 1) / CHUNK).cast("int"))
+    return df.withColumn("chunk", F.coalesce(F.floor((F.col("l_linenumber") - 1) / CHUNK), F.lit(0)).cast("int"))
 
 
 def _chunk_lists(lines: DataFrame, item: Column, extra: list[Column] = ()) -> DataFrame:
@@ -88,14 +87,16 @@ def rate_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def posting_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Posting pages: a JSON array of postings per (order page, line chunk).
+    """Posting pages: a JSON array of postings per order page.
 
     A posting is an order with its customer as ``employer``, the customer's nation
-    as ``area``, a ``salary`` unless the order is pending, offset timestamps, and
-    its line items as ``professional_roles`` (absent when the order has no lines).
+    as ``area``, a ``salary`` unless the order is pending, offset timestamps, and the
+    distinct (line status, return flag) pairs of its lines as ``professional_roles``
+    (absent when the order has no lines).
     """
-    role = F.struct(F.col("l_linenumber").cast("string").alias("id"), F.col("l_returnflag").alias("name"))
-    chunks = _chunk_lists(_lines(spark, sf_dir, ["l_returnflag"]), role)
+    role = F.struct(F.col("l_linestatus").alias("id"), F.col("l_returnflag").alias("name"))
+    roles = (read_table(spark, sf_dir, "lineitem", ["l_orderkey", "l_linestatus", "l_returnflag"])
+             .groupBy("l_orderkey").agg(F.sort_array(F.collect_set(role)).alias("items")))
     orders = read_table(spark, sf_dir, "orders",
                         ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate",
                          "o_orderpriority"])
@@ -104,8 +105,8 @@ def posting_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     ref = lambda i, n: F.struct(F.col(i).cast("string").alias("id"), F.col(n).alias("name"))
     local = F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss")
     salary = F.when(F.col("o_orderstatus") != "P", F.struct(
-        F.floor(F.col("o_totalprice") / 100).cast("int").alias("from"),
-        F.floor(F.col("o_totalprice") / 10).cast("int").alias("to"),
+        F.floor(F.col("o_totalprice") / 100).cast("double").alias("from"),
+        F.floor(F.col("o_totalprice") / 10).cast("double").alias("to"),
         F.lit("USD").alias("currency"),
         (F.col("o_orderstatus") == "F").alias("gross")))
     posting = F.struct(
@@ -123,12 +124,22 @@ def posting_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     joined = (orders.join(customers, orders.o_custkey == customers.c_custkey, "left")
                     .join(nations, F.col("c_nationkey") == nations.n_nationkey, "left")
-                    .join(chunks, orders.o_orderkey == chunks.l_orderkey, "left"))
-    pages = (joined.groupBy(F.floor(F.col("o_orderkey") / PAGE).alias("page"), "chunk")
+                    .join(roles, orders.o_orderkey == roles.l_orderkey, "left"))
+    pages = (joined.groupBy(F.floor(F.col("o_orderkey") / PAGE).alias("page"))
                    .agg(F.collect_list(posting).alias("items")))
     return pages.select(F.to_json("items").alias("doc"))
 
 
+def industry_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups ``{id, name, industries: [{id, name}, ...]}``: an order and a block of its lines."""
+    item = F.struct(F.col("l_linenumber").cast("string").alias("id"), F.col("l_returnflag").alias("name"))
+    chunks = _chunk_lists(_lines(spark, sf_dir, ["l_returnflag"]), item)
+    orders = read_table(spark, sf_dir, "orders", ["o_orderkey", "o_orderpriority"])
+    return orders.join(chunks, orders.o_orderkey == chunks.l_orderkey, "left").select(F.to_json(F.struct(
+        F.col("o_orderkey").cast("string").alias("id"), F.col("o_orderpriority").alias("name"),
+        F.col("items").alias("industries"))).alias("doc"))
+
+
 def _line_node(with_children: Column) -> Column:
     ship = F.struct(
         F.concat(F.lit("s"), F.col("l_orderkey").cast("string"), F.lit("-"),

@@ -32,14 +32,13 @@ STREAMED = f"""
 """
 
 def _pivot(metric: str, how: str) -> str:
-    # DuckDB's PIVOT takes its columns from the data, as the Spark side does.
     # DuckDB sums integers to HUGEINT; Spark keeps BIGINT.
-    cell = f"CAST(sum({metric}) AS BIGINT)" if how == "sum" else f"{how}({metric})"
+    cell = f"{how}({metric}) FILTER (WHERE event_type = '{{t}}')"
+    cell = f"CAST({cell} AS BIGINT)" if how == "sum" else cell
+    cells = ", ".join(f"{cell.format(t=t)} AS {t}" for t in ("click", "error", "purchase", "signup", "view"))
     return f"""
     WITH m AS ({METRICS})
-    SELECT * FROM (
-        PIVOT (SELECT window_end, event_type, {metric} FROM m)
-        ON event_type USING {cell} GROUP BY window_end)
+    SELECT window_end, {cells} FROM m GROUP BY window_end
 """
 
 
@@ -67,24 +66,25 @@ FLATTEN = {
                false                         AS search_deprecated
         FROM orders JOIN lineitem ON o_orderkey = l_orderkey
     """,
+    "q02_industries": """
+        SELECT CAST(o_orderkey AS VARCHAR) AS industry_group_id, o_orderpriority AS industry_group_name,
+               CAST(l_linenumber AS VARCHAR) AS industry_id, l_returnflag AS industry_name
+        FROM orders JOIN lineitem ON o_orderkey = l_orderkey
+    """,
     "q03_project": """
         SELECT CAST(c_custkey AS VARCHAR) AS id, c_name AS name, c_mktsegment AS uid FROM customer
     """,
     "q04_posting_fields": """
-        WITH ranked AS (
-            SELECT *, (row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_returnflag) - 1)
-                      // 64 AS chunk
-            FROM lineitem),
-        lc AS (
-            SELECT l_orderkey, chunk,
-                   string_agg(CAST(l_linenumber AS VARCHAR), ',' ORDER BY l_linenumber, l_returnflag) AS ids,
-                   string_agg(l_returnflag, ',' ORDER BY l_linenumber, l_returnflag) AS names
-            FROM ranked GROUP BY l_orderkey, chunk)
+        WITH lc AS (
+            SELECT l_orderkey,
+                   string_agg(l_linestatus, ',' ORDER BY l_linestatus, l_returnflag) AS ids,
+                   string_agg(l_returnflag, ',' ORDER BY l_linestatus, l_returnflag) AS names
+            FROM (SELECT DISTINCT l_orderkey, l_linestatus, l_returnflag FROM lineitem) GROUP BY l_orderkey)
         SELECT CAST(o_orderkey AS VARCHAR) AS id, o_orderpriority AS name,
                CAST(n_nationkey AS VARCHAR) AS area_id, n_name AS area_name,
                CAST(c_custkey AS VARCHAR) AS employer_id, c_name AS employer_name,
-               CASE WHEN o_orderstatus <> 'P' THEN CAST(floor(o_totalprice / 100) AS INTEGER) END AS salary_from,
-               CASE WHEN o_orderstatus <> 'P' THEN CAST(floor(o_totalprice / 10) AS INTEGER) END AS salary_to,
+               CASE WHEN o_orderstatus <> 'P' THEN floor(o_totalprice / 100) END AS salary_from,
+               CASE WHEN o_orderstatus <> 'P' THEN floor(o_totalprice / 10) END AS salary_to,
                CASE WHEN o_orderstatus <> 'P' THEN 'USD' END AS salary_currency,
                CASE WHEN o_orderstatus <> 'P' THEN o_orderstatus = 'F' END AS salary_gross,
                c_mktsegment AS experience_id, c_mktsegment AS experience_name,
@@ -150,7 +150,10 @@ def oracle_sql() -> dict[str, str]:
         """,
         "q11_hop_stream": STREAMED,
         "q11_hop_stream_sliced": STREAMED,
+        "q11_hop_stream_dirty": STREAMED,
         "q13_metrics_load": METRICS,
+        "q13_metrics_dirty": METRICS,
+        "q13_listed_types": "SELECT DISTINCT event_type FROM events WHERE ts IS NOT NULL AND event_type IS NOT NULL",
         "q14_recent": f"""
             WITH m AS ({METRICS})
             SELECT * FROM m

@@ -11,7 +11,7 @@ from strata.operators.flatten import pluck, project_fields
 _REF = "struct<id: string, name: string>"
 SCHEMA = (
     f"id string, name string, area {_REF}, employer {_REF}, "
-    "salary struct<`from`: int, `to`: int, currency: string, gross: boolean>, "
+    "salary struct<`from`: double, `to`: double, currency: string, gross: boolean>, "
     f"experience {_REF}, employment {_REF}, schedule {_REF}, type {_REF}, "
     "published_at string, created_at string, alternate_url string, "
     f"professional_roles array<{_REF}>"
@@ -26,6 +26,7 @@ def vacancies(items: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     two parallel arrays of ids and names (null list → null arrays).  ``keep``
     columns (e.g. partition keys) are passed through unchanged.
     """
+    # output column names (fixed values)
     fields: dict = {"id": "id", "name": "name"}
     for ref in ("area", "employer"):
         fields[f"{ref}_id"], fields[f"{ref}_name"] = f"{ref}.id", f"{ref}.name"

@@ -8,6 +8,7 @@ The matching DuckDB SQL for the correctness gate is in :mod:`strata.plans.oracle
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -22,6 +23,7 @@ from strata.sinks.layout import processed_dir, processed_root, raw_dir
 from strata.sinks.writers import land_raw, write_keys, write_partition
 from strata.sources.documents import JSON_TIME_OPTIONS, json_docs, parse_docs
 from strata.sources import paged
+from strata.sources.files import list_files, path_value
 from strata.sources.metric_files import load_metrics
 from strata.sources.tables import read_table
 from strata.streaming import events as S
@@ -33,27 +35,23 @@ WINDOW_SIZE = "1 minute"
 WINDOW_SLIDE = "10 seconds"
 LOOKBACK_HOURS = 4
 PAGE_SIZE = 100
-# Upper bound on a bounded (available-now) stream drain in a query, seconds.
-STREAM_TIMEOUT_S = 900
+# Columns of the dashboard's pivots (fixed values).
+EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, sf_dir, "events", ["ts", "event_type", "value"])
 
 
-def _metrics(spark: SparkSession, sf_dir: str, method: str = "direct") -> DataFrame:
+def _metrics(spark: SparkSession, sf_dir: str, method: str = "sliced") -> DataFrame:
     pin_utc(spark)
-    raw = hop_metrics(_events(spark, sf_dir), "ts", "event_type", "value",
-                      WINDOW_SIZE, WINDOW_SLIDE, method=method)
-    return M.round_metrics(raw)
+    return _rounded(_events(spark, sf_dir), method)
 
 
-def _event_types(spark: SparkSession, sf_dir: str) -> list[str]:
-    # Pivot columns: the distinct event types that have windows (events with a time),
-    # read off two pruned columns.
-    ev = read_table(spark, sf_dir, "events", ["ts", "event_type"])
-    rows = ev.where(F.col("ts").isNotNull()).select("event_type").distinct().collect()
-    return sorted(r[0] for r in rows if r[0] is not None)
+def _rounded(events: DataFrame, method: str = "sliced") -> DataFrame:
+    raw = hop_metrics(events, "ts", "event_type", "value",
+                      WINDOW_SIZE, WINDOW_SLIDE, method=method)
+    return M.round_metrics(raw)
 
 
 # Day of the full-refresh runs (fixed value; a job's day is always an argument).
@@ -65,7 +63,7 @@ RUN_DAY = "2024-02-01"
 def q01_entries_explode(spark, sf_dir):
     """Object with data-dependent keys → (key, value) rows: ``events.props``."""
     ev = read_table(spark, sf_dir, "events", ["event_id", "props"])
-    parsed = ev.select("event_id", F.from_json("props", "map<string,string>").alias("props"))
+    parsed = ev.select("event_id", F.from_json("props", "map<string,string>", {"mode": "FAILFAST"}).alias("props"))
     return explode_entries(parsed, "props", "prop_key", "prop_value", keep=["event_id"])
 
 
@@ -82,6 +80,11 @@ def q02_nested_lists(spark, sf_dir):
     return catalog.professional_roles(docs)
 
 
+def q02_industries(spark, sf_dir):
+    """Groups → industries: one unnest that keeps the group's columns."""
+    return catalog.industries(parse_docs(documents.industry_groups(spark, sf_dir), "doc", catalog.INDUSTRIES_SCHEMA))
+
+
 def q03_project(spark, sf_dir):
     """Land a flat dictionary in the raw layer as JSON lines, read it back, project."""
     root = new_scratch(spark, "q03")
@@ -161,14 +164,40 @@ def q11_hop_stream(spark, sf_dir, method: str = "direct"):
     query = S.start_metrics_stream(S.text_stream(spark, f"{root}/inbox"), f"{root}/sink",
                                    f"{root}/checkpoint", available_now=True, method=method)
     try:
-        if not query.awaitTermination(STREAM_TIMEOUT_S):
-            raise TimeoutError(f"stream did not drain within {STREAM_TIMEOUT_S}s")
+        query.awaitTermination()
     finally:
         if query.isActive:
             query.stop()
     return load_metrics(spark, f"{root}/sink", sink_log=True)
 
 
+def q11_hop_stream_dirty(spark, sf_dir):
+    """q11 in four runs of one checkpoint: three landings in time order, then one of late
+    copies, broken lines and events without a time, none of which may change a window."""
+    pin_utc(spark)
+    root = new_scratch(spark, "q11-dirty")
+    events = read_table(spark, sf_dir, "events", ["ts", "event_type", "user_id", "value"])
+    first, last = events.agg(F.min("ts"), F.max("ts")).first()
+    span = (last - first) / 3 if last else timedelta(0)
+    cuts = [first + span, first + 2 * span] if last else [datetime(2000, 1, 1)] * 2
+    low, high = (F.lit(c).cast("timestamp_ntz") for c in cuts)
+    early = events.where(F.col("ts") < low)
+    broken = early.select(F.explode(F.array(F.lit("{\"event_type\": "), F.lit("not json"), F.lit(""))).alias("value"))
+    landings = [S.event_lines(early), S.event_lines(events.where((F.col("ts") >= low) & (F.col("ts") < high))),
+                S.event_lines(events.where(F.col("ts") >= high)),
+                S.event_lines(early.withColumn("value", F.col("value") + 1))
+                .unionByName(S.event_lines(early.withColumn("ts", F.lit(None).cast("timestamp_ntz")))).unionByName(broken)]
+    for lines in landings:
+        lines.write.mode("append").text(f"{root}/inbox")
+        query = S.start_metrics_stream(S.text_stream(spark, f"{root}/inbox"), f"{root}/sink", f"{root}/checkpoint", available_now=True)
+        try:
+            query.awaitTermination()
+        finally:
+            if query.isActive:
+                query.stop()
+    return load_metrics(spark, f"{root}/sink", sink_log=True)
+
+
 def q11_hop_stream_sliced(spark, sf_dir):
     """q11 with the sliced plan: two chained stateful aggregations under one watermark."""
     return q11_hop_stream(spark, sf_dir, method="sliced")
@@ -194,23 +223,58 @@ def q13_metrics_load(spark, sf_dir):
     """Metrics written in the sink layout (JSON by event_type) and loaded back."""
     pin_utc(spark)
     root = new_scratch(spark, "q13")
-    raw = hop_metrics(_events(spark, sf_dir), "ts", "event_type", "value", WINDOW_SIZE, WINDOW_SLIDE)
+    raw = hop_metrics(_events(spark, sf_dir), "ts", "event_type", "value", WINDOW_SIZE, WINDOW_SLIDE, method="sliced")
     S.write_metric_files(raw, root)
     return load_metrics(spark, root)
 
 
+def q13_metrics_dirty(spark, sf_dir):
+    """The same files with, for every metric row, a blank line, a cut-off line and a line
+    whose count is no number beside it: the clean rows and nothing else come back."""
+    pin_utc(spark)
+    root = new_scratch(spark, "q13-dirty")
+    raw = hop_metrics(_events(spark, sf_dir), "ts", "event_type", "value", WINDOW_SIZE, WINDOW_SLIDE, method="sliced")
+    line = F.to_json(F.struct("window_start", "window_end", "cnt", "total", "avg_value"),
+                     {"timestampNTZFormat": S.SINK_TIME_FORMAT, "ignoreNullFields": "false"})
+    dirty = raw.select("event_type", F.explode(F.array(
+        line, F.lit(""), F.expr("'  '"), F.substring(line, 1, 40), F.regexp_replace(line, '"cnt":', '"cnt":"x"+'))).alias("value"))
+    dirty.write.mode("overwrite").partitionBy("event_type").text(root)
+    return load_metrics(spark, root)
+
+
+def q13_listed_types(spark, sf_dir):
+    """Event types as the names of the metric files' folders tell them (no file is opened)."""
+    pin_utc(spark)
+    root = new_scratch(spark, "q13-listed")
+    S.write_metric_files(hop_metrics(_events(spark, sf_dir), "ts", "event_type", "value", WINDOW_SIZE, WINDOW_SLIDE,
+                                     method="sliced"), root)
+    files = list_files(spark, root)
+    return files.select(path_value("path", "event_type").alias("event_type")).distinct()
+
+
 def q14_recent(spark, sf_dir):
-    # The metric table is checkpointed once: the window aggregation over the events
-    # then runs once instead of once for the cut-off and once for the rows.
-    return M.recent(_metrics(spark, sf_dir), LOOKBACK_HOURS, materialise=True)
+    """The look-back is known from the latest event alone, so only its events are read.
+
+    The latest window starts at that event's slide and ends a size later; a window that
+    ends within the look-back of it holds no event from before its own start.
+    """
+    pin_utc(spark)
+    events = _events(spark, sf_dir)
+    latest = events.agg(F.max("ts").cast("timestamp_ntz")).first()[0]
+    if latest is None:
+        return _rounded(events)
+    start = latest.replace(microsecond=0) - timedelta(seconds=latest.second % 10)
+    cut = start + timedelta(seconds=60) - timedelta(hours=LOOKBACK_HOURS)
+    needed = events.where(F.col("ts") >= F.lit(cut - timedelta(seconds=60)).cast("timestamp_ntz"))
+    return _rounded(needed).where(F.col("window_end") >= F.lit(cut).cast("timestamp_ntz"))
 
 
 def q15_pivot_cnt(spark, sf_dir):
-    return M.pivot_metric(_metrics(spark, sf_dir), "cnt", "sum", _event_types(spark, sf_dir))
+    return M.pivot_metric(_metrics(spark, sf_dir), "cnt", "sum", EVENT_TYPES)
 
 
 def q15_pivot_avg(spark, sf_dir):
-    return M.pivot_metric(_metrics(spark, sf_dir), "avg_value", "mean", _event_types(spark, sf_dir))
+    return M.pivot_metric(_metrics(spark, sf_dir), "avg_value", "mean", EVENT_TYPES)
 
 
 def q16_totals(spark, sf_dir):
@@ -229,6 +293,8 @@ def q18_latest(spark, sf_dir):
 
 # Items per page of the paged API (fixed value, the remote default).
 PER_PAGE = 100
+# Rows of a bucket in which events are ranked to number their pages.
+BUCKET_ROWS = 10_000
 EVENT_COLUMNS = ["event_id", "ts", "user_id", "event_type", "value", "props"]
 
 
@@ -236,11 +302,20 @@ def _landed_pages(spark, sf_dir, root):
     """Serve ``events`` as a paged API: per (event_type, day) pages of PER_PAGE items,
     each page body ``{"items": [...], "pages": N, "page": n}``, landed by Spark."""
     ev = read_table(spark, sf_dir, "events", EVENT_COLUMNS).withColumn("dt", F.to_date("ts"))
-    unit = Window.partitionBy("event_type", "dt")
-    ranked = ev.withColumn("page", F.floor((F.row_number().over(unit.orderBy("event_id")) - 1) / PER_PAGE))
-    pages = ranked.groupBy("event_type", "dt", "page").agg(
+    # Pages are numbered in two levels, so no task ranks a whole (type, day): rows are
+    # ranked in buckets of bounded size, and a bucket's first page follows from page counts.
+    buckets = max(1, -(-ev.count() // BUCKET_ROWS))
+    unit, cell = ["event_type", "dt"], ["event_type", "dt", "bucket"]
+    dealt = ev.withColumn("bucket", F.pmod(F.xxhash64("event_id"), F.lit(buckets)))
+    ranked = dealt.withColumn("local", F.floor((F.row_number().over(Window.partitionBy(*cell).orderBy("event_id")) - 1) / PER_PAGE))
+    counts = dealt.groupBy(*cell).agg(F.ceil(F.count(F.lit(1)) / PER_PAGE).alias("n")).select(
+        *[F.col(c).alias(f"at_{c}") for c in cell],
+        (F.sum("n").over(Window.partitionBy(*unit).orderBy("bucket")) - F.col("n")).alias("first"),
+        F.sum("n").over(Window.partitionBy(*unit)).alias("pages"))
+    same = [F.col(c).eqNullSafe(F.col(f"at_{c}")) for c in cell]
+    placed = ranked.join(counts, same).withColumn("page", F.col("first") + F.col("local"))
+    pages = placed.groupBy("event_type", "dt", "page", "pages").agg(
         F.collect_list(F.struct(*EVENT_COLUMNS)).alias("items"))
-    pages = pages.withColumn("pages", F.max("page").over(unit) + 1)
     body = F.to_json(F.struct("items", "pages", "page"), JSON_TIME_OPTIONS)
     pages.select("event_type", "dt", "page", body.alias("body")) \
          .write.mode("overwrite").partitionBy("event_type", "dt").parquet(root)
@@ -308,6 +383,7 @@ def queries() -> dict[str, Query]:
         "q01_entries_explode": q01_entries_explode,
         "q01_rates": q01_rates,
         "q02_nested_lists": q02_nested_lists,
+        "q02_industries": q02_industries,
         "q03_project": q03_project,
         "q04_posting_fields": q04_posting_fields,
         "q05_tree": q05_tree,
@@ -318,8 +394,11 @@ def queries() -> dict[str, Query]:
         "q10_hop_sliced": q10_hop_sliced,
         "q11_hop_stream": q11_hop_stream,
         "q11_hop_stream_sliced": q11_hop_stream_sliced,
+        "q11_hop_stream_dirty": q11_hop_stream_dirty,
         "q12_metrics_dedupe": q12_metrics_dedupe,
         "q13_metrics_load": q13_metrics_load,
+        "q13_metrics_dirty": q13_metrics_dirty,
+        "q13_listed_types": q13_listed_types,
         "q14_recent": q14_recent,
         "q15_pivot_cnt": q15_pivot_cnt,
         "q15_pivot_avg": q15_pivot_avg,

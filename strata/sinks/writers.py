@@ -10,8 +10,11 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from strata.sinks.layout import partition_path
 
@@ -70,15 +73,14 @@ def write_keys(df: DataFrame, base: str, keys: Sequence[str], requested: DataFra
       several tasks and packs small ones together), giving few files per key
       without pinning a hot key to one task.
     """
-    spark = df.sparkSession
-    if requested is not None:
-        present = df.select(*keys).distinct()
-        missing = requested.select(*keys).distinct().join(present, list(keys), "left_anti").collect()
-        delete_paths(spark, [partition_path(base, r.asDict()) for r in missing],
-                     empty_like=df.drop(*keys), fmt=fmt)
     (df.hint("rebalance", *keys)
        .write.mode("overwrite")
        .option("partitionOverwriteMode", "dynamic")
        .partitionBy(*keys)
        .format(fmt)
        .save(base))
+    if requested is not None:  # null keys are keys; what is cleared goes only after the write has succeeded
+        asked, present = requested.select(*keys).distinct().alias("asked"), df.select(*keys).distinct().alias("present")
+        same = reduce(and_, [F.col(f"asked.{k}").eqNullSafe(F.col(f"present.{k}")) for k in keys])
+        for r in asked.join(present, same, "left_anti").toLocalIterator():
+            delete_paths(df.sparkSession, [partition_path(base, r.asDict())], empty_like=df.drop(*keys), fmt=fmt)

@@ -53,12 +53,14 @@ def parse_docs(df: DataFrame, text_col: str, schema: StructType | str,
     """Parse a text column of JSON documents with ``schema``.
 
     ``array=True`` reads each document as a top-level array of ``schema`` and gives
-    one row per element, as the file reader does for array documents.
+    one row per element, as the file reader does for array documents.  A malformed
+    document stops the job (``FAILFAST``) as it does in :func:`json_docs`.
     """
     s: DataType = _schema(schema)
+    strict = {"mode": "FAILFAST"}
     if array:
-        return df.select(F.explode(F.from_json(text_col, ArrayType(s))).alias("_doc")).select("_doc.*")
-    return df.select(F.from_json(text_col, s).alias("_doc")).select("_doc.*")
+        return df.select(F.explode(F.from_json(text_col, ArrayType(s), strict)).alias("_doc")).select("_doc.*")
+    return df.select(F.from_json(text_col, s, strict).alias("_doc")).select("_doc.*")
 
 
 def ndjson(spark: SparkSession, path: str, schema: StructType | str,

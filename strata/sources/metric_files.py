@@ -41,13 +41,16 @@ def metric_lines(spark: SparkSession, root: str, sink_log: bool = False, by_day:
     ``sink_log=True`` reads ``root`` itself, so for the output folder of a Spark
     file sink the commit log ``_spark_metadata`` decides which files exist.
     ``by_day`` reads the ``dt=<day>/event_type=<t>/`` layout; with ``since`` only the
-    folders of that day and later are listed and read (partition pruning).
+    folders of that day and later are listed and read (partition pruning).  Files that
+    vanish between listing and reading are skipped, except under ``sink_log``: a file
+    the log has committed must be there, and its loss fails the read.
     """
     root = root.rstrip("/")
     levels = "dt=*/event_type=*" if by_day else "event_type=*"
     path = root if sink_log else f"{root}/{levels}"
     schema = RAW_SCHEMA + (", dt date" if by_day else "")
-    lines = ndjson(spark, path, schema, base_path=None if sink_log else root, ignore_missing=True)
+    lines = ndjson(spark, path, schema, base_path=None if sink_log else root,
+                   ignore_missing=not sink_log)
     if since is not None:
         if not by_day:
             raise ValueError("since needs the by_day layout")

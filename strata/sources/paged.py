@@ -8,10 +8,13 @@ fan-out runs on executors instead of a process pool on one machine.
 Page loop per unit (``page = start_page, start_page + 1, ...``):
 * stop at an empty page, or after the last page when the payload says how many
   pages there are (``pages_key``);
-* a failing getter call is retried ``retries`` times with exponential back-off;
+* a getter call that fails for the moment (``TransientError``, a broken or timed-out
+  connection) is tried ``retries`` times with exponential back-off, waiting at least as
+  long as the error's ``retry_after`` asks; any other error stops the read at once;
 * ``max_pages`` (default: none) caps the pages per unit.  A cap never drops rows
-  silently: every unit also yields one *report row* (``item`` null) with the pages
-  fetched and ``truncated = true`` when pages were left unread.
+  silently: every unit also yields *report rows* (``item`` null) with the pages
+  fetched and ``truncated = true`` when pages were left unread, by the cap or because a
+  page that should hold items came back empty; ``fetch_report`` adds them up per unit.
 
 Options (all strings):
     units         JSON list of [key, "YYYY-MM-DD"] pairs (the work grid)
@@ -31,7 +34,7 @@ fetched — the Spark form of the remote predicates (lazy reads, ``parallel_page
 The filters are still handed back to Spark, so results are exact either way.
 
 Hot units: ``read_paged(parallel_pages=True)`` (the default) fetches page 0 of every
-unit first and then spreads all further pages over the tasks, one fetch each.
+unit first and then spreads the further pages over the tasks as ranges of pages.
 """
 
 from __future__ import annotations
@@ -52,15 +55,27 @@ from pyspark.sql.datasource import (DataSource, DataSourceReader, EqualTo, Great
 from strata.session import default_parallelism, scratch_root, ship_package
 from strata.sinks.layout import partition_path
 
+class TransientError(Exception):
+    """A page can't be had now but may be later; ``retry_after``: seconds to wait at least."""
+
+    def __init__(self, message: str, retry_after: float | None = None):
+        super().__init__(message)
+        self.retry_after = retry_after
+
+
+TRANSIENT = (TransientError, ConnectionError, TimeoutError)
+# Answers that ask to come back later (fixed values).
+BUSY_STATUS = (429, 503)
+
 SCHEMA = ("key string, day date, page int, item string, "
           "pages_fetched int, truncated boolean, pages_total int")
 
 
 class _Units(InputPartition):
-    """Work items of one task: ``[key, day, first_page, mode, fetched_before]``.
+    """Work items of one task, each ending in one report row:
 
-    mode ``all``: loop pages from ``first_page`` (items, then one report row);
-    mode ``one``: fetch exactly ``first_page`` (items only).
+    ``[key, day, first_page, "all", fetched_before]``: loop pages from ``first_page``;
+    ``[key, day, first_page, "range", last_page]``: fetch exactly those pages.
     """
 
     def __init__(self, units: list[list]):
@@ -95,10 +110,10 @@ class _PagedReader(DataSourceReader):
         for attempt in range(tries):
             try:
                 return get(key, day, page, self.params)
-            except Exception:
+            except TRANSIENT as exc:
                 if attempt == tries - 1:
                     raise
-                time.sleep(self.backoff * (2 ** attempt))
+                time.sleep(max(self.backoff * (2 ** attempt), getattr(exc, "retry_after", None) or 0.0))
 
     def _split(self, payload):
         if isinstance(payload, dict):
@@ -108,18 +123,24 @@ class _PagedReader(DataSourceReader):
 
     def read(self, partition: _Units) -> Iterator[tuple]:
         get = _resolve(self.getter)
-        for key, day, first, mode, fetched in partition.units:
+        for key, day, first, mode, number in partition.units:
             d = _dt.date.fromisoformat(day)
-            if mode == "one":
-                items, _ = self._split(self._fetch(get, key, day, first))
-                for item in items:
-                    yield (key, d, first, json.dumps(item, ensure_ascii=False), None, None, None)
+            if mode == "range":
+                held, missing = 0, False
+                for page in range(first, number + 1):
+                    items, _ = self._split(self._fetch(get, key, day, page))
+                    held, missing = held + bool(items), missing or not items
+                    for item in items:
+                        yield (key, d, page, json.dumps(item, ensure_ascii=False), None, None, None)
+                yield (key, d, None, None, held, missing, None)
                 continue
-            page, truncated, total = first, False, None
+            page, truncated, total, fetched = first, False, None, number
             while True:
-                items, total = self._split(self._fetch(get, key, day, page))
+                items, said = self._split(self._fetch(get, key, day, page))
+                total = total if said is None else said
                 fetched += 1
                 if not items:
+                    truncated = total is not None and page < self.start_page + total
                     break
                 for item in items:
                     yield (key, d, page, json.dumps(item, ensure_ascii=False), None, None, None)
@@ -133,7 +154,7 @@ class _PagedReader(DataSourceReader):
 
 
 def _work_item(unit, start_page: int) -> list:
-    """``[key, day]`` (a whole unit) or an explicit ``[key, day, page, mode, fetched]``."""
+    """``[key, day]`` (a whole unit) or an explicit item of :class:`_Units`."""
     return list(unit) if len(unit) == 5 else [unit[0], unit[1], start_page, "all", 0]
 
 
@@ -188,22 +209,23 @@ def read_paged(spark: SparkSession, units: DataFrame, getter: str, key_col: str
     """Read the units of a work grid (a DataFrame of key and day) through ``getter``.
 
     The grid is a job parameter (keys × days), small by nature; it is collected to
-    build the partitions.  Returns item rows and one report row per unit.
+    build the partitions.  A null key is a unit like any other (the getter gets None);
+    a null day is no unit and raises.  Returns item rows and report rows.
 
     ``parallel_pages``: page 0 of every unit is fetched first (and checkpointed, so
-    it is fetched once); it tells how many pages each unit has, and all further
-    pages are then spread over the tasks one fetch each, so a unit with very many
-    pages is not read by one task page after page.  Units whose payloads carry no
+    it is fetched once); it tells how many pages each unit has, and the further pages
+    are then spread over the tasks in ranges, at most two per task slot and unit, so a
+    unit with very many pages is not read by one task page after page.  Units whose payloads carry no
     page count continue page by page.  The page-0 probe runs when this function is
     called, so filter the grid (not the result) to choose units; with
     ``parallel_pages=False`` the read stays lazy and ``where`` on key/day prunes
-    units through predicate pushdown.  The list of further pages is built on the
-    driver, one small entry per page to fetch.
+    units through predicate pushdown.
     """
     register(spark)
-    cells = (units.select(F.col(key_col).cast("string"), F.col(day_col).cast("date"))
-                  .where(F.col(key_col).isNotNull() & F.col(day_col).isNotNull()).distinct())
-    grid = sorted([r[0], r[1].isoformat()] for r in cells.collect())
+    cells = units.select(F.col(key_col).cast("string"), F.col(day_col).cast("date")).distinct().collect()
+    if any(r[1] is None for r in cells):
+        raise ValueError(f"the grid has cells without a day in {day_col}")
+    grid = sorted(([r[0], r[1].isoformat()] for r in cells), key=lambda u: (u[0] is not None, u[0] or "", u[1]))
     opts = {k: (json.dumps(v) if isinstance(v, (dict, list)) else str(v)) for k, v in options.items()
             if v is not None}
     opts.setdefault("num_partitions", str(default_parallelism(spark) * 2))
@@ -220,7 +242,8 @@ def read_paged(spark: SparkSession, units: DataFrame, getter: str, key_col: str
     start = int(opts.get("start_page", "0"))
     first = load(grid, max_pages="1").checkpoint(eager=True)
     more = fetch_report(first).where(F.col("truncated")).collect()
-    ones, rest, reports = [], [], []
+    slots = 2 * default_parallelism(spark)
+    ranges, rest, reports = [], [], []
     for r in more:
         key, day = r["key"], r["day"].isoformat()
         if r["pages_total"] is None:  # no page count: continue page by page
@@ -230,13 +253,14 @@ def read_paged(spark: SparkSession, units: DataFrame, getter: str, key_col: str
                 rest.append([key, day, start + 1, "all", 1])
             continue
         last = r["pages_total"] if cap is None else min(r["pages_total"], cap)
-        ones += [[key, day, start + n, "one", 0] for n in range(1, last)]
-        reports.append((key, r["day"], None, None, last, cap is not None and r["pages_total"] > cap,
+        step = max(1, -(-(last - 1) // slots))
+        ranges += [[key, day, start + n, "range", start + min(n + step, last) - 1] for n in range(1, last, step)]
+        reports.append((key, r["day"], None, None, 1, cap is not None and r["pages_total"] > cap,
                         r["pages_total"]))
     done_reports = fetch_report(first).where(~F.col("truncated") | F.col("truncated").isNull())
     parts = [items_of(first, full=True), _as_rows(done_reports)]
-    if ones or rest:
-        parts.append(load(ones + rest))
+    if ranges or rest:
+        parts.append(load(ranges + rest))
     if reports:
         parts.append(spark.createDataFrame(reports, SCHEMA))
     out = parts[0]
@@ -257,8 +281,10 @@ def items_of(df: DataFrame, full: bool = False) -> DataFrame:
 
 
 def fetch_report(df: DataFrame) -> DataFrame:
-    """One row per unit: pages fetched, whether a cap left pages unread, page count."""
-    return df.where(F.col("item").isNull()).select("key", "day", "pages_fetched", "truncated", "pages_total")
+    """One row per unit: pages fetched, whether pages were left unread, page count."""
+    return df.where(F.col("item").isNull()).groupBy("key", "day").agg(
+        F.sum("pages_fetched").cast("int").alias("pages_fetched"), F.max("truncated").alias("truncated"),
+        F.max("pages_total").alias("pages_total"))
 
 
 # ── page getters ────────────────────────────────────────────────────────────
@@ -305,7 +331,9 @@ def parquet_pages(key: str, day: str, page: int, params: dict):
 
 def http_pages(key: str, day: str, page: int, params: dict):
     """GET ``params["url"]`` with the unit as query parameters (``key_param``, the day
-    as ``date_from``/``date_to`` half-open, ``page``); JSON body."""
+    as ``date_from``/``date_to`` half-open, ``page``); JSON body.  A busy answer and a
+    failed connection are transient; every other status is an error."""
+    import urllib.error
     import urllib.parse
     import urllib.request
 
@@ -314,5 +342,29 @@ def http_pages(key: str, day: str, page: int, params: dict):
              "date_from": day, "date_to": nxt, "page": page}
     url = f"{params['url']}?{urllib.parse.urlencode(query)}"
     req = urllib.request.Request(url, headers=params.get("headers", {}))
-    with urllib.request.urlopen(req, timeout=float(params.get("timeout", 10))) as resp:
-        return json.loads(resp.read().decode("utf-8"))
+    try:
+        with urllib.request.urlopen(req, timeout=float(params.get("timeout", 10))) as resp:
+            return json.loads(resp.read().decode("utf-8"))
+    except urllib.error.HTTPError as exc:
+        if exc.code in BUSY_STATUS:
+            raise TransientError(f"{url}: {exc.code}", seconds_of(exc.headers.get("Retry-After"))) from exc
+        raise
+    except urllib.error.URLError as exc:
+        raise TransientError(f"{url}: {exc.reason}") from exc
+
+
+def seconds_of(retry_after: str | None) -> float | None:
+    """Seconds a ``Retry-After`` header asks for: a number, or a date in the future."""
+    from email.utils import parsedate_to_datetime
+
+    if not retry_after:
+        return None
+    try:
+        return max(0.0, float(retry_after))
+    except ValueError:
+        pass
+    try:
+        at = parsedate_to_datetime(retry_after)
+    except ValueError:
+        return None
+    return max(0.0, at.timestamp() - time.time())

@@ -104,17 +104,18 @@ def text_stream(spark: SparkSession, path: str, max_files_per_trigger: int | Non
 
 
 def kafka_options(bootstrap: str, topic: str, group_id: str | None = None,
-                  from_beginning: bool = False) -> dict[str, str]:
+                  from_beginning: bool = False, fail_on_data_loss: bool = True) -> dict[str, str]:
     """Options of ``readStream.format("kafka")`` for the event topic.
 
     ``startingOffsets`` applies to the first start only; afterwards the checkpoint
-    holds the offsets (it replaces consumer-group auto-commit).
+    holds the offsets (it replaces consumer-group auto-commit).  Offsets that the broker
+    no longer has stop the query unless ``fail_on_data_loss`` is False.
     """
     opts = {
         "kafka.bootstrap.servers": bootstrap,
         "subscribe": topic,
         "startingOffsets": "earliest" if from_beginning else "latest",
-        "failOnDataLoss": "false",
+        "failOnDataLoss": str(fail_on_data_loss).lower(),
     }
     if group_id:
         opts["kafka.group.id"] = group_id

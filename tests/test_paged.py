@@ -1,8 +1,10 @@
 import json
 import os
+import time
 from datetime import date
 
 import pytest
+from pyspark.sql import functions as F
 
 from strata.plans.incremental import work_grid
 from strata.sources import paged
@@ -116,8 +118,47 @@ def test_integer_keys_and_no_retry(spark, page_root):
     grid = work_grid(keys, [date(2026, 6, 1)])
     df = paged.read_paged(spark, grid, "strata.sources.paged:file_pages", key_col="role_id",
                           params={"root": page_root}, retries=0)
-    assert paged.items_of(df).count() == 6   # key cast to text; the null key is no unit
-    assert [r.key for r in paged.fetch_report(df).collect()] == ["2"]
+    assert paged.items_of(df).count() == 6   # key cast to text; the null key is a unit of its own
+    assert {r.key for r in paged.fetch_report(df).collect()} == {"2", None}
+    with pytest.raises(ValueError):  # a cell without a day can't be asked for
+        paged.read_paged(spark, grid.withColumn("dt", F.lit(None).cast("date")), "strata.sources.paged:file_pages",
+                         key_col="role_id", params={"root": page_root})
+
+
+def test_only_transient_errors_are_retried(spark, tmp_dir):
+    spark.sparkContext.addPyFile(os.path.join(os.path.dirname(__file__), "paged_getters.py"))
+    reader = paged._PagedReader({"getter": "x:y", "retries": "3", "backoff": "0.01"})
+    calls = []
+
+    def gone(*_):
+        calls.append(time.monotonic())
+        raise LookupError("404")
+
+    def busy(*_):
+        calls.append(time.monotonic())
+        if len(calls) < 3:
+            raise paged.TransientError("429", retry_after=0.2)
+        return {"items": [1], "pages": 1}
+
+    with pytest.raises(LookupError):
+        reader._fetch(gone, "k", "2026-06-01", 0)
+    assert len(calls) == 1
+    calls.clear()
+    assert reader._fetch(busy, "k", "2026-06-01", 0)["items"] == [1]
+    assert len(calls) == 3 and calls[1] - calls[0] >= 0.2
+    assert paged.seconds_of("7") == 7 and paged.seconds_of(None) is None and paged.seconds_of("soon") is None
+    assert paged.seconds_of("Wed, 01 Jan 2020 00:00:00 GMT") == 0
+
+
+def test_short_reads_are_reported(spark, tmp_dir):
+    root = os.path.join(tmp_dir, "short")
+    _pages(root, "4", "2026-06-01", 5)
+    os.replace(os.path.join(root, "4", "2026-06-01", "3.json"), os.path.join(root, "away.json"))
+    for parallel, fetched in ((True, 4), (False, 4)):
+        df = paged.read_paged(spark, _grid(spark, ["4"], [date(2026, 6, 1)]), "strata.sources.paged:file_pages",
+                              key_col="role_id", params={"root": root}, parallel_pages=parallel)
+        report = paged.fetch_report(df).first()
+        assert (report.pages_fetched, report.truncated) == (fetched, True)
 
 
 def test_ship_package_once(spark):
