@@ -11,7 +11,7 @@ import numpy as np
 
 LEAF, FANOUT = 16, 8
 #: Queries that go down the tree together.
-TOGETHER = 128
+TOGETHER = 32
 
 
 def needed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -52,7 +52,7 @@ class CountTree:
                 keep = (5 * n[q] >= 4 * level["small"][node]) & (5 * level["large"][node] >= 4 * n[q])
                 keep &= level["mixed"][node] | (level["label"][node] != own[q])
                 q, node, floor = q[keep], node[keep], floor[keep]
-                keep = np.minimum(v[q], level["high"][node]).sum(1) >= needed(n[q], floor)
+                keep = np.minimum(v[q], level["high"][node]).sum(1, dtype=np.int64) >= needed(n[q], floor)
                 q, node = q[keep], node[keep]
                 below = len(self.levels[i - 1]["small"]) if i else len(self.sizes)
                 first = node * level["width"]
@@ -61,6 +61,6 @@ class CountTree:
                 node = np.repeat(first - np.cumsum(count) + count, count) + np.arange(int(count.sum()))
             keep = (5 * n[q] >= 4 * self.sizes[node]) & (5 * self.sizes[node] >= 4 * n[q]) & (self.labels[node] != own[q])
             q, node = q[keep], node[keep]
-            keep = np.minimum(v[q], self.vectors[node]).sum(1) >= needed(n[q], self.sizes[node])
+            keep = np.minimum(v[q], self.vectors[node]).sum(1, dtype=np.int64) >= needed(n[q], self.sizes[node])
             found.append((q[keep] + at, self.order[node[keep]]))
         return np.concatenate([x for x, _ in found]), np.concatenate([y for _, y in found])

@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from strata.llm.common import record_batch, slices, stage
 from strata.llm.components import components
 from strata.llm.count_tree import CountTree, needed
-from strata.llm.shingles import GROUPS, finish, group_counts, set_id, shingle_sets, signed
+from strata.llm.shingles import finish, group_counts, points, set_id, shingle_sets, signed
 
 #: Text bytes shingled at a time; slots of the frequency table and slots per row of it.
 BATCH_BYTES = 1_000_000
@@ -136,14 +136,19 @@ def prefix_keys(rows: DataFrame, levels: np.ndarray) -> DataFrame:
     return rows.mapInArrow(pick, "node bigint, keys array<bigint>")
 
 
-def bitmap(values: DataFrame) -> np.ndarray:
-    """Bits value mod BITS of the column ``value``: BITS / 8 bytes whatever the input."""
+def bitmap(values: DataFrame) -> bytes:
+    """Bits value mod BITS of the column ``value``, compressed: at most about BITS / 8 bytes
+    whatever the input."""
     bit = F.pmod(F.col("value"), F.lit(BITS))
     words = (values.select(bit.alias("bit")).groupBy(F.expr("cast(bit div 32 as int)").alias("word"))
              .agg(F.expr("bit_or(shiftleft(1L, cast(bit % 32 as int)))").alias("bits"))).toArrow()
     out = np.zeros(BITS // 32, dtype=np.uint32)
     out[words["word"].to_numpy()] = words["bits"].to_numpy().astype(np.uint32)
-    return out
+    return zlib.compress(out.tobytes(), 1)
+
+
+def opened(bits: bytes) -> np.ndarray:
+    return np.frombuffer(zlib.decompress(bits), dtype=np.uint32)
 
 
 def hits(bits: np.ndarray, value: np.ndarray) -> np.ndarray:
@@ -151,13 +156,14 @@ def hits(bits: np.ndarray, value: np.ndarray) -> np.ndarray:
     return ((bits[bit // 32] >> (bit % 32).astype(np.uint32)) & 1) == 1
 
 
-def marked(df: DataFrame, value: str, bits: np.ndarray) -> DataFrame:
+def marked(df: DataFrame, value: str, bits: bytes) -> DataFrame:
     """The rows of ``df`` whose ``value`` may be among the bitmap's (some others pass too)."""
-    shared = df.sparkSession.sparkContext.broadcast(bits)  # BITS / 8 bytes
+    shared = df.sparkSession.sparkContext.broadcast(bits)  # at most BITS / 8 bytes
 
     def keep(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bitmap_ = opened(shared.value)
         for batch in it:
-            yield batch.filter(pa.array(hits(shared.value, batch.column(value).to_numpy())))
+            yield batch.filter(pa.array(hits(bitmap_, batch.column(value).to_numpy())))
 
     return df.mapInArrow(keep, df.schema)
 
@@ -184,7 +190,7 @@ def bounded(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     def check(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
             m, n = batch.column("n_a").to_numpy(), batch.column("n_b").to_numpy()
-            v, w = (np.frombuffer(b"".join(batch.column(c).to_pylist()), dtype=np.uint32).reshape(-1, GROUPS) for c in ("v_a", "v_b"))
+            v, w = (points(batch.column(c).to_pylist()) for c in ("v_a", "v_b"))
             keep = np.minimum(v, w).sum(1, dtype=np.int64) >= needed(m, n)
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], schema=schema).filter(pa.array(keep))
 
@@ -250,9 +256,9 @@ def search_small(group: np.ndarray, node: np.ndarray, size: np.ndarray, label: n
         j = i + d
         keep = (label[i] != label[j]) & (5 * size[i] >= 4 * size[j]) & (5 * size[j] >= 4 * size[i])
         i, j = i[keep], j[keep]
-        for at in range(0, len(i), 50_000):
-            x, y = i[at:at + 50_000], j[at:at + 50_000]
-            ok = np.minimum(vector[x], vector[y]).sum(1) >= needed(size[x], size[y])
+        for at in range(0, len(i), 10_000):
+            x, y = i[at:at + 10_000], j[at:at + 10_000]
+            ok = np.minimum(vector[x], vector[y]).sum(1, dtype=np.int64) >= needed(size[x], size[y])
             found.append((np.minimum(node[x[ok]], node[y[ok]]), np.maximum(node[x[ok]], node[y[ok]])))
     return np.concatenate([a for a, _ in found]), np.concatenate([b for _, b in found])
 
@@ -278,7 +284,7 @@ def candidates(shards: DataFrame) -> DataFrame:
     def done(table: pa.Table) -> pa.RecordBatch:
         key, i, j, node, size, label = (table.column(c).to_numpy() for c in ("key", "i", "j", "node", "n", "label"))
         side = table.column("side").to_numpy()
-        vector = np.frombuffer(b"".join(table.column("vector").to_pylist()), dtype=np.uint32).reshape(len(key), GROUPS).astype(np.int64)
+        vector = points(table.column("vector").to_pylist())
         fresh = np.ones(len(key), dtype=bool)
         fresh[1:] = (key[1:] != key[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])
         starts = np.flatnonzero(fresh)
@@ -365,16 +371,17 @@ def contested_keys(keyed: DataFrame, parts: int) -> DataFrame:
 
 def postings_of(keyed: DataFrame, contested: DataFrame, parts: int) -> DataFrame:
     """(key, node) of the contested keys; only keys that the bitmap marks leave the task."""
-    shared = keyed.sparkSession.sparkContext.broadcast(bitmap(contested.select(F.col("key").alias("value"))))  # BITS / 8 bytes
+    shared = keyed.sparkSession.sparkContext.broadcast(bitmap(contested.select(F.col("key").alias("value"))))  # at most BITS / 8 bytes
     schema = pa.schema([("key", pa.int64()), ("node", pa.int64())])
 
     def split(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bitmap_ = opened(shared.value)
         for batch in it:
             lists = batch.column("keys")
             part, rest = part_of(lists.flatten().to_numpy(), parts)
             node = np.repeat(batch.column("node").to_numpy(), np.diff(lists.offsets.to_numpy()))
             key = rest * parts + part
-            keep = hits(shared.value, key)
+            keep = hits(bitmap_, key)
             yield pa.RecordBatch.from_arrays([pa.array(key[keep]), pa.array(node[keep])], schema=schema)
 
     some = keyed.select("node", "keys").mapInArrow(split, "key bigint, node bigint").distinct()
@@ -439,13 +446,14 @@ def keep_one_each(docs: DataFrame, text: str = "text", id_col: str = "doc_id") -
     found = jaccard_components(docs, text, id_col).where(F.col("doc_id").isNotNull())
     gone = stage(found.groupBy("doc_id").agg(F.max((F.col("doc_id") == F.col("component_id")).cast("int")).alias("kept"))
                  .where("kept = 0").select(F.col("doc_id").alias("gone")), "jaccard-gone")
-    bits = docs.sparkSession.sparkContext.broadcast(bitmap(gone.select(F.col("gone").alias("value"))))  # BITS / 8 bytes
+    bits = docs.sparkSession.sparkContext.broadcast(bitmap(gone.select(F.col("gone").alias("value"))))  # at most BITS / 8 bytes
     ids = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
                       F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(NO_ID)).alias("mark"))
 
     def flag(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bitmap_ = opened(bits.value)
         for batch in it:
-            hit = hits(bits.value, batch.column("mark").to_numpy()).astype(np.int64)
+            hit = hits(bitmap_, batch.column("mark").to_numpy()).astype(np.int64)
             yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(hit)], names=["row", "mark"])
 
     flagged = ids.mapInArrow(flag, ids.schema)

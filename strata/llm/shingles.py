@@ -7,8 +7,9 @@ import xxhash
 
 #: Words of a shingle.
 K = 5
-#: Groups of a count vector.
-GROUPS = 64
+#: Groups of a count vector: enough that unrelated texts of some thousand words differ by
+#: more than a link allows.  A byte holds a count; FULL stands for any count from there on.
+GROUPS, FULL = 256, 255
 
 _MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63], dtype=np.uint64)
 
@@ -85,8 +86,15 @@ def set_id(shingles: np.ndarray) -> int:
 
 
 def group_counts(shingles: np.ndarray) -> np.ndarray:
-    """How many shingles fall into each of GROUPS groups (saturating far above any text)."""
-    return np.minimum(np.bincount((shingles >> np.uint64(58)).astype(np.int64), minlength=GROUPS), 0xFFFFFFFF).astype(np.uint32)
+    """How many shingles fall into each of GROUPS groups, a byte each (FULL: that many or more)."""
+    return np.minimum(np.bincount((shingles >> np.uint64(56)).astype(np.int64), minlength=GROUPS), FULL).astype(np.uint8)
+
+
+def points(packed: list[bytes]) -> np.ndarray:
+    """Rows of counts; a full count becomes one that bounds nothing."""
+    v = np.frombuffer(b"".join(packed), dtype=np.uint8).reshape(len(packed), GROUPS).astype(np.int32)
+    v[v == FULL] = 1 << 22
+    return v
 
 
 def signed(values: np.ndarray) -> np.ndarray:

@@ -6,7 +6,7 @@ import pytest
 from strata.llm import jaccard as jac
 from strata.llm.components import components
 from strata.llm.count_tree import CountTree, needed
-from strata.llm.shingles import K, group_counts, shingle_sets
+from strata.llm.shingles import FULL, GROUPS, K, group_counts, points, shingle_sets
 from strata.session import ship_package
 from tests.llm.helpers import EDGE, docs, prose
 
@@ -110,7 +110,9 @@ def test_counts_bound_the_overlap():
     sets = shingle_sets([t for _, t in fixture(3, 24)])
     for a in sets:
         for b in sets:
-            assert len(np.intersect1d(a, b)) <= np.minimum(group_counts(a), group_counts(b)).sum()
+            assert len(np.intersect1d(a, b)) <= np.minimum(*points([group_counts(a).tobytes(), group_counts(b).tobytes()])).sum()
+    many = np.arange(GROUPS * FULL * 2, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    assert np.minimum(*points([group_counts(many).tobytes()] * 2)).sum() >= len(many)  # full counts bound nothing
     assert [len(s) for s in sets] == [len(word_set(t)) for _, t in fixture(3, 24)]
 
 
