@@ -21,15 +21,18 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from strata.plans import registry  # noqa: E402
-from strata.session import build_session  # noqa: E402
+from strata.session import build_session, clear_scratch  # noqa: E402
 
 HEADLINE = {
     "q02": registry.q02_nested_lists,
+    "q04": registry.q04_posting_fields,
     "q05": registry.q05_tree,
     "q09": registry.q09_hop_metrics,
     "q10": registry.q10_hop_sliced,
     "q11": registry.q11_hop_stream,
+    "q14": registry.q14_recent,
     "q15": registry.q15_pivot_cnt,
+    "q19": registry.q19_paged_source,
 }
 
 
@@ -59,6 +62,7 @@ def main() -> None:
         except Exception as exc:  # keep measuring the others; report the failure
             print(f"bench: {name} failed: {exc!r}"[:500], file=sys.stderr)
             results[name] = None
+        clear_scratch(spark)
     spark.stop()
     sf = sf_dir.rsplit("sf", 1)[-1]
     print(json.dumps({

@@ -20,7 +20,7 @@ from strata.operators.metrics import (dedupe_windows, kpis, latest, pivot_metric
 from strata.operators.windows import hop_metrics
 from strata.plans.incremental import day_range, day_slice, days_of, read_keyed, run_days, work_grid
 from strata.plans.jobs import build_catalogue, build_postings, build_rates, dashboard_frames, run_metrics_stream
-from strata.session import CLUSTER_CONF, build_session, new_scratch, object_store_conf, pin_utc, scratch_root
+from strata.session import CLUSTER_CONF, build_session, clear_scratch, new_scratch, object_store_conf, pin_utc, scratch_root
 from strata.sinks.layout import partition_path, processed_dir, processed_root, raw_dir
 from strata.sinks.writers import land_raw, write_keys, write_partition
 from strata.sources.documents import json_docs, ndjson, parse_docs, whole_text

@@ -178,6 +178,10 @@ def oracle_sql() -> dict[str, str]:
             SELECT event_id, ts, user_id, value, props, CAST(ts AS DATE) AS dt, event_type
             FROM events WHERE ts IS NOT NULL
         """,
+        "q19_paged_excluded": """
+            SELECT event_id, ts, user_id, value, props, CAST(ts AS DATE) AS dt, event_type
+            FROM events WHERE ts IS NOT NULL AND event_type IS DISTINCT FROM 'error'
+        """,
         "q20_lake_sql": """
             SELECT c.c_mktsegment AS segment, c.c_nationkey AS nationkey, count(*) AS customers,
                    round(sum(c.c_acctbal), 2) AS acctbal, max(n.n_name) AS nation

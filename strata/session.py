@@ -100,9 +100,30 @@ def default_parallelism(spark: SparkSession) -> int:
         return int(spark.conf.get("spark.default.parallelism", "8"))
 
 
+_MADE: list[str] = []
+
+
 def new_scratch(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the scratch root for one run of one job."""
-    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    _MADE.append(path)
+    return path
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Remove the scratch folders this process has made; the number of folders removed.
+
+    Results that still read from them become unreadable, so call it at the end of a run,
+    when everything wanted has been written.  Folders go through the Hadoop file system
+    Spark wrote them with; a session without a JVM gateway leaves them.
+    """
+    if getattr(spark, "_jsc", None) is None:
+        return 0
+    removed, conf = 0, spark._jsc.hadoopConfiguration()
+    while _MADE:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_MADE.pop())
+        removed += bool(path.getFileSystem(conf).delete(path, True))
+    return removed
 
 
 def object_store_conf(endpoint: str, region: str | None = None, path_style: bool = True) -> dict[str, str]:

@@ -103,3 +103,12 @@ def test_registered_orders(spark):
     assert rows == sorted(rows)
     dates = [(r.date, r.currency) for r in registry.q01_rates(spark, SF).collect()]
     assert [d for d, _ in dates] == sorted(d for d, _ in dates) or dates == sorted(dates, key=lambda x: x[1])
+
+
+def test_scratch_folders_can_be_cleared(spark, tmp_dir, monkeypatch):
+    from strata import session
+    monkeypatch.setattr(session, "_MADE", [])
+    path = session.new_scratch(spark, "t")
+    spark.range(3).write.parquet(path)
+    assert session.clear_scratch(spark) == 1 and session.clear_scratch(spark) == 0
+    assert not os.path.exists(path.removeprefix("file://").removeprefix("file:"))
