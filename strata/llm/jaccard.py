@@ -3,11 +3,11 @@
 Texts with equal shingle sets are one node.  A node is a point: its shingles per hash
 group (``count_tree``), which bounds the overlap of any two nodes.
 
-1. ``describe`` reads every text once: size, set id, count vector, four min-hashes, and
+1. ``describe`` reads every text once: size, set id, count vector, min-hashes, and
    how often shingles occur (counts of hashed slots, added up over the tasks).
-2. Near copies are joined cheaply first: nodes with a common min-hash meet the least of
-   them, the pair is verified on the sets, true links give first components.  This finds
-   no link that isn't one and may miss some.
+2. Near copies are joined cheaply first: sorted by their min-hashes, neighbours are paired
+   and verified on the sets; true links give first components.  This finds no link that
+   isn't one and may miss some.
 3. Nothing is missed in the second pass.  Shingles are ordered from rare to frequent (by
    slot count, then hash); two linked nodes share one of their first n - ceil(0.8 n) + 1.
    These prefix shingles deal the nodes into shards; a shingle that only one component
@@ -39,9 +39,9 @@ from strata.llm.shingles import finish, group_counts, points, set_id, shingle_se
 #: Text bytes shingled at a time; slots of the frequency table and slots per row of it.
 BATCH_BYTES = 1_000_000
 SLOTS, SLOTS_PER_ROW = 1 << 20, 1 << 14
-#: Min-hashes of the first pass; bits of a bitmap; nodes of a block; nodes below which a
+#: Min-hashes and neighbours of the first pass; bits of a bitmap; nodes of a block; nodes below which a
 #: shard is searched without a tree; keys gathered before they are sent on; keys of a part.
-HASHES, BITS, BLOCK, FEW, GATHER, PART_KEYS = 4, 1 << 27, 512, 24, 2_000_000, 500_000
+HASHES, NEIGHBOURS, BITS, BLOCK, FEW, GATHER, PART_KEYS = 8, 3, 1 << 27, 512, 24, 2_000_000, 500_000
 
 _SEEDS = finish(np.arange(1, HASHES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 
@@ -227,11 +227,35 @@ def verify(pairs: DataFrame, rows: DataFrame, nodes: DataFrame) -> DataFrame:
 
 
 def first_pairs(nodes: DataFrame) -> DataFrame:
-    """(a, b): every node with the least node of each of its min-hashes."""
-    met = nodes.select("node", F.posexplode("hashes").alias("j", "hash"))
-    least = stage(met.groupBy("j", "hash").agg(F.min("node").alias("least"), F.count("*").alias("members")).where("members > 1")
-                  .drop("members"), "jaccard-least")
-    return met.join(least, ["j", "hash"]).where("node <> least").select(F.col("node").alias("a"), F.col("least").alias("b")).distinct()
+    """(a, b): nodes next to one another when sorted by their min-hashes.
+
+    For every min-hash the nodes are sorted by it, then by the following ones, so the most
+    alike stand together; a node is paired with the next NEIGHBOURS that have the same one.
+    The sort is by ranges of the whole tuple, so no group of copies is one task's, and a
+    node has a bounded number of pairs.  Neighbours parted by a range border are missed
+    here.
+    """
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+    turned = nodes.select("node", F.posexplode(F.array(*[
+        F.struct(*[F.col("hashes")[(j + i) % HASHES].alias(f"h{i}") for i in range(3)]) for j in range(HASHES)])).alias("j", "h"))
+
+    def pair(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest = None
+        for batch in it:
+            table = pa.Table.from_batches([batch] if rest is None else [rest, batch]).combine_chunks()
+            j, h, node = (table.column(c).to_numpy() for c in ("j", "h0", "node"))
+            low, high = [node[:0]], [node[:0]]
+            for d in range(1, NEIGHBOURS + 1):
+                same = (j[d:] == j[:-d]) & (h[d:] == h[:-d])
+                low.append(np.minimum(node[d:], node[:-d])[same])
+                high.append(np.maximum(node[d:], node[:-d])[same])
+            found = np.unique(np.stack([np.concatenate(low), np.concatenate(high)]), axis=1)
+            yield record_batch({"a": found[0], "b": found[1]}, schema)
+            rest = table.slice(max(0, table.num_rows - NEIGHBOURS)).to_batches()[0] if table.num_rows else None
+
+    ordered = turned.select("j", "h.h0", "h.h1", "h.h2", "node")
+    spread = ordered.repartitionByRange("j", "h0", "h1", "h2", "node").sortWithinPartitions("j", "h0", "h1", "h2", "node")
+    return spread.mapInArrow(pair, "a bigint, b bigint").distinct()
 
 
 def search_shard(node: np.ndarray, size: np.ndarray, label: np.ndarray, vector: np.ndarray, side: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
@@ -268,6 +292,16 @@ def candidates(shards: DataFrame) -> DataFrame:
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def search(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """A pair that many shards of the task find leaves it once (in runs of GATHER)."""
+        held = np.zeros((2, 0), dtype=np.int64)
+        for found in searched(it):
+            held = np.unique(np.concatenate((held, found), axis=1), axis=1)
+            if held.shape[1] >= GATHER:
+                yield record_batch({"a": held[0], "b": held[1]}, schema)
+                held = held[:, :0]
+        yield record_batch({"a": held[0], "b": held[1]}, schema)
+
+    def searched(it: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
         rest = None
         for batch in it:
             table = pa.Table.from_batches([batch] if rest is None else [*rest, batch])
@@ -281,7 +315,7 @@ def candidates(shards: DataFrame) -> DataFrame:
         if rest:
             yield done(pa.Table.from_batches(rest))
 
-    def done(table: pa.Table) -> pa.RecordBatch:
+    def done(table: pa.Table) -> np.ndarray:
         key, i, j, node, size, label = (table.column(c).to_numpy() for c in ("key", "i", "j", "node", "n", "label"))
         side = table.column("side").to_numpy()
         vector = points(table.column("vector").to_pylist())
@@ -298,7 +332,7 @@ def candidates(shards: DataFrame) -> DataFrame:
             own = None if i[starts[g]] == j[starts[g]] else side[part]
             found.append(search_shard(node[part], size[part], label[part], vector[part], own))
         pairs = np.unique(np.stack([np.concatenate([a for a, _ in found]), np.concatenate([b for _, b in found])]), axis=1)
-        return record_batch({"a": pairs[0][pairs[0] != pairs[1]], "b": pairs[1][pairs[0] != pairs[1]]}, schema)
+        return pairs[:, pairs[0] != pairs[1]]
 
     return shards.mapInArrow(search, "a bigint, b bigint").distinct()
 

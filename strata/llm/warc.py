@@ -47,7 +47,12 @@ def digest(payload: bytes) -> str:
 
 
 def open_folder(uri: str) -> tuple[fs.FileSystem, str]:
-    return fs.FileSystem.from_uri(uri) if "://" in uri or uri.startswith("file:") else (fs.LocalFileSystem(), uri)
+    """File system and path of a folder named as Spark names it (``file:/x``, ``s3a://b/x``, ``hdfs://…``)."""
+    if uri.startswith("s3a://"):
+        uri = "s3://" + uri.removeprefix("s3a://")
+    if uri.startswith("file:") and not uri.startswith("file://"):
+        uri = "file://" + uri.removeprefix("file:")
+    return fs.FileSystem.from_uri(uri) if "://" in uri else (fs.LocalFileSystem(), uri)
 
 
 def header_value(value: str) -> str:
