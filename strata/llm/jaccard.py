@@ -12,7 +12,7 @@ group (``count_tree``), which bounds the overlap of any two nodes.
    slot count, then hash); two linked nodes share one of their first n - ceil(0.8 n) + 1.
    These prefix shingles deal the nodes into shards; a shingle that only one component
    has needs no work.  In the others the R-tree of count vectors finds the pairs across
-   components that sizes and counts allow, skipping subtrees of the node's own component;
+   components that sizes, counts and the shingle's place in their orders allow, skipping subtrees of the node's own component;
    the survivors are verified on the sets.
 4. Links of both passes give the components.
 
@@ -115,7 +115,7 @@ def frequency_levels(described: DataFrame) -> np.ndarray:
 
 
 def prefix_keys(rows: DataFrame, levels: np.ndarray) -> DataFrame:
-    """(node, keys): the rarest n - ceil(0.8 n) + 1 shingles of every text with words."""
+    """(node, keys): the rarest n - ceil(0.8 n) + 1 shingles of every text with words, in order."""
     shared = rows.sparkSession.sparkContext.broadcast(levels)  # SLOTS bytes
 
     def pick(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -127,7 +127,8 @@ def prefix_keys(rows: DataFrame, levels: np.ndarray) -> DataFrame:
                         rank = (shared.value[slot_of(s)].astype(np.uint64) << np.uint64(58)) | (s >> np.uint64(6))
                         n = len(s) - (4 * len(s) + 4) // 5 + 1
                         nodes.append(set_id(s))
-                        keys.append(signed(s[np.argpartition(rank, n - 1)[:n]]))
+                        first = np.argpartition(rank, n - 1)[:n]
+                        keys.append(signed(s[first[np.argsort(rank[first])]]))
                 lengths = np.cumsum([0, *map(len, keys)])
                 flat = np.concatenate(keys) if keys else np.zeros(0, dtype=np.int64)
                 lists = pa.ListArray.from_arrays(pa.array(lengths, pa.int32()), pa.array(flat, pa.int64()))
@@ -258,7 +259,14 @@ def first_pairs(nodes: DataFrame) -> DataFrame:
     return spread.mapInArrow(pair, "a bigint, b bigint").distinct()
 
 
-def search_shard(node: np.ndarray, size: np.ndarray, label: np.ndarray, vector: np.ndarray, side: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+def early(size: np.ndarray, place: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Whether the shard's key can be the first that a linked pair shares: no more may come
+    before it on either side than the link can do without."""
+    least = needed(size[i], size[j])
+    return (place[i] <= size[i] - least) & (place[j] <= size[j] - least)
+
+
+def search_shard(node: np.ndarray, size: np.ndarray, label: np.ndarray, vector: np.ndarray, place: np.ndarray, side: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
     """Candidate pairs of one shard; ``side``: 0 and 1 of a pair of blocks, None within one."""
     left = np.arange(len(node)) if side is None else np.flatnonzero(side == 0)
     right = left if side is None else np.flatnonzero(side == 1)
@@ -266,11 +274,12 @@ def search_shard(node: np.ndarray, size: np.ndarray, label: np.ndarray, vector:
         return node[:0], node[:0]
     tree = CountTree(vector[right], size[right], label[right])
     q, p = tree.search(vector[left], size[left], label[left])
-    a, b = node[left[q]], node[right[p]]
+    keep = early(size, place, left[q], right[p])
+    a, b = node[left[q[keep]]], node[right[p[keep]]]
     return np.minimum(a, b), np.maximum(a, b)
 
 
-def search_small(group: np.ndarray, node: np.ndarray, size: np.ndarray, label: np.ndarray, vector: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+def search_small(group: np.ndarray, node: np.ndarray, size: np.ndarray, label: np.ndarray, vector: np.ndarray, place: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
     """The same for many shards of at most ``most`` rows, each a single leaf, all at once."""
     found = [(node[:0], node[:0])]
     for d in range(1, most):
@@ -278,7 +287,7 @@ def search_small(group: np.ndarray, node: np.ndarray, size: np.ndarray, label: n
         if not len(i):
             break
         j = i + d
-        keep = (label[i] != label[j]) & (5 * size[i] >= 4 * size[j]) & (5 * size[j] >= 4 * size[i])
+        keep = (label[i] != label[j]) & (5 * size[i] >= 4 * size[j]) & (5 * size[j] >= 4 * size[i]) & early(size, place, i, j)
         i, j = i[keep], j[keep]
         for at in range(0, len(i), 10_000):
             x, y = i[at:at + 10_000], j[at:at + 10_000]
@@ -288,7 +297,7 @@ def search_small(group: np.ndarray, node: np.ndarray, size: np.ndarray, label: n
 
 
 def candidates(shards: DataFrame) -> DataFrame:
-    """(a, b) from rows (key, i, j, side, node, n, label, vector), one shard per (key, i, j)."""
+    """(a, b) from rows (key, i, j, side, node, place, n, label, vector), one shard per (key, i, j)."""
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def search(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -316,7 +325,7 @@ def candidates(shards: DataFrame) -> DataFrame:
             yield done(pa.Table.from_batches(rest))
 
     def done(table: pa.Table) -> np.ndarray:
-        key, i, j, node, size, label = (table.column(c).to_numpy() for c in ("key", "i", "j", "node", "n", "label"))
+        key, i, j, node, size, label, place = (table.column(c).to_numpy() for c in ("key", "i", "j", "node", "n", "label", "place"))
         side = table.column("side").to_numpy()
         vector = points(table.column("vector").to_pylist())
         fresh = np.ones(len(key), dtype=bool)
@@ -326,11 +335,11 @@ def candidates(shards: DataFrame) -> DataFrame:
         group = np.cumsum(fresh) - 1
         few = (sizes <= FEW) & (i[starts] == j[starts])
         small = few[group]
-        found = [search_small(group[small], node[small], size[small], label[small], vector[small], FEW)]
+        found = [search_small(group[small], node[small], size[small], label[small], vector[small], place[small], FEW)]
         for g in np.flatnonzero(~few).tolist():
             part = slice(int(starts[g]), int(starts[g] + sizes[g]))
             own = None if i[starts[g]] == j[starts[g]] else side[part]
-            found.append(search_shard(node[part], size[part], label[part], vector[part], own))
+            found.append(search_shard(node[part], size[part], label[part], vector[part], place[part], own))
         pairs = np.unique(np.stack([np.concatenate([a for a, _ in found]), np.concatenate([b for _, b in found])]), axis=1)
         return pairs[:, pairs[0] != pairs[1]]
 
@@ -404,21 +413,24 @@ def contested_keys(keyed: DataFrame, parts: int) -> DataFrame:
 
 
 def postings_of(keyed: DataFrame, contested: DataFrame, parts: int) -> DataFrame:
-    """(key, node) of the contested keys; only keys that the bitmap marks leave the task."""
+    """(key, node, place in the node's order) of the contested keys; only keys that the bitmap
+    marks leave the task."""
     shared = keyed.sparkSession.sparkContext.broadcast(bitmap(contested.select(F.col("key").alias("value"))))  # at most BITS / 8 bytes
-    schema = pa.schema([("key", pa.int64()), ("node", pa.int64())])
+    schema = pa.schema([("key", pa.int64()), ("node", pa.int64()), ("place", pa.int64())])
 
     def split(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bitmap_ = opened(shared.value)
         for batch in it:
             lists = batch.column("keys")
             part, rest = part_of(lists.flatten().to_numpy(), parts)
-            node = np.repeat(batch.column("node").to_numpy(), np.diff(lists.offsets.to_numpy()))
+            counts = np.diff(lists.offsets.to_numpy())
+            node = np.repeat(batch.column("node").to_numpy(), counts)
+            place = np.arange(len(node)) - np.repeat(np.cumsum(counts) - counts, counts)
             key = rest * parts + part
             keep = hits(bitmap_, key)
-            yield pa.RecordBatch.from_arrays([pa.array(key[keep]), pa.array(node[keep])], schema=schema)
+            yield pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in (key, node, place)], schema=schema)
 
-    some = keyed.select("node", "keys").mapInArrow(split, "key bigint, node bigint").distinct()
+    some = keyed.select("node", "keys").mapInArrow(split, "key bigint, node bigint, place bigint").distinct()
     return stage(some.join(contested, "key", "left_semi"), "jaccard-postings")
 
 
@@ -435,7 +447,7 @@ def second_pairs(rows: DataFrame, described: DataFrame, labelled: DataFrame) ->
     own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     other = full.withColumn("own", own).select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
     shards = other.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
-                          (F.col("own") > F.col("other")).cast("int").alias("side"), "node", "n", "label", "vector")
+                          (F.col("own") > F.col("other")).cast("int").alias("side"), "node", "place", "n", "label", "vector")
     return candidates(shards.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j"))
 
 
