@@ -15,6 +15,9 @@ group (``count_tree``), which bounds the overlap of any two nodes.
    components that sizes, counts and the shingle's place in their orders allow, skipping subtrees of the node's own component;
    the survivors are verified on the sets.
 4. Links of both passes give the components.
+5. All links lie inside a component.  The sets of its nodes are compared block by block, so
+   each link is found once (``jaccard_links``), or only counted for its two nodes
+   (``jaccard_result``): then nothing as large as the number of links leaves a task.
 
 A shingle shared by more than ``BLOCK`` nodes is dealt into blocks, and every pair of
 blocks is one shard.  Sets are only read for nodes that have a pair to verify: these are
@@ -23,6 +26,7 @@ marked in a bitmap of fixed size, so the texts are not shuffled for it.
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections.abc import Iterator
 
@@ -42,6 +46,9 @@ SLOTS, SLOTS_PER_ROW = 1 << 20, 1 << 14
 #: Min-hashes and neighbours of the first pass; bits of a bitmap; nodes of a block; nodes below which a
 #: shard is searched without a tree; keys gathered before they are sent on; keys of a part.
 HASHES, NEIGHBOURS, BITS, BLOCK, FEW, GATHER, PART_KEYS = 8, 3, 1 << 27, 512, 24, 2_000_000, 500_000
+#: Nodes and shingles of a component, or of a block of a larger one, that are compared in one piece;
+#: ratio of the size classes: more than 1.25, so linked nodes are of the same or of adjacent classes.
+LINK_NODES, LINK_SHINGLES, CLASS_RATIO = 2048, 2_000_000, 1.26
 
 _SEEDS = finish(np.arange(1, HASHES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 
@@ -451,35 +458,164 @@ def second_pairs(rows: DataFrame, described: DataFrame, labelled: DataFrame) ->
     return candidates(shards.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j"))
 
 
-def jaccard_components(docs: DataFrame, text: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """doc_id, n_shingles, component_id of every row of ``docs``.
+def link_shards(sets: DataFrame, linked: DataFrame) -> DataFrame:
+    """(label, i, j, side, node, copies, shingles): every pair of nodes of a component whose sizes
+    allow a link meets in one shard (label, i, j).
 
-    component_id is the least doc_id among the rows reachable by links (sets of word
-    5-grams with 100 * intersection >= 80 * union), the row itself included.  Rows
-    without words, null texts included, are linked with nothing and keep their own id;
-    fewer than five words are one shingle.  Null ids never name a component unless all
-    its ids are null; repeated rows are linked like any equal texts; an empty table
-    gives no rows; other columns are not read.
+    A component of more than LINK_NODES nodes or LINK_SHINGLES shingles is dealt into size
+    classes and these into blocks by hash; every pair of blocks of the same or of adjacent
+    classes is a shard.  i and j are class * 2 ** 32 + block.
     """
+    classed = linked.withColumn("c", F.floor(F.log(F.col("n")) / math.log(CLASS_RATIO)).cast("long"))
+    blocks = F.ceil(F.greatest(F.col("m") / LINK_NODES, F.col("total") / LINK_SHINGLES))
+    hot = stage(classed.groupBy("label", "c").agg(F.count("*").alias("m"), F.sum("n").alias("total"))
+                .groupBy("label").agg(F.sum("m").alias("m_all"), F.sum("total").alias("n_all"), F.collect_list(F.struct("c", blocks.alias("blocks"))).alias("classes"))
+                .where((F.col("m_all") > LINK_NODES) | (F.col("n_all") > LINK_SHINGLES)).select("label", "classes"), "jaccard-hot-groups")
+    own = F.expr("c * 4294967296 + pmod(xxhash64(node), element_at(filter(classes, x -> x.c = c), 1).blocks)")
+    others = F.expr("flatten(transform(filter(classes, x -> abs(x.c - c) <= 1), "
+                    "x -> transform(sequence(0L, x.blocks - 1), b -> x.c * 4294967296 + b)))")
+    dealt = (classed.join(hot, "label", "left")
+             .select("label", "node", "copies", F.coalesce(own, F.lit(0)).alias("own"), F.coalesce(others, F.array(F.lit(0).cast("long"))).alias("others")))
+    other = sets.join(dealt, "node").select("*", F.explode("others").alias("other"))
+    return other.select("label", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
+                        (F.col("own") > F.col("other")).cast("int").alias("side"), "node", "copies", "shingles")
+
+
+def links_among(sets: list[np.ndarray], split: int | None) -> Iterator[tuple[int, np.ndarray]]:
+    """(x, ys): set x is linked with every set of ys, all after x (``split``: x before it, ys from it on)."""
+    size = np.array([len(s) for s in sets])
+    start = np.cumsum(size) - size
+    number, flat = np.unique(np.concatenate(sets), return_inverse=True)
+    mine = np.zeros(len(number), dtype=bool)
+    for x in range(len(sets) - 1 if split is None else split):
+        first = x + 1 if split is None else split
+        if first == len(sets):
+            break
+        own = flat[start[x]:start[x] + size[x]]
+        mine[own] = True
+        both = np.add.reduceat(mine[flat[start[first]:]], start[first:] - start[first], dtype=np.int64)
+        mine[own] = False
+        yield x, first + np.flatnonzero(100 * both >= 80 * (size[x] + size[first:] - both))
+
+
+def search_links(shards: DataFrame, counts: bool) -> DataFrame:
+    """(a, b) of every link of the shards, or with ``counts`` (node, n): links per node and
+    shard, each weighing as many as the other node has copies."""
+    schema = pa.schema([("node", pa.int64()), ("n", pa.int64())] if counts else [("a", pa.int64()), ("b", pa.int64())])
+
+    def search(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shard: tuple | None = None
+        held: list[tuple] = []
+        out: list[np.ndarray] = []
+        for batch in it:
+            for *key, side, node, copies, packed in zip(*(batch.column(c).to_pylist() for c in ("label", "i", "j", "side", "node", "copies", "shingles")), strict=True):
+                if tuple(key) != shard:
+                    out += look(shard, held)
+                    shard, held = tuple(key), []
+                    if sum(x.shape[1] for x in out) >= GATHER // 10:
+                        yield joined(out)
+                        out = []
+                held.append((side, node, copies, packed))
+        out += look(shard, held)
+        yield joined(out)
+
+    def joined(out: list[np.ndarray]) -> pa.RecordBatch:
+        both = np.concatenate([np.zeros((2, 0), dtype=np.int64), *out], axis=1)
+        return record_batch(dict(zip(schema.names, both)), schema)
+
+    def look(shard: tuple | None, held: list[tuple]) -> list[np.ndarray]:
+        if len(held) < 2:
+            return []
+        held.sort(key=lambda row: row[0])
+        split = None if shard[1] == shard[2] else sum(row[0] == 0 for row in held)
+        if split in (0, len(held)):
+            return []
+        node, copies = (np.array([row[k] for row in held], dtype=np.int64) for k in (1, 2))
+        found = links_among([np.frombuffer(row[3], dtype=np.uint64) for row in held], split)
+        if not counts:
+            return [np.stack([np.minimum(node[x], node[ys]), np.maximum(node[x], node[ys])]) for x, ys in found if len(ys)]
+        n = np.zeros(len(node), dtype=np.int64)
+        for x, ys in found:
+            n[x] += copies[ys].sum()
+            n[ys] += copies[x]
+        return [np.stack([node, n])[:, n > 0]]
+
+    dealt = shards.repartition("label", "i", "j").sortWithinPartitions("label", "i", "j")
+    return dealt.mapInArrow(search, ", ".join(f"{c} bigint" for c in schema.names))
+
+
+def found_components(docs: DataFrame, text: str, id_col: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """(rows, described, nodes, linked): the texts, what ``describe`` says of them, the distinct
+    sets, and (node, label) of the sets that are linked with another one."""
     rows = bodies(docs, text, id_col)
     described = describe(rows)
     texts = described.where(F.col("chunk").isNull() & (F.col("n") > 0))
     nodes = stage(texts.groupBy("node", "n", "hashes", "vector").agg(
-        F.min("doc_id").alias("rep"), F.min(F.coalesce("doc_id", F.lit(NO_ID))).alias("mark")), "jaccard-nodes")
+        F.min("doc_id").alias("rep"), F.min(F.coalesce("doc_id", F.lit(NO_ID))).alias("mark"), F.count("*").alias("copies")), "jaccard-nodes")
 
     links = verify(first_pairs(nodes), rows, nodes)
     first = components(links).select("node", F.col("label").alias("found"))
     labelled = stage(nodes.join(first, "node", "left").select("node", "n", F.coalesce("found", "node").alias("label"), "vector"), "jaccard-labelled")
     more = verify(second_pairs(rows, described, labelled), rows, nodes)
+    return rows, described, nodes, components(links.unionByName(more)).select("node", "label")
 
-    final = components(links.unionByName(more)).select("node", "label")
-    placed = nodes.join(final, "node", "left").select("node", "rep", F.coalesce("label", "node").alias("label"))
+
+def named_documents(described: DataFrame, nodes: DataFrame, linked: DataFrame, counted: DataFrame | None = None) -> DataFrame:
+    """doc_id, n_shingles, component_id of every text, and n_links if the links of the nodes
+    (node, n) are ``counted``."""
+    placed = nodes.join(linked, "node", "left").select("node", "rep", "copies", F.coalesce("label", "node").alias("label"))
     least = placed.groupBy(F.col("label").alias("of")).agg(F.min("rep").alias("component_id"))
-    named = stage(placed.join(least, F.col("label") == F.col("of")).select(F.col("node").alias("its_node"), "component_id"), "jaccard-named")
+    named = placed.join(least, F.col("label") == F.col("of")).select(F.col("node").alias("its_node"), "component_id", "copies")
+    if counted is not None:
+        per = counted.groupBy(F.col("node").alias("at")).agg(F.sum("n").alias("others"))
+        named = named.join(per, F.col("its_node") == F.col("at"), "left").select(
+            "its_node", "component_id", (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("its_links"))
+    else:
+        named = named.select("its_node", "component_id")
+    named = stage(named, "jaccard-named")
     every = described.where(F.col("chunk").isNull())
-    linked = F.col("n") > 0
-    return (every.join(named, linked & (F.col("node") == F.col("its_node")), "left")
-            .select("doc_id", F.col("n").alias("n_shingles"), F.when(linked, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")))
+    worded = F.col("n") > 0
+    more = [] if counted is None else [F.coalesce("its_links", F.lit(0)).cast("long").alias("n_links")]
+    return (every.join(named, worded & (F.col("node") == F.col("its_node")), "left")
+            .select("doc_id", F.col("n").alias("n_shingles"), F.when(worded, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"), *more))
+
+
+def shards_of(rows: DataFrame, nodes: DataFrame, linked: DataFrame) -> DataFrame:
+    sets = sets_of(rows, nodes, linked.select("node"))
+    return link_shards(sets, nodes.select("node", "n", "copies").join(linked, "node"))
+
+
+def jaccard_components(docs: DataFrame, text: str = "text", id_col: str = "doc_id") -> DataFrame:
+    """doc_id, n_shingles, component_id of every row of ``docs``.
+
+    component_id is the least doc_id among the rows reachable by links (sets of word
+    5-grams with 100 * intersection >= 80 * union), the row itself included.  Rows
+    without words, null texts included, are linked with nothing and keep their own id;
+    fewer than five words are one shingle.  Null ids never name a component unless all
+    its ids are null; repeated rows are linked like any equal texts; an empty table
+    gives no rows; other columns are not read.
+    """
+    _, described, nodes, linked = found_components(docs, text, id_col)
+    return named_documents(described, nodes, linked)
+
+
+def jaccard_result(docs: DataFrame, text: str = "text", id_col: str = "doc_id") -> DataFrame:
+    """``jaccard_components`` and n_links: with how many other rows a row is linked, rows of
+    equal texts among them; 0 for a row without words."""
+    rows, described, nodes, linked = found_components(docs, text, id_col)
+    return named_documents(described, nodes, linked, search_links(shards_of(rows, nodes, linked), counts=True))
+
+
+def jaccard_links(docs: DataFrame, text: str = "text", id_col: str = "doc_id") -> DataFrame:
+    """a, b, doc_a, doc_b, copies_a, copies_b: every link of two different sets, once.
+
+    A set goes by its id (a < b), the least doc_id that has it (null if all are null) and
+    the number of rows that have it: a link stands for copies_a * copies_b links of rows.
+    """
+    rows, _, nodes, linked = found_components(docs, text, id_col)
+    pairs = search_links(shards_of(rows, nodes, linked), counts=False)
+    end = lambda x: nodes.select(F.col("node").alias(x), F.col("rep").alias(f"doc_{x}"), F.col("copies").alias(f"copies_{x}"))
+    return pairs.join(end("a"), "a").join(end("b"), "b").select("a", "b", "doc_a", "doc_b", "copies_a", "copies_b")
 
 
 def keep_one_each(docs: DataFrame, text: str = "text", id_col: str = "doc_id") -> DataFrame:

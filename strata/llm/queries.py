@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from strata.llm.common import read
 from strata.llm.decontam import contamination_digest, find_contamination
 from strata.llm.fingerprints import fingerprint_documents
-from strata.llm.jaccard import jaccard_components
+from strata.llm.jaccard import jaccard_result
 from strata.llm.licences import scan_licences
 from strata.llm.mixing import mix_result
 from strata.llm.perplexity import perplexity_scores
@@ -66,7 +66,7 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_components(read(spark, sf_dir, "documents"))
+    return jaccard_result(read(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -133,3 +133,36 @@ def test_keep_one_each(ready):
     assert kept.columns == df.columns and sorted((r.doc_id for r in kept.collect()), key=repr) == sorted([2, 4, 5, 6, 7, None], key=repr)
     assert jac.keep_one_each(docs(ready, [])).count() == 0
     assert sorted(map(tuple, jac.jaccard_components(docs(ready, [(1, None), (2, " ")])).collect())) == [(1, 0, 1), (2, 0, 2)]
+
+
+def all_links(rows):
+    """{(place, place)} of linked rows, by comparing all pairs."""
+    sets = [word_set(t) for _, t in rows]
+    return {(a, b) for a in range(len(rows)) for b in range(len(rows)) if a != b and sets[a] and sets[b]
+            and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])}
+
+
+@pytest.mark.parametrize("nodes, shingles", [(2048, 2_000_000), (3, 2_000_000), (2048, 400)])
+def test_every_link_is_counted(ready, monkeypatch, nodes, shingles):
+    """A group of 30 near copies, whose first pass pairs few of them; also in small blocks."""
+    monkeypatch.setattr(jac, "LINK_NODES", nodes)
+    monkeypatch.setattr(jac, "LINK_SHINGLES", shingles)
+    rnd, base = random.Random(4), prose(41, 120, 5000)
+    texts = [edited(base, 1, rnd) for _ in range(30)] + [" ".join(base.split()[:k]) for k in (119, 112, 104, 97, 92, 88, 80)]
+    rows = [*fixture(6, 24), *enumerate([*texts, texts[0], texts[0].upper(), texts[3]], 500), (1, None), (2, " "), (None, texts[5])]
+    links = all_links(rows)
+    df = docs(ready, rows, clash=True)
+    want = sorted(((i, n, c) for i, n, c in brute(rows)), key=repr)
+    got = jac.jaccard_result(df)
+    assert got.columns == ["doc_id", "n_shingles", "component_id", "n_links"]
+    out = got.collect()
+    assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in out), key=repr) == want
+    per = sorted(((rows[a][0], sum(x == a for x, _ in links)) for a in range(len(rows))), key=repr)
+    assert sorted(((r.doc_id, r.n_links) for r in out), key=repr) == per
+
+    sets = {frozenset((word_set(rows[a][1]), word_set(rows[b][1]))) for a, b in links}
+    pairs = jac.jaccard_links(df).collect()
+    assert len(pairs) == len({(r.a, r.b) for r in pairs}) == sum(len(s) == 2 for s in sets) and all(r.a < r.b for r in pairs)
+    assert 2 * sum(r.copies_a * r.copies_b for r in pairs) == sum(word_set(rows[a][1]) != word_set(rows[b][1]) for a, b in links)
+    text = dict(rows)
+    assert all(frozenset((word_set(text[r.doc_a]), word_set(text[r.doc_b]))) in sets for r in pairs if None not in (r.doc_a, r.doc_b))
