@@ -4,9 +4,10 @@ Main path in DataFrame functions and Spark ML only.  Paragraphs (lines, cut furt
 sentence ends) become binary vectors of hashed words and word pairs; a sparse
 multinomial logistic regression names the licence family or ``unknown``.  It is trained
 on windows of the templates below and, as ``unknown``, on a bounded sample of corpus
-paragraphs and on templates with their words reordered.  The threshold on the predicted
-probability is calibrated on a held-out fold of the unknown paragraphs.  A prediction
-counts only if the paragraph's word pairs agree with a template of that family.
+paragraphs and on templates with their words reordered.  A prediction counts only if the
+paragraph's word pairs agree with a template of that family.  The threshold on the
+predicted probability is calibrated on all paragraphs that no template confirms, by a
+histogram over the whole corpus.
 """
 
 from __future__ import annotations
@@ -83,8 +84,9 @@ N_FEATURES = 1 << 13
 #: Bounds of the sample of corpus paragraphs the classifier sees: about so many documents,
 #: at most so many paragraphs, of at most so many words.
 SAMPLE_DOCS, MAX_UNKNOWN, MAX_UNKNOWN_WORDS = 1_000, 20_000, 200
-#: Share of held-out unknown paragraphs below the calibrated threshold; the threshold's floor.
-CALIBRATION, FLOOR = 0.999, 0.5
+#: Share of the unconfirmed paragraphs below the calibrated threshold; the threshold's floor;
+#: probabilities are counted in steps of 1 / STEPS.
+CALIBRATION, FLOOR, STEPS = 0.999, 0.5, 10_000
 #: Share of a paragraph's word pairs (or of the template's) that a template must hold.
 AGREEMENT = 0.6
 
@@ -132,7 +134,7 @@ def agreement(pairs: Column, family: Column) -> Column:
 
 
 def training_rows(paragraphs: DataFrame) -> DataFrame:
-    """(label, words, held_out) from template windows, reordered templates and the corpus."""
+    """(label, words) from template windows, reordered templates and the corpus."""
     spark = paragraphs.sparkSession
     templates = template_table(spark)
     widths = F.array(*[F.lit(n) for n in (5, 8, 12, 20, 400)])
@@ -147,22 +149,32 @@ def training_rows(paragraphs: DataFrame) -> DataFrame:
     known = F.array(*[F.lit(f) for f in TEMPLATES])
     pairs = F.expr("transform(sequence(1, greatest(size(words) - 1, 1)), i -> concat_ws(' ', get(words, i - 1), get(words, i)))")
     clean = sample.where(F.array_max(F.transform(known, lambda f: agreement(pairs, f))) < AGREEMENT)
-    return (windows.withColumn("held_out", F.lit(False))
-            .unionByName(mixed.withColumn("held_out", F.lit(False)))
-            .unionByName(clean.select(F.lit(0.0).alias("label"), "words", (F.pmod("h", F.lit(5)) == 0).alias("held_out"))))
+    return windows.unionByName(mixed).unionByName(clean.select(F.lit(0.0).alias("label"), "words"))
 
 
-def fit(paragraphs: DataFrame) -> tuple[LogisticRegressionModel, float]:
-    """The classifier and its calibrated threshold."""
-    rows = stage(vectors(stage(training_rows(paragraphs), "licence-rows")).select("label", "features", "held_out"), "licence-train")
-    train = rows.where(~F.col("held_out"))
-    weight = train.agg(F.count_if(F.col("label") == 0).alias("u"), F.count_if(F.col("label") > 0).alias("k")).first()
+def fit(paragraphs: DataFrame) -> LogisticRegressionModel:
+    """The classifier, fitted on the templates and a bounded sample."""
+    rows = stage(vectors(stage(training_rows(paragraphs), "licence-rows")).select("label", "features"), "licence-train")
+    weight = rows.agg(F.count_if(F.col("label") == 0).alias("u"), F.count_if(F.col("label") > 0).alias("k")).first()
     balance = max(1.0, weight["u"] / max(weight["k"], 1) / 2)
-    model = LogisticRegression(maxIter=60, regParam=1e-5, family="multinomial", standardization=False, weightCol="weight").fit(
-        train.withColumn("weight", F.when(F.col("label") > 0, balance).otherwise(1.0)))
-    known = 1 - vector_to_array(F.col("probability"))[0]
-    cut = model.transform(rows.where("held_out")).agg(F.percentile(known, CALIBRATION).alias("cut")).first()["cut"]
-    return model, max(FLOOR, cut or 0.0)
+    return LogisticRegression(maxIter=60, regParam=1e-5, family="multinomial", standardization=False, weightCol="weight").fit(
+        rows.withColumn("weight", F.when(F.col("label") > 0, balance).otherwise(1.0)))
+
+
+def calibrated(scored: DataFrame) -> float:
+    """The least step that CALIBRATION of the unconfirmed paragraphs stay at or below, in their
+    probability of any family, and at least FLOOR.
+
+    Counts per step are summed in the tasks first: STEPS + 1 numbers whatever the input.
+    """
+    bins = (scored.where(F.col("at").isNotNull() & ~F.col("confirmed")).groupBy(F.ceil(F.col("known") * STEPS).cast("int").alias("bin"))
+            .agg(F.count("*").alias("n")).collect())
+    run, total = 0, sum(r["n"] for r in bins)
+    for r in sorted(bins, key=lambda r: r["bin"]):
+        run += r["n"]
+        if run >= CALIBRATION * total:
+            return max(FLOOR, r["bin"] / STEPS)
+    return FLOOR
 
 
 def paragraphs_of(df: DataFrame, text: str, id_col: str) -> DataFrame:
@@ -173,17 +185,24 @@ def paragraphs_of(df: DataFrame, text: str, id_col: str) -> DataFrame:
         "uid", "doc_id", "at", tokens_of(F.coalesce("paragraph", F.lit(""))).alias("words"))
 
 
-def classify_paragraphs(paragraphs: DataFrame, model: LogisticRegressionModel, threshold: float) -> DataFrame:
-    """paragraphs + family (UNKNOWN unless predicted, calibrated and confirmed), probability."""
+def score_paragraphs(paragraphs: DataFrame, model: LogisticRegressionModel) -> DataFrame:
+    """paragraphs without their words + label (predicted), probability (of it), known (of any
+    family), confirmed (a template of the predicted family agrees)."""
     scored = model.transform(vectors(paragraphs))
     names = F.array(*[F.lit(f) for f in FAMILIES])
     label = F.col("prediction").cast("int")
-    probability = F.get(vector_to_array(F.col("probability")), label)
-    guess = F.get(names, label)
-    sure = (label > 0) & (probability >= threshold)
-    confirmed = F.when(sure, agreement(F.col("pairs"), guess) >= AGREEMENT).otherwise(False)
-    return scored.select(*paragraphs.columns, F.when(confirmed, label).otherwise(0).alias("label"),
-                         F.when(confirmed, guess).otherwise(UNKNOWN).alias("family"), probability.alias("probability"))
+    chance = vector_to_array(F.col("probability"))
+    confirmed = F.when(label > 0, agreement(F.col("pairs"), F.get(names, label)) >= AGREEMENT).otherwise(False)
+    return scored.select(*[c for c in paragraphs.columns if c != "words"], label.alias("label"), F.get(chance, label).alias("probability"),
+                         (1 - chance[0]).alias("known"), confirmed.alias("confirmed"))
+
+
+def classify_paragraphs(paragraphs: DataFrame, model: LogisticRegressionModel) -> DataFrame:
+    """Scored paragraphs + family (UNKNOWN unless predicted, calibrated and confirmed)."""
+    scored = stage(score_paragraphs(paragraphs, model), "licence-scored")
+    sure = F.col("confirmed") & (F.col("probability") >= calibrated(scored))
+    names = F.array(*[F.lit(f) for f in FAMILIES])
+    return scored.withColumn("label", F.when(sure, F.col("label")).otherwise(0)).withColumn("family", F.get(names, F.col("label")))
 
 
 def scan_licences(df: DataFrame, text: str = "text", id_col: str = "doc_id") -> DataFrame:
@@ -197,8 +216,7 @@ def scan_licences(df: DataFrame, text: str = "text", id_col: str = "doc_id") ->
     """
     rows = paragraphs_of(df, text, id_col)
     some = F.pmod(F.xxhash64(F.col(f"`{text}`")), F.lit(max(1, df.count() // SAMPLE_DOCS))) == 0
-    model, threshold = fit(paragraphs_of(df.where(some), text, id_col))
-    found = classify_paragraphs(rows, model, threshold)
+    found = classify_paragraphs(rows, fit(paragraphs_of(df.where(some), text, id_col)))
     hit = F.col("label") > 0
     merged = found.groupBy("uid").agg(
         F.max("doc_id").alias("doc_id"), F.count("at").alias("n_paragraphs"), F.count_if(hit).alias("n_licence"),

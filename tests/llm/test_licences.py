@@ -68,3 +68,21 @@ def test_held_out_lines_of_the_corpus(spark):
     text = {r.doc_id: r.text for r in df.collect()}
     for r in lic.scan_licences(df).collect():
         assert set(r.families.split(",")) - {""} == {f for f, m in marks.items() if m in text[r.doc_id]}
+
+
+def test_threshold_is_the_quantile_of_all_unconfirmed_paragraphs(spark):
+    """Look-alikes far rarer than the fit's sample move the threshold; confirmed rows and empty texts don't."""
+    rows = [(0, 0.1 + i / 100_000, False) for i in range(2990)] + [(0, 0.93, False)] * 10 + [(0, 0.99, True)] * 500 + [(None, 0.99, False)] * 500
+    scored = spark.createDataFrame(rows, "at int, known double, confirmed boolean")
+    assert lic.calibrated(scored) == pytest.approx(0.93, abs=1 / lic.STEPS)
+    assert lic.calibrated(scored.where("known < 0.5")) == lic.FLOOR == lic.calibrated(scored.where("false"))
+
+
+def test_every_paragraph_is_calibrated_on(spark, monkeypatch):
+    """Also those outside the sample that the classifier is fitted on, and long ones."""
+    ship_package(spark)
+    seen, real = [], lic.calibrated
+    monkeypatch.setattr(lic, "SAMPLE_DOCS", 10)
+    monkeypatch.setattr(lic, "calibrated", lambda scored: seen.append(scored) or real(scored))
+    out = lic.scan_licences(docs(spark, [(i, f"{prose(i, 30)}.\n{prose(i, 300 if i % 9 == 0 else 20)}") for i in range(120)])).collect()
+    assert sum(r.n_paragraphs for r in out) == seen[0].where("at IS NOT NULL").count() == 240
