@@ -8,18 +8,22 @@ from pyspark.sql import DataFrame, SparkSession
 
 from strata.llm.common import read
 from strata.llm.decontam import contamination_digest, find_contamination
+from strata.llm.filter_audit import audit_filters
 from strata.llm.fingerprints import fingerprint_documents
 from strata.llm.jaccard import jaccard_result
 from strata.llm.licences import scan_licences
 from strata.llm.mixing import mix_result
+from strata.llm.packing import pack_documents
 from strata.llm.perplexity import perplexity_scores
+from strata.llm.resampling import resample
 from strata.llm.secrets import scan_secrets, secret_digest
 from strata.llm.tokens import token_counts
 from strata.llm.toxicity import toxicity_result
 from strata.llm.warc import warc_round_trip
 
-#: The vocabulary file's name; the folder is the installed package's (a parameter).
+#: The vocabulary files' names; the folder is the installed package's (a parameter).
 TOKEN_MODEL = "piece_bpe_32k.model"
+PACKING_MODEL = "word_bpe_49k.json"
 
 
 def tokenizer_path(name: str = TOKEN_MODEL) -> str:
@@ -69,6 +73,18 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_result(read(spark, sf_dir, "documents"))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit_filters(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(read(spark, sf_dir, "documents"), tokenizer_path(PACKING_MODEL))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: fn for name, fn in globals().items() if name.startswith("op") and name[2].isdigit()}
 
