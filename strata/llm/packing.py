@@ -30,6 +30,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -40,15 +41,48 @@ from strata.llm.common import record_batch, slices
 SIZE, CLOSING = 2048, 1
 #: Truncation penalties and a window's price, in padding ids.
 SENTENCE, INSIDE, PRICE = 4, 24, 8
-#: Cuts inside a sentence, one every so many ids; ids of a block; text bytes tokenised at once; distinct parts kept per worker.
-GRID, BLOCK, BATCH_BYTES, KEPT_PARTS = 64, 1_000_000, 4_000_000, 400_000
+#: Cuts inside a sentence, one every so many ids; ids of a block; text bytes tokenised at once.
+GRID, BLOCK, BATCH_BYTES = 64, 1_000_000, 4_000_000
+#: What a worker remembers at most: parts, and their characters.
+KEPT_PARTS, KEPT_CHARS = 1_000_000, 32_000_000
 
 _ENDS = re.compile(r"[.!?。！？]+[\"'”’)\]]*")
-_BLANK = re.compile("[ \t\n\r]+")
-# Letters that stand for themselves, with or without another behind them, and a mark.
-_LETTERS = "a-zß-öø-ÿœ"
-_PLAIN = re.compile(f"([{_LETTERS}]+)([.,;:!?]?)")
-_SEPARATORS = re.compile("[\x1c-\x1f]")  # blanks to Python, not to the vocabulary's splitter
+# A word that the splitter leaves whole and of which the normaliser changes the case alone, and a mark behind it.
+_MARKS = list(".,;:!?")
+_PLAIN = f"^(?P<word>[A-Za-zÀ-ÖØ-öø-ÿŒœ]+)(?P<mark>[{''.join(_MARKS)}]?)$"
+
+
+class _Numbers(dict):
+    """Numbers of texts in order of their first sight; ``new`` collects those not seen before."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list[str] = []
+
+    def __missing__(self, text: str) -> int:
+        self[text] = n = len(self)
+        self.new.append(text)
+        return n
+
+    def take(self) -> list[str]:
+        new, self.new = self.new, []
+        return new
+
+
+class _Ids:
+    """Runs of token ids by number."""
+
+    def __init__(self):
+        self.flat, self.ends = np.zeros(0, np.uint32), np.zeros(1, np.int64)
+
+    def add(self, flat: np.ndarray, lengths: np.ndarray) -> None:
+        self.flat = np.concatenate([self.flat, flat])
+        self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(lengths)])
+
+    def gather(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The runs of ``which`` one behind the other, and their lengths."""
+        first, n = self.ends[which], self.ends[which + 1] - self.ends[which]
+        return self.flat[np.repeat(first - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))], n
 
 
 class Encoder:
@@ -56,7 +90,9 @@ class Encoder:
 
     The vocabulary's normaliser and splitter turn every blank into a split that no token
     crosses, and the special strings hold no blank, so the ids of a text are those of its
-    parts between blanks.  Distinct parts are encoded once and remembered.
+    parts between blanks.  Distinct parts are encoded once and remembered.  Most are a word
+    of letters and at most one mark behind it, which the splitter parts; new words are encoded
+    many at a time, as a text, and the ids that end a word tell them apart.
     """
 
     def __init__(self, path: str):
@@ -67,58 +103,70 @@ class Encoder:
         if any(re.search(r"\s", t.content) for t in self.tokenizer.get_added_tokens_decoder().values()):
             raise ValueError(f"{path}: a special token holds a blank; no cut is safe")
         vocabulary = self.tokenizer.get_vocab()
-        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends, self.word_ends = (np.zeros(max(vocabulary.values()) + 1, bool) for _ in range(2))
         for token, i in vocabulary.items():
             self.ends[i] = _ENDS.fullmatch(token.removesuffix("</w>")) is not None
-        # The splitter leaves a run of letters whole and parts it from a mark behind it; of these letters the
-        # normaliser changes the case alone.  So a word's ids are the model's own for its bytes' signs.
-        letters = [chr(c) for c in range(0x61, 0x180) if re.fullmatch(f"[{_LETTERS}]", chr(c))]
-        self.signs = str.maketrans({c: self.tokenizer.pre_tokenizer.pre_tokenize_str(c)[0][0] for c in letters})
-        self.marks = {m: self.tokenizer.encode(m, add_special_tokens=False).ids for m in ("", *".,;:!?")}
+            self.word_ends[i] = token.endswith("</w>")
         self.clear()
 
     def clear(self) -> None:
-        self.known, self.flat, self.offsets = {}, np.zeros(0, np.uint32), np.zeros(1, np.int64)
-
-    def learn(self, parts: Iterable[str]) -> None:
-        new = [p for p in dict.fromkeys(parts) if p not in self.known]
-        if not new:
+        self.parts, self.part_ids, self.words, self.word_ids, self.kept = _Numbers(), _Ids(), _Numbers(), _Ids(), 0
+        for m in _MARKS:  # the first words
+            self.words[m]
+        self._learn_words()
+
+    def _encoded(self, texts: Sequence[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn_words(self) -> None:
+        new = self.words.take()
+        if new:
+            ids = np.concatenate(self._encoded([" ".join(new[i:i + 1000]) for i in range(0, len(new), 1000)]))
+            self.word_ids.add(ids, np.diff(np.flatnonzero(self.word_ends[ids]), prepend=-1))
+
+    def _learn_parts(self) -> None:
+        if not self.parts.new:
             return
-        ids: list = [None] * len(new)
-        plain = [_PLAIN.fullmatch(p.lower()) for p in new]
-        hard = [i for i, m in enumerate(plain) if m is None]
-        for i, e in zip(hard, self.tokenizer.encode_batch_fast([new[i] for i in hard], add_special_tokens=False), strict=True):
-            ids[i] = e.ids
-        word, mark, signs = self.tokenizer.model.tokenize, self.marks, self.signs
-        for i, m in enumerate(plain):
-            if m is not None:
-                ids[i] = [t.id for t in word(m[1].translate(signs))] + mark[m[2]]
-        at = len(self.known)
-        self.known.update(zip(new, range(at, at + len(new)), strict=True))
-        self.flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(ids), np.uint32)])
-        self.offsets = np.concatenate([self.offsets, self.offsets[-1] + np.cumsum([len(x) for x in ids])])
-
-    def encode(self, texts: Sequence[str]) -> list[np.ndarray]:
-        """Ids per text; ``texts`` should be of a batch's size together."""
-        if len(self.known) > KEPT_PARTS:
+        new = pa.array(self.parts.take())
+        self.kept += pc.sum(pc.utf8_length(new)).as_py()
+        plain = pc.extract_regex(new, _PLAIN)
+        hard = pc.is_null(plain)
+        found = plain.filter(pc.invert(hard))
+        word, mark = pc.utf8_lower(pc.struct_field(found, "word")).dictionary_encode(), pc.struct_field(found, "mark")
+        number = np.fromiter(map(self.words.__getitem__, word.dictionary.to_pylist()), np.int64)
+        self._learn_words()
+        # Plain parts as two words each: the letters, and the mark (the first words are the marks) or none.
+        letters = number[word.indices.to_numpy()]
+        marks = pc.fill_null(pc.index_in(mark, pa.array(_MARKS)), -1).to_numpy()
+        units = np.stack([letters, marks], axis=1)
+        easy, n = self.word_ids.gather(units[units >= 0])
+        per_unit = np.zeros(units.shape, np.int64)
+        per_unit[units >= 0] = n
+        other = self._encoded(new.filter(hard).to_pylist())
+        is_hard = hard.to_numpy(zero_copy_only=False)
+        lengths = np.zeros(len(new), np.int64)
+        lengths[~is_hard] = per_unit.sum(axis=1)
+        lengths[is_hard] = [len(x) for x in other]
+        of_hard = np.repeat(is_hard, lengths)
+        flat = np.empty(len(of_hard), np.uint32)
+        flat[~of_hard] = easy
+        flat[of_hard] = np.concatenate([np.zeros(0, np.uint32), *other])
+        self.part_ids.add(flat, lengths)
+
+    def encode(self, texts: pa.Array) -> list[np.ndarray]:
+        """Ids per text.  Texts are cut at ASCII blanks, and equal parts found, in Arrow; Python sees distinct parts only."""
+        if len(self.parts) > KEPT_PARTS or self.kept > KEPT_CHARS:
             self.clear()
-        cut = [_pieces(t) for t in texts]
-        self.learn(chain.from_iterable(cut))
-        which = np.fromiter(map(self.known.__getitem__, chain.from_iterable(cut)), np.int64)
-        first, n = self.offsets[which], self.offsets[which + 1] - self.offsets[which]
-        ends = np.cumsum(n)
-        ids = self.flat[np.repeat(first - (ends - n), n) + np.arange(int(n.sum()))]
-        stops = np.concatenate([[0], ends])[np.cumsum([len(parts) for parts in cut])]
+        cut = pc.ascii_split_whitespace(texts)
+        parts = cut.flatten().dictionary_encode()
+        known = pc.if_else(pc.string_is_ascii(parts.dictionary), pc.ascii_lower(parts.dictionary), parts.dictionary)
+        number = np.fromiter(map(self.parts.__getitem__, known.to_pylist()), np.int64)
+        self._learn_parts()
+        ids, n = self.part_ids.gather(number[parts.indices.to_numpy()])
+        stops = np.concatenate([[0], np.cumsum(n)])[np.cumsum(pc.list_value_length(cut).to_numpy(zero_copy_only=False).astype(np.int64))]
         return np.split(ids, stops[:-1])
 
 
-def _pieces(text: str) -> list[str]:
-    """The parts of ``text`` between blanks (in small letters where that is a matter of A-Z alone)."""
-    if text.isascii() and not _SEPARATORS.search(text):
-        return text.lower().split()
-    return _BLANK.split(text)
-
-
 _encoders: dict[str, Encoder] = {}
 
 
@@ -129,22 +177,11 @@ def encoder(path: str) -> Encoder:
     return _encoders[path]
 
 
-def document_ids(texts: Sequence[str], enc: Encoder, closing: int = CLOSING) -> list[np.ndarray]:
-    """Ids of each text, closed with ``closing``; a text longer than a batch is encoded part by part."""
-    if not texts:
+def document_ids(texts: pa.Array, enc: Encoder, closing: int = CLOSING) -> list[np.ndarray]:
+    """Ids of each text, closed with ``closing``."""
+    if not len(texts):
         return []
-    short = [t if len(t) <= BATCH_BYTES else "" for t in texts]
-    out = enc.encode(short)
-    for i, t in enumerate(texts):
-        if len(t) > BATCH_BYTES:
-            got, at = [], 0
-            while at < len(t):
-                blank = _BLANK.search(t, at + BATCH_BYTES)
-                end = blank.end() if blank else len(t)
-                got += enc.encode([t[at:end]])
-                at = end
-            out[i] = np.concatenate(got)
-    return [np.append(ids, np.uint32(closing)) for ids in out]
+    return [np.append(ids, np.uint32(closing)) for ids in enc.encode(texts)]
 
 
 def cut_points(ids: np.ndarray, doc_ends: np.ndarray, ends: np.ndarray, size: int = SIZE,
@@ -264,7 +301,7 @@ def pack_documents(df: DataFrame, tokenizer_path: str, text: str = "text", id_co
 
         for whole in batches:
             for batch in slices(whole, "text", BATCH_BYTES):
-                for name, ids in zip(batch.column("id").to_pylist(), document_ids(batch.column("text").to_pylist(), enc, closing), strict=True):
+                for name, ids in zip(batch.column("id").to_pylist(), document_ids(batch.column("text"), enc, closing), strict=True):
                     names.append(name)
                     held.append(ids)
                     tokens += len(ids)
