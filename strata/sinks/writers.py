@@ -58,6 +58,20 @@ def delete_paths(spark: SparkSession, paths: Sequence[str], empty_like: DataFram
             fs.delete(jp, True)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there, asked of the file system Spark itself uses."""
+    if getattr(spark, "_jsc", None) is None:  # Spark Connect: ask the reader
+        from pyspark.errors import AnalysisException
+
+        try:
+            spark.read.text(path).schema  # noqa: B018
+            return True
+        except AnalysisException:
+            return False
+    jp = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return jp.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jp)
+
+
 def write_keys(df: DataFrame, base: str, keys: Sequence[str], requested: DataFrame | None = None,
                fmt: str = "parquet") -> None:
     """Write ``df`` partitioned by ``keys`` under ``base``; rerun-safe per key.
