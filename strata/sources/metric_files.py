@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.operators.metrics import dedupe_windows, round_metrics
+from strata.sinks.compaction import read_live
 from strata.sources.documents import CORRUPT, ndjson
 
 # Line format of the metric files (fixed values).
@@ -35,7 +36,7 @@ def _parse_time(col: str):
 
 
 def metric_lines(spark: SparkSession, root: str, sink_log: bool = False, by_day: bool = False,
-                 since: date | None = None) -> DataFrame:
+                 since: date | None = None, compacted: bool = False) -> DataFrame:
     """Every finished line under ``root`` with its parse status (``_corrupt_record``).
 
     ``sink_log=True`` reads ``root`` itself, so for the output folder of a Spark
@@ -43,9 +44,12 @@ def metric_lines(spark: SparkSession, root: str, sink_log: bool = False, by_day:
     ``by_day`` reads the ``dt=<day>/event_type=<t>/`` layout; with ``since`` only the
     folders of that day and later are listed and read (partition pruning).  Files that
     vanish between listing and reading are skipped, except under ``sink_log``: a file
-    the log has committed must be there, and its loss fails the read.
+    the log has committed must be there, and its loss fails the read.  ``compacted``
+    reads through the manifest of :mod:`strata.sinks.compaction`, the log included.
     """
     root = root.rstrip("/")
+    if compacted:
+        return live_lines(spark, root, by_day, since)
     levels = "dt=*/event_type=*" if by_day else "event_type=*"
     path = root if sink_log else f"{root}/{levels}"
     schema = RAW_SCHEMA + (", dt date" if by_day else "")
@@ -59,10 +63,18 @@ def metric_lines(spark: SparkSession, root: str, sink_log: bool = False, by_day:
     return lines.where(~file_name.contains(UNFINISHED))
 
 
-def load_metrics(spark: SparkSession, root: str, dedupe: bool = True,
-                 sink_log: bool = False, by_day: bool = False, since: date | None = None) -> DataFrame:
+def live_lines(spark: SparkSession, root: str, by_day: bool = False, since: date | None = None) -> DataFrame:
+    """The lines of :func:`metric_lines` as the sink's compaction manifest says which files hold them."""
+    columns = ", ".join(c for c in RAW_SCHEMA.split(", ") if not c.startswith("event_type"))
+    lines = read_live(spark, root, f"{columns}, {CORRUPT} string", "dt date, event_type string" if by_day else "event_type string",
+                      "json", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+    return lines if since is None else lines.where(F.col("dt") >= F.lit(since))
+
+
+def load_metrics(spark: SparkSession, root: str, dedupe: bool = True, sink_log: bool = False, by_day: bool = False,
+                 since: date | None = None, compacted: bool = False) -> DataFrame:
     """Clean metric table: window_start, window_end, event_type, cnt, total, avg_value."""
-    lines = metric_lines(spark, root, sink_log, by_day, since)
+    lines = metric_lines(spark, root, sink_log, by_day, since, compacted)
     # The tautology on window_end keeps a data column in the scan, so the lines are
     # parsed even when only a count is asked: Spark rejects JSON scans that would
     # need the corrupt-record column alone.
