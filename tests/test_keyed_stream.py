@@ -1,0 +1,97 @@
+"""Exactly-once batches in keyed parquet: replays, half-written batches, folds."""
+
+import os
+
+import pytest
+from pyspark.errors import StreamingQueryException
+
+from strata.streaming import keyed as K
+
+SCHEMA = "id bigint, kind string, x double"
+KEYS = {"kind": "string"}
+
+
+def land(spark, inbox, *ids):
+    spark.createDataFrame([(i, "ab"[i % 2] if i % 5 else None, i / 2) for i in ids], SCHEMA).repartition(1).write.mode("append").parquet(inbox)
+
+
+def run(spark, root, **more):
+    rows = spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).parquet(f"{root}/inbox")
+    q = K.start_keyed_stream(rows, f"{root}/out", list(KEYS), f"{root}/ckpt", available_now=True, **more)
+    try:
+        assert q.awaitTermination(300)
+    finally:
+        q.stop()
+
+
+def read(spark, root):
+    schema = spark.createDataFrame([], SCHEMA).schema
+    return sorted((r.id, r.kind, r.x) for r in K.read_committed(spark, f"{root}/out", schema, KEYS).collect())
+
+
+def want(*ids):
+    return [(i, "ab"[i % 2] if i % 5 else None, i / 2) for i in ids]
+
+
+def lose_commit(root, batch):
+    for name in (f"{batch}", f".{batch}.crc"):
+        os.remove(f"{root}/ckpt/commits/{name}")
+
+
+def test_half_written_batch_is_invisible_and_replaced(spark, tmp_dir):
+    land(spark, f"{tmp_dir}/inbox", 1, 2)
+    land(spark, f"{tmp_dir}/inbox", 3, 4, 5)
+
+    def fail(batch):
+        if batch == 1:
+            raise RuntimeError("stopped")
+
+    with pytest.raises(StreamingQueryException):
+        run(spark, tmp_dir, before_ledger=fail)
+    assert os.path.isdir(f"{tmp_dir}/out/batch=1") and len(read(spark, tmp_dir)) < 5
+    run(spark, tmp_dir)
+    assert read(spark, tmp_dir) == want(1, 2, 3, 4, 5)
+
+
+def test_replayed_batch_replaces_itself(spark, tmp_dir):
+    land(spark, f"{tmp_dir}/inbox", *range(6))
+    run(spark, tmp_dir)
+    lose_commit(tmp_dir, 0)
+    run(spark, tmp_dir)
+    assert read(spark, tmp_dir) == want(*range(6))
+    batch = spark.createDataFrame([(9, "b", 4.5)], SCHEMA)   # a replay with fewer keys leaves none of its old files
+    K.commit_batch(batch, 0, f"{tmp_dir}/out", list(KEYS))
+    assert read(spark, tmp_dir) == [(9, "b", 4.5)]
+
+
+def test_another_stream_is_refused(spark, tmp_dir):
+    batch = spark.createDataFrame([(1, "a", 0.5)], SCHEMA)
+    K.commit_batch(batch, 0, f"{tmp_dir}/out", ["kind"], "one")
+    with pytest.raises(ValueError, match="one"):
+        K.commit_batch(batch, 0, f"{tmp_dir}/out", ["kind"], "two")
+
+
+def test_fold(spark, tmp_dir):
+    schema = spark.createDataFrame([], SCHEMA).schema
+    for i in range(4):
+        land(spark, f"{tmp_dir}/inbox", 2 * i, 2 * i + 1)
+        run(spark, tmp_dir)
+    fold = lambda upto: K.fold_batches(spark, f"{tmp_dir}/out", ["kind"], schema, KEYS, upto)
+    assert fold(2) == 3 and read(spark, tmp_dir) == want(*range(8))
+    assert K.drop_folded(spark, f"{tmp_dir}/out") == 6 and read(spark, tmp_dir) == want(*range(8))
+    assert fold(2) == 0
+    assert fold(3) == 2 and read(spark, tmp_dir) == want(*range(8))
+    lose_commit(tmp_dir, 3)                                   # the folded batch runs again: recognised
+    run(spark, tmp_dir)
+    assert read(spark, tmp_dir) == want(*range(8))
+    K.drop_folded(spark, f"{tmp_dir}/out")
+    land(spark, f"{tmp_dir}/inbox", 8)
+    run(spark, tmp_dir)
+    assert read(spark, tmp_dir) == want(*range(9))
+    assert sorted(d for d in os.listdir(f"{tmp_dir}/out") if d.startswith("batch=")) == ["batch=-4", "batch=4"]
+
+
+def test_empty(spark, tmp_dir):
+    assert read(spark, tmp_dir) == []
+    K.commit_batch(spark.createDataFrame([], SCHEMA), 0, f"{tmp_dir}/out", ["kind"])
+    assert read(spark, tmp_dir) == [] and K.ledger(spark, f"{tmp_dir}/out").first().n_rows == 0
