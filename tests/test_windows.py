@@ -1,8 +1,9 @@
 from datetime import datetime
 
+import pytest
 from pyspark.sql import functions as F
 
-from strata.operators.windows import hop_metrics, interval_seconds
+from strata.operators.windows import hop_metrics, interval_micros, interval_seconds, pane_width
 
 
 def _events(spark):
@@ -68,3 +69,30 @@ def test_sliced_falls_back_for_other_interval_forms(spark):
     a = _rows(hop_metrics(ev, "ts", "event_type", "value", "1 minute 30 seconds", "10 seconds", "direct"))
     b = _rows(hop_metrics(ev, "ts", "event_type", "value", "1 minute 30 seconds", "10 seconds", "sliced"))
     assert a == b and a
+
+
+@pytest.mark.parametrize("size, slide, pane", [("50 seconds", "20 seconds", 10), ("1 minute", "7 seconds", 1), ("1 minute 30 seconds", "1 minute", 30),
+                                               ("10 seconds", "10 seconds", 10), ("250 milliseconds", "100 milliseconds", 0.05)])
+def test_panes_of_any_size_and_slide(spark, size, slide, pane):
+    assert pane_width(size, slide) == f"{int(pane * 10**6)} microseconds"
+    near = lambda rows: [(*r[:5], None if r[5] is None else round(r[5], 9)) for r in rows]
+    direct = _rows(hop_metrics(_events(spark), "ts", "event_type", "value", size, slide))
+    sliced = hop_metrics(_events(spark), "ts", "event_type", "value", size, slide, method="sliced")
+    assert near(_rows(sliced)) == near(direct) and direct
+
+
+def test_panes_expand_no_event(spark):
+    """The ×(size/slide) expansion is above the aggregate of panes, not over the events."""
+    plan = hop_metrics(_events(spark), "ts", "event_type", "value", "50 seconds", "20 seconds", method="sliced") \
+        ._jdf.queryExecution().optimizedPlan().toString()
+    nodes = [line.strip(" +-:!|").split()[0] for line in plan.splitlines()]
+    assert nodes.index("Expand") < max(i for i, n in enumerate(nodes) if n == "Aggregate")
+
+
+def test_intervals():
+    assert interval_micros("interval 1 minute 30 seconds") == 90 * 10**6 and interval_micros("2 weeks") == 14 * 86400 * 10**6
+    for bad in ("", "1 month", "ten seconds", "1 minute and more"):
+        with pytest.raises(ValueError):
+            interval_micros(bad)
+    with pytest.raises(ValueError):
+        interval_seconds("1 millisecond")
