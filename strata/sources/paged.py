@@ -34,7 +34,10 @@ fetched — the Spark form of the remote predicates (lazy reads, ``parallel_page
 The filters are still handed back to Spark, so results are exact either way.
 
 Hot units: ``read_paged(parallel_pages=True)`` (the default) fetches page 0 of every
-unit first and then spreads the further pages over the tasks as ranges of pages.
+unit first and then spreads the further pages over the tasks as ranges of pages.  It uses
+the same page loop, but its units and ranges are rows of a DataFrame.  A getter with an
+attribute ``by_range``, a function (key, day, first, last, params) → [(page, payload)],
+is asked for a range at once.
 """
 
 from __future__ import annotations
@@ -45,12 +48,14 @@ import json
 import os
 import time
 from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import (DataSource, DataSourceReader, EqualTo, GreaterThan,
                                     GreaterThanOrEqual, In, InputPartition, LessThan,
                                     LessThanOrEqual)
+from pyspark.sql.types import StructType
 
 from strata.session import default_parallelism, scratch_root, ship_package
 from strata.sinks.layout import partition_path
@@ -67,6 +72,9 @@ TRANSIENT = (TransientError, ConnectionError, TimeoutError)
 # Answers that ask to come back later (fixed values).
 BUSY_STATUS = (429, 503)
 
+#: Pages of a range that a task fetches in one go, and item rows of an Arrow batch.
+PAGES_PER_RANGE, BATCH_ROWS = 16, 1000
+
 SCHEMA = ("key string, day date, page int, item string, "
           "pages_fetched int, truncated boolean, pages_total int")
 
@@ -105,11 +113,19 @@ class _PagedReader(DataSourceReader):
         n = max(1, min(self.num_partitions, len(self.units)))
         return [_Units(self.units[i::n]) for i in range(n)]
 
-    def _fetch(self, get, key, day, page):
+    def _pages(self, get, key, day, first, last):
+        """(page, payload) of a range: in one call where the getter can (``by_range``), else page by page."""
+        if hasattr(get, "by_range"):
+            yield from self._fetch(get.by_range, key, day, first, last)
+            return
+        for page in range(first, last + 1):
+            yield page, self._fetch(get, key, day, page)
+
+    def _fetch(self, get, key, day, *pages):
         tries = max(1, self.retries)  # always at least one call
         for attempt in range(tries):
             try:
-                return get(key, day, page, self.params)
+                return get(key, day, *pages, self.params)
             except TRANSIENT as exc:
                 if attempt == tries - 1:
                     raise
@@ -127,8 +143,8 @@ class _PagedReader(DataSourceReader):
             d = _dt.date.fromisoformat(day)
             if mode == "range":
                 held, missing = 0, False
-                for page in range(first, number + 1):
-                    items, _ = self._split(self._fetch(get, key, day, page))
+                for page, payload in self._pages(get, key, day, first, number):
+                    items, _ = self._split(payload)
                     held, missing = held + bool(items), missing or not items
                     for item in items:
                         yield (key, d, page, json.dumps(item, ensure_ascii=False), None, None, None)
@@ -204,69 +220,104 @@ def register(spark: SparkSession) -> None:
     spark.dataSource.register(PagedJsonSource)
 
 
+@contextmanager
+def predicate_pushdown(spark: SparkSession) -> Iterator[None]:
+    """Within the block, lazy reads of the session hand ``where`` on key and day to the source.
+
+    Spark reads the setting when a query is planned, so read, filter and write inside the block."""
+    name = "spark.sql.python.filterPushdown.enabled"
+    before = spark.conf.get(name, "false")
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def read_paged(spark: SparkSession, units: DataFrame, getter: str, key_col: str = "key",
-               day_col: str = "dt", parallel_pages: bool = True, **options) -> DataFrame:
+               day_col: str = "dt", parallel_pages: bool = True, pages_per_range: int = PAGES_PER_RANGE,
+               **options) -> DataFrame:
     """Read the units of a work grid (a DataFrame of key and day) through ``getter``.
 
-    The grid is a job parameter (keys × days), small by nature; it is collected to
-    build the partitions.  A null key is a unit like any other (the getter gets None);
-    a null day is no unit and raises.  Returns item rows and report rows.
-
-    ``parallel_pages``: page 0 of every unit is fetched first (and checkpointed, so
-    it is fetched once); it tells how many pages each unit has, and the further pages
-    are then spread over the tasks in ranges, at most two per task slot and unit, so a
-    unit with very many pages is not read by one task page after page.  Units whose payloads carry no
-    page count continue page by page.  The page-0 probe runs when this function is
-    called, so filter the grid (not the result) to choose units; with
-    ``parallel_pages=False`` the read stays lazy and ``where`` on key/day prunes
-    units through predicate pushdown.
+    A null key is a unit like any other (the getter gets None); a null day is no unit and
+    raises.  Returns item rows and report rows.
+
+    ``parallel_pages``: units and page ranges are rows of DataFrames that the fetching tasks
+    read; the driver holds neither, whatever their number.  Page 0 of every unit is fetched
+    first (and checkpointed, so it is fetched once); it tells how many pages each unit has, and the
+    further pages are dealt over the tasks in ranges of ``pages_per_range``, so a unit with
+    very many pages is not read by one task page after page.  Units whose payloads carry no page count
+    continue page by page.  The page-0 probe runs when this function is called, so filter
+    the grid (not the result) to choose units.
+
+    With ``parallel_pages=False`` the read is the lazy ``paged_json`` source: ``where`` on key/day
+    prunes units through predicate pushdown.  Its grid is collected to build the
+    partitions, so it is for grids of moderate size.
     """
     register(spark)
-    cells = units.select(F.col(key_col).cast("string"), F.col(day_col).cast("date")).distinct().collect()
-    if any(r[1] is None for r in cells):
+    grid = units.select(F.col(key_col).cast("string").alias("key"), F.col(day_col).cast("date").alias("day")).distinct()
+    if grid.where(F.col("day").isNull()).limit(1).collect():
         raise ValueError(f"the grid has cells without a day in {day_col}")
-    grid = sorted(([r[0], r[1].isoformat()] for r in cells), key=lambda u: (u[0] is not None, u[0] or "", u[1]))
     opts = {k: (json.dumps(v) if isinstance(v, (dict, list)) else str(v)) for k, v in options.items()
             if v is not None}
     opts.setdefault("num_partitions", str(default_parallelism(spark) * 2))
-    opts.setdefault("pushdown", spark.conf.get("spark.sql.python.filterPushdown.enabled", "false"))
-
-    def load(work, **extra):
-        return (spark.read.format("paged_json").option("units", json.dumps(work))
-                     .option("getter", getter).options(**{**opts, **extra}).load())
-
     if not parallel_pages:
-        return load(grid)
+        cells = sorted(([r[0], r[1].isoformat()] for r in grid.collect()), key=lambda u: (u[0] is not None, u[0] or "", u[1]))
+        opts.setdefault("pushdown", spark.conf.get("spark.sql.python.filterPushdown.enabled", "false"))
+        return (spark.read.format("paged_json").option("units", json.dumps(cells))
+                     .option("getter", getter).options(**opts).load())
     scratch_root(spark)
     cap = int(opts["max_pages"]) if "max_pages" in opts else None
     start = int(opts.get("start_page", "0"))
-    first = load(grid, max_pages="1").checkpoint(eager=True)
-    more = fetch_report(first).where(F.col("truncated")).collect()
-    slots = 2 * default_parallelism(spark)
-    ranges, rest, reports = [], [], []
-    for r in more:
-        key, day = r["key"], r["day"].isoformat()
-        if r["pages_total"] is None:  # no page count: continue page by page
-            if cap is not None and cap <= 1:  # the probe used the whole cap
-                reports.append((key, r["day"], None, None, 1, True, None))
-            else:
-                rest.append([key, day, start + 1, "all", 1])
-            continue
-        last = r["pages_total"] if cap is None else min(r["pages_total"], cap)
-        step = max(1, -(-(last - 1) // slots))
-        ranges += [[key, day, start + n, "range", start + min(n + step, last) - 1] for n in range(1, last, step)]
-        reports.append((key, r["day"], None, None, 1, cap is not None and r["pages_total"] > cap,
-                        r["pages_total"]))
-    done_reports = fetch_report(first).where(~F.col("truncated") | F.col("truncated").isNull())
-    parts = [items_of(first, full=True), _as_rows(done_reports)]
-    if ranges or rest:
-        parts.append(load(ranges + rest))
-    if reports:
-        parts.append(spark.createDataFrame(reports, SCHEMA))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    plain = {**opts, "getter": getter}
+    whole, none = F.lit("all"), F.lit(None)
+    probe = grid.select("key", "day", F.lit(start).alias("first"), whole.alias("mode"), F.lit(0).alias("number"))
+    first = _fetch_rows(probe, {**plain, "max_pages": "1"}).checkpoint(eager=True)
+    report = fetch_report(first)
+    more = report.where(F.col("truncated"))
+    counted, blind = more.where(F.col("pages_total").isNotNull()), more.where(F.col("pages_total").isNull())
+    last = F.col("pages_total") if cap is None else F.least("pages_total", F.lit(cap))
+    step = F.lit(pages_per_range)
+    n = F.explode(F.sequence(F.lit(1), last - 1, step)).alias("n")
+    ranges = counted.where(last > 1).select("key", "day", last.alias("last"), n).select(
+        "key", "day", (F.lit(start) + F.col("n")).alias("first"), F.lit("range").alias("mode"),
+        (F.lit(start) + F.least(F.col("n") + step, F.col("last")) - 1).cast("int").alias("number"))
+    goes_on = cap is None or cap > 1  # the probe used up a cap of one page
+    rest = blind.where(F.lit(goes_on)).select("key", "day", F.lit(start + 1).alias("first"), whole.alias("mode"), F.lit(1).alias("number"))
+    page, item = none.cast("int").alias("page"), none.cast("string").alias("item")
+    capped = F.lit(False) if cap is None else F.col("pages_total") > cap
+    reports = _as_rows(report.where(~F.coalesce("truncated", F.lit(False)))) \
+        .unionByName(counted.select("key", "day", page, item, F.lit(1).alias("pages_fetched"), capped.alias("truncated"), "pages_total")) \
+        .unionByName(_as_rows(blind.where(F.lit(not goes_on))))
+    return items_of(first, full=True).unionByName(reports).unionByName(_fetch_rows(ranges.unionByName(rest), plain))
+
+
+def _fetch_rows(work: DataFrame, options: dict[str, str]) -> DataFrame:
+    """Fetch the work items of ``work`` (see :class:`_Units`; one per row), spread over the tasks."""
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    schema = StructType.fromDDL(SCHEMA)
+
+    def fetch(batches):
+        import pyarrow as pa
+
+        reader, arrow = _PagedReader(options), to_arrow_schema(schema)
+
+        def batch(rows: list[tuple]):
+            return pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(zip(*rows), arrow)], schema=arrow)
+
+        held: list[tuple] = []
+        for b in batches:
+            items = [[r["key"], r["day"].isoformat(), r["first"], r["mode"], r["number"]] for r in b.to_pylist()]
+            for row in reader.read(_Units(items)):
+                held.append(row)
+                if len(held) >= BATCH_ROWS:
+                    yield batch(held)
+                    held = []
+        if held:
+            yield batch(held)
+
+    return work.repartition(int(options["num_partitions"])).mapInArrow(fetch, schema)
 
 
 def _as_rows(report: DataFrame) -> DataFrame:
@@ -315,18 +366,26 @@ def _filesystem(uri: str):
 def parquet_pages(key: str, day: str, page: int, params: dict):
     """Pages held in a parquet dataset partitioned by ``<key_col>=…/dt=…`` with
     columns ``page`` and ``body`` (a JSON payload), as landed by Spark."""
+    return _parquet_page_range(key, day, page, page, params)[0][1]
+
+
+def _parquet_page_range(key: str, day: str, first: int, last: int, params: dict) -> list[tuple[int, dict]]:
+    """(page, payload) of a range of pages: the unit's folder is opened once for all of them."""
     import pyarrow.dataset as ds
     from pyarrow import fs as pafs
 
     filesystem, root = _filesystem(params["root"])
     folder = partition_path(root, {params.get("key_col", "key"): key, "dt": day})
-    if filesystem.get_file_info(folder).type != pafs.FileType.Directory:
-        return {"items": [], "pages": 0}
-    table = ds.dataset(folder, format="parquet", filesystem=filesystem).to_table(
-        filter=ds.field("page") == page, columns=["body"])
-    if table.num_rows == 0:
-        return {"items": [], "pages": 0}
-    return json.loads(table.column("body")[0].as_py())
+    found = {}
+    if filesystem.get_file_info(folder).type == pafs.FileType.Directory:
+        number = ds.field("page")
+        table = ds.dataset(folder, format="parquet", filesystem=filesystem).to_table(
+            filter=(number >= first) & (number <= last), columns=["page", "body"])
+        found = dict(zip(table.column("page").to_pylist(), table.column("body").to_pylist(), strict=True))
+    return [(n, json.loads(found[n]) if n in found else {"items": [], "pages": 0}) for n in range(first, last + 1)]
+
+
+parquet_pages.by_range = _parquet_page_range
 
 
 def http_pages(key: str, day: str, page: int, params: dict):

@@ -15,11 +15,18 @@ watermark passes their end.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import time
+from collections.abc import Callable
+from functools import reduce
+from operator import or_
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.listener import StreamingQueryListener
 
 from strata.operators.windows import hop_metrics
+from strata.session import pin_utc
 
 # Event contract of the stream (fixed values).
 EVENT_SCHEMA = "event_type string, user_id bigint, amount double, ts_ms bigint"
@@ -27,6 +34,8 @@ WATERMARK_DELAY = "5 seconds"
 WINDOW_SIZE = "1 minute"
 WINDOW_SLIDE = "10 seconds"
 CHECKPOINT_EVERY = "30 seconds"
+#: Name and counts of the metrics that the stream observes on its parsed events.
+QUALITY, QUALITY_COUNTS = "event_quality", ("rows", "unparsed", "no_event_time", "no_amount")
 # Text layout of window times in the sink files.
 SINK_TIME_FORMAT = "yyyy-MM-dd HH:mm:ss.SSS"
 
@@ -42,17 +51,14 @@ def event_quality(events: DataFrame) -> DataFrame:
     """One row of counts over parsed events: rows, rows that are not JSON events at all
     (every field null), rows without an event time (dropped by the windows), rows
     whose amount is missing or malformed (counted in ``cnt``, not in sums)."""
-    fields = [c for c in events.columns if c != "event_ts"]
-    any_field = F.lit(False)
-    for c in fields:
-        any_field = any_field | F.col(c).isNotNull()
-    unparsed = ~any_field
-    return events.agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.count(F.when(unparsed, 1)).alias("unparsed"),
-        F.count(F.when(F.col("event_ts").isNull(), 1)).alias("no_event_time"),
-        F.count(F.when(F.col("amount").isNull(), 1)).alias("no_amount"),
-    )
+    return events.agg(*_quality(events))
+
+
+def _quality(events: DataFrame) -> list[Column]:
+    fields = [F.col(c).isNotNull() for c in events.columns if c != "event_ts"]
+    counts = {"rows": F.lit(True), "unparsed": ~reduce(or_, fields), "no_event_time": F.col("event_ts").isNull(),
+              "no_amount": F.col("amount").isNull()}
+    return [F.count(F.when(counts[c], 1)).alias(c) for c in QUALITY_COUNTS]
 
 
 def event_lines(events: DataFrame, time_col: str = "ts", value_col: str = "value") -> DataFrame:
@@ -128,13 +134,80 @@ def kafka_stream(spark: SparkSession, **kwargs) -> DataFrame:
 
 
 def read_topic(spark: SparkSession, bootstrap: str, topic: str, from_beginning: bool = True) -> DataFrame:
-    """Bounded read of a topic as a batch (offsets from earliest/latest to the end
-    at planning time): the drain-and-stop form of consuming."""
-    opts = kafka_options(bootstrap, topic, from_beginning=from_beginning)
+    """Bounded read of a topic as a batch (earliest offsets to the end at planning time):
+    the drain-and-stop form of consuming.
+
+    A batch read has no "from now on": it would start at the end it stops at.  To consume only new
+    messages and stop, start :func:`kafka_stream` and :func:`drain_until_idle`.
+    """
+    if not from_beginning:
+        raise ValueError("a batch read of only new messages is empty; use kafka_stream with drain_until_idle")
+    opts = kafka_options(bootstrap, topic, from_beginning=True)
     opts["endingOffsets"] = "latest"
     return spark.read.format("kafka").options(**opts).load()
 
 
+def drain_until_idle(query: StreamingQuery, idle_seconds: float, limit_seconds: float | None = None,
+                     poll_seconds: float = 0.2) -> bool:
+    """Let a running query consume until no rows have come for ``idle_seconds``, then stop it.
+
+    Idle is judged by the query's progress: the time since a batch with rows ended, and
+    never while a batch runs.  A query that fails raises its error here.  ``limit_seconds``
+    bounds the whole wait; returns whether the query was idle (False: the limit came first).
+    What is committed stays committed; the next start goes on from the checkpoint.
+    """
+    began = quiet_since = time.monotonic()
+    seen = -1
+    try:
+        while query.isActive:
+            now = time.monotonic()
+            progress = query.lastProgress
+            busy = query.status["isTriggerActive"] and query.status["isDataAvailable"]
+            if progress is not None and progress["batchId"] != seen and progress["numInputRows"] > 0:
+                seen, quiet_since = progress["batchId"], now
+            if busy:
+                quiet_since = now
+            if now - quiet_since >= idle_seconds:
+                return True
+            if limit_seconds is not None and now - began >= limit_seconds:
+                return False
+            query.awaitTermination(poll_seconds)
+        if query.exception() is not None:
+            raise query.exception()
+        return True  # it ended by itself: everything there was is consumed
+    finally:
+        if query.isActive:
+            query.stop()
+
+
+class LossListener(StreamingQueryListener):
+    """Per micro-batch of the metrics stream, what did not reach a window: register with ``spark.streams.addListener``.
+
+    ``rows`` holds one dict per batch that saw input: query, batch, rows, unparsed (no JSON event at
+    all), no_event_time, no_amount (counted in ``cnt``, in no sum) and late_groups, Spark's own count of
+    (window, type) groups dropped behind the watermark, after its partial aggregation, so at least one row each.
+    """
+
+    def __init__(self):
+        self.rows: list[dict] = []
+
+    def onQueryStarted(self, event):
+        pass
+
+    def onQueryProgress(self, event):
+        p = event.progress
+        seen = p.observedMetrics.get(QUALITY)
+        if seen is not None and seen["rows"]:
+            self.rows.append({"query": str(p.id), "batch": p.batchId, **{c: int(seen[c]) for c in QUALITY_COUNTS},
+                              "late_groups": sum(o.numRowsDroppedByWatermark for o in p.stateOperators)})
+
+    def onQueryIdle(self, event):
+        pass
+
+    def onQueryTerminated(self, event):
+        pass
+
+
 def kafka_write_options(bootstrap: str, topic: str) -> dict[str, str]:
     """Producer settings of the event topic: wait for all replicas, batch for 20 ms (fixed values)."""
     return {
@@ -151,7 +224,7 @@ def write_to_kafka(df: DataFrame, bootstrap: str, topic: str, key_col: str | Non
         .options(**kafka_write_options(bootstrap, topic)).save())
 
 
-def start_metrics_stream(source: DataFrame, sink: str, checkpoint: str,
+def start_metrics_stream(source: DataFrame | Callable[[SparkSession], DataFrame], sink: str, checkpoint: str,
                          trigger: str | None = CHECKPOINT_EVERY, available_now: bool = False,
                          query_name: str | None = None, method: str = "direct",
                          by_day: bool = False, state_partitions: int | None = None) -> StreamingQuery:
@@ -161,16 +234,28 @@ def start_metrics_stream(source: DataFrame, sink: str, checkpoint: str,
     file sink commits every micro-batch to ``<sink>/_spark_metadata``; Spark
     readers of ``sink`` see only committed files (exactly-once with the checkpoint).
     ``available_now`` drains what is there and stops (a bounded run).  ``by_day``
-    adds a ``dt`` folder level above ``event_type`` (see :func:`_layout`).
+    adds a ``dt`` folder level above ``event_type`` (see :func:`_layout`).  Counts of rows
+    that reach no window are observed per batch (see :class:`LossListener`).
 
     ``state_partitions`` sets the partitions of the windowed state for a new
     checkpoint (later restarts keep the first value).  The key space is the windows
     in flight × event types, so tens to hundreds are enough; the session's shuffle
     width of a large batch cluster would make every micro-batch write that many
-    files per event type.  The setting is applied to the session while the query
-    starts, so start streams from one thread.
+    files per event type.  A stream takes the setting from its session, so it needs one of its
+    own: give ``source`` as a function of a session then (``lambda s: text_stream(s, path)``);
+    the calling session's settings are not touched.
     """
-    metrics, keys = _layout(rolling_metrics(parse_events(source), method=method), by_day)
+    if state_partitions is not None:
+        if not callable(source):
+            raise ValueError("state_partitions needs source as a function of a session")
+        own = SparkSession.active().newSession()
+        pin_utc(own).conf.set("spark.sql.shuffle.partitions", str(state_partitions))
+        source = source(own)
+    elif callable(source):
+        source = source(SparkSession.active())
+    events = parse_events(source)
+    events = events.observe(QUALITY, *_quality(events))
+    metrics, keys = _layout(rolling_metrics(events, method=method), by_day)
     writer = (metrics.writeStream.format("json").outputMode("append")
                      .options(**_sink_options())
                      .option("checkpointLocation", checkpoint)
@@ -181,15 +266,7 @@ def start_metrics_stream(source: DataFrame, sink: str, checkpoint: str,
         writer = writer.trigger(availableNow=True)
     elif trigger is not None:  # None: Spark's default (next batch as soon as one ends)
         writer = writer.trigger(processingTime=trigger)
-    if state_partitions is None:
-        return writer.start(sink)
-    spark = source.sparkSession
-    before = spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
-    try:  # read once, when the query starts; stored in the checkpoint
-        return writer.start(sink)
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", before)
+    return writer.start(sink)
 
 
 def to_kafka_rows(df: DataFrame, key_col: str | None = None) -> DataFrame:

@@ -3,6 +3,8 @@ import os
 import time
 from datetime import datetime, timedelta
 
+import pytest
+
 from strata.sources.metric_files import line_quality, load_metrics
 from strata.streaming import events as S
 
@@ -234,7 +236,10 @@ def test_state_partitions_option(spark, tmp_dir):
     inbox = os.path.join(tmp_dir, "inbox")
     S.event_lines(ev).write.text(inbox)
     before = spark.conf.get("spark.sql.shuffle.partitions")
-    q = S.start_metrics_stream(S.text_stream(spark, inbox), os.path.join(tmp_dir, "sink"),
+    with pytest.raises(ValueError):
+        S.start_metrics_stream(S.text_stream(spark, inbox), os.path.join(tmp_dir, "sink"),
+                               os.path.join(tmp_dir, "ckpt"), state_partitions=3)
+    q = S.start_metrics_stream(lambda s: S.text_stream(s, inbox), os.path.join(tmp_dir, "sink"),
                                os.path.join(tmp_dir, "ckpt"), available_now=True, state_partitions=3)
     assert q.awaitTermination(300)
     assert spark.conf.get("spark.sql.shuffle.partitions") == before
@@ -273,3 +278,61 @@ def test_list_files_missing_prefix_and_null_partition(spark, tmp_dir):
     assert list_files(spark, os.path.join(tmp_dir, "nothing-yet")).count() == 0
     df = spark.createDataFrame([("/x/k=__HIVE_DEFAULT_PARTITION__/f",), ("/x/k.v=1/f",)], "p string")
     assert [r[0] for r in df.select(path_value("p", "k")).collect()] == [None, ""]
+
+
+def _land(inbox, name, lines):
+    os.makedirs(inbox, exist_ok=True)
+    with open(os.path.join(inbox, name), "w") as f:
+        f.write("\n".join(lines) + "\n")
+
+
+def test_drain_until_idle(spark, tmp_dir):
+    inbox, out, ckpt = (os.path.join(tmp_dir, d) for d in ("inbox", "out", "ckpt"))
+    _land(inbox, "a.json", [_ev(0), _ev(1)])
+
+    def start():
+        return S.text_stream(spark, inbox).writeStream.format("parquet").option("checkpointLocation", ckpt).start(out)
+
+    q = start()
+    assert S.drain_until_idle(q, idle_seconds=2) and not q.isActive
+    assert spark.read.parquet(out).count() == 2
+    _land(inbox, "b.json", [_ev(2)])
+    assert S.drain_until_idle(start(), idle_seconds=2)   # goes on from the checkpoint
+    assert spark.read.parquet(out).count() == 3
+    began = time.monotonic()
+    assert not S.drain_until_idle(start(), idle_seconds=60, limit_seconds=1)
+    assert time.monotonic() - began < 30
+    broken = S.text_stream(spark, inbox).selectExpr("raise_error('broken')").writeStream.format("noop") \
+        .option("checkpointLocation", ckpt + "2").start()
+    with pytest.raises(Exception, match="broken"):
+        S.drain_until_idle(broken, idle_seconds=5)
+
+
+def test_batch_read_of_new_messages_is_refused(spark):
+    with pytest.raises(ValueError):
+        S.read_topic(spark, "broker:9092", "events", from_beginning=False)
+
+
+def test_losses_per_batch(spark, tmp_dir):
+    inbox = os.path.join(tmp_dir, "inbox")
+    bad = json.dumps({"event_type": "view", "user_id": 1, "amount": "bad", "ts_ms": T0_MS})
+    timeless = json.dumps({"event_type": "click", "user_id": 1, "amount": 9.0})
+    for name, lines in (("0", [_ev(0), "garbage", bad, timeless, timeless]), ("1", [_ev(900)]), ("2", [_ev(950), _ev(5), "{"]), ("3", [_ev(960), _ev(1)])):
+        _land(inbox, f"{name}.json", lines)
+        os.utime(os.path.join(inbox, f"{name}.json"), (T0_MS / 1000 + int(name), T0_MS / 1000 + int(name)))
+    log = S.LossListener()
+    spark.streams.addListener(log)
+    try:
+        q = S.start_metrics_stream(S.text_stream(spark, inbox, 1), os.path.join(tmp_dir, "sink"), os.path.join(tmp_dir, "ckpt"), available_now=True)
+        assert q.awaitTermination(300)
+        for _ in range(100):  # events arrive on a thread of their own
+            if len(log.rows) == 4:
+                break
+            time.sleep(0.1)
+    finally:
+        spark.streams.removeListener(log)
+    rows = sorted(log.rows, key=lambda r: r["batch"])
+    counts = [tuple(r[c] for c in S.QUALITY_COUNTS) for r in rows]
+    assert counts == [(5, 1, 3, 2), (1, 0, 0, 0), (3, 1, 1, 1), (2, 0, 0, 0)]
+    # the watermark of a batch filters late rows from the next batch on
+    assert [r["late_groups"] > 0 for r in rows] == [False, False, False, True]
