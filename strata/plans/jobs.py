@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.operators import metrics as M
-from strata.plans import catalog, incremental, postings, rates
+from strata.plans import catalog, incremental, merge, postings, progress, rates
 from strata.session import scratch_root
 from strata.sinks.layout import processed_dir, processed_root
 from strata.sinks.writers import write_keys, write_partition
@@ -61,7 +61,7 @@ def build_postings(spark: SparkSession, raw_base: str, root: str, days: Sequence
     replaced, and cells without postings are cleared.
     """
     schema = f"{postings.SCHEMA}, dt date, role_id string"
-    raw = (spark.read.schema(schema).option("multiLine", multi_line).json(raw_base)
+    raw = (json_docs(spark, raw_base, schema, multi_line=multi_line)  # a malformed document stops the job
                 .where(F.col("dt").isin(list(days))))  # partition pruning on dt
     flat = postings.vacancies(raw, keep=("dt", "role_id"))
     base = processed_root(root, "postings")
@@ -69,8 +69,33 @@ def build_postings(spark: SparkSession, raw_base: str, root: str, days: Sequence
     return base
 
 
+def load_postings(spark: SparkSession, raw_base: str, root: str, days: Sequence[date], keys: DataFrame,
+                  multi_line: bool = True, step_days: int = 1) -> dict[str, int]:
+    """:func:`build_postings` for long ranges: only cells whose raw rows are new or changed are
+    written, step by step, and a run that stops is resumed by the same call (see
+    :mod:`strata.plans.progress`; the progress table is ``<root>/progress``)."""
+    raw = json_docs(spark, raw_base, f"{postings.SCHEMA}, dt date, role_id string", multi_line=multi_line)
+    return progress.load_days(raw.withColumn("day", F.col("dt")), processed_root(root, "postings"), "day", days, "postings",
+                              progress.Progress(spark, f"{root.rstrip('/')}/progress"), keys=["role_id"], requested_keys=keys,
+                              transform=lambda rows: postings.vacancies(rows, keep=("dt", "role_id")), version="1", step_days=step_days)
+
+
+def merge_postings(spark: SparkSession, root: str, days: Sequence[date]) -> dict[str, int]:
+    """The postings of ``days`` (as loaded per role) merged into processed/postings_distinct: one row
+    per id, the latest publication's fields, the roles of all its listings united; partitioned by ``dt``,
+    the day of the publication that won."""
+    schema = postings.vacancies(spark.createDataFrame([], postings.SCHEMA)).schema
+    listed = incremental.read_keyed(spark, processed_root(root, "postings"), schema, {"dt": "date", "role_id": "string"})
+    pairs = F.transform(F.arrays_zip("professional_role_ids", "professional_role_names"),
+                        lambda p: F.struct(p["professional_role_ids"].alias("id"), p["professional_role_names"].alias("name")))
+    load = (listed.where(F.col("dt").isin(list(days))).withColumns({"listed_roles": F.array("role_id"), "professional_roles": pairs})
+                  .drop("role_id", "professional_role_ids", "professional_role_names"))
+    return merge.merge_latest(load, processed_root(root, "postings_distinct"), "id", ["published_at", "dt"], "dt",
+                              unite=["listed_roles", "professional_roles"], stage_root=f"{root.rstrip('/')}/merges")
+
+
 def run_metrics_stream(spark: SparkSession, source: DataFrame, root: str, available_now: bool = False,
-                       method: str = "direct"):
+                       method: str = "sliced"):
     """Start the rolling-metrics stream: text stream → metrics → ``<root>/streaming/rolling_metrics``."""
     sink = f"{root.rstrip('/')}/streaming/rolling_metrics"
     return S.start_metrics_stream(source, sink, f"{root.rstrip('/')}/checkpoints/rolling_metrics",

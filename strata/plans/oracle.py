@@ -42,6 +42,35 @@ def _pivot(metric: str, how: str) -> str:
 """
 
 
+# Windows of 50 s every 20 s: three a row, of which the last may have ended before it.
+PANES = """
+    SELECT window_start, window_start + INTERVAL 50 SECOND AS window_end, event_type,
+           count(*) AS cnt, round(sum(value), 2) AS total, round(avg(value), 4) AS avg_value
+    FROM (
+        SELECT event_type, value, ts, time_bucket(INTERVAL 20 SECOND, ts, TIMESTAMP '1970-01-01') - to_seconds(20 * k) AS window_start
+        FROM events, range(3) AS r(k)
+        WHERE ts IS NOT NULL
+    )
+    WHERE ts < window_start + INTERVAL 50 SECOND
+    GROUP BY window_start, event_type
+"""
+
+# Pages of a unit are numbered in buckets of 10,000 ids; a bucket's last page may be short.
+CAPPED = """
+    WITH p AS (SELECT event_type, CAST(ts AS DATE) AS dt, event_id // 10000 AS bucket, count(*) AS n
+               FROM events WHERE ts IS NOT NULL GROUP BY ALL),
+    b AS (SELECT *, CAST(coalesce(sum(ceil(n / 100)) OVER w, 0) AS BIGINT) AS before
+          FROM p WINDOW w AS (PARTITION BY event_type, dt ORDER BY bucket ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+    u AS (SELECT event_type, dt, CAST(sum(ceil(n / 100)) AS INTEGER) AS pages_total,
+                 CAST(sum(least(n, 100 * greatest(2 - before, 0))) AS BIGINT) AS n_events FROM b GROUP BY ALL),
+    d AS (SELECT CAST(unnest(generate_series(CAST(min(ts) AS DATE), CAST(max(ts) AS DATE), INTERVAL 1 DAY)) AS DATE) AS dt FROM events),
+    g AS (SELECT * FROM (SELECT DISTINCT event_type FROM events), d)
+    SELECT g.event_type, g.dt, CAST(CASE WHEN pages_total IS NULL THEN 0 ELSE least(pages_total, 2) END AS INTEGER) AS pages_fetched,
+           coalesce(pages_total > 2, false) AS truncated, CAST(coalesce(pages_total, 0) AS INTEGER) AS pages_total,
+           coalesce(n_events, 0) AS n_events
+    FROM g LEFT JOIN u ON g.event_type IS NOT DISTINCT FROM u.event_type AND g.dt = u.dt
+"""
+
 FLATTEN = {
     "q01_entries_explode": """
         SELECT event_id, j.key AS prop_key, json_extract_string(j.value, '$') AS prop_value
@@ -128,9 +157,48 @@ FLATTEN = {
 }
 
 
+RECENT = f"""
+    WITH m AS ({METRICS})
+    SELECT * FROM m
+    WHERE window_end >= (SELECT max(window_end) FROM m) - INTERVAL 4 HOUR
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         **FLATTEN,
+        "q02_document_files": FLATTEN["q02_nested_lists"],
+        "q05_tree_files": FLATTEN["q05_tree"],
+        "q08_stream_keyed": FLATTEN["q08_day_range"],
+        "q08_resumed_load": """
+            WITH e AS (SELECT *, CAST(ts AS DATE) AS dt FROM events WHERE ts IS NOT NULL),
+            n AS (SELECT dt, row_number() OVER (ORDER BY dt) AS nth, max(dt) OVER () AS last FROM (SELECT DISTINCT dt FROM e))
+            SELECT event_id, ts, user_id, CASE WHEN dt = last AND event_type = 'view' THEN value + 1 ELSE value END AS value, props, dt, event_type,
+                   CAST(CASE WHEN dt = last AND event_type = 'view' THEN 3 WHEN nth <= 10 THEN 1 ELSE 2 END AS INTEGER) AS loaded_run
+            FROM e JOIN n USING (dt)
+        """,
+        "q10_panes": PANES,
+        "q11_compacted": STREAMED,
+        "q13_new_files": "SELECT event_id, ts, event_type, value, CAST(event_id % 3 AS INTEGER) AS run FROM events",
+        "q14_recent_files": RECENT,
+        "q14_recent_metrics": RECENT,
+        "q04_merged_postings": """
+            WITH r AS (SELECT o_orderkey AS id, o_orderpriority AS name, o_totalprice, CAST(o_orderdate AS DATE) AS day,
+                              l_linenumber, l_returnflag || '-' || l_linestatus AS role
+                       FROM orders JOIN lineitem ON o_orderkey = l_orderkey),
+            v AS (SELECT *, 1 AS version FROM r WHERE l_linenumber % 2 = 1 OR id % 3 = 0
+                  UNION ALL SELECT *, 2 FROM r WHERE l_linenumber % 2 = 0 AND id % 5 < 2),
+            m AS (SELECT id, max(version) AS version, any_value(name) AS name, any_value(o_totalprice) AS price, any_value(day) AS day,
+                         string_agg(DISTINCT role, ',' ORDER BY role) AS roles FROM v GROUP BY id)
+            SELECT id, CAST(version AS INTEGER) AS version, name, price + version AS salary, roles, CAST(date_trunc('month', day + to_months(CAST(version - 1 AS INTEGER))) AS DATE) AS dt FROM m
+        """,
+        "q19_paged_capped": CAPPED,
+        "q19_paged_predicates": """
+            WITH e AS (SELECT *, CAST(ts AS DATE) AS dt FROM events WHERE ts IS NOT NULL),
+            b AS (SELECT min(dt) AS lo, max(dt) - min(dt) + 1 AS n FROM e)
+            SELECT event_id, ts, user_id, value, props, dt, event_type FROM e, b
+            WHERE event_type IN ('click', 'view') AND dt >= lo + CAST(n // 3 AS INTEGER) AND dt < lo + CAST(2 * n // 3 AS INTEGER)
+        """,
         "q09_hop_metrics": METRICS,
         "q10_hop_sliced": METRICS,
         "q12_metrics_dedupe": f"""
@@ -154,11 +222,7 @@ def oracle_sql() -> dict[str, str]:
         "q13_metrics_load": METRICS,
         "q13_metrics_dirty": METRICS,
         "q13_listed_types": "SELECT DISTINCT event_type FROM events WHERE ts IS NOT NULL AND event_type IS NOT NULL",
-        "q14_recent": f"""
-            WITH m AS ({METRICS})
-            SELECT * FROM m
-            WHERE window_end >= (SELECT max(window_end) FROM m) - INTERVAL 4 HOUR
-        """,
+        "q14_recent": RECENT,
         "q15_pivot_cnt": _pivot("cnt", "sum"),
         "q15_pivot_avg": _pivot("avg_value", "avg"),
         "q16_totals": f"""

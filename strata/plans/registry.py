@@ -10,23 +10,29 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import datetime, timedelta
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from strata.operators import metrics as M
 from strata.operators.flatten import explode_entries
-from strata.operators.windows import hop_metrics
-from strata.plans import catalog, documents, incremental, postings, rates
+from strata.operators.windows import hop_metrics, interval_micros, recent_hop_metrics
+from strata.plans import catalog, documents, incremental, postings, progress, rates
+from strata.plans.merge import merge_latest, read_merged
 from strata.session import new_scratch, pin_utc
+from strata.sinks import compaction
 from strata.sinks.layout import processed_dir, processed_root, raw_dir
-from strata.sinks.writers import land_raw, write_keys, write_partition
-from strata.sources.documents import JSON_TIME_OPTIONS, json_docs, parse_docs
+from strata.sinks.writers import delete_paths, land_raw, write_keys, write_partition
+from strata.sources.documents import JSON_TIME_OPTIONS, json_docs, parse_docs, whole_text
 from strata.sources import paged
+from strata.sources.file_stats import recent_metrics, recent_rows
 from strata.sources.files import list_files, path_value
 from strata.sources.metric_files import load_metrics
+from strata.sources.snapshots import Snapshots, process_new
 from strata.sources.tables import read_table
 from strata.streaming import events as S
+from strata.streaming import keyed
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -35,6 +41,8 @@ WINDOW_SIZE = "1 minute"
 WINDOW_SLIDE = "10 seconds"
 LOOKBACK_HOURS = 4
 PAGE_SIZE = 100
+# Files of a micro-batch (fixed value): a batch's size doesn't grow with what has piled up.
+FILES_PER_TRIGGER = 64
 # Columns of the dashboard's pivots (fixed values).
 EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
 
@@ -118,6 +126,63 @@ def q06_bundle(spark, sf_dir):
     return catalog.dictionaries(documents.bundles(spark, sf_dir), "doc")
 
 
+# Documents of a file of q05_tree_files (fixed value).
+FOREST = 200
+
+
+def q02_document_files(spark, sf_dir):
+    """Catalogue pages as files of one indented document each, read as such (a document spans lines)."""
+    root = new_scratch(spark, "q02-files")
+    parsed = parse_docs(documents.role_pages(spark, sf_dir), "doc", catalog.ROLES_SCHEMA)
+    _document_files(parsed.select(F.to_json(F.struct("*"), {"pretty": "true"}).alias("doc")), root)
+    return catalog.professional_roles(json_docs(spark, root, catalog.ROLES_SCHEMA))
+
+
+def q05_tree_files(spark, sf_dir):
+    """Forests as files of one document over many lines each, read as whole texts and walked."""
+    root = new_scratch(spark, "q05-files")
+    roots = F.regexp_replace("doc", r"^\[|\]$", "")
+    numbered = documents.area_trees(spark, sf_dir).select(roots.alias("roots"), F.monotonically_increasing_id().alias("n"))
+    forests = numbered.where("roots <> ''").groupBy(F.floor(F.col("n") / FOREST).alias("forest")).agg(F.collect_list("roots").alias("roots"))
+    _document_files(forests.select(F.concat(F.lit("["), F.array_join("roots", ",\n"), F.lit("]")).alias("doc")), root)
+    return catalog.areas(whole_text(spark, root))
+
+
+def _document_files(docs, root):
+    """One file per document.  A document's number is its partition's and a counter within it (nothing is
+    ranked); the number is the folder, and a folder has one file."""
+    staged = f"{root}-docs"
+    docs.select(F.col("doc").alias("value"), F.monotonically_increasing_id().alias("n")).write.parquet(staged)
+    docs.sparkSession.read.parquet(staged).write.partitionBy("n").text(root)
+
+
+def q04_merged_postings(spark, sf_dir):
+    """One posting per order over three loads: its latest version, the roles of all versions united.
+
+    A load holds a posting once per line of the order (each line names a role).  The second
+    load re-publishes orders a month later, the third repeats the first, which changes nothing.
+    """
+    pin_utc(spark)
+    base = new_scratch(spark, "q04-merged")
+    lines = read_table(spark, sf_dir, "lineitem", ["l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus"])
+    orders = read_table(spark, sf_dir, "orders", ["o_orderkey", "o_orderdate", "o_orderpriority", "o_totalprice"])
+    rows = orders.join(lines, F.col("o_orderkey") == F.col("l_orderkey"))
+    role = F.concat_ws("-", "l_returnflag", "l_linestatus")
+
+    def version(number, wanted):
+        day = F.trunc(F.add_months(F.to_date("o_orderdate"), number - 1), "month")
+        return rows.where(wanted).select(
+            F.col("o_orderkey").alias("id"), F.lit(number).alias("version"), F.col("o_orderpriority").alias("name"),
+            (F.col("o_totalprice") + number).alias("salary"), F.array(role).alias("roles"), day.alias("dt"))
+
+    first = version(1, (F.col("l_linenumber") % 2 == 1) | (F.col("o_orderkey") % 3 == 0))
+    second = version(2, (F.col("l_linenumber") % 2 == 0) & (F.col("o_orderkey") % 5 < 2))
+    for load in (first, second, first):
+        merge_latest(load, base, "id", ["version"], "dt", unite=["roles"])
+    out = read_merged(spark, base, first.schema, "dt")
+    return out.withColumn("roles", F.array_join("roles", ","))
+
+
 # ── q07 / q08: layout, writers, incremental runs ────────────────────────────
 
 def q07_day_write(spark, sf_dir):
@@ -142,6 +207,84 @@ def q08_day_range(spark, sf_dir):
     return incremental.read_keyed(spark, base, events.schema, {"dt": "date", "event_type": "string"})
 
 
+# Days of a step of the resumable load, and after how many steps its first run stops (fixed values).
+STEP_DAYS, STOPPED_AFTER = 5, 2
+
+
+class Stopped(RuntimeError):
+    """A load that ends half way (raised on purpose by q08_resumed_load)."""
+
+
+def q08_resumed_load(spark, sf_dir):
+    """q08 as a resumable load; ``loaded_run`` tells which run wrote a row's cell.
+
+    Run 1 stops after two steps, run 2 does what is left, a further run finds nothing to do and
+    leaves no record, and run 3 gets a source in which one day's views have another value: it writes
+    that cell alone.
+    """
+    pin_utc(spark)
+    root = new_scratch(spark, "q08-resumed")
+    events = read_table(spark, sf_dir, "events")
+    days = incremental.days_of(events, "ts")
+    base, done = processed_root(root, "events"), progress.Progress(spark, f"{root}/progress")
+
+    def stop(step: int) -> None:
+        if step == STOPPED_AFTER:
+            raise Stopped(f"step {step}")
+
+    def load(rows, after_step=None):
+        return progress.load_days(rows, base, "ts", days, "events", done, keys=["event_type"], step_days=STEP_DAYS, after_step=after_step)
+
+    try:
+        load(events, stop)
+    except Stopped:
+        pass
+    load(events)
+    load(events)
+    if days:
+        hit = (F.to_date("ts") == F.lit(days[-1])) & (F.col("event_type") == "view")
+        load(events.withColumn("value", F.when(hit, F.col("value") + 1).otherwise(F.col("value"))))
+    rows = incremental.read_keyed(spark, base, events.schema, {"dt": "date", "event_type": "string"})
+    runs = done.latest("events").select(F.col("dt").alias("day"), F.get_json_object("cell", "$.k0").alias("type"), F.col("run").alias("loaded_run"))
+    same = (F.col("dt") == F.col("day")) & F.col("event_type").eqNullSafe(F.col("type"))
+    return rows.join(runs, same, "left").drop("day", "type")
+
+
+def q08_stream_keyed(spark, sf_dir):
+    """events → files → stream → keyed parquet with a ledger: a batch that fails before its ledger row,
+    a batch whose commit the checkpoint lost (it is replayed), and a fold of the first batches."""
+    pin_utc(spark)
+    root = new_scratch(spark, "q08-stream")
+    events = read_table(spark, sf_dir, "events").withColumn("dt", F.to_date("ts"))
+    inbox, base, checkpoint = f"{root}/inbox", f"{root}/events", f"{root}/checkpoint"
+    keys = {"dt": "date", "event_type": "string"}
+    events.repartition(6).write.parquet(inbox)
+
+    def run(before_ledger=None):
+        rows = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 2).parquet(inbox)
+        query = keyed.start_keyed_stream(rows, base, list(keys), checkpoint, available_now=True, before_ledger=before_ledger)
+        try:
+            query.awaitTermination()
+        finally:
+            if query.isActive:
+                query.stop()
+
+    def fail(batch_id: int) -> None:
+        if batch_id == 1:
+            raise Stopped(f"batch {batch_id}")
+
+    try:
+        run(fail)  # batch 1 has written its folder and not its ledger row
+    except StreamingQueryException:
+        pass
+    run()
+    last = keyed.ledger(spark, base).agg(F.max("batch")).first()[0]
+    delete_paths(spark, [f"{checkpoint}/commits/{last}", f"{checkpoint}/commits/.{last}.crc"])  # stopped before the commit
+    run()
+    keyed.fold_batches(spark, base, list(keys), events.schema, keys, upto=last - 1)
+    return keyed.read_committed(spark, base, events.schema, keys).where(F.col("dt").isNotNull())
+
+
 # ── q09 / q10: hopping-window metrics ───────────────────────────────────────
 
 def q09_hop_metrics(spark, sf_dir):
@@ -152,6 +295,12 @@ def q10_hop_sliced(spark, sf_dir):
     return _metrics(spark, sf_dir, "sliced")
 
 
+def q10_panes(spark, sf_dir):
+    """Windows of 50 s every 20 s: panes of their common divisor, 10 s, serve both."""
+    pin_utc(spark)
+    return M.round_metrics(hop_metrics(_events(spark, sf_dir), "ts", "event_type", "value", "50 seconds", "20 seconds", method="sliced"))
+
+
 # ── q11: the streaming job end to end ───────────────────────────────────────
 
 def q11_hop_stream(spark, sf_dir, method: str = "direct"):
@@ -161,7 +310,7 @@ def q11_hop_stream(spark, sf_dir, method: str = "direct"):
     root = new_scratch(spark, f"q11-{method}")
     events = read_table(spark, sf_dir, "events", ["ts", "event_type", "user_id", "value"])
     land_raw(S.event_lines(events), f"{root}/inbox")
-    query = S.start_metrics_stream(S.text_stream(spark, f"{root}/inbox"), f"{root}/sink",
+    query = S.start_metrics_stream(S.text_stream(spark, f"{root}/inbox", FILES_PER_TRIGGER), f"{root}/sink",
                                    f"{root}/checkpoint", available_now=True, method=method)
     try:
         query.awaitTermination()
@@ -198,6 +347,27 @@ def q11_hop_stream_dirty(spark, sf_dir):
     return load_metrics(spark, f"{root}/sink", sink_log=True)
 
 
+def q11_compacted(spark, sf_dir):
+    """q11 in two runs of several triggers, the sink compacted after each: the rows come
+    from few large files, and from those the stream has committed since."""
+    pin_utc(spark)
+    root = new_scratch(spark, "q11-compacted")
+    events = read_table(spark, sf_dir, "events", ["ts", "event_type", "user_id", "value"])
+    last = events.agg(F.max("ts")).first()[0] or datetime(2000, 1, 1)
+    half = F.col("ts") < F.lit(last - timedelta(days=10)).cast("timestamp_ntz")
+    for landing in (events.where(half), events.where(~half)):
+        ordered = S.event_lines(landing.repartitionByRange(3, "ts").sortWithinPartitions("ts"))
+        ordered.write.mode("append").text(f"{root}/inbox")
+        query = S.start_metrics_stream(S.text_stream(spark, f"{root}/inbox"), f"{root}/sink", f"{root}/checkpoint", available_now=True)
+        try:
+            query.awaitTermination()
+        finally:
+            if query.isActive:
+                query.stop()
+        compaction.compact(spark, f"{root}/sink")
+    return load_metrics(spark, f"{root}/sink", compacted=True)
+
+
 def q11_hop_stream_sliced(spark, sf_dir):
     """q11 with the sliced plan: two chained stateful aggregations under one watermark."""
     return q11_hop_stream(spark, sf_dir, method="sliced")
@@ -252,21 +422,51 @@ def q13_listed_types(spark, sf_dir):
     return files.select(path_value("path", "event_type").alias("event_type")).distinct()
 
 
+def _recent(spark, path):
+    """The last hours' windows of the events under ``path``; only files whose statistics reach them are opened."""
+    rows, latest = recent_rows(spark, path, "ts", LOOKBACK_HOURS, before=timedelta(microseconds=interval_micros(WINDOW_SLIDE)))
+    if latest is None:
+        return _rounded(rows)
+    return M.round_metrics(recent_hop_metrics(rows, latest, "ts", "event_type", "value", LOOKBACK_HOURS, WINDOW_SIZE, WINDOW_SLIDE))
+
+
+def q13_new_files(spark, sf_dir):
+    """Events landed in three drops and processed after each: ``run`` tells which run read a row, so a file
+    read twice, or missed, shows.  A fourth run finds nothing new."""
+    pin_utc(spark)
+    root = new_scratch(spark, "q13-new")
+    events = read_table(spark, sf_dir, "events", ["event_id", "ts", "event_type", "value"])
+    seen = Snapshots(spark, f"{root}/snapshots")
+    for run in range(4):
+        if run < 3:
+            events.where(F.col("event_id") % 3 == run).write.mode("append").parquet(f"{root}/inbox")
+        process_new(spark, f"{root}/inbox", seen, lambda paths, run=run: spark.read.schema(events.schema).parquet(*paths)
+                    .withColumn("run", F.lit(run)).write.mode("append").parquet(f"{root}/table"))
+    return spark.read.schema(events.withColumn("run", F.lit(0)).schema).parquet(f"{root}/table")
+
+
 def q14_recent(spark, sf_dir):
-    """The look-back is known from the latest event alone, so only its events are read.
+    """The look-back is known from the latest event alone, so only its events are read."""
+    pin_utc(spark)
+    return _recent(spark, f"{sf_dir.rstrip('/')}/events.parquet")
 
-    The latest window starts at that event's slide and ends a size later; a window that
-    ends within the look-back of it holds no event from before its own start.
-    """
+
+def q14_recent_files(spark, sf_dir):
+    """q14 over events landed by day: of all day files, those that reach the look-back are opened."""
     pin_utc(spark)
+    root = new_scratch(spark, "q14-files")
     events = _events(spark, sf_dir)
-    latest = events.agg(F.max("ts").cast("timestamp_ntz")).first()[0]
-    if latest is None:
-        return _rounded(events)
-    start = latest.replace(microsecond=0) - timedelta(seconds=latest.second % 10)
-    cut = start + timedelta(seconds=60) - timedelta(hours=LOOKBACK_HOURS)
-    needed = events.where(F.col("ts") >= F.lit(cut - timedelta(seconds=60)).cast("timestamp_ntz"))
-    return _rounded(needed).where(F.col("window_end") >= F.lit(cut).cast("timestamp_ntz"))
+    incremental.run_days(events, root, "ts", incremental.days_of(events, "ts"))
+    return _recent(spark, root)
+
+
+def q14_recent_metrics(spark, sf_dir):
+    """q14 over metric files by day: the day folders tell which files are opened."""
+    pin_utc(spark)
+    root = new_scratch(spark, "q14-metrics")
+    raw = hop_metrics(_events(spark, sf_dir), "ts", "event_type", "value", WINDOW_SIZE, WINDOW_SLIDE, method="sliced")
+    S.write_metric_files(raw, root, by_day=True)
+    return recent_metrics(spark, root, LOOKBACK_HOURS, timedelta(microseconds=interval_micros(WINDOW_SIZE)))
 
 
 def q15_pivot_cnt(spark, sf_dir):
@@ -303,10 +503,9 @@ def _landed_pages(spark, sf_dir, root):
     each page body ``{"items": [...], "pages": N, "page": n}``, landed by Spark."""
     ev = read_table(spark, sf_dir, "events", EVENT_COLUMNS).withColumn("dt", F.to_date("ts"))
     # Pages are numbered in two levels, so no task ranks a whole (type, day): rows are
-    # ranked in buckets of bounded size, and a bucket's first page follows from page counts.
-    buckets = max(1, -(-ev.count() // BUCKET_ROWS))
+    # ranked in buckets of so many ids, and a bucket's first page follows from page counts.
     unit, cell = ["event_type", "dt"], ["event_type", "dt", "bucket"]
-    dealt = ev.withColumn("bucket", F.pmod(F.xxhash64("event_id"), F.lit(buckets)))
+    dealt = ev.withColumn("bucket", F.floor(F.col("event_id") / BUCKET_ROWS))
     ranked = dealt.withColumn("local", F.floor((F.row_number().over(Window.partitionBy(*cell).orderBy("event_id")) - 1) / PER_PAGE))
     counts = dealt.groupBy(*cell).agg(F.ceil(F.count(F.lit(1)) / PER_PAGE).alias("n")).select(
         *[F.col(c).alias(f"at_{c}") for c in cell],
@@ -318,7 +517,67 @@ def _landed_pages(spark, sf_dir, root):
         F.collect_list(F.struct(*EVENT_COLUMNS)).alias("items"))
     body = F.to_json(F.struct("items", "pages", "page"), JSON_TIME_OPTIONS)
     pages.select("event_type", "dt", "page", body.alias("body")) \
-         .write.mode("overwrite").partitionBy("event_type", "dt").parquet(root)
+         .sortWithinPartitions("event_type", "dt", "page").write.mode("overwrite").partitionBy("event_type", "dt").parquet(root)
+
+
+def q19_paged_predicates(spark, sf_dir):
+    """Remote predicates: the lazy source with ``where`` on key and day, which asks for those units alone.
+
+    Units outside the filter are keys the API refuses; asking for one would fail the query.
+    """
+    pin_utc(spark)
+    root = new_scratch(spark, "q19-predicates")
+    _landed_pages(spark, sf_dir, f"{root}/api")
+    events = read_table(spark, sf_dir, "events", ["ts", "event_type"])
+    days = incremental.days_of(events, "ts")
+    some = days[len(days) // 3: 2 * len(days) // 3]
+    if not some:
+        return read_table(spark, sf_dir, "events", EVENT_COLUMNS).withColumn("dt", F.to_date("ts")).limit(0)
+    grid = incremental.work_grid(events.select("event_type").distinct(), days)
+    allowed = {"types": ["click", "view"], "first": some[0].isoformat(), "last": some[-1].isoformat()}
+    with paged.predicate_pushdown(spark):
+        fetched = paged.read_paged(spark, grid, "strata.plans.registry:refusing_pages", key_col="event_type",
+                                   parallel_pages=False, params={"root": f"{root}/api", "key_col": "event_type", **allowed})
+        wanted = fetched.where(F.col("key").isin("click", "view") & (F.col("day") >= F.lit(some[0])) & (F.col("day") <= F.lit(some[-1])))
+        paged.items_of(wanted).write.parquet(f"{root}/stage")
+    return _paged_events(spark.read.parquet(f"{root}/stage"), spark, sf_dir)
+
+
+def refusing_pages(key, day, page, params):
+    """Pages of the units within ``params``; asking for any other is an error."""
+    if key not in params["types"] or not params["first"] <= day <= params["last"]:
+        raise PermissionError(f"{key} of {day} was not to be asked for")
+    return paged.parquet_pages(key, day, page, params)
+
+
+def _paged_events(items, spark, sf_dir):
+    """Fetched items back as events with their key and day."""
+    schema = read_table(spark, sf_dir, "events", EVENT_COLUMNS).drop("event_type").schema
+    parsed = items.select(F.from_json("item", schema, JSON_TIME_OPTIONS).alias("e"), F.col("day").alias("dt"), F.col("key").alias("event_type"))
+    return parsed.select("e.*", "dt", "event_type")
+
+
+# Pages of a unit that the capped read fetches (fixed value).
+PAGE_CAP = 2
+
+
+def q19_paged_capped(spark, sf_dir):
+    """A page cap never cuts silently: per unit, the pages fetched, the pages there are,
+    whether the cap left some unread, and the events of the fetched pages."""
+    pin_utc(spark)
+    root = new_scratch(spark, "q19-capped")
+    _landed_pages(spark, sf_dir, f"{root}/api")
+    events = read_table(spark, sf_dir, "events", ["ts", "event_type"])
+    grid = incremental.work_grid(events.select("event_type").distinct(), incremental.days_of(events, "ts"))
+    fetched = paged.read_paged(spark, grid, "strata.sources.paged:parquet_pages", key_col="event_type", max_pages=PAGE_CAP,
+                               params={"root": f"{root}/api", "key_col": "event_type"})
+    fetched.write.parquet(f"{root}/stage")
+    fetched = spark.read.parquet(f"{root}/stage")
+    counts = paged.items_of(fetched).groupBy(F.col("key").alias("k"), F.col("day").alias("d")).agg(F.count(F.lit(1)).alias("n_events"))
+    same = F.col("key").eqNullSafe(F.col("k")) & (F.col("day") == F.col("d"))
+    return paged.fetch_report(fetched).join(counts, same, "left").select(
+        F.col("key").alias("event_type"), F.col("day").alias("dt"), "pages_fetched", "truncated", "pages_total",
+        F.coalesce("n_events", F.lit(0)).alias("n_events"))
 
 
 def q19_paged_excluded(spark, sf_dir):
@@ -390,22 +649,32 @@ def queries() -> dict[str, Query]:
         "q01_rates": q01_rates,
         "q02_nested_lists": q02_nested_lists,
         "q02_industries": q02_industries,
+        "q02_document_files": q02_document_files,
         "q03_project": q03_project,
         "q04_posting_fields": q04_posting_fields,
+        "q04_merged_postings": q04_merged_postings,
         "q05_tree": q05_tree,
+        "q05_tree_files": q05_tree_files,
         "q06_bundle": q06_bundle,
         "q07_day_write": q07_day_write,
         "q08_day_range": q08_day_range,
+        "q08_resumed_load": q08_resumed_load,
+        "q08_stream_keyed": q08_stream_keyed,
         "q09_hop_metrics": q09_hop_metrics,
         "q10_hop_sliced": q10_hop_sliced,
+        "q10_panes": q10_panes,
         "q11_hop_stream": q11_hop_stream,
         "q11_hop_stream_sliced": q11_hop_stream_sliced,
         "q11_hop_stream_dirty": q11_hop_stream_dirty,
+        "q11_compacted": q11_compacted,
         "q12_metrics_dedupe": q12_metrics_dedupe,
         "q13_metrics_load": q13_metrics_load,
         "q13_metrics_dirty": q13_metrics_dirty,
         "q13_listed_types": q13_listed_types,
+        "q13_new_files": q13_new_files,
         "q14_recent": q14_recent,
+        "q14_recent_files": q14_recent_files,
+        "q14_recent_metrics": q14_recent_metrics,
         "q15_pivot_cnt": q15_pivot_cnt,
         "q15_pivot_avg": q15_pivot_avg,
         "q16_totals": q16_totals,
@@ -413,6 +682,8 @@ def queries() -> dict[str, Query]:
         "q18_latest": q18_latest,
         "q19_paged_source": q19_paged_source,
         "q19_paged_excluded": q19_paged_excluded,
+        "q19_paged_predicates": q19_paged_predicates,
+        "q19_paged_capped": q19_paged_capped,
         "q20_lake_sql": q20_lake_sql,
         "q21_kafka_rows": q21_kafka_rows,
     }
