@@ -56,15 +56,18 @@ def annotate(df: DataFrame, fn: Callable[..., dict[str, list]], out: str, text:
     Python untouched, so any types, names and nulls survive, and clash with nothing.
     """
     quoted = lambda c: F.col(f"`{c}`")
-    rows = df.select(F.struct(*map(quoted, carry)).alias("row"),
-                     F.coalesce(quoted(text).cast("string"), F.lit("")).alias("text"),
-                     *[c.alias(f"in{i}") for i, c in enumerate(inputs)])
+    # A text that ``row`` holds anyway is taken from there: it crosses to Python once.
+    own = list(carry).index(text) if text in carry and isinstance(df.schema[text].dataType, T.StringType) else None
+    beside = [] if own is not None else [F.coalesce(quoted(text).cast("string"), F.lit("")).alias("text")]
+    rows = df.select(F.struct(*map(quoted, carry)).alias("row"), *beside, *[c.alias(f"in{i}") for i, c in enumerate(inputs)])
     out_type = T.StructType.fromDDL(out)
     out_arrow, n_inputs = to_arrow_type(out_type), len(inputs)
     schema = T.StructType([T.StructField("row", rows.schema["row"].dataType), T.StructField("out", out_type)])
 
     def apply(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in it:
+            if own is not None:
+                whole = whole.append_column("text", pc.fill_null(whole.column("row").field(own), ""))
             for batch in slices(whole, "text", limit):
                 got = fn(batch.column("text").to_pylist(), *[batch.column(f"in{i}").to_pylist() for i in range(n_inputs)])
                 arrays = [pa.array(got[f.name], type=f.type) for f in out_arrow]
