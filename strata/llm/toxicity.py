@@ -52,8 +52,8 @@ MAX_TOXIC, MAX_CLEAN, MAX_FEATURES = 3000, 6000, 20_000
 #: of the toxic ones has it (near copies of one document must not make a feature).
 MIN_DEVIATIONS, MIN_RATIO, MIN_SHARE = 4.0, 4.0, 0.02
 RIDGE = 0.02
-#: Tokens a worker remembers.
-MEMORY = 300_000
+#: Tokens a task remembers, and their characters.
+MEMORY, MEMORY_CHARS = 300_000, 4_000_000
 
 _SPACED = re.compile(r"(?<![^\W_])(?:[^\W_](?:[ ._-]| \. )){3,}[^\W_](?![^\W_])")
 _REPEAT = re.compile(r"([^\W\d_])\1\1")
@@ -274,18 +274,20 @@ def fit(rows: DataFrame, restorer: Restorer) -> tuple[dict[str, int], np.ndarray
 
 
 def featured(texts: list[str], restorer: Restorer, place: dict[str, int], cache: dict[str, tuple[int, ...]]) -> list[list[int]]:
-    """The places of the selected features each text has."""
-    out = []
+    """The places of the selected features each text has; ``cache`` is the task's own and bounded."""
+    out, chars = [], 0
     for t in texts:
         own: set[int] = set()
         for token in doc_tokens(restorer, t):
             got = cache.get(token)
             if got is None:
                 got = cache[token] = tuple(place[f] for f in token_features(restorer, token) if f in place)
+                chars += len(token)
             if got:
                 own.update(got)
-        if len(cache) > MEMORY:
+        if len(cache) > MEMORY or chars > MEMORY_CHARS:
             cache.clear()
+            chars = 0
         out.append(sorted(own))
     return out
 
@@ -295,10 +297,10 @@ class Scorer:
 
     def __init__(self, restorer: Restorer, place: dict[str, int], weights: np.ndarray, bias: float):
         self.restorer, self.place, self.weights, self.bias = restorer, place, weights, bias
-        self.cache: dict[str, tuple[int, ...]] = {}
 
-    def scores(self, texts: list[str]) -> list[float]:
-        z = [self.bias + float(self.weights[f].sum()) for f in featured(texts, self.restorer, self.place, self.cache)]
+    def scores(self, texts: list[str], cache: dict[str, tuple[int, ...]] | None = None) -> list[float]:
+        cache = {} if cache is None else cache
+        z = [self.bias + float(self.weights[f].sum()) for f in featured(texts, self.restorer, self.place, cache)]
         return [1 / (1 + math.exp(-max(-30.0, min(30.0, v)))) for v in z]
 
 
@@ -318,7 +320,8 @@ def score_documents(docs: DataFrame, scorer: Scorer, text: str = "text", carry:
     texts of any length are scored whole; an empty table gives no rows.
     """
     shared = docs.sparkSession.sparkContext.broadcast(scorer)  # at most MAX_FEATURES and N_SYMBOLS ** 3 numbers
-    return annotate(docs, lambda texts: {"score": shared.value.scores(texts)}, "score double", text, carry)
+    cache: dict[str, tuple[int, ...]] = {}  # each task gets an empty one and leaves nothing in its worker
+    return annotate(docs, lambda texts: {"score": shared.value.scores(texts, cache)}, "score double", text, carry)
 
 
 def toxicity_result(docs: DataFrame, labels: DataFrame) -> DataFrame:
