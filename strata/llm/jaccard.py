@@ -308,13 +308,19 @@ def candidates(shards: DataFrame) -> DataFrame:
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def search(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """A pair that many shards of the task find leaves it once (in runs of GATHER)."""
-        held = np.zeros((2, 0), dtype=np.int64)
+        """A pair that many shards of the task find leaves it once (in runs of about GATHER)."""
+        held, some = np.zeros((2, 0), dtype=np.int64), 0
+        fresh: list[np.ndarray] = []
         for found in searched(it):
-            held = np.unique(np.concatenate((held, found), axis=1), axis=1)
-            if held.shape[1] >= GATHER:
+            fresh.append(found)
+            some += found.shape[1]
+            if some < max(held.shape[1], GATHER // 8):
+                continue  # sorted again only when it has doubled
+            held, fresh, some = np.unique(np.concatenate((held, *fresh), axis=1), axis=1), [], 0
+            if held.shape[1] >= GATHER // 2:
                 yield record_batch({"a": held[0], "b": held[1]}, schema)
                 held = held[:, :0]
+        held = np.unique(np.concatenate((held, *fresh), axis=1), axis=1)
         yield record_batch({"a": held[0], "b": held[1]}, schema)
 
     def searched(it: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
@@ -400,23 +406,29 @@ def contested_keys(keyed: DataFrame, parts: int) -> DataFrame:
             yield from pack(keys, labels)
 
     def scan(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rests: dict[int, list[np.ndarray]] = {}
-        labels: dict[int, list[np.ndarray]] = {}
+        """Part by part (rows come sorted by part): memory holds the entries of one."""
+        at, rests, labels = -1, [], []
         for batch in it:
             for part, rest, label in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if part != at:
+                    yield from look(at, rests, labels)
+                    at, rests, labels = part, [], []
                 n = len(rest) // 4
-                rests.setdefault(part, []).append(np.frombuffer(rest, dtype=np.uint32))
-                labels.setdefault(part, []).append(np.frombuffer(label[:4 * n], dtype=np.uint32).astype(np.int64)
-                                                   | (np.frombuffer(label[4 * n:], dtype=np.uint8).astype(np.int64) << 32))
-        for part in rests:
-            rest, label = np.concatenate(rests[part]).astype(np.int64), np.concatenate(labels[part])
+                rests.append(np.frombuffer(rest, dtype=np.uint32))
+                labels.append(np.frombuffer(label[:4 * n], dtype=np.uint32).astype(np.int64)
+                              | (np.frombuffer(label[4 * n:], dtype=np.uint8).astype(np.int64) << 32))
+        yield from look(at, rests, labels)
+
+    def look(part: int, rests: list[np.ndarray], labels: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        if rests:
+            rest, label = np.concatenate(rests).astype(np.int64), np.concatenate(labels)
             order = np.lexsort((label, rest))
             rest, label = rest[order], label[order]
             two = (rest[1:] == rest[:-1]) & (label[1:] != label[:-1])
             yield record_batch({"key": np.unique(rest[1:][two]) * parts + part}, found)
 
     packed = keyed.select("label", "keys").mapInArrow(send, "part int, rest binary, label binary")
-    return stage(packed.repartition("part").mapInArrow(scan, "key bigint"), "jaccard-contested")
+    return stage(packed.repartition("part").sortWithinPartitions("part").mapInArrow(scan, "key bigint"), "jaccard-contested")
 
 
 def postings_of(keyed: DataFrame, contested: DataFrame, parts: int) -> DataFrame:
