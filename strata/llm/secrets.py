@@ -38,9 +38,9 @@ ANCHORED = {
     "hex": re.compile(r"[0-9a-f]+"),
     "github": re.compile(r"gh[pousr]_([A-Za-z0-9]{36})(?![A-Za-z0-9])"),
     "npm": re.compile(r"npm_([A-Za-z0-9]{36})(?![A-Za-z0-9])"),
-    "jwt": re.compile(r"eyJ([A-Za-z0-9_-]+)\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]*"),
-    "iban": re.compile(r"[Ii][Bb][Aa][Nn]\x20*[:=]?\x20*([A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?)(?![A-Z0-9])"),
-    "card": re.compile(r"(?:[Cc][Aa][Rr][Dd]|[Vv][Ii][Ss][Aa])(?:\x20?(?:number|no\.?))?\x20*[:=#]?\x20*([0-9](?:[\x20-]?[0-9]){12,18})(?![0-9])"),
+    "jwt": re.compile(r"[A-Za-z0-9_-]{4,}+"),
+    "iban": re.compile(r"[Ii][Bb][Aa][Nn]\x20*+[:=]?\x20*+([A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?)(?![A-Z0-9])"),
+    "card": re.compile(r"(?:[Cc][Aa][Rr][Dd]|[Vv][Ii][Ss][Aa])(?:\x20?(?:number|no\.?))?+\x20*+[:=#]?\x20*+([0-9](?:[\x20-]?[0-9]){12,18})(?![0-9])"),
 }
 LEAST_ASSIGN, LEAST_ACCESS, LEAST_HEX = 6, 20, 24
 BASE62 = "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
@@ -57,13 +57,41 @@ def crc62_ok(token: str) -> bool:
     return bool(body) and digits == tail
 
 
-def jwt_ok(rest: str) -> bool:
-    try:
-        raw = "eyJ" + rest
-        head = json.loads(base64.urlsafe_b64decode(raw + "=" * (-len(raw) % 4)))
-        return isinstance(head, dict) and "alg" in head
-    except (ValueError, UnicodeDecodeError):
-        return False
+class JwtRun:
+    """A run of base64url characters of a text, in which several headers may begin.
+
+    The run, what follows it, and its bytes at each of the four offsets are worked out once,
+    however many places in it look like a header; a header is parsed from its own place,
+    up to the first thing that is no JSON.  So a run is linear work, not square.
+    """
+
+    TAIL = re.compile(r"\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]*")
+    PARSER = json.JSONDecoder()
+
+    def __init__(self, text: str, start: int, end: int):
+        self.start, self.end = start, end
+        tail = self.TAIL.match(text, end)
+        self.tail_end = tail.end() if tail else None  # no header of this run can be a token without it
+        self.run = text[start:end]
+        self.bodies: dict[int, str] = {}
+
+    def header(self, at: int) -> bool:
+        """Whether the run's rest from ``at`` is a JSON object that names its algorithm."""
+        whole, offset = divmod(at - self.start, 4)
+        if offset not in self.bodies:
+            rest = self.run[offset:]
+            if len(rest) % 4 == 1:  # no base64 text has this length, from any place of this offset
+                self.bodies[offset] = ""
+            else:  # a byte a character: only the parsed header must be UTF-8
+                self.bodies[offset] = base64.urlsafe_b64decode(rest + "=" * (-len(rest) % 4)).decode("latin-1").rstrip(" \t\n\r")
+        body = self.bodies[offset]
+        if not body.endswith("}"):
+            return False
+        try:
+            head, stop = self.PARSER.raw_decode(body, 3 * whole)
+            return stop == len(body) and isinstance(head, dict) and "alg" in head and bool(body[3 * whole:].encode("latin-1").decode())
+        except (ValueError, RecursionError):  # no JSON, or nested beyond any header
+            return False
 
 
 def iban_ok(value: str) -> bool:
@@ -76,7 +104,7 @@ def luhn_ok(value: str) -> bool:
     return sum(d if i % 2 == 0 else d * 2 - 9 * (d > 4) for i, d in enumerate(reversed(digits))) % 10 == 0
 
 
-CHECKS = {"github": crc62_ok, "npm": crc62_ok, "jwt": jwt_ok, "iban": iban_ok, "card": luhn_ok}
+CHECKS = {"github": crc62_ok, "npm": crc62_ok, "iban": iban_ok, "card": luhn_ok}
 
 _automaton = None
 
@@ -106,17 +134,30 @@ def find_secrets(text: str) -> list[tuple[str, int, int]]:
     """(kind, start, end) in code points, by start, then kind as listed."""
     found: list[tuple[str, int, int]] = []
     consumed = dict.fromkeys(KINDS, 0)
+    run: JwtRun | None = None
     for last, (kind, width) in automaton().iter(ascii_lower(text)):
         start = last - width + 1
         if start < consumed[kind]:
             continue
+        if kind == "jwt":
+            if not text.startswith("eyJ", start):
+                continue
+            if run is None or start >= run.end:
+                m = ANCHORED[kind].match(text, start)
+                run = JwtRun(text, start, m.end()) if m else None
+            if run is None or run.tail_end is None:
+                consumed[kind] = run.end if run else start + 1
+            elif run.end - start > 3 and run.header(start):
+                consumed[kind] = run.tail_end
+                found.append((kind, start, run.tail_end))
+            continue
         m = ANCHORED[kind].match(text, start)
         if m is None:
             continue
         if kind in CHECKS:
             if not CHECKS[kind](m[1]):
                 continue
-            span = m.span() if kind in ("github", "npm", "jwt") else m.span(1)
+            span = m.span() if kind in ("github", "npm") else m.span(1)
             keep = True
         else:
             span = m.span()

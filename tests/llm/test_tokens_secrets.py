@@ -1,4 +1,7 @@
+import base64
+import json
 import re
+import time
 import zlib
 
 import pytest
@@ -82,6 +85,44 @@ def test_checksums():
     assert secrets.find_secrets("card 4111 1111 1111 1112") == []
 
 
+def b64(text):
+    return base64.urlsafe_b64encode(text.encode()).decode().rstrip("=")
+
+
+def plain_jwt(text):
+    """The tokens as one expression and a whole parse of each header find them."""
+    out, at = [], 0
+    while (m := re.compile(r"eyJ([A-Za-z0-9_-]+)\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]*").search(text, at)) is not None:
+        raw, at = "eyJ" + m[1], m.start() + 1
+        try:
+            head = json.loads(base64.urlsafe_b64decode(raw + "=" * (-len(raw) % 4)))
+        except ValueError:
+            continue
+        if isinstance(head, dict) and "alg" in head:
+            out.append(("jwt", *m.span()))
+            at = m.end()
+    return out
+
+
+HEADERS = [b64('{"alg":"HS256","typ":"JWT"}'), b64('{"typ":"é","alg":"none"} '), b64('{"kid":"x"}'), b64('{"alg":1}{'), b64('{"a":{"alg":2}}'), b64('{"":"","alg":0}')]
+
+
+@given(st.lists(st.sampled_from([*HEADERS, "eyJ", "ey", "J", ".", ".", "a", "-_", "abcd", " ", "x.y.z", "é"]), max_size=10).map("".join))
+@settings(max_examples=1500, deadline=None)
+def test_tokens_equal_the_plain_search(text):
+    assert [s for s in secrets.find_secrets(text) if s[0] == "jwt"] == plain_jwt(text)
+
+
+def test_hostile_runs_are_linear_and_harmless():
+    began = time.perf_counter()
+    nested = b64('{"a":' * 100_000)
+    for text in ("eyJ" * 350_000, "eyJ" * 350_000 + ".a.b", nested + ".a.b", f"{HEADERS[0]}.{'eyJ' * 300_000}.z",
+                 "iban" + " " * 300_000, "card" + " " * 300_000, "visa number" + " " * 300_000, "password" * 100_000, "token" + " " * 300_000):
+        secrets.find_secrets(text)
+    assert time.perf_counter() - began < 20
+    assert secrets.find_secrets(f"x {nested}.a.b {HEADERS[0]}.p.s")[-1][0] == "jwt"
+
+
 def test_scan_query(spark):
     import hashlib
     texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
