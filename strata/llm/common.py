@@ -18,12 +18,25 @@ from strata.session import new_scratch, ship_package
 ASCII_LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
 
+#: Bytes of an Arrow batch between Spark and Python where the session has Spark's default: rows
+#: are whole texts here, and 10,000 of them fill a task's memory twice over.
+BATCH = ("spark.sql.execution.arrow.maxBytesPerBatch", 8 << 20)
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table of the data folder; also makes the package importable on executors."""
+    """A table of the data folder; also makes the package importable on executors and bounds
+    the batches they exchange with Python, unless the session has set its own bound."""
     ship_package(spark)
+    key, size = BATCH
+    if spark.conf.get(key, "").rstrip("b") == str(64 << 20):
+        spark.conf.set(key, str(size))
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+#: Bytes of a row group of a staged table: a task's writer holds one in memory.
+ROW_GROUP = 32 << 20
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared scratch folder and read it back.
 
@@ -33,7 +46,7 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = new_scratch(spark, name)
-    df.write.parquet(path)
+    df.write.option("parquet.block.size", ROW_GROUP).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
