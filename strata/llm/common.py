@@ -28,7 +28,7 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     the batches they exchange with Python, unless the session has set its own bound."""
     ship_package(spark)
     key, size = BATCH
-    if spark.conf.get(key, "").rstrip("b") == str(64 << 20):
+    if spark.conf.get(key).rstrip("b") == str(64 << 20):
         spark.conf.set(key, str(size))
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
