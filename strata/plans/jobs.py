@@ -9,17 +9,20 @@ functions of :mod:`strata.plans.rates`, :mod:`strata.plans.catalog` and
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from strata.operators import metrics as M
 from strata.plans import catalog, incremental, merge, postings, progress, rates
 from strata.session import scratch_root
+from strata.sinks import compaction
 from strata.sinks.layout import processed_dir, processed_root
 from strata.sinks.writers import write_keys, write_partition
 from strata.sources.documents import json_docs, whole_text
+from strata.sources.file_stats import recent_metrics
 from strata.sources.metric_files import load_metrics
 from strata.streaming import events as S
 
@@ -102,20 +105,40 @@ def run_metrics_stream(spark: SparkSession, source: DataFrame, root: str, availa
                                   available_now=available_now, method=method)
 
 
+def keep_compact(query: StreamingQuery, spark: SparkSession, sink: str, every_seconds: float, target: int = 128 * 1024 * 1024,
+                 keep: timedelta = timedelta(hours=6)) -> int:
+    """While ``query`` runs, merge its sink's small files every so often; the number of compactions.
+
+    Replaced compacted files go after ``keep``, which is longer than any reader runs.  Returns
+    when the query has ended (its error is the query's own to raise); a compaction that fails
+    raises here and leaves query, sink and readers as they were.
+    """
+    done = 0
+    while True:
+        ended = query.awaitTermination(every_seconds) if query.isActive else True
+        done += compaction.compact(spark, sink, target)["version"] > 0
+        compaction.vacuum(spark, sink, keep)
+        if ended:
+            return done
+
+
 def dashboard_frames(spark: SparkSession, sink: str, hours: int = 4, rows: int = 100,
                      event_types: Sequence[str] | None = None, sink_log: bool = True,
-                     by_day: bool = False, since: date | None = None) -> dict[str, DataFrame]:
+                     by_day: bool = False, since: date | None = None, compacted: bool = False) -> dict[str, DataFrame]:
     """The read side: load the metric files, keep the last ``hours``, and derive the
     KPI row, both pivots, the totals and the latest windows (all DataFrames).
 
     ``sink_log`` reads through the stream sink's commit log (only committed files);
-    set it to False for folders written by other writers.  With a ``by_day`` sink,
-    ``since`` (a day at or before the data's latest minus ``hours``) limits the
-    read to recent day folders."""
+    set it to False for folders written by other writers.  ``compacted`` reads through the
+    sink's compaction manifest, the log included.  A ``by_day`` sink is read from the
+    newest day folders that hold the last ``hours`` (or from ``since`` on, if given)."""
     # The recent slice is materialised once (a reliable checkpoint): the five frames
     # then read it instead of re-listing, re-parsing and re-deduplicating the sink.
     scratch_root(spark)
-    df = M.recent(load_metrics(spark, sink, sink_log=sink_log, by_day=by_day, since=since), hours)
+    if by_day and since is None:
+        df = recent_metrics(spark, sink, hours, sink_log=sink_log, compacted=compacted)
+    else:
+        df = M.recent(load_metrics(spark, sink, sink_log=sink_log, by_day=by_day, since=since, compacted=compacted), hours)
     df = df.checkpoint(eager=True)
     return {
         "kpis": M.kpis(df),

@@ -1,12 +1,14 @@
 """Compaction of a sink's small files, beside its stream and its readers."""
 
 import os
+import threading
 from collections import Counter
 from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
+from strata.plans.jobs import keep_compact
 from strata.sinks import compaction as C
 from strata.sources.metric_files import load_metrics
 from strata.streaming import events as S
@@ -136,3 +138,34 @@ def test_stream_sink(spark, tmp_dir):
     want = sorted(map(tuple, load_metrics(spark, sink, sink_log=True).collect()))
     assert sorted(map(tuple, load_metrics(spark, sink, compacted=True).collect())) == want and want
     assert C.live_files(spark, sink).count() < C.committed_files(spark, sink).count()
+
+
+def test_beside_a_running_stream(spark, tmp_dir):
+    """The stream commits, a compaction loop merges, readers read: every row once at any time."""
+    inbox, sink, ckpt = (f"{tmp_dir}/{d}" for d in ("inbox", "sink", "ckpt"))
+    os.makedirs(inbox)
+    schema = "event_type string, n int"
+    lines = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).json(inbox)
+    query = (lines.writeStream.format("json").option("checkpointLocation", ckpt).partitionBy("event_type")
+                  .trigger(processingTime="200 milliseconds").start(sink))
+    landed, seen = Counter(), 0
+    loop = threading.Thread(target=lambda: done.append(keep_compact(query, spark, sink, 0.5)))
+    done: list[int] = []
+    loop.start()
+    try:
+        for i in range(12):
+            with open(f"{tmp_dir}/new.json", "w") as f:
+                f.writelines(f'{{"event_type": "{t}", "n": {i}}}\n' for t in "abc")
+            os.rename(f"{tmp_dir}/new.json", f"{inbox}/{i}.json")
+            landed.update((t, i) for t in "abc")
+            if i % 3 == 2:
+                got = Counter((r.event_type, r.n) for r in C.read_live(spark, sink, "n int", "event_type string").collect())
+                assert max(got.values(), default=1) == 1 and set(got) <= set(landed) and len(got) >= seen
+                seen = len(got)
+        query.processAllAvailable()
+    finally:
+        query.stop()
+        loop.join(120)
+    assert done and done[0] >= 1
+    assert Counter((r.event_type, r.n) for r in C.read_live(spark, sink, "n int", "event_type string").collect()) == landed
+    assert C.live_files(spark, sink).count() < C.committed_files(spark, sink).count()
