@@ -179,6 +179,16 @@ def oracle_sql() -> dict[str, str]:
         """,
         "q10_panes": PANES,
         "q11_compacted": STREAMED,
+        # The fourth landing repeats the first third of the time span, behind the watermark.
+        "q11_losses": f"""
+            WITH b AS (SELECT min(ts) AS lo, max(ts) AS hi FROM events),
+            c AS (SELECT make_timestamp(CAST(epoch_us(lo) + round((epoch_us(hi) - epoch_us(lo)) / 3.0) AS BIGINT)) AS cut FROM b),
+            m AS ({METRICS}),
+            e AS ({METRICS.replace("FROM events,", "FROM (SELECT * FROM events WHERE ts < (SELECT cut FROM c)),")})
+            SELECT window_start, m.window_end, event_type, m.cnt + coalesce(e.cnt, 0) AS landed, m.cnt AS emitted, coalesce(e.cnt, 0) AS lost
+            FROM m LEFT JOIN e USING (window_start, event_type)
+            WHERE m.window_end <= (SELECT date_trunc('millisecond', max(ts)) FROM events) - INTERVAL 5 SECOND
+        """,
         "q13_new_files": "SELECT event_id, ts, event_type, value, CAST(event_id % 3 AS INTEGER) AS run FROM events",
         "q14_recent_files": RECENT,
         "q14_recent_metrics": RECENT,

@@ -323,8 +323,20 @@ def q11_hop_stream(spark, sf_dir, method: str = "direct"):
 def q11_hop_stream_dirty(spark, sf_dir):
     """q11 in four runs of one checkpoint: three landings in time order, then one of late
     copies, broken lines and events without a time, none of which may change a window."""
+    return load_metrics(spark, f"{_dirty_stream(spark, sf_dir, 'q11-dirty')}/sink", sink_log=True)
+
+
+def q11_losses(spark, sf_dir):
+    """What the dirty stream lost, by window: the late copies that landed for windows already closed."""
+    root = _dirty_stream(spark, sf_dir, "q11-losses")
+    landed = S.parse_events(spark.read.schema("value string").text(f"{root}/inbox"))
+    return S.window_losses(landed, load_metrics(spark, f"{root}/sink", sink_log=True))
+
+
+def _dirty_stream(spark, sf_dir, name):
+    """The folder of the dirty stream's inbox, checkpoint and sink after its four runs."""
     pin_utc(spark)
-    root = new_scratch(spark, "q11-dirty")
+    root = new_scratch(spark, name)
     events = read_table(spark, sf_dir, "events", ["ts", "event_type", "user_id", "value"])
     first, last = events.agg(F.min("ts"), F.max("ts")).first()
     span = (last - first) / 3 if last else timedelta(0)
@@ -344,7 +356,7 @@ def q11_hop_stream_dirty(spark, sf_dir):
         finally:
             if query.isActive:
                 query.stop()
-    return load_metrics(spark, f"{root}/sink", sink_log=True)
+    return root
 
 
 def q11_compacted(spark, sf_dir):
@@ -666,6 +678,7 @@ def queries() -> dict[str, Query]:
         "q11_hop_stream": q11_hop_stream,
         "q11_hop_stream_sliced": q11_hop_stream_sliced,
         "q11_hop_stream_dirty": q11_hop_stream_dirty,
+        "q11_losses": q11_losses,
         "q11_compacted": q11_compacted,
         "q12_metrics_dedupe": q12_metrics_dedupe,
         "q13_metrics_load": q13_metrics_load,

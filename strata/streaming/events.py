@@ -180,12 +180,34 @@ def drain_until_idle(query: StreamingQuery, idle_seconds: float, limit_seconds:
             query.stop()
 
 
+def window_losses(landed: DataFrame, emitted: DataFrame, delay: str = WATERMARK_DELAY, size: str = WINDOW_SIZE,
+                  slide: str = WINDOW_SLIDE) -> DataFrame:
+    """Per closed window and event type: events that landed for it, events it was emitted with, and the
+    difference, ``lost``: rows that came behind the watermark.
+
+    ``landed`` are all parsed events (``event_ts``, ``event_type``), late ones included, ``emitted``
+    the sink's metrics.  A window is closed when the watermark after all of ``landed`` has
+    passed its end.  The landed side is aggregated into panes before it is expanded; the two
+    meet by window and type, which no skew of types or days piles up.
+    """
+    latest = landed.select((F.max("event_ts") - F.expr(f"interval {delay}")).cast("timestamp_ntz")).scalar()
+    counted = hop_metrics(landed.withColumn("_one", F.lit(1)), "event_ts", "event_type", "_one", size, slide, method="sliced").select(
+        F.col("window_start").cast("timestamp_ntz").alias("window_start"), F.col("window_end").cast("timestamp_ntz").alias("window_end"),
+        "event_type", F.col("cnt").alias("landed")).where(F.col("window_end") <= latest)
+    seen = emitted.select(F.col("window_start").alias("_start"), F.col("event_type").alias("_type"), F.col("cnt").alias("_cnt"))
+    same = (F.col("window_start") == F.col("_start")) & F.col("event_type").eqNullSafe(F.col("_type"))
+    n = F.coalesce("_cnt", F.lit(0))
+    return counted.join(seen, same, "left").select("window_start", "window_end", "event_type", "landed", n.alias("emitted"),
+                                                   (F.col("landed") - n).alias("lost"))
+
+
 class LossListener(StreamingQueryListener):
     """Per micro-batch of the metrics stream, what did not reach a window: register with ``spark.streams.addListener``.
 
     ``rows`` holds one dict per batch that saw input: query, batch, rows, unparsed (no JSON event at
     all), no_event_time, no_amount (counted in ``cnt``, in no sum) and late_groups, Spark's own count of
-    (window, type) groups dropped behind the watermark, after its partial aggregation, so at least one row each.
+    (window, type) groups dropped behind the watermark, after its partial aggregation, so at least one
+    row each; :func:`window_losses` counts the rows themselves.
     """
 
     def __init__(self):
