@@ -52,7 +52,7 @@ def test_agreement_equals_set_arithmetic(spark):
     for (body, family), a in zip(rows, got):
         pairs = lambda t: {f"{x} {y}" for w in [re.findall(r"[^\W_]+", t.lower())] for x, y in zip(w, w[1:])}
         own = pairs(body)
-        want = max(len(own & pairs(t)) / min(max(len(own), 1), len(pairs(t))) for t in lic.TEMPLATES[family])
+        want = max(len(own & set(lic.pairs_of(t))) / min(max(len(own), 1), len(lic.pairs_of(t))) for t in lic.TEMPLATES[family])
         assert a == pytest.approx(want)
 
 
@@ -70,12 +70,52 @@ def test_held_out_lines_of_the_corpus(spark):
         assert set(r.families.split(",")) - {""} == {f for f, m in marks.items() if m in text[r.doc_id]}
 
 
-def test_threshold_is_the_quantile_of_all_unconfirmed_paragraphs(spark):
-    """Look-alikes far rarer than the fit's sample move the threshold; confirmed rows and empty texts don't."""
-    rows = [(0, 0.1 + i / 100_000, False) for i in range(2990)] + [(0, 0.93, False)] * 10 + [(0, 0.99, True)] * 500 + [(None, 0.99, False)] * 500
-    scored = spark.createDataFrame(rows, "at int, known double, confirmed boolean")
+def test_threshold_is_the_quantile_of_all_far_paragraphs(spark):
+    """Look-alikes far rarer than the fit's sample move the threshold; licence text and empty texts don't."""
+    rows = [(0, 0.1 + i / 100_000, False, True) for i in range(2990)] + [(0, 0.93, False, True)] * 10 \
+        + [(0, 0.99, True, False)] * 500 + [(0, 0.99, False, False)] * 900 + [(None, 0.99, False, True)] * 500
+    scored = spark.createDataFrame(rows, "at int, known double, confirmed boolean, far boolean")
     assert lic.calibrated(scored) == pytest.approx(0.93, abs=1 / lic.STEPS)
     assert lic.calibrated(scored.where("known < 0.5")) == lic.FLOOR == lic.calibrated(scored.where("false"))
+    assert lic.calibrated(spark.createDataFrame([(0, 1.0, False, True)], scored.schema)) == lic.CEILING
+
+
+BODIES = [
+    "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED.",
+    "Redistributions in binary form must reproduce the above copyright notice in the documentation.",
+    "Neither party shall be liable for any indirect damages under this license, to the extent permitted by law.",
+    "The licensor grants you a worldwide, royalty-free licence to reproduce and share the licensed material.",
+    "You may convey verbatim copies of the Program's source code as you receive it, in any medium.",
+]
+
+
+def test_common_licence_text_does_not_hide_the_hits(spark):
+    """The corpus with 150 more rows of licence body text keeps every hit it had."""
+    df = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    before = {r.doc_id: (r.n_licence, r.families) for r in lic.scan_licences(df).collect()}
+    more = spark.createDataFrame([(10**9 + i, BODIES[i % len(BODIES)]) for i in range(150)], "doc_id bigint, text string")
+    after = {r.doc_id: (r.n_licence, r.families) for r in lic.scan_licences(df.unionByName(more)).collect()}
+    assert {i: after[i] for i in before} == before and sum(n for n, _ in before.values()) >= 39
+    assert after[10**9][1] == "MIT" and after[10**9 + 1][1] == "BSD"
+
+
+def test_spdx_tags_and_further_families(spark):
+    tags = {"MIT": "MIT", "Apache-2.0": "Apache-2.0", "GPL-3.0-or-later": "GPL", "BSD-2-Clause": "BSD", "Zlib": "zlib", "ISC": "ISC",
+            "EPL-2.0": "EPL", "Frobnicate-7.1": ""}
+    texts = {"This is free and unencumbered software released into the public domain.": "Unlicense",
+             "Distributed under the Boost Software License, Version 1.0.": "BSL-1.0",
+             "Altered source versions must be plainly marked as such, and must not be misrepresented as being the original software.": "zlib"}
+    cases = [(f"// SPDX-License-Identifier: {t}", f) for t, f in tags.items()] + list(texts.items())
+    rows = [(i, f"{prose(i, 25)}.\n{t}\n{prose(i + 50, 25)}") for i, (t, _) in enumerate(cases)] + [(100 + i, prose(200 + i, 40)) for i in range(40)]
+    got = {r.doc_id: r.families for r in lic.scan_licences(docs(spark, rows)).collect()}
+    assert {t: got[i] for i, (t, _) in enumerate(cases)} == dict(cases)
+
+
+def test_templates_are_a_parameter(spark):
+    own = {"house": ["This text belongs to the house of many mirrors and may be read aloud on Sundays only."]}
+    rows = [(1, f"{prose(1, 30)}.\n{own['house'][0]}"), (2, "Released under the MIT License."), *[(10 + i, prose(i, 30)) for i in range(20)]]
+    got = {r.doc_id: r.families for r in lic.scan_licences(docs(spark, rows), templates=own).collect()}
+    assert got[1] == "house" and {f for i, f in got.items() if i != 1} == {""}
 
 
 def test_every_paragraph_is_calibrated_on(spark, monkeypatch):
