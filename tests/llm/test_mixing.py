@@ -99,3 +99,55 @@ def test_edges(spark):
 def test_no_python_in_the_plan(spark):
     text = mixing.mix_result(docs(spark, [(1, "a b"), (2, "c d")]))._jdf.queryExecution().toString()
     assert "Python" not in text and "Arrow" not in text
+
+
+def test_permutations_of_every_size(spark):
+    sizes = [1, 2, 3, 5, 8, 10, 63, 64, 65, 997, 4097]
+    df = spark.createDataFrame([(n,) for n in sizes], "n long").select("n", F.explode(F.expr("sequence(0L, n - 1)")).alias("i"))
+    for turn in (0, 1):
+        got = df.select("n", "i", mixing.permuted(F.col("i"), F.lit(turn), F.col("n"), F.lit("s")).alias("x")).collect()
+        for n in sizes:
+            assert sorted(r.x for r in got if r.n == n) == list(range(n))
+    order = [r.x for r in sorted(got, key=lambda r: r.i) if r.n == 4097]
+    steps = {(b - a) % 4097 for a, b in zip(order, order[1:])}
+    assert len(steps) > 2000  # no fixed stride
+
+
+def test_level_by_histograms_equals_the_rule(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    for bins, sizes in ((2, [5, 5, 5]), (3, rng.integers(1, 10**6, 200).tolist()), (1024, [10**9, *([1] * 50)]), (4, [0, 0, 7, 0, 9])):
+        monkeypatch.setattr(mixing, "BINS", bins)
+        names = [f"s{i:04d}" for i in range(len(sizes))]
+        df = spark.createDataFrame(list(zip(names, sizes)), "source string, size long")
+        got = {r.source: r.target for r in mixing.targets(df.unionByName(df.where("false"))).collect()}
+        assert [got[n] for n in names] == pytest.approx(shares(sizes), rel=1e-9)
+
+
+def test_running_sums_of_many_groups(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "GROUP", 7)
+    rows = [(k, i, (i * 13) % 11) for k in ("a", None) for i in range(0, 60, 1 if k else 3)]
+    got = mixing.running_before(spark.createDataFrame(rows, "k string, o long, v long"), "k", "o", "v", "b").collect()
+    assert len(got) == len(rows)
+    for r in got:
+        assert r.b == sum(v for k, o, v in rows if k == r.k and o < r.o)
+
+
+def test_blocks_hold_the_words(spark):
+    rows = [(i, prose(i, 3 + (i * 29) % 150), "en", f"s{i % 2}" if i % 7 else None) for i in range(40)] + [(99, None), (98, "")]
+    df = docs(spark, rows, clash=True)
+    blocks = mixing.mixed_blocks(df).collect()
+    taken = {r.doc_id: (r.size, r.taken) for r in mixing.mix_result(df).collect()}
+    assert len({(r.source, r.slot) for r in blocks}) == len(blocks)
+    assert sum(len(r.words.split()) for r in blocks) == sum(t for _, t in taken.values())
+    streams = {}
+    for r in blocks:
+        assert 0 < len(r.words.split()) <= mixing.BLOCK
+        streams.setdefault(r.source, set()).add(r.words)
+    texts = {}
+    for _, t, *more in rows:
+        texts.setdefault(more[1] if len(more) > 1 else "s1", []).append(t or "")
+    known = {s: {w for t in ts for w in t.split()} for s, ts in texts.items()}
+    assert all(w in known[s] for s, found in streams.items() for body in found for w in body.split())
+    whole = [t for s in texts for t in texts[s] if 0 < len(t.split()) <= 20 and taken[next(i for i, x, *_ in rows if x == t)][1]]
+    joined = " | ".join(b for found in streams.values() for b in found)
+    assert sum(t in joined for t in whole) >= len(whole) // 2  # short texts mostly stand in one block as they are
