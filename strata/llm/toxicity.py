@@ -42,15 +42,20 @@ COST_LEET, COST_DROP, COST_ANY, COST_REPEAT, COST_HALVED, COST_GAP = 1.0, 1.0, 3
 LETTERS = "abcdefghijklmnopqrstuvwxyz" + "".join(chr(c) for c in range(0xDF, 0x100) if c != 0xF7)
 SYMBOL = {c: i + 1 for i, c in enumerate(LETTERS)}
 N_SYMBOLS = len(LETTERS) + 1
-#: The longest token that is decoded: longer ones with signs are addresses, keys and the like.
+#: The most signs of a token that is decoded, a repeated sign being one: longer ones are first parted at
+#: their signs, and parts that are longer still are keys and the like.
 MAX_TOKEN = 40
+#: Signs after which a long run's best reading so far is settled, and readings that go on from there at most.
+PART, BEAM = 160, 16
+#: Letters of the longest word that gives letter four-grams.
+MAX_LETTERS = 10_000
 
 #: Bound of the labelled sample the classifier is fitted on, and of its features.
 MAX_TOXIC, MAX_CLEAN, MAX_FEATURES = 3000, 6000, 20_000
 #: A feature counts if this many standard deviations more toxic documents have it than its
-#: share of the clean ones lets expect, that many times as often, and if at least this share
-#: of the toxic ones has it (near copies of one document must not make a feature).
-MIN_DEVIATIONS, MIN_RATIO, MIN_SHARE = 4.0, 4.0, 0.02
+#: share of the clean ones lets expect, that many times as often, and if at least so many toxic texts
+#: have it that are no near copies of one another, however many rows the sample has.
+MIN_DEVIATIONS, MIN_RATIO, MIN_TEXTS = 4.0, 4.0, 6
 RIDGE = 0.02
 #: Tokens a task remembers, and their characters.
 MEMORY, MEMORY_CHARS = 300_000, 4_000_000
@@ -59,6 +64,7 @@ _SPACED = re.compile(r"(?<![^\W_])(?:[^\W_](?:[ ._-]| \. )){3,}[^\W_](?![^\W_])"
 _REPEAT = re.compile(r"([^\W\d_])\1\1")
 _SIGN_IN_WORD = re.compile(r"[^\W\d_][^\W\d_]*[0-9@$!|+(<€£¢*?._~'`^#%&-]+[^\W\d_]|^[0-9@$!|+(<€£¢*?]+[^\W\d_]{2}|[^\W\d_]{2}[0-9$@|+€]{1,2}$")
 _WORD = re.compile(r"[^\W\d_]+")
+_BETWEEN = re.compile(r"[-_/\\.,:;&=?#%~+|]+")
 _EDGE = ".,;:\"'()[]{}<>%&#*|-_/\\"
 
 
@@ -118,7 +124,7 @@ class Restorer:
     def readings(self, sign: str, run: int) -> list[tuple[str, float]]:
         """What ``run`` equal signs may stand for, with the channel's cost."""
         out: list[tuple[str, float]] = []
-        if sign in SYMBOL:
+        if sign in SYMBOL or sign.isalpha():  # a letter the model has no symbol for stands for itself
             out.append((sign, 0.0 if run == 1 else COST_HALVED if run == 2 else COST_REPEAT))
             if run > 1:
                 out.append((sign * 2, 0.0 if run == 2 else COST_REPEAT))
@@ -133,10 +139,14 @@ class Restorer:
         return out or [(" ", COST_DROP)]
 
     def decode(self, token: str, gaps: bool = False) -> str:
-        """The best reading of ``token``; ``gaps`` allows word boundaries anywhere."""
+        """The best reading of ``token``; ``gaps`` allows word boundaries anywhere.
+
+        Tokens of any length: after every PART signs the best reading so far is settled, and
+        the next part opens in the states it may have ended in."""
         paths: dict[tuple[int, int], tuple[float, str]] = {(0, 0): (0.0, "")}
         model = self.model
-        for sign, same in groupby(token):
+        settled: list[str] = []
+        for at, (sign, same) in enumerate(groupby(token), 1):
             options = self.readings(sign, len(list(same)))
             if gaps:
                 options = options + [(" " + o, c + COST_GAP) for o, c in options if o.strip()]
@@ -151,7 +161,13 @@ class Restorer:
                     if (p, q) not in nxt or s > nxt[p, q][0]:
                         nxt[p, q] = (s, so_far + out)
             paths = nxt
-        return max((s + model[a][b][0], text) for (a, b), (s, text) in paths.items())[1]
+            if at > PART and len(paths) > BEAM:
+                paths = dict(sorted(paths.items(), key=lambda p: -p[1][0])[:BEAM])
+            if at % PART == 0:
+                state, (_, text) = max(paths.items(), key=lambda p: p[1])
+                settled.append(text)
+                paths = {state: (0.0, "")}
+        return "".join(settled) + max((s + model[a][b][0], text) for (a, b), (s, text) in paths.items())[1]
 
     def token(self, token: str) -> str:
         """A token as it is, and its restored reading if it looks disguised."""
@@ -160,8 +176,11 @@ class Restorer:
             return word
         if not _SIGN_IN_WORD.search(word):
             word = word.strip(_EDGE + "$!?@+€£¢")
-        if len(word) < 3 or len(word) > MAX_TOKEN:
+        if len(word) < 3:
             return word
+        if len(word) > MAX_TOKEN and sum(1 for _ in groupby(word)) > MAX_TOKEN:
+            parts = [p for p in _BETWEEN.split(word) if p]
+            return " ".join(map(self.token, parts)) if len(parts) > 1 else word
         letters = sum(c.isalpha() for c in word)
         if not (_REPEAT.search(word) or _SIGN_IN_WORD.search(word)) or 2 * letters < len(set(word)) or letters < 2:
             return word
@@ -176,7 +195,7 @@ class Restorer:
 
     def spaced(self, run: str) -> str:
         letters = "".join(c for c in run.lower() if c.isalnum())
-        if letters.isdigit() or len(letters) > MAX_TOKEN * 4:
+        if letters.isdigit():
             return run
         return self.decode(letters, gaps=True)
 
@@ -187,7 +206,7 @@ def features(word: str) -> Iterator[str]:
     for n in (4, 5, 6):
         if len(word) > n:
             yield "p:" + word[:n]
-    if 4 <= len(word) <= MAX_TOKEN:
+    if 4 <= len(word) <= MAX_LETTERS:
         for i in range(len(word) - 3):
             yield word[i:i + 4]
 
@@ -221,6 +240,14 @@ def training_rows(docs: DataFrame, labels: DataFrame, text: str, id_col: str) ->
     return stage(texts.join(F.broadcast(chosen), F.col("doc_id") == F.col("label_id")).select("doc_id", "toxic", "text"), "toxic-train")
 
 
+def distinct_texts(rows: DataFrame) -> DataFrame:
+    """One of each group of near copies among ``rows`` (of a bounded sample): rows whose least hash of
+    three words in a row is the same, which near copies mostly share and other texts don't."""
+    words = F.split(F.lower(F.coalesce("text", F.lit(""))), r"\s+")
+    least = F.array_min(F.transform(F.sequence(F.lit(1), F.greatest(F.size("words") - 2, F.lit(1))), lambda i: F.xxhash64(F.slice("words", i, 3))))
+    return rows.withColumn("words", words).withColumn("least", least).dropDuplicates(["toxic", "least"]).drop("words", "least")
+
+
 def fit(rows: DataFrame, restorer: Restorer) -> tuple[dict[str, int], np.ndarray, float]:
     """(feature -> place, weights, bias) of the logistic regression."""
 
@@ -244,11 +271,14 @@ def fit(rows: DataFrame, restorer: Restorer) -> tuple[dict[str, int], np.ndarray
     sizes = {bool(t): n for t, n in rows.groupBy("toxic").count().collect()}
     n_toxic, n_clean = sizes.get(True, 0), sizes.get(False, 0)
     prior = math.log((n_toxic + 0.5) / (n_clean + 0.5))
-    counted = (rows.select("toxic", "text").mapInArrow(count, "feature string, clean bigint, toxic bigint")
+    texts = stage(distinct_texts(rows), "toxic-texts")
+    sizes = {bool(t): n for t, n in texts.groupBy("toxic").count().collect()}
+    n_toxic, n_clean = sizes.get(True, 0), sizes.get(False, 0)
+    counted = (texts.select("toxic", "text").mapInArrow(count, "feature string, clean bigint, toxic bigint")
                .groupBy("feature").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")))
     ratio = (F.col("toxic") + 0.5) / (n_toxic + 1) / ((F.col("clean") + 0.5) / (n_clean + 1))
     expected = (F.col("clean") + 0.5) / (n_clean + 1) * (n_toxic + 1)
-    surprising = F.col("toxic") >= F.greatest(expected + MIN_DEVIATIONS * F.sqrt(expected + 1), F.lit(MIN_SHARE * n_toxic))
+    surprising = F.col("toxic") >= F.greatest(expected + MIN_DEVIATIONS * F.sqrt(expected + 1), F.lit(float(MIN_TEXTS)))
     chosen = (counted.where(surprising & (ratio >= MIN_RATIO))
               .orderBy((F.col("toxic") * F.log(ratio)).desc(), "feature").limit(MAX_FEATURES).collect())
     place = {r["feature"]: i for i, r in enumerate(chosen)}
@@ -258,6 +288,7 @@ def fit(rows: DataFrame, restorer: Restorer) -> tuple[dict[str, int], np.ndarray
     picked = annotate(rows, lambda texts: {"f": featured(texts, restorer, place, {})}, "f array<int>", carry=["toxic"])
     data = picked.select("row.toxic", "out.f").collect()  # a bounded sample of short lists
     y = np.array([r[0] == 1 for r in data], dtype=float)
+    n_toxic, n_clean = int(y.sum()), int(len(y) - y.sum())
     doc = np.repeat(np.arange(len(data)), [len(r[1]) for r in data])
     feat = np.array([i for r in data for i in r[1]], dtype=np.int64)
     w, bias = np.zeros(len(place)), prior

@@ -124,3 +124,45 @@ def test_no_labels_is_the_prior(spark):
 def test_model_is_a_distribution(spark):
     m = np.exp(tox.char_model(docs(spark, [(1, "hello world")])).astype(float))
     assert np.allclose(m.sum(2), 1, atol=1e-4)
+
+
+def test_long_disguises_are_decoded(trained):
+    scorer = trained[2]
+    spaced = " ".join("the quick brown fox said you are a stupid worthless moron and reads books about tiny rivers " * 4).replace("   ", " ")
+    assert sum(c.isalpha() for c in spaced) > 200
+    found = "".join(scorer.restorer.text(spaced).split())
+    assert "stupid" in found and "moron" in found
+    assert scorer.scores([spaced])[0] > scorer.scores(["the quick brown fox"])[0]
+    for stretched in ("idi" + "o" * 50 + "t", "s" * 60 + "tupid"):
+        assert scorer.restorer.text(stretched) in ("idiot", "stupid", "sstupid")
+    joined = "the-quick-brown-fox_jumps/over.a-lazy-dog-you-1d10t-reading-books"
+    assert "idiot" in scorer.restorer.text(joined).split()
+    key = "".join(random.Random(3).choices("abcdefXYZ0189", k=5000))
+    assert scorer.restorer.text(key) == key.lower()  # no language: left as it is
+
+
+@pytest.mark.parametrize("text, word", [("дурааак", "дурак"), ("глуууупый", "глупый"), ("głupiii", "głupi"), ("żżżaba", "żaba"), ("βλάααακας", "βλάκας")])
+def test_letters_without_a_symbol_stand_for_themselves(trained, text, word):
+    got = trained[2].restorer.text(text)
+    assert " " not in got and set(got) == set(word) and len(got) <= len(word) + 1
+    assert all(c in got for c in word)
+
+
+def test_toxic_words_of_a_small_language_are_learnt(spark):
+    """Eight toxic texts of one language beside hundreds of another make a feature; copies of one text don't."""
+    rows, labels = corpus(800, seed=5)
+    rnd = random.Random(9)
+    cyrillic = "быстрая лиса читает книги о тихих реках и старых мостах в спокойном городе".split()
+    for i in range(60):
+        w = [rnd.choice(cyrillic) for _ in range(rnd.randrange(20, 50))]
+        if i % 4 == 0:
+            w[rnd.randrange(len(w))] = "дурак"
+        rows.append((10_000 + i, " ".join(w)))
+        labels.append((10_000 + i, 1, int(i % 4 == 0)))
+    copied = " ".join(rnd.choice(cyrillic) for _ in range(40)) + " однажды"
+    for i in range(30):
+        rows.append((20_000 + i, copied))
+        labels.append((20_000 + i, 1, 1))
+    scorer = tox.train(docs(spark, rows), label_table(spark, labels))
+    assert "w:дурак" in scorer.place and "w:однажды" not in scorer.place
+    assert scorer.scores(["быстрая лиса дурак"])[0] > scorer.scores(["быстрая лиса"])[0]
