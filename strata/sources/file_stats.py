@@ -29,6 +29,9 @@ from strata.sources.paged import _filesystem
 
 #: File systems whose files pyarrow opens in tasks (others are asked through Spark's reader).
 FOOTER_SCHEMES = ("", "file", "s3", "s3a", "hdfs", "gs", "abfs", "abfss")
+#: Up to so many files are not worth a job over their footers: the column's maximum is asked directly,
+#: and the pushed-down filter skips row groups by the same statistics.
+FEW_FILES = 8
 RANGE_SCHEMA = "path string, length bigint, n_rows bigint, low timestamp_ntz, high timestamp_ntz, known boolean"
 
 
@@ -99,9 +102,18 @@ def recent_rows(spark: SparkSession, path: str, time_col: str, hours: float, bef
     is pushed down to row groups.  Files without statistics are asked for their maximum
     and always read.  The footers' summary is one row; of the files, the driver gets those to read.
     """
+    whole = spark.read.parquet(path)
+    if len(whole.inputFiles()) <= FEW_FILES:
+        t = F.col(time_col)
+        if whole.schema[time_col].dataType.typeName() not in ("timestamp", "timestamp_ntz"):
+            raise TypeError(f"not a time: {time_col}")
+        latest = whole.agg(F.max(t).cast("timestamp_ntz")).first()[0]
+        if latest is None:
+            return whole.where(F.lit(False)), None
+        return whole.where(t >= F.lit(latest - timedelta(hours=hours) - before).cast(whole.schema[time_col].dataType)), latest
     ranges = file_ranges(spark, path, time_col).cache()
     try:
-        schema = spark.read.parquet(path).schema
+        schema = whole.schema
         latest = ranges.agg(F.max("high")).first()[0]
         blind = [r[0] for r in ranges.where(~F.col("known")).select("path").toLocalIterator()]
         if blind:

@@ -24,7 +24,18 @@ def write(path, *times, stats=True):
     pq.write_table(table, path, write_statistics=stats, row_group_size=2)
 
 
+def test_few_files_and_many_give_the_same(spark, tmp_dir, monkeypatch):
+    for i in range(5):
+        write(f"{tmp_dir}/t/{i}.parquet", *(DAY + timedelta(hours=5 * i + k) for k in range(4)), None)
+    want = {DAY + timedelta(hours=n) for n in (18, 20, 21, 22, 23)}
+    for few in (8, 0):
+        monkeypatch.setattr(T, "FEW_FILES", few)
+        rows, latest = T.recent_rows(spark, f"{tmp_dir}/t", "t", 4, before=timedelta(hours=1))
+        assert latest == DAY + timedelta(hours=23) and {r.t for r in rows.collect()} == want
+
+
 def test_ranges_and_recent_rows(spark, tmp_dir, monkeypatch):
+    monkeypatch.setattr(T, "FEW_FILES", 0)
     h = lambda n: DAY + timedelta(hours=n)
     write(f"{tmp_dir}/t/dt=1/a.parquet", h(0), h(1), h(2))
     write(f"{tmp_dir}/t/dt=2/b.parquet", h(5), None, h(8))
@@ -48,11 +59,14 @@ def test_a_store_that_only_spark_reads(spark, tmp_dir, monkeypatch):
     write(f"{tmp_dir}/t/a.parquet", DAY, DAY + timedelta(hours=1))
     write(f"{tmp_dir}/t/b.parquet", DAY + timedelta(hours=9))
     monkeypatch.setattr(T, "FOOTER_SCHEMES", ())
+    monkeypatch.setattr(T, "FEW_FILES", 0)
     rows, latest = T.recent_rows(spark, f"{tmp_dir}/t", "t", 1)
     assert latest == DAY + timedelta(hours=9) and rows.count() == 1 and len(rows.inputFiles()) == 1
 
 
-def test_no_rows(spark, tmp_dir):
+@pytest.mark.parametrize("few", [0, 8])
+def test_no_rows(spark, tmp_dir, monkeypatch, few):
+    monkeypatch.setattr(T, "FEW_FILES", few)
     write(f"{tmp_dir}/t/a.parquet")
     rows, latest = T.recent_rows(spark, f"{tmp_dir}/t", "t", 2)
     assert latest is None and rows.count() == 0 and rows.columns == ["t", "x"]
