@@ -146,6 +146,14 @@ def layout(sizes: DataFrame, n_rows: int) -> DataFrame:
     return joined.withColumn("begin", F.col("start") + F.col("local")).select(*sizes.columns, "begin")
 
 
+def spread(per_source: DataFrame) -> tuple[int, int]:
+    """(output shards, tasks): the few rows of a plan that explode into draws and slots are dealt over so
+    many tasks by number, as Spark would put small rows together before they grow."""
+    all_draws = per_source.agg(F.sum("n_draws")).first()[0] or 0
+    n_shards = max(1, -(-all_draws // SHARD_BLOCKS))
+    return n_shards, max(8, min(n_shards, 10_000))
+
+
 def draws(per_source: DataFrame) -> DataFrame:
     """(source, shard, n): block draws of each source in each output shard.
 
@@ -153,11 +161,11 @@ def draws(per_source: DataFrame) -> DataFrame:
     counts that add up to the source's draws.  Draws are made in runs of at most 10,000
     rows per source row and counted in the same task.
     """
-    all_draws = per_source.agg(F.sum("n_draws")).first()[0] or 0
-    shards = per_source.withColumn("shards", F.lit(max(1, -(-all_draws // SHARD_BLOCKS))))
+    n_shards, tasks = spread(per_source)
+    shards = per_source.withColumn("shards", F.lit(n_shards))
     runs = (shards.where("n_draws > 0")
             .select("source", "blocks", "shards", "n_draws", F.explode(F.expr("sequence(0L, n_draws - 1, 10000L)")).alias("at"))
-            .repartition("source", "at"))
+            .repartition(tasks, "source", "at"))
     single = runs.select("source", "blocks", "shards", F.explode(F.expr("sequence(at, least(at + 10000, n_draws) - 1)")).alias("draw"))
     shard = F.pmod(F.xxhash64(F.lit("shard"), F.coalesce("source", F.lit("\x00")), "draw"), F.col("shards"))
     return single.groupBy("source", "blocks", shard.alias("shard")).agg(F.count("*").alias("n"))
@@ -188,7 +196,7 @@ def permuted(index: Column, turn: Column, blocks: Column, source: Column) -> Col
 def slots(per_source: DataFrame) -> DataFrame:
     """(source, shard, slot, turn, block): the mix, slot by slot, as block indexes."""
     placed = running_before(draws(per_source), "source", "shard", "n", "first")
-    every = placed.repartition("source", "shard").select("source", "blocks", "shard", F.explode(F.expr("sequence(first, first + n - 1)")).alias("slot"))
+    every = placed.repartition(spread(per_source)[1], "source", "shard").select("source", "blocks", "shard", F.explode(F.expr("sequence(first, first + n - 1)")).alias("slot"))
     key = F.coalesce("source", F.lit("\x00"))
     turn = F.expr("slot div blocks")
     return every.select("source", "shard", "slot", turn.alias("turn"), permuted(F.col("slot") % F.col("blocks"), turn, F.col("blocks"), key).alias("block"))
