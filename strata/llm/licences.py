@@ -180,7 +180,8 @@ def template_table(spark: SparkSession, templates: Templates = TEMPLATES) -> Dat
     """(family, label, words): one row per template, a table of fixed size."""
     families = families_of(templates)
     rows = [(family, float(families.index(family)), body) for family, bodies in templates.items() for body in bodies]
-    return spark.createDataFrame(rows, "family string, label double, body string").withColumn("words", tokens_of(F.col("body")))
+    literals = F.array(*[F.struct(F.lit(f).alias("family"), F.lit(i).alias("label"), F.lit(b).alias("body")) for f, i, b in rows])
+    return spark.range(1).select(F.inline(literals)).withColumn("words", tokens_of(F.col("body")))
 
 
 def pairs_of(body: str) -> list[str]:

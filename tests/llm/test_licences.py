@@ -126,3 +126,8 @@ def test_every_paragraph_is_calibrated_on(spark, monkeypatch):
     monkeypatch.setattr(lic, "calibrated", lambda scored: seen.append(scored) or real(scored))
     out = lic.scan_licences(docs(spark, [(i, f"{prose(i, 30)}.\n{prose(i, 300 if i % 9 == 0 else 20)}") for i in range(120)])).collect()
     assert sum(r.n_paragraphs for r in out) == seen[0].where("at IS NOT NULL").count() == 240
+
+
+def test_no_python_in_the_templates(spark):
+    plan = lic.template_table(spark)._jdf.queryExecution().toString()
+    assert "Python" not in plan and "RDD" not in plan and lic.template_table(spark).count() == sum(map(len, lic.TEMPLATES.values()))
