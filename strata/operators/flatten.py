@@ -2,7 +2,7 @@
 
 All of these are generators over single rows (``explode``): they run inside the
 scan's tasks, need no shuffle and split as finely as the input does.  Only the
-tree walk (:func:`flatten_tree`) runs several jobs, one per depth level.
+tree walk (:func:`flatten_tree`) runs several jobs, one per ``LEVELS`` depth levels.
 """
 
 from __future__ import annotations
@@ -12,12 +12,15 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.functions.json import json_entries, json_items, json_length, json_value, to_variant
+from strata.functions.json import json_entries, json_items, json_value, to_variant
 from strata.session import scratch_root
 
 # A field spec is (json path, spark type), e.g. {"area_id": ("$.id", "string")}.
 FieldSpec = Mapping[str, tuple[str, str]]
 
+#: Levels of a tree that one pass of the walk unnests (fixed value; no depth cap).
+LEVELS = 4
+
 
 def explode_entries(df: DataFrame, map_col: str, key: str = "key", value: str = "value",
                     keep: Sequence[str] = ()) -> DataFrame:
@@ -89,41 +92,44 @@ def flatten_tree(df: DataFrame, doc: str, fields: FieldSpec, children: str = "$.
     emitted once per occurrence.  Nodes whose children are missing, null, empty or
     not an array are leaves.
 
-    The walk is a level loop: the frontier (nodes of one depth) is materialised,
-    its fields are projected, and its children become the next frontier, until no
-    node of a level has children.  There is no depth cap.  With ``checkpoint`` each frontier is a
-    reliable checkpoint in the session's checkpoint folder, so a level is computed
-    once and survives executor loss, and plans stay short however deep the tree is.
+    The walk goes in rounds of ``LEVELS`` levels.  Within a round a node's fields are
+    extracted in the pass that unnests it, so a level costs neither a copy of the subtrees
+    nor a job; the round's flat rows are materialised once, with the children of its deepest
+    nodes, which are the next round's frontier, until no node has children left.  There is
+    no depth cap.  With ``checkpoint`` each round is a reliable checkpoint in the session's
+    checkpoint folder, so it is computed once and survives executor loss, and plans stay
+    short however deep the tree is.
 
     ``explode`` keeps rows where they are, so without help one huge document would
     be walked by one task at every level.  With ``rebalance`` each frontier is
-    rebalanced (AQE sizes the partitions) before it is materialised, so the nodes
+    rebalanced (AQE sizes the partitions) before it is walked, so the nodes
     of a hot document spread over the cluster from the first level on.  It applies
-    only with ``checkpoint``: without the lineage cut, a shuffle per level would pile
+    only with ``checkpoint``: without the lineage cut, a shuffle per round would pile
     up in one ever deeper plan.
     """
     v = to_variant(doc) if df.schema[doc].dataType.typeName() == "string" else F.col(doc)
     if checkpoint:
         scratch_root(df.sparkSession)  # make sure a (shared) checkpoint folder is set
-
-    def materialise(frame: DataFrame) -> DataFrame:
-        if rebalance and checkpoint:
-            frame = frame.hint("rebalance")
-        return frame.checkpoint(eager=True) if checkpoint else frame
-
-    frontier = materialise(df.select(*keep, F.explode(json_items(v)).alias("_node")))
-    if frontier.isEmpty():
-        return df.select(*keep, *_extract(F.lit(None).cast("variant"), fields)).limit(0)
-    levels: list[DataFrame] = []
-    while True:
-        levels.append(frontier.select(*keep, *_extract(F.col("_node"), fields)))
-        # Stop when no node of this level has children: no empty level is built.
-        if frontier.where(json_length("_node", children) > 0).isEmpty():
-            break
-        frontier = materialise(frontier.select(*keep, F.explode(json_items("_node", children)).alias("_node")))
-    out = levels[0]
-    for level in levels[1:]:
-        out = out.unionAll(level)
+    names = list(fields)
+    below = json_items("_node", children).alias("_below")
+
+    def walk(frontier: DataFrame) -> DataFrame:
+        """(keep, fields, _below) of the frontier's nodes and of LEVELS - 1 levels under them."""
+        rows = (frontier.hint("rebalance") if rebalance and checkpoint else frontier).select(
+            *keep, *_extract(F.col("_node"), fields), below)
+        for _ in range(LEVELS - 1):  # a node (at position 0) and then its children
+            family = F.concat(F.array(F.lit(None).cast("variant")), F.coalesce("_below", F.array().cast("array<variant>")))
+            rows = rows.select(*keep, *names, F.posexplode(family).alias("_at", "_node"))
+            rows = rows.select(*keep, *[F.when(F.col("_at") == 0, F.col(f"`{n}`")).otherwise(x).alias(n)
+                                        for n, x in zip(names, _extract(F.col("_node"), fields))], below)
+        return rows.checkpoint(eager=True) if checkpoint else rows
+
+    rounds = [walk(df.select(*keep, F.explode(json_items(v)).alias("_node")))]
+    while not (pending := rounds[-1].where("size(_below) > 0")).isEmpty():
+        rounds.append(walk(pending.select(*keep, F.explode("_below").alias("_node"))))
+    out = rounds[0].select(*keep, *names)
+    for rows in rounds[1:]:
+        out = out.unionAll(rows.select(*keep, *names))
     return out
 
 

@@ -1,3 +1,4 @@
+import glob
 import json
 import os
 from datetime import date
@@ -172,3 +173,21 @@ def test_json_docs_fails_fast_on_malformed_document(spark, tmp_dir):
     path = _write(tmp_dir, "broken.json", '{"Date": "2026-06-12", "Valute": {')
     with pytest.raises(Exception):
         rates.rates(json_docs(spark, path, rates.SCHEMA)).collect()
+
+
+def test_four_levels_are_one_checkpoint(spark):
+    def rounds():
+        return len(glob.glob(f"{spark.sparkContext.getCheckpointDir().removeprefix('file:')}/rdd-*"))
+
+    docs = spark.createDataFrame([(json.dumps([_chain(4)]),), (json.dumps(TREE[:1]),)], "t string")
+    before = rounds()
+    out = flatten_tree(docs, "t", catalog.AREA_FIELDS)
+    assert rounds() - before == 1  # one pass for four levels, with the fields extracted
+    assert sorted(r.area_id for r in out.collect()) == ["1", "2", "3", "4", "c1", "c2", "c3", "c4"]
+    assert flatten_tree(docs.where("t = ''"), "t", catalog.AREA_FIELDS).count() == 0
+
+
+def test_tree_children_of_other_kinds_are_leaves(spark):
+    doc = [{"id": "a", "areas": [None, 1, {"id": "b", "areas": None}, {"id": "c", "areas": "x"}, {"id": "d", "areas": {}}]}, None]
+    out = flatten_tree(spark.createDataFrame([(json.dumps(doc),)], "t string"), "t", catalog.AREA_FIELDS)
+    assert sorted(str(r.area_id) for r in out.collect()) == ["None", "None", "None", "a", "b", "c", "d"]
