@@ -23,7 +23,7 @@ from strata.plans.merge import merge_latest, read_merged
 from strata.session import new_scratch, pin_utc
 from strata.sinks import compaction
 from strata.sinks.layout import processed_dir, processed_root, raw_dir
-from strata.sinks.writers import delete_paths, land_raw, write_keys, write_partition
+from strata.sinks.writers import delete_paths, land_documents, land_raw, write_keys, write_partition
 from strata.sources.documents import JSON_TIME_OPTIONS, json_docs, parse_docs, whole_text
 from strata.sources import paged
 from strata.sources.file_stats import recent_metrics, recent_rows
@@ -134,8 +134,8 @@ def q02_document_files(spark, sf_dir):
     """Catalogue pages as files of one indented document each, read as such (a document spans lines)."""
     root = new_scratch(spark, "q02-files")
     parsed = parse_docs(documents.role_pages(spark, sf_dir), "doc", catalog.ROLES_SCHEMA)
-    _document_files(parsed.select(F.to_json(F.struct("*"), {"pretty": "true"}).alias("doc")), root)
-    return catalog.professional_roles(json_docs(spark, root, catalog.ROLES_SCHEMA))
+    folders = land_documents(parsed.select(F.to_json(F.struct("*"), {"pretty": "true"}).alias("value")), root)
+    return catalog.professional_roles(json_docs(spark, folders, catalog.ROLES_SCHEMA))
 
 
 def q05_tree_files(spark, sf_dir):
@@ -144,16 +144,8 @@ def q05_tree_files(spark, sf_dir):
     roots = F.regexp_replace("doc", r"^\[|\]$", "")
     numbered = documents.area_trees(spark, sf_dir).select(roots.alias("roots"), F.monotonically_increasing_id().alias("n"))
     forests = numbered.where("roots <> ''").groupBy(F.floor(F.col("n") / FOREST).alias("forest")).agg(F.collect_list("roots").alias("roots"))
-    _document_files(forests.select(F.concat(F.lit("["), F.array_join("roots", ",\n"), F.lit("]")).alias("doc")), root)
-    return catalog.areas(whole_text(spark, root))
-
-
-def _document_files(docs, root):
-    """One file per document.  A document's number is its partition's and a counter within it (nothing is
-    ranked); the number is the folder, and a folder has one file."""
-    staged = f"{root}-docs"
-    docs.select(F.col("doc").alias("value"), F.monotonically_increasing_id().alias("n")).write.parquet(staged)
-    docs.sparkSession.read.parquet(staged).write.partitionBy("n").text(root)
+    folders = land_documents(forests.select(F.concat(F.lit("["), F.array_join("roots", ",\n"), F.lit("]")).alias("value")), root)
+    return catalog.areas(whole_text(spark, folders))
 
 
 def q04_merged_postings(spark, sf_dir):

@@ -1,6 +1,7 @@
 """Writers with rerun-safe semantics.
 
 ``land_raw``        raw layer: one JSON item per line, the day's folder replaced.
+``land_documents``  raw layer: one document per file.
 ``write_partition`` one leaf folder (e.g. ``dt=D``) replaced as a whole.
 ``write_keys``      many keys in one job: dynamic partition overwrite, plus removal
                     of requested keys that now have no rows (dynamic overwrite alone
@@ -9,15 +10,22 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import uuid
+from collections.abc import Iterator, Sequence
 from functools import reduce
 from operator import and_
 
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.session import ship_package
 from strata.sinks.layout import partition_path
 
+#: Files of a folder of landed documents (fixed value).
+FOLDER_FILES = 1024
+
 
 def land_raw(df: DataFrame, path: str, value_col: str = "value") -> None:
     """Write a text column as lines into ``path``, replacing what a previous run wrote.
@@ -28,6 +36,46 @@ def land_raw(df: DataFrame, path: str, value_col: str = "value") -> None:
     df.select(value_col).write.mode("overwrite").text(path)
 
 
+def land_documents(df: DataFrame, path: str, value_col: str = "value") -> list[str]:
+    """Write each value of a text column as a file of its own below ``path``; returns the folders to read.
+
+    For documents that must stay whole files.  Tasks write through ``pyarrow.fs``, into folders of
+    at most FOLDER_FILES files: a file costs its bytes, not a folder, a listing and the commands by which Hadoop's
+    local file system sets the rights of a file and of its checksum.  A folder belongs to one
+    task attempt and is returned only if that attempt succeeded, so what a failed or repeated attempt
+    left behind is never read.  The driver holds the folders' names.
+    """
+    spark = df.sparkSession
+    ship_package(spark)
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, root = _open_store(path)
+        attempt, n, folder = uuid.uuid4().hex, 0, ""
+        for batch in batches:
+            for value in batch.column(0).to_pylist():
+                if n % FOLDER_FILES == 0:
+                    folder = f"{attempt}-{n // FOLDER_FILES}"
+                    store.create_dir(f"{root}/{folder}", recursive=True)
+                    yield pa.RecordBatch.from_arrays([pa.array([folder])], ["folder"])
+                with store.open_output_stream(f"{root}/{folder}/{n % FOLDER_FILES:04d}") as out:
+                    out.write(f"{value or ''}\n".encode())
+                n += 1
+
+    folders = [f"{path}/{r.folder}" for r in df.select(F.col(value_col).cast("string")).mapInArrow(write, "folder string").collect()]
+    if not folders:  # no document: an empty folder, which reads as no rows
+        land_raw(df.limit(0), path, value_col)
+    return folders or [path]
+
+
+def _open_store(uri: str) -> tuple[fs.FileSystem, str]:
+    """File system and path of a folder named as Spark names it (``file:/x``, ``s3a://b/x``, ``hdfs://…``)."""
+    if uri.startswith("s3a://"):
+        uri = "s3://" + uri.removeprefix("s3a://")
+    if uri.startswith("file:") and not uri.startswith("file://"):
+        uri = "file://" + uri.removeprefix("file:")
+    return fs.FileSystem.from_uri(uri) if "://" in uri else (fs.LocalFileSystem(), uri)
+
+
 def write_partition(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     """Replace one leaf folder with ``df`` (an empty ``df`` clears it)."""
     df.write.mode("overwrite").format(fmt).save(path)

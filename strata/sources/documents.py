@@ -27,7 +27,7 @@ def _schema(schema: StructType | str) -> StructType:
     return StructType.fromDDL(schema) if isinstance(schema, str) else schema
 
 
-def json_docs(spark: SparkSession, path: str, schema: StructType | str,
+def json_docs(spark: SparkSession, path: str | list[str], schema: StructType | str,
               multi_line: bool = True, mode: str = "FAILFAST") -> DataFrame:
     """Read JSON with a declared schema (never inferred: an empty ``[]`` reads as 0 rows).
 
@@ -40,7 +40,7 @@ def json_docs(spark: SparkSession, path: str, schema: StructType | str,
                  .option("mode", mode).json(path))
 
 
-def whole_text(spark: SparkSession, path: str, with_path: bool = False) -> DataFrame:
+def whole_text(spark: SparkSession, path: str | list[str], with_path: bool = False) -> DataFrame:
     """One row per file with its full content in ``value``."""
     df = spark.read.text(path, wholetext=True)
     if with_path:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from strata.operators.flatten import explode_entries, flatten_tree, flatten_tree_sql, pluck
 from strata.plans import catalog, rates
+from strata.sinks import writers
 from strata.sources.documents import json_docs, parse_docs, whole_text
 
 RATES = {
@@ -191,3 +192,18 @@ def test_tree_children_of_other_kinds_are_leaves(spark):
     doc = [{"id": "a", "areas": [None, 1, {"id": "b", "areas": None}, {"id": "c", "areas": "x"}, {"id": "d", "areas": {}}]}, None]
     out = flatten_tree(spark.createDataFrame([(json.dumps(doc),)], "t string"), "t", catalog.AREA_FIELDS)
     assert sorted(str(r.area_id) for r in out.collect()) == ["None", "None", "None", "a", "b", "c", "d"]
+
+
+def test_documents_land_as_files_of_few_folders(spark, tmp_dir, monkeypatch):
+    monkeypatch.setattr(writers, "FOLDER_FILES", 3)
+    docs = [json.dumps({"id": i, "name": "ж\n"}, indent=1, ensure_ascii=False) for i in range(10)]
+    folders = writers.land_documents(spark.createDataFrame([(d,) for d in docs], "value string").coalesce(1), f"{tmp_dir}/docs")
+    files = [glob.glob(f"{f}/*") for f in folders]
+    assert sorted(map(len, files)) == [1, 3, 3, 3]
+    assert sorted(open(f, encoding="utf-8").read() for fs in files for f in fs) == sorted(d + "\n" for d in docs)
+    os.makedirs(f"{tmp_dir}/docs/lost-0")  # what a failed attempt left behind
+    with open(f"{tmp_dir}/docs/lost-0/0000", "w") as f:
+        f.write(docs[0])
+    assert sorted(r.id for r in json_docs(spark, folders, "id int, name string").collect()) == list(range(10))
+    none = writers.land_documents(spark.createDataFrame([], "value string"), f"{tmp_dir}/none")
+    assert whole_text(spark, none).count() == 0 and json_docs(spark, none, "id int").count() == 0
