@@ -171,6 +171,28 @@ def draws(per_source: DataFrame) -> DataFrame:
     return single.groupBy("source", "blocks", shard.alias("shard")).agg(F.count("*").alias("n"))
 
 
+def network(x: Column, turn: Column, blocks: Column, source: Column) -> Column:
+    """One pass of an index through the Feistel network: below a * b, just above ``blocks``."""
+    a = F.ceil(F.sqrt(blocks.cast("double"))).cast("long")
+    b = F.ceil(blocks / a).cast("long")
+    left, right = F.floor(x / b).cast("long"), x % b
+    for i in range(0, ROUNDS, 2):
+        left = (left + F.pmod(F.xxhash64(F.lit(i), source, turn, right), a)) % a
+        right = (right + F.pmod(F.xxhash64(F.lit(i + 1), source, turn, left), b)) % b
+    return left * b + right
+
+
+def walked(once: Column, turn: Column, blocks: Column, source: Column) -> Column:
+    """The index below ``blocks`` to which ``once``, what ``network`` made of an index, leads.
+
+    Only an index that came out at or above ``blocks`` walks on: Spark interprets the walk and
+    makes objects at every step, which for every slot is more garbage than all else here.
+    """
+    end = F.aggregate(F.sequence(F.lit(1), F.lit(WALK)), once, lambda x, _: F.when(x < blocks, x).otherwise(network(x, turn, blocks, source)))
+    error = F.raise_error(F.lit("an index left the range too often")).cast("long")
+    return F.when(once < blocks, once).otherwise(F.when(end < blocks, end).otherwise(error))
+
+
 def permuted(index: Column, turn: Column, blocks: Column, source: Column) -> Column:
     """A pseudorandom permutation of 0 .. blocks - 1 for each source and turn.
 
@@ -179,18 +201,7 @@ def permuted(index: Column, turn: Column, blocks: Column, source: Column) -> Col
     ``blocks`` goes through again: these are fewer than a of a * b pairs, so no chain of
     them comes near WALK (and it would be an error, not a wrong index).
     """
-    a = F.ceil(F.sqrt(blocks.cast("double"))).cast("long")
-    b = F.ceil(blocks / a).cast("long")
-
-    def network(x: Column) -> Column:
-        left, right = F.floor(x / b).cast("long"), x % b
-        for i in range(0, ROUNDS, 2):
-            left = (left + F.pmod(F.xxhash64(F.lit(i), source, turn, right), a)) % a
-            right = (right + F.pmod(F.xxhash64(F.lit(i + 1), source, turn, left), b)) % b
-        return left * b + right
-
-    walked = F.aggregate(F.sequence(F.lit(1), F.lit(WALK)), network(index), lambda x, _: F.when(x < blocks, x).otherwise(network(x)))
-    return F.when(walked < blocks, walked).otherwise(F.raise_error(F.lit("an index left the range too often")).cast("long"))
+    return walked(network(index, turn, blocks, source), turn, blocks, source)
 
 
 def slots(per_source: DataFrame) -> DataFrame:
@@ -198,8 +209,10 @@ def slots(per_source: DataFrame) -> DataFrame:
     placed = running_before(draws(per_source), "source", "shard", "n", "first")
     every = placed.repartition(spread(per_source)[1], "source", "shard").select("source", "blocks", "shard", F.explode(F.expr("sequence(first, first + n - 1)")).alias("slot"))
     key = F.coalesce("source", F.lit("\x00"))
-    turn = F.expr("slot div blocks")
-    return every.select("source", "shard", "slot", turn.alias("turn"), permuted(F.col("slot") % F.col("blocks"), turn, F.col("blocks"), key).alias("block"))
+    # the network's result is a column of its own, as conditions would work it out at each use
+    passed = every.select("source", "shard", "slot", "blocks", F.expr("slot div blocks").alias("turn"),
+                          network(F.col("slot") % F.col("blocks"), F.expr("slot div blocks"), F.col("blocks"), key).alias("once"))
+    return passed.select("source", "shard", "slot", "turn", walked(F.col("once"), F.col("turn"), F.col("blocks"), key).alias("block"))
 
 
 def pieces(placed: DataFrame) -> DataFrame:

@@ -1,3 +1,6 @@
+import re
+from collections import Counter
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -151,3 +154,16 @@ def test_blocks_hold_the_words(spark):
     whole = [t for s in texts for t in texts[s] if 0 < len(t.split()) <= 20 and taken[next(i for i, x, *_ in rows if x == t)][1]]
     joined = " | ".join(b for found in streams.values() for b in found)
     assert sum(t in joined for t in whole) >= len(whole) // 2  # short texts mostly stand in one block as they are
+
+
+def test_only_indexes_out_of_range_walk(spark):
+    """The network's result is a column, and the interpreted walk stands behind its comparison."""
+    per = spark.createDataFrame([("a", 500, 1200), (None, 7, 20), ("b", 1, 3)], "source string, blocks long, n_draws long")
+    chosen = mixing.slots(per)
+    plan = chosen._jdf.queryExecution().optimizedPlan().toString()
+    assert re.search(r"CASE WHEN \(once#\d+L < blocks#\d+L\) THEN once#\d+L", plan)
+    turns = Counter((r["source"], r["turn"], r["block"]) for r in chosen.collect())
+    assert max(turns.values()) == 1 and sum(turns.values()) == 1223
+    index = chosen.join(per, chosen["source"].eqNullSafe(per["source"])).select(
+        "block", mixing.permuted(F.expr("slot % blocks"), F.col("turn"), F.col("blocks"), F.coalesce(chosen["source"], F.lit("\x00"))).alias("same"))
+    assert index.where("block <> same").isEmpty()
