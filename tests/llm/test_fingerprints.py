@@ -93,3 +93,24 @@ def test_samples_follow_the_definition(ready):
             t = math.floor(math.log(weight) / r + b)
             y = math.exp(r * (t - b))
             assert got == pytest.approx(math.log(c / (y * math.exp(r))), rel=1e-9)
+
+
+def test_no_sample_is_below_its_bound(ready):
+    df = ready.range(200_000).select(F.xxhash64("id").alias("word"), F.log(F.lit(1.0) + F.col("id") % 40).alias("s"))
+    (a,), _ = fp.samples("word", "s", "s", F.lit(3), 1)
+    low = F.log(fp.least_possible(F.xxhash64("word", F.lit(3)))) - F.col("s")
+    assert df.select(a.alias("a"), low.alias("low")).where("a < low - 1e-7").isEmpty()
+
+
+def test_terms_passed_over_change_nothing(ready, monkeypatch):
+    """All terms or those that may win, and texts worked out again: the same fingerprints."""
+    rows = [(i, prose(i // 2, 40 + 9 * i, 60)) for i in range(40)] + [(100, None), (101, "a"), (None, "b c"), (7, "other text, same id"), (3, prose(1, 49, 60))]
+    texts = ready.createDataFrame([(i, i, r[1] or "", prose(500 + i, 30, 60)) for i, r in enumerate(rows)], "k bigint, h bigint, text string, edited string")
+    every, some = (sorted(map(tuple, fp.signatures(texts, reach).collect())) for reach in (None, fp.REACH))
+    assert every == some and all(len(r[3]) == len(r[4]) == fp.SAMPLES for r in every)
+    few = [r for r in fp.signatures(texts, 4.0).collect() if r.sig]  # about a third of the texts
+    assert 0 < len(few) < len(rows) and all(tuple(r)[:4] == every[r.k][:4] for r in few)
+    wanted = sorted(map(str, fp.fingerprint_documents(docs(ready, rows)).collect()))
+    for reach in (4.0, 0.01):
+        monkeypatch.setattr(fp, "REACH", reach)
+        assert sorted(map(str, fp.fingerprint_documents(docs(ready, rows)).collect())) == wanted
