@@ -164,30 +164,24 @@ def hits(bits: np.ndarray, value: np.ndarray) -> np.ndarray:
     return ((bits[bit // 32] >> (bit % 32).astype(np.uint32)) & 1) == 1
 
 
-def marked(df: DataFrame, value: str, bits: bytes) -> DataFrame:
-    """The rows of ``df`` whose ``value`` may be among the bitmap's (some others pass too)."""
-    shared = df.sparkSession.sparkContext.broadcast(bits)  # at most BITS / 8 bytes
-
-    def keep(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bitmap_ = opened(shared.value)
-        for batch in it:
-            yield batch.filter(pa.array(hits(bitmap_, batch.column(value).to_numpy())))
-
-    return df.mapInArrow(keep, df.schema)
-
-
 def sets_of(rows: DataFrame, nodes: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(node, shingles) of the nodes in ``wanted`` (node), from one text of each."""
+    """(node, shingles) of the nodes in ``wanted`` (node), from one text of each.
+
+    Texts are picked by the bitmap of their ids (some others pass too) and shingled by the
+    same function: two in a row would keep two Python workers for every task.
+    """
     ids = nodes.join(wanted, "node", "left_semi").select(F.col("mark").alias("value"))
-    some = marked(rows.select("mark", "text"), "mark", bitmap(ids))
+    shared = rows.sparkSession.sparkContext.broadcast(bitmap(ids))  # at most BITS / 8 bytes
 
     def read(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bitmap_ = opened(shared.value)
         for whole in it:
-            for batch in slices(whole, "text", BATCH_BYTES):
+            some = whole.filter(pa.array(hits(bitmap_, whole.column("mark").to_numpy())))
+            for batch in slices(some, "text", BATCH_BYTES):
                 sets = shingle_sets(batch.column("text").to_pylist())
                 yield record_batch({"node": [set_id(s) for s in sets], "shingles": [s.tobytes() for s in sets]}, SETS)
 
-    found = some.mapInArrow(read, "node bigint, shingles binary")
+    found = rows.select("mark", "text").mapInArrow(read, "node bigint, shingles binary")
     return stage(found.join(wanted, "node", "left_semi").dropDuplicates(["node"]), "jaccard-sets")
 
 

@@ -166,3 +166,20 @@ def test_every_link_is_counted(ready, monkeypatch, nodes, shingles):
     assert 2 * sum(r.copies_a * r.copies_b for r in pairs) == sum(word_set(rows[a][1]) != word_set(rows[b][1]) for a, b in links)
     text = dict(rows)
     assert all(frozenset((word_set(text[r.doc_a]), word_set(text[r.doc_b]))) in sets for r in pairs if None not in (r.doc_a, r.doc_b))
+
+
+def test_sets_are_read_by_one_python_function(spark, monkeypatch):
+    """Two in a row would keep two Python workers for every task of an executor."""
+    ship_package(spark)
+    plans, stage = [], jac.stage
+
+    def kept(df, name):
+        plans.append((name, df._jdf.queryExecution().executedPlan().toString()))
+        return stage(df, name)
+
+    monkeypatch.setattr(jac, "stage", kept)
+    texts = [(i, prose(i // 2, 60) + f" end{i}") for i in range(8)]
+    out = jac.jaccard_components(docs(spark, texts)).collect()
+    assert sorted((r.doc_id, r.component_id) for r in out) == [(i, i - i % 2) for i in range(8)]
+    read = [plan for name, plan in plans if name == "jaccard-sets"]
+    assert len(read) == 2 and all(plan.count("MapInArrow") == 1 for plan in read)
