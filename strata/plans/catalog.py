@@ -65,12 +65,12 @@ def languages(rows: DataFrame) -> DataFrame:
     return rows.select("id", "name", "uid")
 
 
-def areas(texts: DataFrame, text_col: str = "value", checkpoint: bool = True) -> DataFrame:
+def areas(texts: DataFrame, text_col: str = "value", checkpoint: bool = True, rebalance: bool = True) -> DataFrame:
     """Region tree (``[{id, parent_id, name, lat, lng, areas: [...]}, ...]``) → flat rows.
 
     ``lat``/``lng`` may arrive as numbers or text; text that is not a number → null.
     """
-    return flatten_tree(texts, text_col, AREA_FIELDS, children="$.areas", checkpoint=checkpoint)
+    return flatten_tree(texts, text_col, AREA_FIELDS, children="$.areas", checkpoint=checkpoint, rebalance=rebalance)
 
 
 def dictionaries(texts: DataFrame, text_col: str = "value") -> DataFrame:

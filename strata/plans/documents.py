@@ -171,7 +171,8 @@ def area_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     ``areas: []``; shipment nodes have no ``areas`` key.  ``lat``/``lng`` mix
     numbers, numeric text and non-numeric text.
     """
-    lines = _lines(spark, sf_dir, ["l_returnflag", "l_linestatus", "l_quantity", "l_discount", "l_tax"])
+    # Lines are dealt by (order, chunk) as they were read; their nodes, which are longer, are built where they stay.
+    lines = _lines(spark, sf_dir, ["l_returnflag", "l_linestatus", "l_quantity", "l_discount", "l_tax"]).repartition("l_orderkey", "chunk")
     chunks = _chunk_lists(lines, _line_node(F.col("l_linestatus") == "O"))
     orders = read_table(spark, sf_dir, "orders", ["o_orderkey", "o_orderpriority", "o_totalprice", "o_orderstatus"])
     order_node = F.struct(
@@ -183,8 +184,10 @@ def area_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     # One full outer join places every chunk: the first chunk of an order under its
     # order node, every other chunk (and any chunk without an order) as roots.  The
-    # chunk aggregate is computed once.
-    placed = orders.join(chunks, (orders.o_orderkey == chunks.l_orderkey) & (chunks.chunk == 0), "full_outer")
+    # chunk aggregate is computed once, and joined where it was made: an order asks for
+    # chunk 0 by a key of its own (no literal, which the optimizer would fold out of the keys).
+    orders = orders.withColumn("o_chunk", F.when(F.col("o_orderkey").isNotNull(), 0))
+    placed = orders.join(chunks, (orders.o_orderkey == chunks.l_orderkey) & (orders.o_chunk == chunks.chunk), "full_outer")
     return placed.select(
         F.when(F.col("o_orderkey").isNotNull(), F.to_json(F.array(order_node)))
          .otherwise(F.to_json("items")).alias("doc"))

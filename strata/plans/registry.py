@@ -126,8 +126,10 @@ def q06_bundle(spark, sf_dir):
     return catalog.dictionaries(documents.bundles(spark, sf_dir), "doc")
 
 
-# Documents of a file of q05_tree_files (fixed value).
+# Documents of a file of q05_tree_files, and bytes (gzip) above which a file's nodes are dealt over all tasks before
+# they are walked; smaller files are walked where they are read, so no shuffle carries them (fixed values).
 FOREST = 200
+LARGE_FILE = 256 << 10
 
 
 def q02_document_files(spark, sf_dir):
@@ -142,10 +144,11 @@ def q05_tree_files(spark, sf_dir):
     """Forests as files of one document over many lines each, read as whole texts and walked."""
     root = new_scratch(spark, "q05-files")
     roots = F.regexp_replace("doc", r"^\[|\]$", "")
-    numbered = documents.area_trees(spark, sf_dir).select(roots.alias("roots"), F.monotonically_increasing_id().alias("n"))
-    forests = numbered.where("roots <> ''").groupBy(F.floor(F.col("n") / FOREST).alias("forest")).agg(F.collect_list("roots").alias("roots"))
-    folders = land_documents(forests.select(F.concat(F.lit("["), F.array_join("roots", ",\n"), F.lit("]")).alias("value")), root)
-    return catalog.areas(whole_text(spark, folders))
+    trees = documents.area_trees(spark, sf_dir).select(roots.alias("value")).where("value <> ''")
+    texts = whole_text(spark, land_documents(trees, root, together=FOREST, compress=True))
+    large = F.col("_metadata.file_size") > LARGE_FILE
+    small = texts.where(~large).coalesce(int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return catalog.areas(small, rebalance=False).unionAll(catalog.areas(texts.where(large)))
 
 
 def q04_merged_postings(spark, sf_dir):

@@ -10,6 +10,8 @@ import os
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -142,6 +144,19 @@ def object_store_conf(endpoint: str, region: str | None = None, path_style: bool
     return conf
 
 
+@contextmanager
+def passing_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Queries built and run within leave no shuffle files: they go when the query ends, not when
+    the driver happens to collect its garbage.  (Should a frame run twice, its shuffles are computed again.)"""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
 _SHIPPED: set[str] = set()
 
 

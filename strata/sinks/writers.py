@@ -10,9 +10,11 @@
 
 from __future__ import annotations
 
+import gzip
 import uuid
 from collections.abc import Iterator, Sequence
 from functools import reduce
+from itertools import islice
 from operator import and_
 
 import pyarrow as pa
@@ -20,11 +22,13 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.session import ship_package
+from strata.session import passing_shuffles, ship_package
 from strata.sinks.layout import partition_path
 
 #: Files of a folder of landed documents (fixed value).
 FOLDER_FILES = 1024
+#: Compression level of landed documents (fixed value; the fastest).
+GZIP_LEVEL = 1
 
 
 def land_raw(df: DataFrame, path: str, value_col: str = "value") -> None:
@@ -36,7 +40,8 @@ def land_raw(df: DataFrame, path: str, value_col: str = "value") -> None:
     df.select(value_col).write.mode("overwrite").text(path)
 
 
-def land_documents(df: DataFrame, path: str, value_col: str = "value") -> list[str]:
+def land_documents(df: DataFrame, path: str, value_col: str = "value", together: int = 0,
+                   compress: bool = False) -> list[str]:
     """Write each value of a text column as a file of its own below ``path``; returns the folders to read.
 
     For documents that must stay whole files.  Tasks write through ``pyarrow.fs``, into folders of
@@ -44,29 +49,43 @@ def land_documents(df: DataFrame, path: str, value_col: str = "value") -> list[s
     local file system sets the rights of a file and of its checksum.  A folder belongs to one
     task attempt and is returned only if that attempt succeeded, so what a failed or repeated attempt
     left behind is never read.  The driver holds the folders' names.
+
+    With ``together`` the values are elements (one or more, comma-separated) of JSON arrays, and a document is
+    the array of that many successive values of a task, gathered as they pass: no shuffle carries the texts.
+    Null and empty values hold no element and are passed over.
+    With ``compress`` files are gzip, which Spark's readers tell by the name.  The shuffles that ``df``
+    needed leave the disk once the files are there.
     """
     spark = df.sparkSession
     ship_package(spark)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, root = _open_store(path)
-        attempt, n, folder = uuid.uuid4().hex, 0, ""
-        for batch in batches:
-            for value in batch.column(0).to_pylist():
-                if n % FOLDER_FILES == 0:
-                    folder = f"{attempt}-{n // FOLDER_FILES}"
-                    store.create_dir(f"{root}/{folder}", recursive=True)
-                    yield pa.RecordBatch.from_arrays([pa.array([folder])], ["folder"])
-                with store.open_output_stream(f"{root}/{folder}/{n % FOLDER_FILES:04d}") as out:
-                    out.write(f"{value or ''}\n".encode())
-                n += 1
-
-    folders = [f"{path}/{r.folder}" for r in df.select(F.col(value_col).cast("string")).mapInArrow(write, "folder string").collect()]
+        attempt, folder = uuid.uuid4().hex, ""
+        values = (value for batch in batches for value in batch.column(0).to_pylist())
+        for n, value in enumerate(_arrays(values, together) if together else values):
+            if n % FOLDER_FILES == 0:
+                folder = f"{attempt}-{n // FOLDER_FILES}"
+                store.create_dir(f"{root}/{folder}", recursive=True)
+                yield pa.RecordBatch.from_arrays([pa.array([folder])], ["folder"])
+            text = f"{value or ''}\n".encode()
+            with store.open_output_stream(f"{root}/{folder}/{n % FOLDER_FILES:04d}{'.gz' if compress else ''}", compression=None) as out:
+                out.write(gzip.compress(text, GZIP_LEVEL, mtime=0) if compress else text)
+
+    with passing_shuffles(spark):
+        folders = [f"{path}/{r.folder}" for r in df.select(F.col(value_col).cast("string")).mapInArrow(write, "folder string").collect()]
     if not folders:  # no document: an empty folder, which reads as no rows
         land_raw(df.limit(0), path, value_col)
     return folders or [path]
 
 
+def _arrays(values: Iterator[str], together: int) -> Iterator[str]:
+    """JSON arrays of ``together`` successive values each."""
+    values = filter(None, values)
+    while held := list(islice(values, together)):
+        yield "[" + ",\n".join(held) + "]"
+
+
 def _open_store(uri: str) -> tuple[fs.FileSystem, str]:
     """File system and path of a folder named as Spark names it (``file:/x``, ``s3a://b/x``, ``hdfs://…``)."""
     if uri.startswith("s3a://"):

@@ -1,13 +1,16 @@
 import glob
+import gzip
 import json
 import os
+import time
+from collections import Counter
 from datetime import date
 
 import pytest
 from pyspark.sql import functions as F
 
 from strata.operators.flatten import explode_entries, flatten_tree, flatten_tree_sql, pluck
-from strata.plans import catalog, rates
+from strata.plans import catalog, documents, rates, registry
 from strata.sinks import writers
 from strata.sources.documents import json_docs, parse_docs, whole_text
 
@@ -207,3 +210,66 @@ def test_documents_land_as_files_of_few_folders(spark, tmp_dir, monkeypatch):
     assert sorted(r.id for r in json_docs(spark, folders, "id int, name string").collect()) == list(range(10))
     none = writers.land_documents(spark.createDataFrame([], "value string"), f"{tmp_dir}/none")
     assert whole_text(spark, none).count() == 0 and json_docs(spark, none, "id int").count() == 0
+
+
+def _shuffles(spark):
+    """Shuffles that have files on this process's disk."""
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    names = [files.apply(i).getName() for i in range(files.size())]
+    return {n.split("_")[1] for n in names if n.startswith("shuffle_")}
+
+
+def test_landed_arrays_need_no_shuffle_and_are_compressed(spark, tmp_dir):
+    values = spark.createDataFrame([(f'{{"id":{i}}},{{"id":"ж{i}"}}',) for i in range(7)] + [(None,), ("",)], "value string")
+    before = _shuffles(spark)
+    folders = writers.land_documents(values.repartition(3, "value").coalesce(1), f"{tmp_dir}/docs", together=3, compress=True)
+    for _ in range(100):
+        if not (left := _shuffles(spark) - before):
+            break
+        time.sleep(0.1)
+    assert not left  # the shuffle under the documents went with their writing
+    files = sorted(x for f in folders for x in glob.glob(f"{f}/*"))
+    assert [os.path.basename(f) for f in files] == ["0000.gz", "0001.gz", "0002.gz"]
+    lists = [json.loads(gzip.open(f, "rt", encoding="utf-8").read()) for f in files]
+    assert sorted(map(len, lists)) == [2, 6, 6]
+    assert Counter(str(x["id"]) for xs in lists for x in xs) == Counter([str(i) for i in range(7)] + [f"ж{i}" for i in range(7)])
+    assert sorted(json.loads(r.value) == xs for r, xs in zip(whole_text(spark, folders).sort(F.col("_metadata.file_path")).collect(), lists)) == [True] * 3
+
+
+def _orders_and_lines(spark, root):
+    """Orders and lines with repeated, missing and null keys, several blocks of lines, lines without number or status."""
+    lines = [(k, n, "R" if n % 2 else "N", "O" if n % 3 else "F", float(n), n / 100, 0.5) for k in (1, 2, 9, None) for n in (1, 2, 2, 64, 65, 130)]
+    lines += [(1, None, "1.5", None, None, 0.25, None)] + [(3, n, "A", "O", 1.0, 0.0, 0.0) for n in range(1, 400)]
+    orders = [(1, "a", 1.5, "2.5"), (2, "b", 2.5, "P"), (2, "c", None, "F"), (4, None, 4.5, None), (None, "n", 0.5, "O"), (3, "d", 1.0, "O")]
+    spark.createDataFrame(lines, "l_orderkey long, l_linenumber int, l_returnflag string, l_linestatus string, l_quantity double, "
+                                 "l_discount double, l_tax double").write.parquet(f"{root}/lineitem.parquet")
+    spark.createDataFrame(orders, "o_orderkey long, o_orderpriority string, o_totalprice double, o_orderstatus string").write.parquet(f"{root}/orders.parquet")
+    number = lambda x: float(x) if x in ("1.5", "2.5") else None
+    out, copies = [], Counter(o[0] for o in orders)
+    for k, name, price, status in orders:
+        if k is not None:
+            out.append((f"o{k}", None, name, price, number(status)))
+    for k, n, flag, status, quantity, discount, tax in lines:
+        first = n is None or 1 <= n <= 64
+        own = None if k is None or n is None else f"{k}-{n}"
+        line, ship = own and f"l{own}", own and f"s{own}"
+        rows = [(line, None if k is None else f"o{k}", flag, quantity, discount)]
+        rows += [(ship, line, status, number(flag), tax)] if status == "O" else []
+        out += rows * (max(copies[k], 1) if first and k is not None else 1)  # under every order of its key
+    return Counter(out)
+
+
+@pytest.mark.parametrize("large", [registry.LARGE_FILE, 0, 220])
+def test_tree_files_of_odd_rows(spark, tmp_dir, monkeypatch, large):
+    expected = _orders_and_lines(spark, tmp_dir)
+    monkeypatch.setattr(registry, "LARGE_FILE", large)
+    monkeypatch.setattr(registry, "FOREST", 2)
+    assert Counter(map(tuple, registry.q05_tree_files(spark, tmp_dir).collect())) == expected
+    assert Counter(map(tuple, registry.q05_tree(spark, tmp_dir).collect())) == expected
+
+
+def test_trees_move_lines_and_orders_once(spark, tmp_dir):
+    _orders_and_lines(spark, tmp_dir)
+    plan = documents.area_trees(spark, tmp_dir)._jdf.queryExecution().executedPlan().toString()
+    moved = [x for x in plan.splitlines() if "Exchange hashpartitioning" in x]
+    assert len(moved) == 2, plan  # lines as read, and orders; the nested lines stay where they were made
